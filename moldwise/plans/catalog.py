@@ -33,3 +33,138 @@ def q_daily_features(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "daily_features": q_daily_features,
 }
+
+
+# ---------------------------------------------------------------- functions --
+from moldwise.functions import columns as fn  # noqa: E402
+from moldwise.operators import joins as jn  # noqa: E402
+from moldwise.plans.oracle import VERT_VARS  # noqa: E402
+
+
+def q_parse_values(spark, sf):
+    r = fx.readings(spark, sf)
+    return round_doubles(r.select(
+        "machine_def", "timestamp", "variable_name", "value",
+        fn.to_number("value").alias("value_number"),
+        fn.duration_seconds("value").alias("value_seconds"),
+        fn.classify_variable("variable_name").alias("var_class")))
+
+
+def q_machine_keys(spark, sf):
+    v = fx.vertical_readings(spark, sf)
+    md = F.col("machine_definition")
+    path = F.concat(F.lit("/data/raw_param/"), md, F.lit("_Jan.csv"))
+    return v.select(
+        md,
+        fn.machine_key(md, "strip").alias("key_strip"),
+        fn.machine_key(md, "digits3").alias("key_digits3"),
+        fn.machine_key(md, "hyphen").alias("key_hyphen"),
+        fn.sensor_core(md).alias("key_core"),
+        fn.machine_key_from_path(path).alias("key_from_path"))
+
+
+def q_standardize_date(spark, sf):
+    p = fx.production(spark, sf)
+    return jn.standardize_date(p, "date").select("order_id", "date", "date_key")
+
+
+def q_classify_variables(spark, sf):
+    r = fx.readings(spark, sf)
+    return r.select("variable_name").where(F.col("variable_name").isNotNull()).distinct() \
+            .withColumn("var_class", fn.classify_variable("variable_name"))
+
+
+def _features(spark, sf):
+    return feat.daily_features(fx.readings(spark, sf), variables=FIXTURE_VARIABLES)
+
+
+def q_map_machines(spark, sf):
+    return jn.map_machines(fx.production(spark, sf), _features(spark, sf))
+
+
+def q_dedupe_keys(spark, sf):
+    o = fx.table(spark, sf, "orders")
+    return jn.dedupe_keys(o, ["o_custkey", "o_orderdate"])
+
+
+def q_join_left(spark, sf):
+    return round_doubles(jn.join_production_features(fx.production(spark, sf), _features(spark, sf),
+                                                     keep_unmatched=True))
+
+
+def q_join_inner(spark, sf):
+    return round_doubles(jn.join_production_features(fx.production(spark, sf), _features(spark, sf),
+                                                     keep_unmatched=False))
+
+
+def q_join_report(spark, sf):
+    return round_doubles(jn.join_report(fx.production(spark, sf), _features(spark, sf)))
+
+
+def q_date_overlap(spark, sf):
+    p = jn.standardize_date(fx.production(spark, sf), "date")
+    f = _features(spark, sf).withColumnRenamed("agg_date", "date_key")
+    return jn.date_overlap(p, f)
+
+
+def q_key_diagnostics(spark, sf):
+    return jn.key_diagnostics(fx.production(spark, sf), _features(spark, sf))
+
+
+def _vertical(spark, sf):
+    return feat.vertical_features(fx.vertical_readings(spark, sf), variables=VERT_VARS)
+
+
+def q_vertical_features(spark, sf):
+    return round_doubles(_vertical(spark, sf))
+
+
+def q_join_vertical(spark, sf):
+    return round_doubles(jn.join_vertical(fx.production(spark, sf), _vertical(spark, sf)))
+
+
+def _sensor_means(spark, sf):
+    return feat.sensor_means(fx.vertical_readings(spark, sf), variables=VERT_VARS)
+
+
+def q_sensor_means(spark, sf):
+    return round_doubles(_sensor_means(spark, sf))
+
+
+def _training_set(spark, sf):
+    daily = feat.daily_scrap(fx.hydra_january(spark, sf))
+    return jn.sensor_training_set(daily, _sensor_means(spark, sf))
+
+
+def q_sensor_training_set(spark, sf):
+    return round_doubles(_training_set(spark, sf))
+
+
+def q_union_datasets(spark, sf):
+    a = feat.daily_scrap(fx.hydra_raw(spark, sf)).withColumn("source", F.lit("lineitem"))
+    return round_doubles(jn.union_datasets([a, _training_set(spark, sf)]))
+
+
+def q_daily_scrap(spark, sf):
+    return round_doubles(feat.daily_scrap(fx.hydra_raw(spark, sf)))
+
+
+QUERIES.update({
+    "parse_values": q_parse_values,
+    "machine_keys": q_machine_keys,
+    "standardize_date": q_standardize_date,
+    "classify_variables": q_classify_variables,
+    "map_machines": q_map_machines,
+    "dedupe_keys": q_dedupe_keys,
+    "join_left": q_join_left,
+    "join_inner": q_join_inner,
+    "join_report": q_join_report,
+    "date_overlap": q_date_overlap,
+    "key_diagnostics": q_key_diagnostics,
+    "vertical_features": q_vertical_features,
+    "join_vertical": q_join_vertical,
+    "sensor_means": q_sensor_means,
+    "sensor_training_set": q_sensor_training_set,
+    "union_datasets": q_union_datasets,
+    "daily_scrap": q_daily_scrap,
+})

@@ -114,7 +114,7 @@ CNT_VARS = ["Shot_counter"]
 FIXTURE_VARIABLES = sorted(NUM_VARS + CAT_VARS + CNT_VARS)
 
 
-def _daily_features_sql() -> str:
+def _daily_features_sql(rounding: bool = True) -> str:
     sel, dbl = [], []
     for stat, fn in (("mean", "avg"), ("max", "max"), ("std", "stddev_samp"), ("count", "count")):
         for v in NUM_VARS:
@@ -140,14 +140,248 @@ def _daily_features_sql() -> str:
     sql = f"""WITH {PREP},
 usable AS (SELECT * FROM prep WHERE (variable_name = 'Machine_status' OR vn IS NOT NULL)
            AND machine_def IS NOT NULL AND agg_date IS NOT NULL),
-prep_alias AS (SELECT * FROM usable),
 agg AS (SELECT machine_def, agg_date, {', '.join(sel)} FROM usable GROUP BY machine_def, agg_date),
 {', '.join(modes)}
 SELECT * FROM agg{joins}"""
+    return rounded(sql, dbl) if rounding else sql
+
+
+
+
+def _daily_feature_doubles() -> list[str]:
+    out = [f"{v}_{s}" for s in ("mean", "max", "std") for v in NUM_VARS]
+    out += [f"{v}_{s}" for s in ("first", "last", "delta") for v in CNT_VARS]
+    return out
+
+
+def _features_cte() -> str:
+    """``feats`` CTE (unrounded daily features) usable inside larger queries."""
+    inner = _daily_features_sql(rounding=False)
+    return f"feats AS ({inner})"
+
+
+PROD_STD = """pstd AS (SELECT *, strftime(try_strptime(date, '%d-%m-%Y'), '%Y-%m-%d') AS date_key FROM production)"""
+
+MAPPING = """pm AS (SELECT DISTINCT machine_id AS production_id,
+                   replace(replace(machine_id, 'M-', ''), 'm-', '') AS core
+            FROM production WHERE machine_id IS NOT NULL),
+fm AS (SELECT replace(replace(split_part(machine_def, '-', 1), 'M', ''), 'm', '') AS core,
+              min(machine_def) AS feature_id
+       FROM feats WHERE machine_def IS NOT NULL GROUP BY 1),
+mapping AS (SELECT production_id, feature_id FROM pm JOIN fm USING (core))"""
+
+JOIN_SIDES = """pj AS (SELECT p.*, m.feature_id AS machine_key FROM pstd p LEFT JOIN mapping m ON p.machine_id = m.production_id),
+fj AS (SELECT * EXCLUDE (machine_def, agg_date), machine_def AS machine_key, agg_date AS date_key FROM feats)"""
+
+
+def _join_sql(how: str) -> str:
+    sql = f"""WITH {PRODUCTION}, {_features_cte()}, {PROD_STD}, {MAPPING}, {JOIN_SIDES}
+SELECT * FROM pj {how} JOIN fj USING (machine_key, date_key)"""
+    return rounded(sql, _daily_feature_doubles())
+
+
+def _join_report_sql() -> str:
+    return f"""WITH {PRODUCTION}, {_features_cte()}, {PROD_STD}, {MAPPING}, {JOIN_SIDES},
+l AS (SELECT pj.*, fj.machine_key IS NOT NULL AS matched FROM pj LEFT JOIN fj USING (machine_key, date_key)),
+ov AS (SELECT count(*) AS n FROM (SELECT DISTINCT date_key FROM pstd WHERE date_key IS NOT NULL
+                                  INTERSECT SELECT DISTINCT agg_date FROM feats WHERE agg_date IS NOT NULL)),
+dj AS (SELECT count(*) AS n FROM (SELECT machine_key, date_key FROM l WHERE matched
+                                  GROUP BY ALL HAVING count(*) > 1))
+SELECT 'hydra_rows_before' AS metric, CAST(count(*) AS DOUBLE) AS value FROM l
+UNION ALL SELECT 'target_non_null_before', count(actual_scrap_qty) FROM l
+UNION ALL SELECT 'joined_rows', count(*) FROM l
+UNION ALL SELECT 'matched_hydra_rows', count(*) FILTER (WHERE matched) FROM l
+UNION ALL SELECT 'unmatched_hydra_rows', count(*) FILTER (WHERE NOT matched) FROM l
+UNION ALL SELECT 'match_rate', round(count(*) FILTER (WHERE matched) / count(*), {DIGITS}) FROM l
+UNION ALL SELECT 'target_non_null_after', count(actual_scrap_qty) FROM l
+UNION ALL SELECT 'hydra_unique_dates', count(DISTINCT date_key) FROM pstd
+UNION ALL SELECT 'param_rows_before', count(*) FROM feats
+UNION ALL SELECT 'param_unique_dates', count(DISTINCT agg_date) FROM feats
+UNION ALL SELECT 'duplicate_joins', n FROM dj
+UNION ALL SELECT 'overlapping_dates', n FROM ov"""
+
+
+def _date_overlap_sql() -> str:
+    return f"""WITH {PRODUCTION}, {_features_cte()}, {PROD_STD},
+a AS (SELECT DISTINCT date_key FROM pstd WHERE date_key IS NOT NULL),
+b AS (SELECT DISTINCT agg_date AS date_key FROM feats WHERE agg_date IS NOT NULL)
+SELECT coalesce(a.date_key, b.date_key) AS date_key,
+       CASE WHEN a.date_key IS NOT NULL AND b.date_key IS NOT NULL THEN 'matched'
+            WHEN a.date_key IS NOT NULL THEN 'unmatched' ELSE 'features_only' END AS status
+FROM a FULL JOIN b ON a.date_key = b.date_key"""
+
+
+def _key_diagnostics_sql() -> str:
+    return f"""WITH {PRODUCTION}, {_features_cte()},
+p AS (SELECT machine_id AS machine, count(*) AS rows,
+             replace(replace(machine_id, 'M-', ''), 'm-', '') AS core FROM production GROUP BY machine_id),
+f AS (SELECT machine_def AS machine, count(*) AS rows,
+             replace(replace(split_part(machine_def, '-', 1), 'M', ''), 'm', '') AS core FROM feats GROUP BY machine_def)
+SELECT 'production' AS side, machine, core, rows, core IN (SELECT core FROM f) AS matched FROM p
+UNION ALL
+SELECT 'features', machine, core, rows, core IN (SELECT core FROM p) FROM f"""
+
+
+def _map_machines_sql() -> str:
+    return f"""WITH {PRODUCTION}, {_features_cte()}, {MAPPING} SELECT production_id, feature_id FROM mapping"""
+
+
+def _parse_values_sql() -> str:
+    sql = f"""WITH {READINGS}
+SELECT machine_def, "timestamp", variable_name, value,
+       {to_number('value')} AS value_number,
+       {duration('value')} AS value_seconds,
+       CASE WHEN variable_name IN ('Cyl_tmp_z2', 'Cyl_tmp_z6', 'Cyl_tmp_z7', 'Switch_position') THEN 'excluded'
+            WHEN variable_name = 'Time_on_machine' THEN 'time_duration'
+            WHEN variable_name = 'Machine_status' THEN 'categorical'
+            WHEN variable_name IN ('Shot_counter', 'Scrap_counter') THEN 'counters'
+            ELSE 'numeric' END AS var_class
+FROM readings"""
+    return rounded(sql, ["value_number", "value_seconds"])
+
+
+def _hyphen(x: str) -> str:
+    r = f"replace({x}, 'M', 'M-')"
+    return (f"(CASE WHEN starts_with({x}, 'M') AND NOT contains(substr({x}, 1, 2), '-') "
+            f"THEN split_part({r}, '-', 1) || '-' || split_part({r}, '-', 2) ELSE {x} END)")
+
+
+def _digits3(x: str) -> str:
+    d = f"regexp_extract({x}, '(\\d{{3}})', 1)"
+    return f"(CASE WHEN {x} IS NOT NULL AND {d} <> '' THEN 'M' || {d} ELSE 'Unknown' END)"
+
+
+def _machine_keys_sql() -> str:
+    path = "'/data/raw_param/' || machine_definition || '_Jan.csv'"
+    d = f"regexp_extract({path}, '(?i)M[-_\\s]?(\\d{{3}})', 1)"
+    return f"""WITH {VREADINGS}
+SELECT machine_definition,
+       regexp_replace(machine_definition, '[- ]', '', 'g') AS key_strip,
+       {_digits3('machine_definition')} AS key_digits3,
+       {_hyphen('machine_definition')} AS key_hyphen,
+       replace(replace(split_part(machine_definition, '-', 1), 'M', ''), 'm', '') AS key_core,
+       CASE WHEN {d} <> '' THEN 'M-' || {d} ELSE 'Unknown' END AS key_from_path
+FROM vreadings"""
+
+
+def _standardize_date_sql() -> str:
+    return f"""WITH {PRODUCTION}
+SELECT order_id, date, strftime(try_strptime(date, '%d-%m-%Y'), '%Y-%m-%d') AS date_key FROM production"""
+
+
+def _classify_sql() -> str:
+    return f"""WITH {READINGS}
+SELECT DISTINCT variable_name,
+       CASE WHEN variable_name IN ('Cyl_tmp_z2', 'Cyl_tmp_z6', 'Cyl_tmp_z7', 'Switch_position') THEN 'excluded'
+            WHEN variable_name = 'Time_on_machine' THEN 'time_duration'
+            WHEN variable_name = 'Machine_status' THEN 'categorical'
+            WHEN variable_name IN ('Shot_counter', 'Scrap_counter') THEN 'counters'
+            ELSE 'numeric' END AS var_class
+FROM readings WHERE variable_name IS NOT NULL"""
+
+
+def _dedupe_sql() -> str:
+    return """SELECT o_custkey, o_orderdate, o_orderkey, o_orderstatus, o_totalprice, o_orderpriority FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderdate
+         ORDER BY o_orderkey NULLS FIRST, o_orderstatus NULLS FIRST, o_totalprice NULLS FIRST,
+                  o_orderpriority NULLS FIRST) AS rn
+  FROM orders) WHERE rn = 1"""
+
+
+VERT_VARS = ["Cushion", "Cycle_time", "Cyl_tmp_z2", "Shot_counter"]
+
+VNUM = VREADINGS + f""",
+vnum AS (SELECT {_digits3('machine_definition')} AS machine_id,
+                CAST(try_strptime(date, '%m/%d/%Y') AS DATE) AS date,
+                {_hyphen('machine_definition')} AS machine_hyphen,
+                variable_name, {to_number('value')} AS v
+         FROM vreadings)"""
+
+
+def _vertical_features_body() -> tuple[str, list[str]]:
+    sel, dbl = [], []
+    for stat, fn in (("mean", "avg"), ("std", "stddev_samp"), ("min", "min"), ("max", "max")):
+        for v in VERT_VARS:
+            sel.append(f"{fn}(v) FILTER (WHERE variable_name = '{v}') AS {v}_{stat}")
+            dbl.append(f"{v}_{stat}")
+    body = f"""SELECT machine_id, date, {', '.join(sel)} FROM vnum
+WHERE v IS NOT NULL AND machine_id IS NOT NULL AND date IS NOT NULL GROUP BY machine_id, date"""
+    return body, dbl
+
+
+def _vertical_features_sql() -> str:
+    body, dbl = _vertical_features_body()
+    return rounded(f"WITH {VNUM} {body}", dbl)
+
+
+def _join_vertical_sql() -> str:
+    body, dbl = _vertical_features_body()
+    sql = f"""WITH {PRODUCTION}, {VNUM}, vf AS ({body}),
+pv AS (SELECT * REPLACE ({_digits3('machine_nr')} AS machine_id, CAST(order_start AS DATE) AS date) FROM production)
+SELECT * FROM pv JOIN vf USING (machine_id, date)"""
     return rounded(sql, dbl)
 
 
+def _sensor_means_body() -> str:
+    sel = ", ".join(f"avg(v) FILTER (WHERE variable_name = '{v}') AS {v}" for v in VERT_VARS)
+    return f"""SELECT date, machine_hyphen AS machine_id, {sel} FROM vnum
+WHERE v IS NOT NULL AND machine_hyphen IS NOT NULL AND date IS NOT NULL GROUP BY date, machine_hyphen"""
+
+
+def _sensor_means_sql() -> str:
+    return rounded(f"WITH {VNUM} {_sensor_means_body()}", VERT_VARS)
+
+
+DAILY_JAN = HYDRA_JAN + """,
+daily_jan AS (
+  SELECT date, machine_nr AS machine_id, tool_number AS tool_id, article AS part_number,
+         max(actual_scrap_qty) AS scrap_quantity
+  FROM hydra_jan
+  WHERE date IS NOT NULL AND machine_nr IS NOT NULL AND tool_number IS NOT NULL AND article IS NOT NULL
+  GROUP BY ALL)"""
+
+
+def _sensor_training_sql() -> str:
+    fill = ", ".join(f"coalesce(m.{v}, 0) AS {v}" for v in VERT_VARS)
+    sql = f"""WITH {VNUM}, sm AS ({_sensor_means_body()}), {DAILY_JAN}
+SELECT d.date, d.machine_id, d.tool_id, d.part_number, coalesce(d.scrap_quantity, 0) AS scrap_quantity, {fill}
+FROM daily_jan d JOIN sm m ON d.date = m.date AND d.machine_id = m.machine_id"""
+    return rounded(sql, VERT_VARS + ["scrap_quantity"])
+
+
+def _union_sql() -> str:
+    fill = ", ".join(f"coalesce(m.{v}, 0) AS {v}" for v in VERT_VARS)
+    nulls = ", ".join(f"CAST(NULL AS DOUBLE) AS {v}" for v in VERT_VARS)
+    sql = f"""WITH {VNUM}, sm AS ({_sensor_means_body()}), {DAILY_JAN}, {DAILY}
+SELECT date, machine_id, tool_id, part_number, scrap_quantity, 'lineitem' AS source, {nulls} FROM daily
+UNION ALL
+SELECT d.date, d.machine_id, d.tool_id, d.part_number, coalesce(d.scrap_quantity, 0), NULL, {fill}
+FROM daily_jan d JOIN sm m ON d.date = m.date AND d.machine_id = m.machine_id"""
+    return rounded(sql, VERT_VARS + ["scrap_quantity"])
+
+
+def _daily_scrap_sql() -> str:
+    return rounded(f"WITH {DAILY} SELECT * FROM daily", ["scrap_quantity"])
+
+
 def queries_sql() -> dict[str, str]:
     return {
         "daily_features": _daily_features_sql(),
+        "parse_values": _parse_values_sql(),
+        "machine_keys": _machine_keys_sql(),
+        "standardize_date": _standardize_date_sql(),
+        "classify_variables": _classify_sql(),
+        "map_machines": _map_machines_sql(),
+        "dedupe_keys": _dedupe_sql(),
+        "join_left": _join_sql("LEFT"),
+        "join_inner": _join_sql("INNER"),
+        "join_report": _join_report_sql(),
+        "date_overlap": _date_overlap_sql(),
+        "key_diagnostics": _key_diagnostics_sql(),
+        "vertical_features": _vertical_features_sql(),
+        "join_vertical": _join_vertical_sql(),
+        "sensor_means": _sensor_means_sql(),
+        "sensor_training_set": _sensor_training_sql(),
+        "union_datasets": _union_sql(),
+        "daily_scrap": _daily_scrap_sql(),
     }
