@@ -168,3 +168,56 @@ QUERIES.update({
     "union_datasets": q_union_datasets,
     "daily_scrap": q_daily_scrap,
 })
+
+
+# ------------------------------------------------------------------ windows --
+from moldwise.operators import windows as wn  # noqa: E402
+
+
+def _daily(spark, sf):
+    return feat.daily_scrap(fx.hydra_raw(spark, sf))
+
+
+def _forecast_table(spark, sf):
+    return wn.forecast_features(_daily(spark, sf))
+
+
+def q_lag_features(spark, sf):
+    return round_doubles(_forecast_table(spark, sf))
+
+
+def q_time_split(spark, sf):
+    return round_doubles(wn.time_split(_forecast_table(spark, sf)))
+
+
+def q_scoring_context(spark, sf):
+    return round_doubles(wn.scoring_context(_daily(spark, sf)))
+
+
+def q_most_active_job(spark, sf):
+    return wn.most_active_job(_daily(spark, sf))
+
+
+def q_planning_kpis(spark, sf):
+    return round_doubles(wn.planning_kpis(_daily(spark, sf)))
+
+
+def q_job_combinations(spark, sf):
+    return wn.job_combinations(_daily(spark, sf))
+
+
+def q_label_encode(spark, sf):
+    live = feat.daily_scrap(fx.hydra_january(spark, sf))
+    return round_doubles(wn.label_encode(live, {"machine_id": "machine_code"}, unseen=0,
+                                         codes_from=_forecast_table(spark, sf)))
+
+
+QUERIES.update({
+    "lag_features": q_lag_features,
+    "time_split": q_time_split,
+    "scoring_context": q_scoring_context,
+    "most_active_job": q_most_active_job,
+    "planning_kpis": q_planning_kpis,
+    "job_combinations": q_job_combinations,
+    "label_encode": q_label_encode,
+})

@@ -384,4 +384,90 @@ def queries_sql() -> dict[str, str]:
         "sensor_training_set": _sensor_training_sql(),
         "union_datasets": _union_sql(),
         "daily_scrap": _daily_scrap_sql(),
+        **_window_queries(),
+    }
+
+
+KEYS = "machine_id, tool_id, part_number"
+
+LAGGED = DAILY + f""",
+lf AS (
+  SELECT *, lag(scrap_quantity, 1) OVER (PARTITION BY {KEYS} ORDER BY date) AS scrap_lag_1,
+         lag(scrap_quantity, 2) OVER (PARTITION BY {KEYS} ORDER BY date) AS scrap_lag_2,
+         CASE WHEN count(scrap_quantity) OVER (PARTITION BY {KEYS} ORDER BY date
+                                               ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) = 3
+              THEN avg(scrap_quantity) OVER (PARTITION BY {KEYS} ORDER BY date
+                                             ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) END AS rolling_avg_3
+  FROM daily),
+clean AS (SELECT * FROM lf WHERE date IS NOT NULL AND machine_id IS NOT NULL AND tool_id IS NOT NULL
+          AND part_number IS NOT NULL AND scrap_quantity IS NOT NULL AND scrap_lag_1 IS NOT NULL
+          AND scrap_lag_2 IS NOT NULL AND rolling_avg_3 IS NOT NULL),
+ff AS (SELECT *, CAST(dense_rank() OVER (ORDER BY machine_id) - 1 AS INTEGER) AS machine_code,
+              CAST(dense_rank() OVER (ORDER BY tool_id) - 1 AS INTEGER) AS tool_code,
+              CAST(dense_rank() OVER (ORDER BY part_number) - 1 AS INTEGER) AS part_code
+       FROM clean)"""
+
+LAG_DOUBLES = ["scrap_quantity", "scrap_lag_1", "scrap_lag_2", "rolling_avg_3"]
+
+
+def _lag_features_sql() -> str:
+    return rounded(f"WITH {LAGGED} SELECT * FROM ff", LAG_DOUBLES)
+
+
+def _time_split_sql() -> str:
+    sql = f"""WITH {LAGGED},
+d AS (SELECT DISTINCT date FROM ff WHERE date IS NOT NULL),
+n AS (SELECT count(*) AS n, greatest(CAST(floor(count(*) * 0.8) AS BIGINT), 1) AS k FROM d),
+cut AS (SELECT date AS cut FROM (SELECT date, row_number() OVER (ORDER BY date) - 1 AS i FROM d), n WHERE i = n.k)
+SELECT ff.*, CASE WHEN n.k >= n.n THEN 'train' WHEN ff.date < cut.cut THEN 'train'
+                  WHEN ff.date >= cut.cut THEN 'test' END AS split
+FROM ff, n LEFT JOIN cut ON TRUE"""
+    return rounded(sql, LAG_DOUBLES)
+
+
+def _scoring_context_sql() -> str:
+    sql = f"""WITH {DAILY},
+r AS (SELECT *, row_number() OVER (PARTITION BY {KEYS} ORDER BY date DESC) AS rn FROM daily)
+SELECT {KEYS}, max(scrap_quantity) FILTER (WHERE rn = 1) AS scrap_lag_1,
+       max(scrap_quantity) FILTER (WHERE rn = 2) AS scrap_lag_2,
+       avg(scrap_quantity) AS rolling_avg_3,
+       max(date) FILTER (WHERE rn = 1) AS last_date,
+       CAST(max(date) FILTER (WHERE rn = 1) + INTERVAL 1 DAY AS DATE) AS forecast_date
+FROM r WHERE rn <= 3 GROUP BY {KEYS} HAVING count(*) >= 3"""
+    return rounded(sql, ["scrap_lag_1", "scrap_lag_2", "rolling_avg_3"])
+
+
+def _most_active_sql() -> str:
+    return f"""WITH {DAILY}
+SELECT {KEYS}, count(*) AS rows FROM daily GROUP BY {KEYS} ORDER BY rows DESC, {KEYS} LIMIT 1"""
+
+
+def _planning_kpis_sql() -> str:
+    sql = f"""WITH {DAILY}
+SELECT {KEYS}, avg(scrap_quantity) AS avg_scrap_24h, avg(scrap_quantity) / 2 AS avg_scrap_12h,
+       max(scrap_quantity) AS max_scrap, count(scrap_quantity) AS days
+FROM daily GROUP BY {KEYS}"""
+    return rounded(sql, ["avg_scrap_24h", "avg_scrap_12h", "max_scrap"])
+
+
+def _job_combinations_sql() -> str:
+    return f"""WITH {DAILY} SELECT DISTINCT {KEYS} FROM daily"""
+
+
+def _label_encode_sql() -> str:
+    sql = f"""WITH {LAGGED}, {DAILY_JAN},
+codes AS (SELECT DISTINCT machine_id, machine_code FROM ff)
+SELECT d.*, coalesce(c.machine_code, 0) AS machine_code FROM daily_jan d LEFT JOIN codes c USING (machine_id)"""
+    return rounded(sql, ["scrap_quantity"])
+
+
+def _window_queries() -> dict[str, str]:
+    return {
+        "lag_features": _lag_features_sql(),
+        "time_split": _time_split_sql(),
+        "scoring_context": _scoring_context_sql(),
+        "most_active_job": _most_active_sql(),
+        "planning_kpis": _planning_kpis_sql(),
+        "job_combinations": _job_combinations_sql(),
+        "label_encode": _label_encode_sql(),
     }
