@@ -221,3 +221,56 @@ QUERIES.update({
     "job_combinations": q_job_combinations,
     "label_encode": q_label_encode,
 })
+
+
+# ------------------------------------------------------------------ quality --
+from moldwise.operators import quality as ql  # noqa: E402
+
+ISSUE_VIEW = [c for c in ql.ISSUE_COLUMNS if c != "details"]
+
+
+def _issues(df):
+    return round_doubles(df.select(*ISSUE_VIEW))
+
+
+def q_check_missing(spark, sf):
+    return _issues(ql.check_missing(fx.customers_with_gaps(spark, sf), "customer"))
+
+
+def q_check_duplicates(spark, sf):
+    return _issues(ql.check_duplicates(fx.order_facts(spark, sf), ["o_custkey", "o_orderdate"], "orders"))
+
+
+def q_check_ranges(spark, sf):
+    return _issues(ql.check_ranges(fx.table(spark, sf, "customer"), "c_acctbal", 0.0, 9000.0, "customer"))
+
+
+def q_check_outliers_iqr(spark, sf):
+    return _issues(ql.check_outliers_iqr(fx.table(spark, sf, "orders"), "o_totalprice", 1.5, "orders"))
+
+
+def _validate_production(spark, sf):
+    return ql.validate_production(fx.production(spark, sf), key_columns=["machine_id", "date"])
+
+
+def q_validate_production(spark, sf):
+    return _issues(_validate_production(spark, sf))
+
+
+def q_validate_readings(spark, sf):
+    return _issues(ql.validate_readings(fx.readings(spark, sf)))
+
+
+def q_validation_report(spark, sf):
+    return ql.validation_report(_validate_production(spark, sf), fx.production(spark, sf), "HydraData")
+
+
+QUERIES.update({
+    "check_missing": q_check_missing,
+    "check_duplicates": q_check_duplicates,
+    "check_ranges": q_check_ranges,
+    "check_outliers_iqr": q_check_outliers_iqr,
+    "validate_production": q_validate_production,
+    "validate_readings": q_validate_readings,
+    "validation_report": q_validation_report,
+})

@@ -385,6 +385,7 @@ def queries_sql() -> dict[str, str]:
         "union_datasets": _union_sql(),
         "daily_scrap": _daily_scrap_sql(),
         **_window_queries(),
+        **_quality_queries(),
     }
 
 
@@ -471,3 +472,145 @@ def _window_queries() -> dict[str, str]:
         "job_combinations": _job_combinations_sql(),
         "label_encode": _label_encode_sql(),
     }
+
+
+# ------------------------------------------------------------------ quality --
+CUST_GAPS = """cg AS (
+  SELECT c_custkey,
+         CASE WHEN c_custkey % 3 <> 0 THEN c_name END AS c_name,
+         CASE WHEN c_custkey % 3 = 0 THEN c_nationkey END AS c_nationkey,
+         CASE WHEN c_custkey % 7 <> 0 THEN c_acctbal END AS c_acctbal,
+         CASE WHEN c_custkey % 50 <> 0 THEN c_mktsegment END AS c_mktsegment
+  FROM customer)"""
+
+ORDER_FACTS = "ofacts AS (SELECT o_custkey, o_orderdate, o_orderstatus, o_orderpriority FROM orders)"
+
+ISSUE_COLS = "dataset, \"column\", issue_type, severity, message, count, pct"
+
+
+def pct1(m: str, n: str) -> str:
+    t = f"(({m}) * 2000 + ({n})) // (({n}) * 2)"
+    return f"(CAST({t} // 10 AS VARCHAR) || '.' || CAST({t} % 10 AS VARCHAR))"
+
+
+def thousands(x: str) -> str:
+    return f"format('{{:,}}', CAST({x} AS BIGINT))"
+
+
+def _missing_sql(table: str, cols: list[tuple[str, bool]], dataset: str, warn=5.0, err=50.0) -> str:
+    parts = []
+    for c, is_double in cols:
+        cond = f"({c} IS NULL OR isnan({c}))" if is_double else f"{c} IS NULL"
+        parts.append(f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {cond}) AS m, count(*) AS n FROM {table}")
+    body = " UNION ALL ".join(parts)
+    pct = "(m * 100.0 / n)"
+    return f"""SELECT '{dataset}' AS dataset, "column", 'missing_values' AS issue_type,
+  CASE WHEN {pct} > {err} THEN 'error' WHEN {pct} > {warn} THEN 'warning' ELSE 'info' END AS severity,
+  CASE WHEN {pct} > {err} THEN 'High missing rate: ' WHEN {pct} > {warn} THEN 'Moderate missing rate: '
+       ELSE 'Some missing values: ' END || {pct1('m', 'n')} || '% (' || {thousands('m')} || ' values)' AS message,
+  CAST(m AS BIGINT) AS count, round({pct}, {DIGITS}) AS pct
+FROM ({body}) WHERE n > 0 AND m > 0"""
+
+
+def _dup_sql(table: str, cols: list[str], keys: list[str], dataset: str, max_pct=5.0) -> str:
+    allc = ", ".join(cols)
+    pct = "(dup * 100.0 / n)"
+    sql = f"""SELECT '{dataset}' AS dataset, CAST(NULL AS VARCHAR) AS "column", 'duplicates' AS issue_type,
+  CASE WHEN {pct} > {max_pct} THEN 'error' ELSE 'warning' END AS severity,
+  CASE WHEN {pct} > {max_pct} THEN 'High duplicate row rate: ' ELSE 'Duplicate rows found: ' END
+    || {pct1('dup', 'n')} || '% (' || {thousands('dup')} || ' rows)' AS message,
+  CAST(dup AS BIGINT) AS count, round({pct}, {DIGITS}) AS pct
+FROM (SELECT sum(c) AS n, sum(c - 1) AS dup FROM (SELECT count(*) AS c FROM {table} GROUP BY ALL_COLS))
+WHERE dup > 0""".replace("GROUP BY ALL_COLS", f"GROUP BY {allc}")
+    if keys:
+        k = ", ".join(keys)
+        sql += f"""
+UNION ALL
+SELECT '{dataset}', NULL, 'duplicate_keys', 'warning',
+  'Duplicate keys [{k}]: ' || {pct1('dup', 'n')} || '% (' || {thousands('dup')} || ' rows)',
+  CAST(dup AS BIGINT), round({pct}, {DIGITS})
+FROM (SELECT sum(c) AS n, sum(c - 1) AS dup FROM (SELECT count(*) AS c FROM {table} GROUP BY {k})) WHERE dup > 0"""
+    return sql
+
+
+def _range_sql(table: str, col: str, lo, hi, dataset: str) -> str:
+    parts = []
+    if lo is not None:
+        parts.append(f"""SELECT '{dataset}' AS dataset, '{col}' AS "column", 'out_of_range' AS issue_type,
+  'error' AS severity, {thousands('k')} || ' values below minimum ({float(lo)})' AS message,
+  CAST(k AS BIGINT) AS count, CAST(NULL AS DOUBLE) AS pct
+FROM (SELECT count(*) FILTER (WHERE {col} < {lo}) AS k FROM {table}) WHERE k > 0""")
+    if hi is not None:
+        parts.append(f"""SELECT '{dataset}', '{col}', 'out_of_range', 'error',
+  {thousands('k')} || ' values above maximum ({float(hi)})', CAST(k AS BIGINT), CAST(NULL AS DOUBLE)
+FROM (SELECT count(*) FILTER (WHERE {col} > {hi}) AS k FROM {table}) WHERE k > 0""")
+    return " UNION ALL ".join(parts)
+
+
+def _outlier_sql(table: str, col: str, mult: float, dataset: str) -> str:
+    pct = "(k * 100.0 / n)"
+    return f"""SELECT '{dataset}' AS dataset, '{col}' AS "column", 'outliers' AS issue_type,
+  CASE WHEN {pct} < 5 THEN 'warning' ELSE 'error' END AS severity,
+  {thousands('k')} || ' potential outliers (' || {pct1('k', 'n')} || '%) using IQR method' AS message,
+  CAST(k AS BIGINT) AS count, round({pct}, {DIGITS}) AS pct
+FROM (SELECT count(*) FILTER (WHERE {col} < q1 - {mult} * (q3 - q1) OR {col} > q3 + {mult} * (q3 - q1)) AS k,
+             count({col}) AS n
+      FROM {table}, (SELECT quantile_cont({col}, 0.25) AS q1, quantile_cont({col}, 0.75) AS q3,
+                            count({col}) AS nn FROM {table}) q
+      WHERE q.nn >= 4)
+WHERE k > 0"""
+
+
+def _min_rows_sql(table: str, dataset: str, min_rows: int = 100) -> str:
+    return f"""SELECT '{dataset}' AS dataset, CAST(NULL AS VARCHAR) AS "column", 'insufficient_data' AS issue_type,
+  'critical' AS severity, 'Dataset has only ' || CAST(n AS VARCHAR) || ' rows, minimum required is {min_rows}' AS message,
+  CAST(n AS BIGINT) AS count, CAST(NULL AS DOUBLE) AS pct
+FROM (SELECT count(*) AS n FROM {table}) WHERE n < {min_rows}"""
+
+
+PROD_COLS = [("order_id", False), ("machine_id", False), ("machine_nr", False), ("date", False),
+             ("order_start", False), ("shift", False), ("article", False), ("order_status", False),
+             ("actual_scrap_qty", False)]
+READING_COLS = [("machine_def", False), ("timestamp", False), ("variable_name", False), ("value", False),
+                ("variable_attribute", False)]
+
+
+def _validate_production_body() -> str:
+    return " UNION ALL ".join([
+        _min_rows_sql("production", "HydraData"),
+        _range_sql("production", "actual_scrap_qty", 0.0, None, "HydraData"),
+        _outlier_sql("production", "actual_scrap_qty", 1.5, "HydraData"),
+        _missing_sql("production", PROD_COLS, "HydraData"),
+        _dup_sql("production", [c for c, _ in PROD_COLS], ["machine_id", "date"], "HydraData"),
+    ])
+
+
+def _quality_queries() -> dict[str, str]:
+    cust = [("c_custkey", False), ("c_name", False), ("c_nationkey", False), ("c_acctbal", True),
+            ("c_mktsegment", False)]
+    return {
+        "check_missing": f"WITH {CUST_GAPS} " + _missing_sql("cg", cust, "customer"),
+        "check_duplicates": f"WITH {ORDER_FACTS} " + _dup_sql(
+            "ofacts", ["o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority"],
+            ["o_custkey", "o_orderdate"], "orders"),
+        "check_ranges": _range_sql("customer", "c_acctbal", 0.0, 9000.0, "customer"),
+        "check_outliers_iqr": _outlier_sql("orders", "o_totalprice", 1.5, "orders"),
+        "validate_production": f"WITH {PRODUCTION} " + _validate_production_body(),
+        "validate_readings": f"WITH {READINGS} " + " UNION ALL ".join([
+            _min_rows_sql("readings", "ParamData"),
+            _missing_sql("readings", READING_COLS, "ParamData"),
+            _dup_sql("readings", [c for c, _ in READING_COLS], [], "ParamData"),
+            f"""SELECT 'ParamData', 'variable_name', 'sparse_data', 'info',
+  CAST(k AS VARCHAR) || ' variables have fewer than 10 readings', CAST(k AS BIGINT), CAST(NULL AS DOUBLE)
+FROM (SELECT count(*) AS k FROM (SELECT variable_name FROM readings WHERE variable_name IS NOT NULL
+      GROUP BY variable_name HAVING count(*) < 10)) WHERE k > 0"""]),
+        "validation_report": f"""WITH {PRODUCTION}, issues AS ({_validate_production_body()})
+SELECT 'HydraData' AS dataset, (SELECT count(*) FROM production) AS row_count, 9 AS column_count,
+  count(*) FILTER (WHERE severity = 'critical') AS critical_count,
+  count(*) FILTER (WHERE severity = 'error') AS error_count,
+  count(*) FILTER (WHERE severity = 'warning') AS warning_count,
+  count(*) FILTER (WHERE severity = 'info') AS info_count,
+  count(*) AS issue_count,
+  count(*) FILTER (WHERE severity IN ('critical', 'error')) = 0 AS is_valid
+FROM issues""",
+    }

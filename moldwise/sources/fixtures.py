@@ -119,3 +119,23 @@ def hydra_january(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderpriority").alias("article"),
         F.floor(F.col("o_totalprice") / 1000).cast("double").alias("actual_scrap_qty"),
     )
+
+
+def customers_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``customer`` with missing values at several rates (none of the source
+    tables has NULLs): c_name 1/3 missing, c_nationkey 2/3, c_acctbal 1/7,
+    c_mktsegment 1/50."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    return c.select(
+        k,
+        F.when(k % 3 != 0, F.col("c_name")).alias("c_name"),
+        F.when(k % 3 == 0, F.col("c_nationkey")).alias("c_nationkey"),
+        F.when(k % 7 != 0, F.col("c_acctbal")).alias("c_acctbal"),
+        F.when(k % 50 != 0, F.col("c_mktsegment")).alias("c_mktsegment"),
+    )
+
+
+def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Low-resolution projection of ``orders``; repeated rows occur naturally."""
+    return table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority")
