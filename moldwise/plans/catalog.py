@@ -274,3 +274,67 @@ QUERIES.update({
     "validate_readings": q_validate_readings,
     "validation_report": q_validation_report,
 })
+
+
+# ---------------------------------------------------------------- summaries --
+from moldwise.operators import summaries as sm  # noqa: E402
+
+
+def q_profile_readings(spark, sf):
+    return round_doubles(sm.profile_readings(fx.readings(spark, sf)))
+
+
+def q_column_missing(spark, sf):
+    return round_doubles(sm.column_missing(fx.readings(spark, sf)))
+
+
+def q_profile_variables(spark, sf):
+    return round_doubles(sm.profile_variables(fx.readings(spark, sf)))
+
+
+def q_top_values(spark, sf):
+    return round_doubles(sm.top_values(fx.readings(spark, sf), "value", 10))
+
+
+def q_value_type_profile(spark, sf):
+    return sm.value_type_profile(fx.readings(spark, sf))
+
+
+def q_machine_comparison(spark, sf):
+    return round_doubles(sm.machine_comparison(fx.readings(spark, sf)))
+
+
+def q_column_stats(spark, sf):
+    return round_doubles(sm.column_stats(fx.production(spark, sf)))
+
+
+def q_cumulative_verdict(spark, sf):
+    return round_doubles(sm.cumulative_verdict(fx.production(spark, sf), ["actual_scrap_qty", "order_id"]))
+
+
+def q_dataset_summary(spark, sf):
+    ml = jn.join_production_features(fx.production(spark, sf), _features(spark, sf), keep_unmatched=True)
+    return round_doubles(sm.dataset_summary(ml, "actual_scrap_qty", "machine_id", "date_key"))
+
+
+def q_feature_summary(spark, sf):
+    return round_doubles(sm.feature_summary(_features(spark, sf)))
+
+
+def q_feature_ranges(spark, sf):
+    return round_doubles(sm.feature_ranges(_features(spark, sf)))
+
+
+QUERIES.update({
+    "profile_readings": q_profile_readings,
+    "column_missing": q_column_missing,
+    "profile_variables": q_profile_variables,
+    "top_values": q_top_values,
+    "value_type_profile": q_value_type_profile,
+    "machine_comparison": q_machine_comparison,
+    "column_stats": q_column_stats,
+    "cumulative_verdict": q_cumulative_verdict,
+    "dataset_summary": q_dataset_summary,
+    "feature_summary": q_feature_summary,
+    "feature_ranges": q_feature_ranges,
+})

@@ -386,6 +386,7 @@ def queries_sql() -> dict[str, str]:
         "daily_scrap": _daily_scrap_sql(),
         **_window_queries(),
         **_quality_queries(),
+        **_summary_queries(),
     }
 
 
@@ -614,3 +615,122 @@ SELECT 'HydraData' AS dataset, (SELECT count(*) FROM production) AS row_count, 9
   count(*) FILTER (WHERE severity IN ('critical', 'error')) = 0 AS is_valid
 FROM issues""",
     }
+
+
+# ---------------------------------------------------------------- summaries --
+def _r(x: str) -> str:
+    return f"round({x}, {DIGITS})"
+
+
+def _span(lo: str, hi: str) -> str:
+    return f"date_diff('second', {lo}, {hi})"
+
+
+READING_NAMES = [c for c, _ in READING_COLS]
+PROD_TYPES = [("order_id", "bigint"), ("machine_id", "string"), ("machine_nr", "string"), ("date", "string"),
+              ("order_start", "timestamp_ntz"), ("shift", "int"), ("article", "string"),
+              ("order_status", "string"), ("actual_scrap_qty", "bigint")]
+PROD_NUMERIC = {"order_id", "shift", "actual_scrap_qty"}
+
+
+def _feature_names() -> list[str]:
+    out = [f"{v}_{s}" for s in ("mean", "max", "std", "count") for v in NUM_VARS]
+    out += [f"{v}_mode" for v in CAT_VARS]
+    out += [f"{v}_{s}" for s in ("first", "last", "delta", "count") for v in CNT_VARS]
+    return out
+
+
+def _summary_queries() -> dict[str, str]:
+    num = to_number("value")
+    q = {}
+    q["profile_readings"] = f"""WITH {READINGS}
+SELECT count(*) AS rows, count(DISTINCT variable_name) AS variables,
+  min("timestamp") AS ts_min, max("timestamp") AS ts_max,
+  CAST(floor({_span('min("timestamp")', 'max("timestamp")')} / 86400) AS BIGINT) AS span_days,
+  CAST(floor(({_span('min("timestamp")', 'max("timestamp")')} % 86400) / 3600) AS BIGINT) AS span_hours,
+  count({num}) AS numeric_values, count(*) - count({num}) AS non_numeric_values,
+  {_r(f'count({num}) * 100.0 / count(*)')} AS numeric_pct
+FROM readings"""
+    q["column_missing"] = f"WITH {READINGS} " + " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count(*) FILTER (WHERE "{c}" IS NULL) AS missing,
+  {_r(f'count(*) FILTER (WHERE "{c}" IS NULL) * 100.0 / count(*)')} AS missing_pct FROM readings"""
+        for c in READING_NAMES)
+    q["profile_variables"] = f"""WITH {READINGS}
+SELECT variable_name AS variable, count(v) AS n, {_r('avg(v)')} AS mean, {_r('stddev_samp(v)')} AS std,
+  {_r('min(v)')} AS min, {_r('max(v)')} AS max
+FROM (SELECT variable_name, {num} AS v FROM readings) WHERE v IS NOT NULL GROUP BY variable_name"""
+    q["top_values"] = f"""WITH {READINGS},
+c AS (SELECT value, count(*) AS count FROM readings WHERE value IS NOT NULL GROUP BY value
+      ORDER BY count DESC, value LIMIT 10)
+SELECT value, count, {_r('count * 100.0 / (SELECT count(*) FROM readings)')} AS pct,
+  row_number() OVER (ORDER BY count DESC, value) AS rank FROM c"""
+    q["value_type_profile"] = f"""WITH {READINGS},
+base AS (SELECT variable_name AS variable, value, {num} IS NULL AS nn FROM readings),
+c AS (SELECT variable, count(*) FILTER (WHERE nn) AS non_numeric, count(*) AS total FROM base GROUP BY variable),
+d AS (SELECT DISTINCT variable, value FROM base WHERE nn),
+r AS (SELECT variable, coalesce(value, '<null>') AS v,
+             row_number() OVER (PARTITION BY variable ORDER BY value NULLS FIRST) AS rn FROM d),
+s AS (SELECT variable, string_agg(v, ', ' ORDER BY v) AS samples FROM r WHERE rn <= 3 GROUP BY variable)
+SELECT c.variable, c.total, c.non_numeric, s.samples FROM c LEFT JOIN s ON c.variable = s.variable
+WHERE c.non_numeric > 0"""
+    q["machine_comparison"] = f"""WITH {READINGS}
+SELECT machine_def AS machine, count(*) AS rows, count(DISTINCT variable_name) AS variables,
+  CAST(min("timestamp") AS DATE) AS first_date, CAST(max("timestamp") AS DATE) AS last_date,
+  CAST(floor({_span('min("timestamp")', 'max("timestamp")')} / 86400) AS BIGINT) AS days,
+  {_r(f'count({num}) * 100.0 / count(*)')} AS numeric_pct
+FROM readings GROUP BY machine_def"""
+    parts = []
+    for c, t in PROD_TYPES:
+        if c in PROD_NUMERIC:
+            x = f"CAST({c} AS DOUBLE)"
+            parts.append(f"""SELECT '{c}' AS "column", '{t}' AS dtype, {_r(f'avg({x})')} AS mean,
+  {_r(f'stddev_samp({x})')} AS std, {_r(f'min({x})')} AS min, {_r(f'max({x})')} AS max,
+  CAST(NULL AS BIGINT) AS unique_count, CAST(NULL AS VARCHAR) AS top_values FROM production""")
+        else:
+            parts.append(f"""SELECT '{c}', '{t}', NULL, NULL, NULL, NULL,
+  (SELECT count(DISTINCT {c}) FROM production),
+  (SELECT string_agg(v || ':' || CAST(n AS VARCHAR), '|' ORDER BY n DESC, v)
+   FROM (SELECT CAST({c} AS VARCHAR) AS v, count(*) AS n FROM production WHERE {c} IS NOT NULL
+         GROUP BY 1 ORDER BY n DESC, v LIMIT 5))""")
+    q["column_stats"] = f"WITH {PRODUCTION} " + " UNION ALL ".join(parts)
+    q["cumulative_verdict"] = f"WITH {PRODUCTION} " + " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", {_r(f'avg({c})')} AS average, {_r(f'CAST(max({c}) AS DOUBLE)')} AS maximum,
+  CASE WHEN avg({c}) > 10000 THEN 'cumulative' ELSE 'daily' END AS verdict FROM production"""
+        for c in ("actual_scrap_qty", "order_id"))
+    feats = _feature_names()
+    nulls = " + ".join(f'count(*) FILTER (WHERE "{f}" IS NULL)' for f in feats)
+    anyf = "coalesce(" + ", ".join(f'CAST("{f}" AS VARCHAR)' for f in feats) + ") IS NOT NULL"
+    q["dataset_summary"] = f"""WITH {PRODUCTION}, {_features_cte()}, {PROD_STD}, {MAPPING}, {JOIN_SIDES},
+ml AS (SELECT * FROM pj LEFT JOIN fj USING (machine_key, date_key))
+SELECT {9 + 2 + len(feats)} AS total_columns, {len(feats)} AS feature_columns,
+  count(*) AS total_rows, count(actual_scrap_qty) AS target_count, {_r('avg(actual_scrap_qty)')} AS target_mean,
+  {_r('stddev_samp(actual_scrap_qty)')} AS target_std, {_r('CAST(min(actual_scrap_qty) AS DOUBLE)')} AS target_min,
+  {_r('CAST(max(actual_scrap_qty) AS DOUBLE)')} AS target_max,
+  count(*) FILTER (WHERE actual_scrap_qty = 0) AS target_zeros,
+  count(*) FILTER (WHERE actual_scrap_qty > 0) AS target_non_zeros,
+  {_r(f'({nulls}) * 100.0 / (count(*) * {len(feats)})')} AS feature_missing_pct,
+  count(*) FILTER (WHERE {anyf}) AS rows_with_features,
+  count(*) FILTER (WHERE NOT ({anyf})) AS rows_without_features,
+  count(DISTINCT machine_id) AS unique_machines, count(DISTINCT date_key) AS unique_dates
+FROM ml"""
+    fcols = ["machine_def", "agg_date"] + feats
+    kinds = ("mean", "max", "std", "count", "mode", "delta")
+
+    def kind(c):
+        for k in kinds:
+            if c.endswith(f"_{k}"):
+                return f"'{k}'"
+        return "CAST(NULL AS VARCHAR)"
+    counts = ", ".join(f"{len([c for c in fcols if c.endswith('_' + k)])} AS {k}_features" for k in kinds)
+    q["feature_summary"] = f"""WITH {_features_cte()},
+n AS (SELECT count(*) AS n FROM feats),
+m AS ({" UNION ALL ".join(f"SELECT '{c}' AS col, {kind(c)} AS kind, count(*) FILTER (WHERE \"{c}\" IS NULL) AS k FROM feats" for c in fcols)})
+SELECT m.col AS "column", m.kind, CASE WHEN n.n > 0 THEN ((m.k * 20000 + n.n) // (n.n * 2)) / 100 END AS missing_pct,
+  n.n AS rows, {len(fcols)} AS columns, {counts}
+FROM m, n"""
+    rk = ("mean", "max", "std", "count", "delta", "first", "last")
+    rcols = [c for c in fcols if c != "Machine_status_mode" and any(c.endswith(f"_{k}") for k in rk)]
+    q["feature_ranges"] = f"WITH {_features_cte()} " + " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", '{c.rsplit('_', 1)[1]}' AS kind, {_r(f'CAST(min("{c}") AS DOUBLE)')} AS min,
+  {_r(f'CAST(max("{c}") AS DOUBLE)')} AS max FROM feats""" for c in rcols)
+    return q
