@@ -165,8 +165,10 @@ def risk_status(c, threshold: float) -> Column:
     return F.when(_col(c) > F.lit(threshold), F.lit("HIGH RISK")).otherwise(F.lit("NORMAL"))
 
 
-def clean_column_name(name: str) -> str:
-    """Column name: trimmed, lower case, inner blanks as underscores."""
+def clean_column_name(name: str, lower: bool = True) -> str:
+    """Column name trimmed; with ``lower`` also lower case with inner blanks
+    as underscores."""
     import re
 
-    return re.sub(r"\s+", "_", name.strip()).lower()
+    name = name.strip()
+    return re.sub(r"\s+", "_", name).lower() if lower else name

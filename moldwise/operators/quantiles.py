@@ -6,9 +6,13 @@ column.  Here each wanted order statistic is found by narrowing a value
 range: a bounded grid of approximate quantiles splits the current range,
 one aggregate pass counts the rows below / at every grid point, and the
 range holding the wanted rank becomes the next range.  Once a range holds at
-most ``local_limit`` rows they are fetched (a bounded, sorted list).  Ties
-are answered directly when the rank falls on a grid value, so a value that
-fills a third of the column does not stall the search.
+most ``local_limit`` rows they are fetched (a bounded list).  Ties are
+answered directly when the rank falls on a grid value, so a value that fills
+a third of the column does not stall the search.
+
+Several columns are searched together: the values are unpivoted to
+``(column id, value)`` rows and every round serves all pending ranks of all
+columns with the same two jobs.
 """
 
 from __future__ import annotations
@@ -21,56 +25,61 @@ from pyspark.sql import functions as F
 
 GRID = 64
 LOCAL_LIMIT = 20_000
-MAX_ROUNDS = 12
+MAX_ROUNDS = 16
 
 
-def _range_filter(v, lo, hi):
-    cond = v.isNotNull()
+def _range_filter(cid: int, lo, hi):
+    cond = F.col("c") == F.lit(cid)
     if lo is not None:
-        cond = cond & (v > F.lit(lo))
+        cond = cond & (F.col("v") > F.lit(lo))
     if hi is not None:
-        cond = cond & (v < F.lit(hi))
+        cond = cond & (F.col("v") < F.lit(hi))
     return cond
 
 
 def _fetch(values: DataFrame, states: dict) -> dict:
     """Answer ranks whose ranges are small: one job fetches those ranges
     (each holds at most ``local_limit`` rows) and ranks are picked locally."""
-    v = F.col("v")
+    ranges = {(cid, lo, hi) for (cid, _k), (lo, hi, _r, _m) in states.items()}
     cond = None
-    for (lo, hi, _r, _m) in states.values():
-        c = _range_filter(v, lo, hi)
+    for cid, lo, hi in ranges:
+        c = _range_filter(cid, lo, hi)
         cond = c if cond is None else cond | c
-    vals = sorted(r[0] for r in values.where(cond).collect())
+    rows = values.where(cond).collect()
+    by_range = {}
+    for cid, lo, hi in ranges:
+        by_range[(cid, lo, hi)] = sorted(r["v"] for r in rows if r["c"] == cid and (lo is None or r["v"] > lo)
+                                         and (hi is None or r["v"] < hi))
     out = {}
-    for k, (lo, hi, r, _m) in states.items():
-        inside = [x for x in vals if (lo is None or x > lo) and (hi is None or x < hi)]
-        out[k] = inside[r] if r < len(inside) else None
+    for (cid, k), (lo, hi, r, _m) in states.items():
+        inside = by_range[(cid, lo, hi)]
+        out[(cid, k)] = inside[r] if r < len(inside) else None
     return out
 
 
-def _select_ranks(values: DataFrame, ranks, n: int, local_limit: int, grid: int) -> dict:
-    """Values at the 0-based ``ranks`` of the non-null column ``v``.
+def _select_ranks(values: DataFrame, wanted: dict, local_limit: int, grid: int) -> dict:
+    """Values at 0-based ranks: ``wanted`` maps ``(column id, rank)`` to the
+    column's value count; ``values`` has columns ``c`` (id) and ``v``.
 
     Each round costs two jobs for all pending ranks together: approximate
     grids per distinct range, then one small histogram (range, grid bucket,
     equal-to-grid flag) -> counts, at most ranges x grid x 2 rows.
     """
     v = F.col("v")
-    # rank -> (exclusive lower bound, exclusive upper bound, rank inside, rows inside)
-    pending = {k: (None, None, k, n) for k in set(ranks)}
+    # (cid, rank) -> (exclusive lower bound, exclusive upper bound, rank inside, rows inside)
+    pending = {key: (None, None, key[1], n) for key, n in wanted.items()}
     done = {}
     probs = [i / grid for i in range(1, grid)]
     for _ in range(MAX_ROUNDS):
-        small = {k: st for k, st in pending.items() if st[3] <= local_limit}
+        small = {key: st for key, st in pending.items() if st[3] <= local_limit}
         if small:
             done.update(_fetch(values, small))
-            for k in small:
-                pending.pop(k)
+            for key in small:
+                pending.pop(key)
         if not pending:
             return done
-        ranges = sorted({st[:2] for st in pending.values()}, key=str)
-        conds = [_range_filter(v, lo, hi) for lo, hi in ranges]
+        ranges = sorted({(key[0],) + st[:2] for key, st in pending.items()}, key=str)
+        conds = [_range_filter(*r) for r in ranges]
         g = values.agg(*[F.percentile_approx(F.when(c, v), probs, 4 * grid).alias(f"g{i}")
                          for i, c in enumerate(conds)]).first()
         pts = [sorted(set(x for x in (g[f"g{i}"] or []) if x is not None)) for i in range(len(ranges))]
@@ -82,12 +91,10 @@ def _select_ranks(values: DataFrame, ranks, n: int, local_limit: int, grid: int)
                                            F.array_contains(arr, v).alias("eq"))))
         hist = values.select(F.explode(F.filter(F.array(*tags), lambda t: t.isNotNull())).alias("t")) \
                      .groupBy("t.rid", "t.b", "t.eq").count().collect()
-        counts = {}
-        for row in hist:
-            counts[(row["rid"], row["b"], row["eq"])] = row["count"]
-        for k in sorted(pending):
-            lo, hi, r, m = pending[k]
-            i = ranges.index((lo, hi))
+        counts = {(row["rid"], row["b"], row["eq"]): row["count"] for row in hist}
+        for key in sorted(pending):
+            lo, hi, r, m = pending[key]
+            i = ranges.index((key[0], lo, hi))
             cum, prev_le, new_lo, new_hi, new_m, answered = 0, 0, lo, hi, None, False
             for j, p in enumerate(pts[i]):
                 at_j = counts.get((i, j, False), 0) + counts.get((i, j, True), 0)
@@ -95,7 +102,7 @@ def _select_ranks(values: DataFrame, ranks, n: int, local_limit: int, grid: int)
                 le = cum
                 lt = le - counts.get((i, j, True), 0)
                 if lt <= r < le:
-                    done[k] = p
+                    done[key] = p
                     answered = True
                     break
                 if r < lt:
@@ -103,18 +110,57 @@ def _select_ranks(values: DataFrame, ranks, n: int, local_limit: int, grid: int)
                     break
                 prev_le, new_lo = le, p
             if answered:
-                pending.pop(k)
+                pending.pop(key)
                 continue
             if new_m is None:
                 new_m = m - prev_le
-            if new_m >= m:  # the grid could not split this range: bounded fetch
-                new_m = min(new_m, local_limit)
-            pending[k] = (new_lo, new_hi, r - prev_le, new_m)
-    if pending:
+            pending[key] = (new_lo, new_hi, r - prev_le, new_m)
+    if pending:  # ranges the grid could not narrow further (few distinct values left)
         done.update(_fetch(values, pending))
     return done
 
 
+def exact_quantiles_multi(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                          local_limit: int = LOCAL_LIMIT, grid: int = GRID) -> dict:
+    """``{column: [quantile for each prob]}`` over the non-null, non-NaN
+    values of each column (``None`` for an empty column); one counting pass
+    and then shared narrowing rounds for all columns."""
+    cols = list(cols)
+    if not cols:
+        return {}
+    x = {c: F.col(f"`{c}`").cast("double") for c in cols}
+    ok = {c: x[c].isNotNull() & ~F.isnan(x[c]) for c in cols}
+    counts = df.agg(*[F.count_if(ok[c]).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    ns = {i: counts[f"n{i}"] for i in range(len(cols))}
+    values = df.select(F.explode(F.array(*[
+        F.when(ok[c], F.struct(F.lit(i).alias("c"), x[c].alias("v"))) for i, c in enumerate(cols)])).alias("p")) \
+        .where(F.col("p").isNotNull()).select("p.c", "p.v")
+    wanted = {}
+    for i in range(len(cols)):
+        n = ns[i]
+        if n == 0:
+            continue
+        for p in probs:
+            h = (n - 1) * p
+            wanted[(i, math.floor(h))] = n
+            wanted[(i, math.ceil(h))] = n
+    at = _select_ranks(values, wanted, local_limit, grid) if wanted else {}
+    out = {}
+    for i, c in enumerate(cols):
+        n = ns[i]
+        if n == 0:
+            out[c] = [None for _ in probs]
+            continue
+        res = []
+        for p in probs:
+            h = (n - 1) * p
+            lo_i, hi_i = math.floor(h), math.ceil(h)
+            a, b = at[(i, lo_i)], at[(i, hi_i)]
+            res.append(a + (h - lo_i) * (b - a))
+        out[c] = res
+    return out
+
+
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], local_limit: int = LOCAL_LIMIT,
                     grid: int = GRID) -> list:
     """Linear-interpolation quantiles of the non-null, non-NaN values of ``col``.
@@ -122,22 +168,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], local_limit
     Same definition as pandas ``quantile`` and SQL ``quantile_cont``; returns
     ``None`` for every probability when the column is empty.
     """
-    values = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    n = values.count()
-    if n == 0:
-        return [None for _ in probs]
-    wanted = []
-    for p in probs:
-        h = (n - 1) * p
-        wanted += [math.floor(h), math.ceil(h)]
-    at = _select_ranks(values, wanted, n, local_limit, grid)
-    out = []
-    for p in probs:
-        h = (n - 1) * p
-        lo_i, hi_i = math.floor(h), math.ceil(h)
-        a, b = at[lo_i], at[hi_i]
-        out.append(a + (h - lo_i) * (b - a))
-    return out
+    return exact_quantiles_multi(df, [col], probs, local_limit, grid)[col]
 
 
 def exact_median(df: DataFrame, col: str, **kw):

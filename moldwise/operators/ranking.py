@@ -4,7 +4,8 @@
 partition.  Here values are range-partitioned, numbered inside each
 partition, and shifted by the row counts of the preceding partitions (a
 table with one row per partition, so its size is bounded by the partition
-count, not by the data).
+count, not by the data).  The range-partitioned rows are checkpointed once so
+numbering and counting see the same partition bounds.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from moldwise.session import reliable_checkpoint
+
 
 def global_row_number(df: DataFrame, order: Sequence[str], out: str = "row_idx",
                       num_partitions: int | None = None) -> DataFrame:
@@ -22,7 +25,11 @@ def global_row_number(df: DataFrame, order: Sequence[str], out: str = "row_idx",
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = [F.col(c) for c in order]
-    ranged = df.repartitionByRange(n, *cols).withColumn("_pid", F.spark_partition_id())
+    # The range partitioner samples its bounds with a seed tied to the RDD, so
+    # two evaluations of the same repartitionByRange may cut differently.  The
+    # partitioned rows are materialised once (reliable checkpoint on shared
+    # storage) and both the numbering and the counting read that copy.
+    ranged = reliable_checkpoint(df.repartitionByRange(n, *cols).withColumn("_pid", F.spark_partition_id()))
     local = ranged.withColumn("_rn", F.row_number().over(Window.partitionBy("_pid").orderBy(*cols)) - 1)
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # one row per partition: a bounded table, safe to order globally and broadcast

@@ -338,3 +338,101 @@ QUERIES.update({
     "feature_summary": q_feature_summary,
     "feature_ranges": q_feature_ranges,
 })
+
+
+# ------------------------------------------- selection, splits and metrics --
+from moldwise.operators import metrics as mt  # noqa: E402
+from moldwise.operators import selection as se  # noqa: E402
+from moldwise.operators import splits as sp  # noqa: E402
+
+
+def _ml_dataset(spark, sf):
+    return jn.join_production_features(fx.production(spark, sf), _features(spark, sf), keep_unmatched=True)
+
+
+def q_label_high_risk(spark, sf):
+    p = fx.production(spark, sf)
+    return se.label_high_risk(p, "actual_scrap_qty", 0.75).select("order_id", "actual_scrap_qty", "high_scrap_risk")
+
+
+def q_coerce_numeric_frame(spark, sf):
+    ml = se.label_high_risk(_ml_dataset(spark, sf), "actual_scrap_qty", 0.75, "target")
+    return round_doubles(se.final_model_frame(ml, "target"))
+
+
+def q_fill_median(spark, sf):
+    ml = _ml_dataset(spark, sf)
+    feats = se.baseline_features(ml)
+    return round_doubles(se.fill_median(ml.select(*feats), feats))
+
+
+def q_group_split(spark, sf):
+    ml = _ml_dataset(spark, sf)
+    return sp.group_split(ml, ["machine_id", "date_key"]).select("order_id", "machine_id", "date_key", "split")
+
+
+def q_row_split(spark, sf):
+    return sp.row_split(fx.production(spark, sf), ["order_id"]).select("order_id", "split")
+
+
+def q_stratified_folds(spark, sf):
+    p = se.label_high_risk(fx.production(spark, sf), "actual_scrap_qty", 0.75)
+    return sp.stratified_folds(p, "high_scrap_risk", ["order_id"], 5).select("order_id", "high_scrap_risk", "fold")
+
+
+def _ml_split(spark, sf):
+    return sp.group_split(_ml_dataset(spark, sf), ["machine_id", "date_key"])
+
+
+def q_split_report(spark, sf):
+    return round_doubles(sp.split_report(_ml_split(spark, sf), "actual_scrap_qty", ["machine_id", "date_key"]))
+
+
+def q_matrix_summary(spark, sf):
+    ml = _ml_dataset(spark, sf)
+    return round_doubles(sp.matrix_summary(ml, se.baseline_features(ml), "actual_scrap_qty"))
+
+
+def q_naive_baseline(spark, sf):
+    s = _ml_split(spark, sf)
+    return round_doubles(mt.naive_baseline(s.where("split = 'train'"), s.where("split = 'test'"), "actual_scrap_qty"))
+
+
+def _persistence(spark, sf):
+    """Test rows of the forecast table with the previous day as the forecast."""
+    return wn.time_split(_forecast_table(spark, sf)).where("split = 'test'")
+
+
+def q_regression_metrics(spark, sf):
+    return round_doubles(mt.regression_metrics(_persistence(spark, sf), "scrap_quantity", "scrap_lag_1"))
+
+
+def _persistence_classes(spark, sf):
+    t = _persistence(spark, sf)
+    cut = se.high_risk_threshold(t, "scrap_quantity", 0.75)
+    return t.select((F.col("scrap_quantity") > cut).cast("int").alias("actual_high"),
+                    (F.col("scrap_lag_1") > cut).cast("int").alias("predicted_high"))
+
+
+def q_confusion_matrix(spark, sf):
+    return mt.confusion_matrix(_persistence_classes(spark, sf), "actual_high", "predicted_high")
+
+
+def q_classification_metrics(spark, sf):
+    return round_doubles(mt.classification_metrics(_persistence_classes(spark, sf), "actual_high", "predicted_high"))
+
+
+QUERIES.update({
+    "label_high_risk": q_label_high_risk,
+    "coerce_numeric_frame": q_coerce_numeric_frame,
+    "fill_median": q_fill_median,
+    "group_split": q_group_split,
+    "row_split": q_row_split,
+    "stratified_folds": q_stratified_folds,
+    "split_report": q_split_report,
+    "matrix_summary": q_matrix_summary,
+    "naive_baseline": q_naive_baseline,
+    "regression_metrics": q_regression_metrics,
+    "confusion_matrix": q_confusion_matrix,
+    "classification_metrics": q_classification_metrics,
+})

@@ -387,6 +387,7 @@ def queries_sql() -> dict[str, str]:
         **_window_queries(),
         **_quality_queries(),
         **_summary_queries(),
+        **_selection_queries(),
     }
 
 
@@ -734,3 +735,118 @@ FROM m, n"""
         f"""SELECT '{c}' AS "column", '{c.rsplit('_', 1)[1]}' AS kind, {_r(f'CAST(min("{c}") AS DOUBLE)')} AS min,
   {_r(f'CAST(max("{c}") AS DOUBLE)')} AS max FROM feats""" for c in rcols)
     return q
+
+
+# ------------------------------------------- selection, splits and metrics --
+ML = f"""{PRODUCTION}, {_features_cte()}, {PROD_STD}, {MAPPING}, {JOIN_SIDES},
+ml AS (SELECT * FROM pj LEFT JOIN fj USING (machine_key, date_key))"""
+
+ML_FEATURES = sorted(["order_id", "shift"] + [f for f in _feature_names() if not f.endswith("_mode")])
+ML_GAPS = [f for f in ML_FEATURES if f not in ("order_id", "shift")]
+
+
+def _gkey(*cols: str) -> str:
+    parts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), 'nan')" for c in cols)
+    return f"md5(concat_ws('_', {parts}) || '#42')"
+
+
+RISK = """thr AS (SELECT quantile_cont(actual_scrap_qty, 0.75) AS t FROM production),
+lab AS (SELECT p.*, coalesce(CAST(p.actual_scrap_qty > thr.t AS INTEGER), 0) AS high_scrap_risk
+        FROM production p, thr)"""
+
+
+def _split_cte(src: str, key: str, name: str) -> str:
+    return f"""{name}_g AS (SELECT DISTINCT {key} AS h FROM {src}),
+{name}_c AS (SELECT h FROM (SELECT h, row_number() OVER (ORDER BY h) AS i FROM {name}_g)
+             WHERE i = (SELECT CAST(ceil(0.2 * count(*)) AS BIGINT) FROM {name}_g)),
+{name} AS (SELECT *, CASE WHEN {key} <= (SELECT h FROM {name}_c) THEN 'test' ELSE 'train' END AS split FROM {src})"""
+
+
+PERSIST = f"""{LAGGED},
+d AS (SELECT DISTINCT date FROM ff WHERE date IS NOT NULL),
+n AS (SELECT count(*) AS n, greatest(CAST(floor(count(*) * 0.8) AS BIGINT), 1) AS k FROM d),
+cut AS (SELECT date AS cut FROM (SELECT date, row_number() OVER (ORDER BY date) - 1 AS i FROM d), n WHERE i = n.k),
+ts AS (SELECT ff.* FROM ff, n, cut WHERE n.k < n.n AND ff.date >= cut.cut),
+pt AS (SELECT quantile_cont(scrap_quantity, 0.75) AS t FROM ts),
+pc AS (SELECT CAST(scrap_quantity > pt.t AS INTEGER) AS actual_high, CAST(scrap_lag_1 > pt.t AS INTEGER) AS predicted_high
+       FROM ts, pt),
+cls AS (SELECT DISTINCT c FROM (SELECT actual_high AS c FROM pc UNION ALL SELECT predicted_high FROM pc)
+        WHERE c IS NOT NULL),
+cm AS (SELECT a.c AS actual, b.c AS predicted,
+              (SELECT count(*) FROM pc WHERE actual_high = a.c AND predicted_high = b.c) AS count
+       FROM cls a, cls b)"""
+
+
+def _selection_queries() -> dict[str, str]:
+    q = {}
+    q["label_high_risk"] = f"WITH {PRODUCTION}, {RISK} SELECT order_id, actual_scrap_qty, high_scrap_risk FROM lab"
+    # final risk frame: forbidden/actual/shift columns dropped; text columns
+    # of this dataset hold no numbers and vanish; datetimes -> epoch ns
+    keep_num = ["order_id"] + [f for f in _feature_names() if not f.endswith("_mode")]
+    sel = ", ".join([f'CAST("{c}" AS DOUBLE) AS "{c}"' for c in keep_num])
+    fills = ", ".join(f'coalesce("{c}", 0) AS "{c}"' for c in keep_num)
+    q["coerce_numeric_frame"] = rounded(f"""WITH {ML}, thr AS (SELECT quantile_cont(actual_scrap_qty, 0.75) AS t FROM ml),
+c AS (SELECT coalesce(CAST(ml.actual_scrap_qty > thr.t AS INTEGER), 0) AS target, {sel} FROM ml, thr)
+SELECT target, {fills} FROM c""", keep_num)
+    parts = []
+    for c in ML_FEATURES:
+        if c in ML_GAPS:
+            parts.append(f'coalesce(CAST("{c}" AS DOUBLE), (SELECT quantile_cont("{c}", 0.5) FROM ml)) AS "{c}"')
+        else:
+            parts.append(f'"{c}"')
+    q["fill_median"] = rounded(f"WITH {ML} SELECT {', '.join(parts)} FROM ml", ML_GAPS)
+    q["group_split"] = f"""WITH {ML}, {_split_cte('ml', _gkey('machine_id', 'date_key'), 's')}
+SELECT order_id, machine_id, date_key, split FROM s"""
+    q["row_split"] = f"""WITH {PRODUCTION}, {_split_cte('production', _gkey('order_id'), 's')}
+SELECT order_id, split FROM s"""
+    q["stratified_folds"] = f"""WITH {PRODUCTION}, {RISK}
+SELECT order_id, high_scrap_risk,
+  CAST((row_number() OVER (PARTITION BY high_scrap_risk ORDER BY {_gkey('order_id')}) - 1) % 5 AS INTEGER) AS fold
+FROM lab"""
+    g = "concat_ws('_', coalesce(CAST(machine_id AS VARCHAR), 'nan'), coalesce(CAST(date_key AS VARCHAR), 'nan'))"
+    q["split_report"] = f"""WITH {ML}, {_split_cte('ml', _gkey('machine_id', 'date_key'), 's')},
+b AS (SELECT split AS side, {g} AS g, actual_scrap_qty AS y FROM s)
+SELECT side, count(*) AS rows, {_r('count(*) / (SELECT count(*) FROM b)')} AS share, count(DISTINCT g) AS groups,
+  {_r('count(*) / count(DISTINCT g)')} AS rows_per_group, {_r('avg(y)')} AS target_mean,
+  {_r('stddev_pop(y)')} AS target_std,
+  (SELECT count(*) FROM (SELECT g FROM b GROUP BY g HAVING count(DISTINCT side) > 1)) AS group_overlap
+FROM b GROUP BY side"""
+    nulls = " + ".join(f'count(*) FILTER (WHERE "{f}" IS NULL)' for f in ML_FEATURES)
+    q["matrix_summary"] = f"""WITH {ML}
+SELECT count(*) AS rows, {len(ML_FEATURES)} AS features,
+  {_r(f'({nulls}) * 100.0 / (count(*) * {len(ML_FEATURES)})')} AS missing_pct,
+  {_r('avg(actual_scrap_qty)')} AS target_mean, {_r('stddev_pop(actual_scrap_qty)')} AS target_std,
+  {_r('CAST(min(actual_scrap_qty) AS DOUBLE)')} AS target_min, {_r('CAST(max(actual_scrap_qty) AS DOUBLE)')} AS target_max
+FROM ml"""
+    q["naive_baseline"] = f"""WITH {ML}, {_split_cte('ml', _gkey('machine_id', 'date_key'), 's')},
+m AS (SELECT avg(actual_scrap_qty) AS m FROM s WHERE split = 'train')
+SELECT {_r('m.m')} AS mean_prediction, {_r('avg(abs(actual_scrap_qty - m.m))')} AS mae,
+  {_r('sqrt(avg((actual_scrap_qty - m.m) * (actual_scrap_qty - m.m)))')} AS rmse
+FROM s, m WHERE split = 'test' GROUP BY m.m"""
+    q["regression_metrics"] = f"""WITH {PERSIST},
+e AS (SELECT scrap_quantity AS y, scrap_lag_1 - scrap_quantity AS e FROM ts
+      WHERE scrap_quantity IS NOT NULL AND scrap_lag_1 IS NOT NULL)
+SELECT count(*) AS n, {_r('avg(abs(e))')} AS mae, {_r('sqrt(avg(e * e))')} AS rmse,
+  {_r('avg(abs(e)) / avg(y) * 100')} AS mae_pct_of_mean, {_r('avg(y)')} AS y_mean, {_r('stddev_pop(y)')} AS y_std,
+  {_r('CAST(max(y) - min(y) AS DOUBLE)')} AS y_range
+FROM e"""
+    q["confusion_matrix"] = f"WITH {PERSIST} SELECT actual, predicted, count FROM cm"
+    q["classification_metrics"] = f"""WITH {PERSIST},
+per AS (SELECT actual AS cls, sum(count) AS support, sum(count) FILTER (WHERE actual = predicted) AS tp
+        FROM cm GROUP BY actual),
+pn AS (SELECT predicted AS cls, sum(count) AS pn FROM cm GROUP BY predicted),
+m AS (SELECT CAST(per.cls AS VARCHAR) AS class,
+             coalesce(CASE WHEN pn.pn <> 0 THEN tp / pn.pn END, 0) AS precision,
+             coalesce(CASE WHEN support <> 0 THEN tp / support END, 0) AS recall,
+             CAST(support AS BIGINT) AS support, tp
+      FROM per JOIN pn USING (cls)),
+m2 AS (SELECT *, coalesce(CASE WHEN precision + recall <> 0 THEN 2 * precision * recall / (precision + recall) END, 0)
+                   AS f1 FROM m)
+SELECT class, {_r('precision')} AS precision, {_r('recall')} AS recall, {_r('f1')} AS f1, support FROM m2
+UNION ALL SELECT 'accuracy', NULL, NULL, {_r('sum(tp) / sum(support)')}, CAST(sum(support) AS BIGINT) FROM m2
+UNION ALL SELECT 'macro avg', {_r('avg(precision)')}, {_r('avg(recall)')}, {_r('avg(f1)')}, CAST(sum(support) AS BIGINT)
+  FROM m2
+UNION ALL SELECT 'weighted avg', {_r('sum(precision * support) / sum(support)')},
+  {_r('sum(recall * support) / sum(support)')}, {_r('sum(f1 * support) / sum(support)')}, CAST(sum(support) AS BIGINT)
+  FROM m2"""
+    return q
