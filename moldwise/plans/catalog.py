@@ -436,3 +436,32 @@ QUERIES.update({
     "confusion_matrix": q_confusion_matrix,
     "classification_metrics": q_classification_metrics,
 })
+
+
+# ------------------------------------------------------- sources and sinks --
+import uuid  # noqa: E402
+
+from moldwise.sources import readers as rd  # noqa: E402
+
+
+def q_file_roundtrip(spark, sf):
+    """Readings written as CSV files, read back through the glob reader,
+    aggregated, written as Parquet partitioned by day and read back."""
+    base = rd.scratch_path(spark, f"roundtrip-{uuid.uuid4().hex}")
+    rd.write_dataset(fx.readings(spark, sf), f"{base}/raw", fmt="csv")
+    raw = rd.read_readings(spark, f"{base}/raw", glob="*.csv")
+    feats = feat.daily_features(raw, variables=FIXTURE_VARIABLES)
+    rd.write_dataset(feats, f"{base}/features", partition_by=["agg_date"])
+    back = spark.read.parquet(f"{base}/features")
+    return round_doubles(back.withColumn("agg_date", F.col("agg_date").cast("string")))
+
+
+def q_machine_filter(spark, sf):
+    """Production rows of one machine (ids compared without '-' and spaces)."""
+    return rd.filter_machine(fx.production(spark, sf), "M 105", "machine_nr")
+
+
+QUERIES.update({
+    "file_roundtrip": q_file_roundtrip,
+    "machine_filter": q_machine_filter,
+})

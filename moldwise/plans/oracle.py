@@ -388,6 +388,7 @@ def queries_sql() -> dict[str, str]:
         **_quality_queries(),
         **_summary_queries(),
         **_selection_queries(),
+        **_source_queries(),
     }
 
 
@@ -850,3 +851,10 @@ UNION ALL SELECT 'weighted avg', {_r('sum(precision * support) / sum(support)')}
   {_r('sum(recall * support) / sum(support)')}, {_r('sum(f1 * support) / sum(support)')}, CAST(sum(support) AS BIGINT)
   FROM m2"""
     return q
+
+
+def _source_queries() -> dict[str, str]:
+    return {
+        "file_roundtrip": _daily_features_sql(),
+        "machine_filter": f"WITH {PRODUCTION} SELECT * FROM production WHERE replace(replace(machine_nr, '-', ''), ' ', '') = 'M105'",
+    }
