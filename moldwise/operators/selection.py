@@ -47,7 +47,7 @@ FINAL_FORBIDDEN = ["target", "actual_scrap_qty", "actual_qty", "machine_id", "da
 FINAL_FORBIDDEN_SUBSTRINGS = ["actual", "shift"]
 
 # Columns ignored by the sensor model (besides the target).
-SENSOR_IGNORE = ["date", "machine_id", "scrap_quantity", "tool_id", "part_number"]
+SENSOR_IGNORE = ["date", "machine_id", "tool_id", "part_number", "scrap_quantity", "machine_definition"]
 
 
 def _q(name: str) -> Column:

@@ -465,3 +465,92 @@ QUERIES.update({
     "file_roundtrip": q_file_roundtrip,
     "machine_filter": q_machine_filter,
 })
+
+
+# ------------------------------------------------------------------ models --
+# Trained-model queries have no SQL form: the driver checks rows only, and
+# tests check invariants (disjoint splits, model vs. naive baseline).
+from moldwise.operators import models as md  # noqa: E402
+
+
+def _baseline_matrix(spark, sf):
+    """ML dataset -> sorted numeric features (median-filled) + group split."""
+    ml = _ml_dataset(spark, sf)
+    feats = se.baseline_features(ml)
+    filled = se.fill_median(ml.select("machine_id", "date_key", "actual_scrap_qty", *feats), feats)
+    return sp.group_split(filled, ["machine_id", "date_key"]), feats
+
+
+def _rf_regressor(spark, sf):
+    s, feats = _baseline_matrix(spark, sf)
+    train, test = s.where("split = 'train'"), s.where("split = 'test'")
+    return md.train_rf_regressor(train, feats, "actual_scrap_qty"), feats, train, test
+
+
+def q_rf_regressor(spark, sf):
+    model, feats, train, test = _rf_regressor(spark, sf)
+    return md.regression_report(model, train, test, "actual_scrap_qty")
+
+
+def q_feature_importance(spark, sf):
+    model, feats, _train, _test = _rf_regressor(spark, sf)
+    return md.feature_importance(model, feats, 15)
+
+
+def _risk_dataset(spark, sf):
+    return se.label_high_risk(_ml_dataset(spark, sf), "actual_scrap_qty", 0.75, "high_scrap_risk")
+
+
+def q_risk_classifier(spark, sf):
+    df = _risk_dataset(spark, sf)
+    feats = se.risk_features(df)
+    data = df.select("date", "high_scrap_risk", *feats).na.fill(0.0, subset=feats)
+    s = sp.group_split(data, ["date"])
+    model = md.train_rf_classifier(s.where("split = 'train'"), feats, "high_scrap_risk", num_trees=200)
+    return md.risk_classifier_report(model, s.where("split = 'test'"), "high_scrap_risk")
+
+
+def _final_frame(spark, sf):
+    ml = se.label_high_risk(_ml_dataset(spark, sf), "actual_scrap_qty", 0.75, "target")
+    frame = se.final_model_frame(ml, "target")
+    return frame, [c for c in frame.columns if c != "target"]
+
+
+def q_cross_validate(spark, sf):
+    frame, feats = _final_frame(spark, sf)
+    return md.cross_validate(frame, feats, "target", ["order_id"], 5)
+
+
+def q_compare_models(spark, sf):
+    frame, feats = _final_frame(spark, sf)
+    return md.compare_models(frame, feats, "target", ["order_id"], 5)
+
+
+def q_forecaster(spark, sf):
+    s = wn.time_split(wn.lag_features(_daily(spark, sf)))
+    model = md.train_forecaster(s.where("split = 'train'"))
+    test = model.encode(s.where("split = 'test'"), unseen=0)
+    return md.regression_metrics(model.model.transform(test), "scrap_quantity", "prediction")
+
+
+def q_forecast_next_day(spark, sf):
+    daily = _daily(spark, sf)
+    model = md.train_forecaster(wn.lag_features(daily))
+    return md.forecast_next_day(model, daily, threshold=100.0)
+
+
+def q_sensor_model(spark, sf):
+    _model, metrics = md.train_sensor_model(_training_set(spark, sf))
+    return metrics
+
+
+QUERIES.update({
+    "rf_regressor": q_rf_regressor,
+    "feature_importance": q_feature_importance,
+    "risk_classifier": q_risk_classifier,
+    "cross_validate": q_cross_validate,
+    "compare_models": q_compare_models,
+    "forecaster": q_forecaster,
+    "forecast_next_day": q_forecast_next_day,
+    "sensor_model": q_sensor_model,
+})
