@@ -113,11 +113,25 @@ def daily_features(readings: DataFrame, machine_col: str = "machine_def", timest
     else:
         names = sorted(set(variables))
         p = p.where(F.col(variable_col).isin(names))
+    aggs, cols = feature_aggregates(names, variable_col, value_col, numeric)
+    if not aggs:
+        return p.select(*keys).distinct()
+    wide = p.groupBy(*keys).agg(*aggs)
+    return wide.select(*[F.col(k) for k in keys], *cols)
+
+
+def feature_aggregates(names: Sequence[str], variable_col: str = "variable_name", value_col: str = "value",
+                       numeric: Sequence[str] = ("mean", "max", "std", "count")) -> tuple[list, list]:
+    """Conditional aggregates for every variable (by class) and the final
+    column list (numeric block, modes, counters first/last/delta/count).
+
+    Expects the columns of ``prepare_readings`` (``value_numeric``,
+    ``timestamp_parsed``); shared by the batch and the streaming form.
+    """
     cls = classify_names(names)
     num_vars = sorted(cls["numeric"] + cls["time_duration"])
     cat_vars = sorted(cls["categorical"])
     cnt_vars = sorted(cls["counters"])
-
     var = F.col(variable_col)
     vn = F.col("value_numeric")
     aggs = []
@@ -133,12 +147,7 @@ def daily_features(readings: DataFrame, machine_col: str = "machine_def", timest
         aggs.append(F.min_by(F.when(hit, vn), F.when(hit, order)).alias(f"{v}_first"))
         aggs.append(F.max_by(F.when(hit, vn), F.when(hit, order)).alias(f"{v}_last"))
         aggs.append(F.count(F.when(hit, vn)).alias(f"{v}_count"))
-    if not aggs:
-        return p.select(*keys).distinct()
-    wide = p.groupBy(*keys).agg(*aggs)
-    # delta and final column order: numeric block, modes, counters (first, last, delta, count)
-    cols = [F.col(k) for k in keys]
-    cols += [F.col(f"{v}_{s}") for s in numeric for v in num_vars]
+    cols = [F.col(f"{v}_{s}") for s in numeric for v in num_vars]
     cols += [F.col(f"{v}_mode") for v in cat_vars]
     for stat in ("first", "last", "delta", "count"):
         for v in cnt_vars:
@@ -146,7 +155,7 @@ def daily_features(readings: DataFrame, machine_col: str = "machine_def", timest
                 cols.append((F.col(f"{v}_last") - F.col(f"{v}_first")).alias(f"{v}_delta"))
             else:
                 cols.append(F.col(f"{v}_{stat}"))
-    return wide.select(*cols)
+    return aggs, cols
 
 
 def wide_numeric(readings: DataFrame, keys: Sequence[str], variable_col: str, value_col: str,

@@ -554,3 +554,48 @@ QUERIES.update({
     "forecast_next_day": q_forecast_next_day,
     "sensor_model": q_sensor_model,
 })
+
+
+# --------------------------------------------------------------- streaming --
+from moldwise.streaming import live  # noqa: E402
+
+
+def _events_stream(spark, sf):
+    schema = fx.table(spark, sf, "events").schema
+    return live.file_stream(spark, sf, schema, "parquet", glob="events.parquet")
+
+
+def q_stream_daily_features(spark, sf):
+    """Events replayed as a file stream -> daily features per closed day."""
+    base = rd.scratch_path(spark, f"stream-features-{uuid.uuid4().hex}")
+    feats = live.stream_daily_features(fx.readings_from_events(_events_stream(spark, sf)), FIXTURE_VARIABLES)
+    live.run_available_now(feats, f"{base}/out", f"{base}/checkpoint")
+    return round_doubles(spark.read.parquet(f"{base}/out"))
+
+
+def _scored_stream(spark, sf):
+    base = rd.scratch_path(spark, f"stream-score-{uuid.uuid4().hex}")
+    training = _training_set(spark, sf)
+    model, _metrics = md.train_sensor_model(training)
+    rd.write_dataset(training, f"{base}/feed")
+    feed = live.file_stream(spark, f"{base}/feed", spark.read.parquet(f"{base}/feed").schema)
+    return base, live.stream_score(feed, model)
+
+
+def q_stream_score(spark, sf):
+    base, scored = _scored_stream(spark, sf)
+    live.run_available_now(scored, f"{base}/out", f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/out")
+
+
+def q_stream_alerts(spark, sf):
+    base, scored = _scored_stream(spark, sf)
+    live.run_available_now(live.stream_alerts(scored, live.ALERT_THRESHOLD), f"{base}/out", f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/out")
+
+
+QUERIES.update({
+    "stream_daily_features": q_stream_daily_features,
+    "stream_score": q_stream_score,
+    "stream_alerts": q_stream_alerts,
+})

@@ -389,6 +389,7 @@ def queries_sql() -> dict[str, str]:
         **_summary_queries(),
         **_selection_queries(),
         **_source_queries(),
+        **_stream_queries(),
     }
 
 
@@ -858,3 +859,11 @@ def _source_queries() -> dict[str, str]:
         "file_roundtrip": _daily_features_sql(),
         "machine_filter": f"WITH {PRODUCTION} SELECT * FROM production WHERE replace(replace(machine_nr, '-', ''), ' ', '') = 'M105'",
     }
+
+
+def _stream_queries() -> dict[str, str]:
+    # append mode emits a day once the watermark (latest event - 1 day) has
+    # reached the end of that day
+    base = _daily_features_sql()
+    return {"stream_daily_features": f"""SELECT * FROM ({base}) AS f
+WHERE CAST(agg_date AS DATE) + INTERVAL 2 DAY <= (SELECT max(ts) FROM events)"""}

@@ -43,7 +43,11 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     Columns: machine_def, timestamp, variable_name, value (string),
     variable_attribute (always NULL, as in the profiled files).
     """
-    ev = table(spark, sf_dir, "events")
+    return readings_from_events(table(spark, sf_dir, "events"))
+
+
+def readings_from_events(ev: DataFrame) -> DataFrame:
+    """The readings projection of an ``events`` frame (batch or stream)."""
     k = _k()
     variable, value = _reading_columns(k)
     return ev.select(
