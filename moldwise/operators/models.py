@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from moldwise.functions.columns import risk_status
 from moldwise.operators.metrics import classification_metrics, naive_baseline, regression_metrics
-from moldwise.operators.ranking import dense_codes
+from moldwise.operators.ranking import dense_codes_multi
 from moldwise.operators.selection import SENSOR_IGNORE
 from moldwise.operators.splits import row_split, stratified_folds
 from moldwise.operators.windows import JOB_KEYS, scoring_context
@@ -224,7 +224,8 @@ class CodedModel:
 
 def code_tables(df: DataFrame, cols: dict) -> dict:
     """``{col: (code col, table)}``: sorted-position codes of each column."""
-    return {c: (o, dense_codes(df, c, o).withColumn(o, F.col(o).cast("int"))) for c, o in cols.items()}
+    tables = dense_codes_multi(df, cols)
+    return {c: (o, tables[c].withColumn(o, F.col(o).cast("int"))) for c, o in cols.items()}
 
 
 def train_forecaster(table: DataFrame, label: str = "scrap_quantity", features: Sequence[str] = FORECAST_FEATURES,

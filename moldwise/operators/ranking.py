@@ -14,6 +14,7 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from moldwise.session import reliable_checkpoint
 
@@ -39,9 +40,53 @@ def global_row_number(df: DataFrame, order: Sequence[str], out: str = "row_idx",
     return out_df.drop("_pid", "_rn", "_off")
 
 
-def dense_codes(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
+# Distinct-value lists up to this size are sorted on the driver; the bound is
+# checked with ``limit(n + 1)`` before anything is relied on.
+SMALL_DISTINCT = 100_000
+
+
+def small_sorted_distinct(df: DataFrame, col: str, limit: int = SMALL_DISTINCT) -> list | None:
+    """Sorted distinct non-null values of ``col`` when there are at most
+    ``limit`` of them (one distributed ``distinct`` job, at most ``limit + 1``
+    values reach the driver); ``None`` when there are more."""
+    vals = [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().limit(limit + 1).collect()]
+    return sorted(vals) if len(vals) <= limit else None
+
+
+def dense_codes(df: DataFrame, col: str, out: str | None = None, small_limit: int = SMALL_DISTINCT) -> DataFrame:
     """Code table ``(col, out)``: position of each distinct non-null value in
-    ascending order (what a sorted label encoder assigns)."""
+    ascending order (what a sorted label encoder assigns).
+
+    A label column with a bounded number of values (checked) gets its table
+    built on the driver and is broadcast by the joins that use it; beyond the
+    bound the distributed global rank is used."""
     out = out or f"{col}_code"
+    vals = small_sorted_distinct(df, col, small_limit)
+    if vals is not None:
+        field = df.schema[col]
+        return df.sparkSession.createDataFrame(
+            [(v, i) for i, v in enumerate(vals)],
+            StructType([StructField(col, field.dataType), StructField(out, LongType(), False)]))
     d = df.select(col).where(F.col(col).isNotNull()).distinct()
     return global_row_number(d, [col], out)
+
+
+def dense_codes_multi(df: DataFrame, cols: dict, small_limit: int = SMALL_DISTINCT) -> dict:
+    """``{col: code table}`` for several text label columns with ONE distinct
+    job over (column, value) pairs (bounded by ``small_limit`` values in
+    total); falls back to one distributed table per column beyond it."""
+    names = list(cols)
+    if all(isinstance(df.schema[c].dataType, StringType) for c in names):
+        pairs = df.select(F.explode(F.array(*[
+            F.struct(F.lit(i).alias("i"), F.col(c).alias("v")) for i, c in enumerate(names)])).alias("p")) \
+            .select("p.i", "p.v").where(F.col("v").isNotNull()).distinct().limit(small_limit + 1).collect()
+        if len(pairs) <= small_limit:
+            spark = df.sparkSession
+            out = {}
+            for i, c in enumerate(names):
+                vals = sorted(r["v"] for r in pairs if r["i"] == i)
+                out[c] = spark.createDataFrame([(v, k) for k, v in enumerate(vals)],
+                                               StructType([StructField(c, StringType()),
+                                                           StructField(cols[c], LongType(), False)]))
+            return out
+    return {c: dense_codes(df, c, o, small_limit) for c, o in cols.items()}

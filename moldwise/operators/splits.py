@@ -16,7 +16,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from moldwise.operators.ranking import global_row_number
+from moldwise.operators.ranking import global_row_number, small_sorted_distinct
 
 
 def _q(name: str) -> Column:
@@ -38,14 +38,22 @@ def group_split(df: DataFrame, group_cols: Sequence[str], test_size: float = 0.2
     groups with the smallest hashes form the test side, so no group is on
     both sides."""
     h = key_hash(group_cols, seed)
-    hashes = df.select(h.alias("_h")).distinct()
-    n = hashes.count()
+    hashes = df.select(h.alias("_h"))
+    small = small_sorted_distinct(hashes, "_h")
+    if small is not None:
+        n = len(small)
+    else:
+        hashes = hashes.distinct()
+        n = hashes.count()
     k = math.ceil(test_size * n) if n else 0
     if k <= 0:
         return df.withColumn(out, F.lit("train"))
     if k >= n:
         return df.withColumn(out, F.lit("test"))
-    cut = global_row_number(hashes, ["_h"], "_i").where(F.col("_i") == k - 1).select("_h").first()[0]
+    if small is not None:
+        cut = small[k - 1]
+    else:
+        cut = global_row_number(hashes, ["_h"], "_i").where(F.col("_i") == k - 1).select("_h").first()[0]
     return df.withColumn(out, F.when(h <= F.lit(cut), "test").otherwise("train"))
 
 

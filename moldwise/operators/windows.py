@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from moldwise.functions.columns import risk_status
-from moldwise.operators.ranking import dense_codes, global_row_number
+from moldwise.operators.ranking import dense_codes_multi, global_row_number, small_sorted_distinct
 
 JOB_KEYS = ("machine_id", "tool_id", "part_number")
 
@@ -52,9 +52,10 @@ def label_encode(df: DataFrame, cols: dict, unseen: int | None = None, codes_fro
     monitoring view uses 0).  Code tables hold one row per distinct label.
     """
     src = codes_from if codes_from is not None else df
+    tables = dense_codes_multi(src, cols)
     out = df
     for c, o in cols.items():
-        codes = dense_codes(src, c, o).withColumn(o, F.col(o).cast("int"))
+        codes = tables[c].withColumn(o, F.col(o).cast("int"))
         out = out.join(codes, c, "left")
         if unseen is not None:
             out = out.withColumn(o, F.coalesce(F.col(o), F.lit(unseen)))
@@ -79,12 +80,19 @@ def time_split(df: DataFrame, date: str = "date", train_fraction: float = 0.8, o
     least 1) in ascending order; rows before it train, rows on or after it
     test.  With a single distinct date every row is ``train``.
     """
-    dates = df.select(date).where(F.col(date).isNotNull()).distinct()
-    n = dates.count()
+    small = small_sorted_distinct(df, date)
+    if small is not None:
+        n = len(small)
+    else:
+        dates = df.select(date).where(F.col(date).isNotNull()).distinct()
+        n = dates.count()
     k = max(int(n * train_fraction), 1)
     if k >= n:
         return df.withColumn(out, F.lit("train"))
-    cut = global_row_number(dates, [date], "_i").where(F.col("_i") == k).select(date).first()[0]
+    if small is not None:
+        cut = small[k]
+    else:
+        cut = global_row_number(dates, [date], "_i").where(F.col("_i") == k).select(date).first()[0]
     c = F.col(date)
     return df.withColumn(out, F.when(c < F.lit(cut), "train").when(c >= F.lit(cut), "test"))
 
