@@ -599,3 +599,24 @@ QUERIES.update({
     "stream_score": q_stream_score,
     "stream_alerts": q_stream_alerts,
 })
+
+
+# ------------------------------------------------------------ small extras --
+def q_risk_status(spark, sf):
+    """Risk status of a naive forecast (mean of the last three days)."""
+    ctx = wn.scoring_context(_daily(spark, sf))
+    scored = wn.with_risk_status(ctx.withColumn("prediction", F.col("rolling_avg_3")), "prediction", 40.0)
+    return round_doubles(scored.select(*wn.JOB_KEYS, "prediction", "status"))
+
+
+def q_standardize_columns(spark, sf):
+    """Production read with messy header names, cleaned."""
+    p = fx.production(spark, sf)
+    messy = p.toDF(*[f"  {c.upper().replace('_', ' ')} " for c in p.columns])
+    return se.standardize_columns(messy, lower=True)
+
+
+QUERIES.update({
+    "risk_status": q_risk_status,
+    "standardize_columns": q_standardize_columns,
+})

@@ -390,6 +390,7 @@ def queries_sql() -> dict[str, str]:
         **_selection_queries(),
         **_source_queries(),
         **_stream_queries(),
+        **_extra_queries(),
     }
 
 
@@ -867,3 +868,12 @@ def _stream_queries() -> dict[str, str]:
     base = _daily_features_sql()
     return {"stream_daily_features": f"""SELECT * FROM ({base}) AS f
 WHERE CAST(agg_date AS DATE) + INTERVAL 2 DAY <= (SELECT max(ts) FROM events)"""}
+
+
+def _extra_queries() -> dict[str, str]:
+    ctx = _scoring_context_sql()
+    return {
+        "risk_status": f"""SELECT {KEYS}, rolling_avg_3 AS prediction,
+  CASE WHEN rolling_avg_3 > 40.0 THEN 'HIGH RISK' ELSE 'NORMAL' END AS status FROM ({ctx}) AS c""",
+        "standardize_columns": f"WITH {PRODUCTION} SELECT * FROM production",
+    }
