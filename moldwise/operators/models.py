@@ -6,7 +6,7 @@ tree ensembles and logistic regression.  The driver only holds small
 things: class counts (for balanced weights), feature importances (one value
 per feature) and per-fold scores.  Label codes are stored as code tables
 next to the model, so values unseen at training time can be mapped to a
-fixed code (0) with a broadcast-size join instead of failing.
+fixed code (0) with a left join instead of failing.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ from moldwise.operators.ranking import dense_codes_multi
 from moldwise.operators.selection import SENSOR_IGNORE
 from moldwise.operators.splits import row_split, stratified_folds
 from moldwise.operators.windows import JOB_KEYS, scoring_context
+from moldwise.session import reliable_checkpoint
 
 # Inputs of the next-day forecaster, in model order.
 FORECAST_FEATURES = ["machine_code", "tool_code", "part_code", "scrap_lag_1", "scrap_lag_2", "rolling_avg_3"]
@@ -150,7 +151,8 @@ def cross_validate(df: DataFrame, features: Sequence[str], label: str, key_cols:
     ``mean`` row carrying the verdict (signal > 0.98, strong > 0.85, else
     overfitting)."""
     make = make or (lambda t: train_rf_classifier(t, features, label, num_trees=100, balanced=True))
-    folds = stratified_folds(df, label, key_cols, k, seed)
+    # every fold reads the same rows 2k times: materialise them once
+    folds = reliable_checkpoint(stratified_folds(df, label, key_cols, k, seed).select(*features, label, "fold"))
     rows = []
     for i in range(k):
         model = make(folds.where(F.col("fold") != i))
@@ -172,7 +174,7 @@ def compare_models(df: DataFrame, features: Sequence[str], label: str, key_cols:
         "Random Forest": lambda t: train_rf_classifier(t, features, label, num_trees=100, balanced=False),
         "Gradient Boosting": lambda t: train_gbt_classifier(t, features, label),
     }
-    folds = stratified_folds(df, label, key_cols, k, seed)
+    folds = reliable_checkpoint(stratified_folds(df, label, key_cols, k, seed).select(*features, label, "fold"))
     res = []
     for name, make in makers.items():
         accs = []
@@ -202,7 +204,9 @@ class CodedModel:
     def encode(self, df: DataFrame, unseen: int | None = 0) -> DataFrame:
         out = df
         for col, (code_col, table) in self.codes.items():
-            out = out.join(F.broadcast(table), col, "left")
+            # small code tables are local relations with exact statistics and
+            # are broadcast by the planner; large ones are joined by shuffle
+            out = out.join(table, col, "left")
             if unseen is not None:
                 out = out.withColumn(code_col, F.coalesce(F.col(code_col), F.lit(unseen)))
         return out

@@ -17,6 +17,7 @@ columns with the same two jobs.
 
 from __future__ import annotations
 
+import bisect
 import math
 from typing import Sequence
 
@@ -37,23 +38,39 @@ def _range_filter(cid: int, lo, hi):
     return cond
 
 
-def _fetch(values: DataFrame, states: dict) -> dict:
-    """Answer ranks whose ranges are small: one job fetches those ranges
-    (each holds at most ``local_limit`` rows) and ranks are picked locally."""
+def _fetch(values: DataFrame, states: dict, limit: int) -> dict:
+    """Answer ranks whose ranges are small: one job fetches the distinct
+    values of those ranges with their counts (at most ``limit`` pairs, checked)
+    and ranks are picked locally from the cumulative counts."""
     ranges = {(cid, lo, hi) for (cid, _k), (lo, hi, _r, _m) in states.items()}
     cond = None
     for cid, lo, hi in ranges:
         c = _range_filter(cid, lo, hi)
         cond = c if cond is None else cond | c
-    rows = values.where(cond).collect()
-    by_range = {}
-    for cid, lo, hi in ranges:
-        by_range[(cid, lo, hi)] = sorted(r["v"] for r in rows if r["c"] == cid and (lo is None or r["v"] > lo)
-                                         and (hi is None or r["v"] < hi))
+    pairs = values.where(cond).groupBy("c", "v").count().limit(limit + 1).collect()
+    if len(pairs) > limit:
+        raise RuntimeError("quantile search could not narrow a value range below the fetch limit")
+    by_col = {}
+    for p in pairs:
+        by_col.setdefault(p["c"], []).append((p["v"], p["count"]))
+    cum = {}
+    for cid, lst in by_col.items():
+        lst.sort()
+        vals, run, total = [], [], 0
+        for v, n in lst:
+            total += n
+            vals.append(v)
+            run.append(total)
+        cum[cid] = (vals, run)
     out = {}
     for (cid, k), (lo, hi, r, _m) in states.items():
-        inside = by_range[(cid, lo, hi)]
-        out[(cid, k)] = inside[r] if r < len(inside) else None
+        vals, run = cum.get(cid, ([], []))
+        start = 0 if lo is None else bisect.bisect_right(vals, lo)
+        stop = len(vals) if hi is None else bisect.bisect_left(vals, hi)
+        base = run[start - 1] if start > 0 else 0
+        # first value in [start, stop) whose running count exceeds base + r
+        j = bisect.bisect_right(run, base + r, start, stop)
+        out[(cid, k)] = vals[j] if j < stop else None
     return out
 
 
@@ -73,7 +90,7 @@ def _select_ranks(values: DataFrame, wanted: dict, local_limit: int, grid: int)
     for _ in range(MAX_ROUNDS):
         small = {key: st for key, st in pending.items() if st[3] <= local_limit}
         if small:
-            done.update(_fetch(values, small))
+            done.update(_fetch(values, small, local_limit * max(len(small), 1)))
             for key in small:
                 pending.pop(key)
         if not pending:
@@ -115,8 +132,8 @@ def _select_ranks(values: DataFrame, wanted: dict, local_limit: int, grid: int)
             if new_m is None:
                 new_m = m - prev_le
             pending[key] = (new_lo, new_hi, r - prev_le, new_m)
-    if pending:  # ranges the grid could not narrow further (few distinct values left)
-        done.update(_fetch(values, pending))
+    if pending:  # ranges the grid could not narrow (few distinct values left): counts are bounded
+        done.update(_fetch(values, pending, local_limit * len(pending)))
     return done
 
 

@@ -76,9 +76,9 @@ def stratified_folds(df: DataFrame, label: str, key_cols: Sequence[str], k: int
     """
     h = key_hash(key_cols, seed)
     ranked = global_row_number(df.withColumn("_h", h), [label, "_h"], "_g")
-    # one row per class: a bounded table, broadcast to every task
+    # one row per class; AQE broadcasts it when its measured size is small
     starts = ranked.groupBy(_q(label).alias("_lab")).agg(F.min("_g").alias("_s"))
-    return ranked.join(F.broadcast(starts), _q(label).eqNullSafe(F.col("_lab"))) \
+    return ranked.join(starts, _q(label).eqNullSafe(F.col("_lab"))) \
         .withColumn(out, ((F.col("_g") - F.col("_s")) % k).cast("int")).drop("_h", "_g", "_s", "_lab")
 
 

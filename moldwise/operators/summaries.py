@@ -45,17 +45,19 @@ def _stack(df: DataFrame, pairs: Sequence[tuple[str, str]], names: Sequence[str]
 
 def profile_readings(readings: DataFrame, timestamp_col: str = "timestamp", variable_col: str = "variable_name",
                      value_col: str = "value") -> DataFrame:
-    """One row: rows, distinct variables, first/last timestamp, span in whole
-    days + hours, and how many values parse as numbers."""
+    """One row: rows, distinct variables, first/last timestamp, rows whose
+    timestamp is missing or unparseable, span in whole days + hours, and how
+    many values parse as numbers."""
     ts = _parsed(readings, timestamp_col)
     a = readings.agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_distinct(_q(variable_col)).alias("variables"),
         F.min(ts).alias("ts_min"), F.max(ts).alias("ts_max"),
+        F.count_if(ts.isNull()).alias("bad_timestamps"),
         F.count(to_number(_q(value_col))).alias("numeric_values"))
     span = F.unix_timestamp(F.col("ts_max").cast("timestamp")) - F.unix_timestamp(F.col("ts_min").cast("timestamp"))
     return a.select(
-        "rows", "variables", "ts_min", "ts_max",
+        "rows", "variables", "ts_min", "ts_max", "bad_timestamps",
         F.floor(span / 86400).cast("bigint").alias("span_days"),
         F.floor((span % 86400) / 3600).cast("bigint").alias("span_hours"),
         "numeric_values",

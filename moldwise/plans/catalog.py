@@ -620,3 +620,11 @@ QUERIES.update({
     "risk_status": q_risk_status,
     "standardize_columns": q_standardize_columns,
 })
+
+
+def q_check_outliers_sensor(spark, sf):
+    """1.5-IQR outliers of the raw sensor value column of ``events``."""
+    return _issues(ql.check_outliers_iqr(fx.table(spark, sf, "events"), "value", 1.5, "events"))
+
+
+QUERIES["check_outliers_sensor"] = q_check_outliers_sensor

@@ -650,6 +650,7 @@ def _summary_queries() -> dict[str, str]:
     q["profile_readings"] = f"""WITH {READINGS}
 SELECT count(*) AS rows, count(DISTINCT variable_name) AS variables,
   min("timestamp") AS ts_min, max("timestamp") AS ts_max,
+  count(*) FILTER (WHERE "timestamp" IS NULL) AS bad_timestamps,
   CAST(floor({_span('min("timestamp")', 'max("timestamp")')} / 86400) AS BIGINT) AS span_days,
   CAST(floor(({_span('min("timestamp")', 'max("timestamp")')} % 86400) / 3600) AS BIGINT) AS span_hours,
   count({num}) AS numeric_values, count(*) - count({num}) AS non_numeric_values,
@@ -876,4 +877,5 @@ def _extra_queries() -> dict[str, str]:
         "risk_status": f"""SELECT {KEYS}, rolling_avg_3 AS prediction,
   CASE WHEN rolling_avg_3 > 40.0 THEN 'HIGH RISK' ELSE 'NORMAL' END AS status FROM ({ctx}) AS c""",
         "standardize_columns": f"WITH {PRODUCTION} SELECT * FROM production",
+        "check_outliers_sensor": _outlier_sql("events", "value", 1.5, "events"),
     }

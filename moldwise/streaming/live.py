@@ -7,7 +7,7 @@
   dropped by Spark, as for any watermarked aggregation).
 * ``stream_score`` — every arriving row is scored by a trained pipeline
   (24 h rate, 12 h = half of it); unseen machines get code 0 through a
-  stream-static broadcast join with the code table; missing sensors are 0.
+  stream-static join with the code table; missing sensors are 0.
 * ``stream_alerts`` — rows whose 24 h rate is above a threshold.
 
 Streams are started with ``run_available_now`` (process what is there, then
