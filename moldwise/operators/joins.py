@@ -28,6 +28,7 @@ from moldwise.functions.columns import (
     sensor_core,
 )
 from moldwise.operators.features import discover_values
+from moldwise.session import reliable_checkpoint
 
 
 # ---------------------------------------------------------------- dates -----
@@ -137,13 +138,21 @@ def prepare_features(features: DataFrame, feat_date: str = "agg_date", feat_mach
 def join_production_features(production: DataFrame, features: DataFrame, prod_date: str = "date",
                              prod_machine: str = "machine_id", feat_date: str = "agg_date",
                              feat_machine: str = "machine_def", keep_unmatched: bool = True,
-                             date_format: str | None = None, indicator: bool = False) -> DataFrame:
+                             date_format: str | None = None, indicator: bool = False,
+                             materialize_features: bool = False) -> DataFrame:
     """Production rows enriched with the daily features of their machine and day.
 
     Left join (all production rows kept) or inner join; many production rows
     share one feature row.  With ``indicator`` a boolean ``_matched`` column
     tells which rows found features.
+
+    The feature table is read twice (distinct machine ids for the mapping,
+    and the join).  When it is a lazy plan over raw readings rather than a
+    stored table, ``materialize_features`` writes it once to the shared
+    checkpoint folder so the readings are aggregated only once.
     """
+    if materialize_features:
+        features = reliable_checkpoint(features)
     p = prepare_production(production, features, prod_date, prod_machine, feat_machine, date_format)
     f = prepare_features(features, feat_date, feat_machine).withColumn("_matched", F.lit(True))
     p, f = _suffix_overlaps(p, f, ["machine_key", "date_key"])
@@ -258,3 +267,14 @@ def union_datasets(frames: Sequence[DataFrame]) -> DataFrame:
 
 def variable_list(df: DataFrame, col: str = "variable_name") -> list:
     return discover_values(df, col)
+
+
+def build_ml_dataset(readings: DataFrame, production: DataFrame, variables=None, keep_unmatched: bool = True,
+                     materialize_features: bool = False) -> DataFrame:
+    """ML dataset for all machines at once: daily features of the readings
+    joined to the production rows (one plan; no per-machine loop)."""
+    from moldwise.operators.features import daily_features
+
+    feats = daily_features(readings, variables=variables)
+    return join_production_features(production, feats, keep_unmatched=keep_unmatched,
+                                    materialize_features=materialize_features)

@@ -628,3 +628,20 @@ def q_check_outliers_sensor(spark, sf):
 
 
 QUERIES["check_outliers_sensor"] = q_check_outliers_sensor
+
+
+def q_final_risk_model(spark, sf):
+    """Final risk model: leak-filtered numeric frame, 80/20 row split,
+    balanced 200-tree forest, class report; the model is saved and reloaded."""
+    ml = se.label_high_risk(_ml_dataset(spark, sf), "actual_scrap_qty", 0.75, "target")
+    frame = se.final_model_frame(ml.withColumn("_row", F.col("order_id")), "target")
+    feats = [c for c in frame.columns if c not in ("target", "_row")]
+    s = sp.row_split(frame, ["_row"])
+    model = md.train_rf_classifier(s.where("split = 'train'"), feats, "target", num_trees=200)
+    path = rd.scratch_path(spark, f"final-model-{uuid.uuid4().hex}")
+    model.write().overwrite().save(path)
+    back = md.PipelineModel.load(path)
+    return md.risk_classifier_report(back, s.where("split = 'test'"), "target")
+
+
+QUERIES["final_risk_model"] = q_final_risk_model
