@@ -7,13 +7,26 @@ oracle (``moldwise.plans.oracle``).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from moldwise.functions import columns as fn
 from moldwise.operators import features as feat
-from moldwise.plans.oracle import DIGITS, FIXTURE_VARIABLES
+from moldwise.operators import joins as jn
+from moldwise.operators import metrics as mt
+from moldwise.operators import models as md
+from moldwise.operators import quality as ql
+from moldwise.operators import selection as se
+from moldwise.operators import splits as sp
+from moldwise.operators import summaries as sm
+from moldwise.operators import windows as wn
+from moldwise.plans.oracle import DIGITS, FIXTURE_VARIABLES, VERT_VARS
 from moldwise.sources import fixtures as fx
+from moldwise.sources import readers as rd
+from moldwise.streaming import live
 
 
 def round_doubles(df: DataFrame, digits: int = DIGITS) -> DataFrame:
@@ -36,9 +49,6 @@ QUERIES = {
 
 
 # ---------------------------------------------------------------- functions --
-from moldwise.functions import columns as fn  # noqa: E402
-from moldwise.operators import joins as jn  # noqa: E402
-from moldwise.plans.oracle import VERT_VARS  # noqa: E402
 
 
 def q_parse_values(spark, sf):
@@ -171,7 +181,6 @@ QUERIES.update({
 
 
 # ------------------------------------------------------------------ windows --
-from moldwise.operators import windows as wn  # noqa: E402
 
 
 def _daily(spark, sf):
@@ -224,7 +233,6 @@ QUERIES.update({
 
 
 # ------------------------------------------------------------------ quality --
-from moldwise.operators import quality as ql  # noqa: E402
 
 ISSUE_VIEW = [c for c in ql.ISSUE_COLUMNS if c != "details"]
 
@@ -277,7 +285,6 @@ QUERIES.update({
 
 
 # ---------------------------------------------------------------- summaries --
-from moldwise.operators import summaries as sm  # noqa: E402
 
 
 def q_profile_readings(spark, sf):
@@ -341,9 +348,6 @@ QUERIES.update({
 
 
 # ------------------------------------------- selection, splits and metrics --
-from moldwise.operators import metrics as mt  # noqa: E402
-from moldwise.operators import selection as se  # noqa: E402
-from moldwise.operators import splits as sp  # noqa: E402
 
 
 def _ml_dataset(spark, sf):
@@ -439,9 +443,6 @@ QUERIES.update({
 
 
 # ------------------------------------------------------- sources and sinks --
-import uuid  # noqa: E402
-
-from moldwise.sources import readers as rd  # noqa: E402
 
 
 def q_file_roundtrip(spark, sf):
@@ -470,7 +471,6 @@ QUERIES.update({
 # ------------------------------------------------------------------ models --
 # Trained-model queries have no SQL form: the driver checks rows only, and
 # tests check invariants (disjoint splits, model vs. naive baseline).
-from moldwise.operators import models as md  # noqa: E402
 
 
 def _baseline_matrix(spark, sf):
@@ -557,7 +557,6 @@ QUERIES.update({
 
 
 # --------------------------------------------------------------- streaming --
-from moldwise.streaming import live  # noqa: E402
 
 
 def _events_stream(spark, sf):
@@ -645,3 +644,13 @@ def q_final_risk_model(spark, sf):
 
 
 QUERIES["final_risk_model"] = q_final_risk_model
+
+
+def q_validation_json(spark, sf):
+    """Serialised production validation report with column statistics."""
+    p = fx.production(spark, sf)
+    issues = _validate_production(spark, sf)
+    return ql.report_json(ql.validation_report(issues, p, "HydraData"), issues, sm.column_stats(p))
+
+
+QUERIES["validation_json"] = q_validation_json
