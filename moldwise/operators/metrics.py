@@ -73,7 +73,10 @@ def classification_metrics(pred: DataFrame, label: str, prediction: str = "predi
     """Per class: precision, recall, F1 and support (0 when undefined), plus
     ``accuracy``, ``macro avg`` and ``weighted avg`` rows (as in a
     classification report; accuracy is in the f1 column)."""
-    cm = confusion_matrix(pred, label, prediction)
+    # the confusion counts (at most MAX_CLASSES^2 rows) are computed once and
+    # every metric below is derived from that small local table
+    cm_rows = confusion_matrix(pred, label, prediction)
+    cm = pred.sparkSession.createDataFrame(cm_rows.collect(), cm_rows.schema)
     per = cm.groupBy(F.col("actual").alias("cls")).agg(
         F.sum("count").alias("support"), F.sum(F.when(F.col("actual") == F.col("predicted"), F.col("count"))).alias("tp"))
     pcount = cm.groupBy(F.col("predicted").alias("cls")).agg(F.sum("count").alias("predicted_n"))
