@@ -174,37 +174,44 @@ def _metric_rows(df: DataFrame, metrics: dict) -> DataFrame:
 
 def join_report(production: DataFrame, features: DataFrame, target: str = "actual_scrap_qty",
                 prod_date: str = "date", prod_machine: str = "machine_id", feat_date: str = "agg_date",
-                feat_machine: str = "machine_def", keep_unmatched: bool = True) -> DataFrame:
+                feat_machine: str = "machine_def", keep_unmatched: bool = True,
+                materialize_features: bool = False) -> DataFrame:
     """Join statistics as (metric, value) rows.
 
     rows before (both sides), distinct dates (both sides), output rows,
     matched/unmatched production rows, match rate, overlapping dates, feature
     keys used more than once, target non-null before/after.
+
+    Feature keys are unique after dedupe, so the left join keeps every
+    production row exactly once and "matched" is a property of the key: one
+    keyed aggregate of the join (partial aggregation before its shuffle)
+    yields every production-side metric, and the feature-side dates are
+    joined onto those keys for the date overlap.
     """
-    p = standardize_date(production, prod_date, None, "date_key")
+    if materialize_features:
+        features = reliable_checkpoint(features)
     f = prepare_features(features, feat_date, feat_machine, dedupe=False)
-    # Feature keys are unique after dedupe, so the left join keeps every
-    # production row exactly once: one pass over it yields most metrics.
     left = join_production_features(production, features, prod_date, prod_machine, feat_date, feat_machine,
                                     True, indicator=True)
-    m = F.col("_matched")
-    out_rows = F.count(F.lit(1)) if keep_unmatched else F.count_if(m)
-    target_after = F.count(target) if keep_unmatched else F.count(F.when(m, F.col(target)))
+    by_key = left.groupBy("machine_key", "date_key").agg(
+        F.count(F.lit(1)).alias("n"), F.count(target).alias("t"), F.count_if("_matched").alias("m"))
+    f_dates = f.select("date_key").where(F.col("date_key").isNotNull()).distinct().withColumn("_in_f", F.lit(True))
+    keyed = by_key.join(f_dates, "date_key", "left")
+    n, t, m = F.sum("n"), F.sum("t"), F.sum("m")
+    matched_t = F.sum(F.when(F.col("m") > 0, F.col("t")))
     parts = [
-        _metric_rows(left, {"hydra_rows_before": F.count(F.lit(1)),
-                            "target_non_null_before": F.count(target),
-                            "joined_rows": out_rows,
-                            "matched_hydra_rows": F.count_if(m),
-                            "unmatched_hydra_rows": F.count_if(~m) if keep_unmatched else F.lit(0),
-                            "match_rate": F.try_divide(F.count_if(m), F.count(F.lit(1))),
-                            "target_non_null_after": target_after}),
-        _metric_rows(p, {"hydra_unique_dates": F.count_distinct("date_key")}),
+        _metric_rows(keyed, {"hydra_rows_before": n,
+                             "target_non_null_before": t,
+                             "joined_rows": n if keep_unmatched else m,
+                             "matched_hydra_rows": m,
+                             "unmatched_hydra_rows": (n - m) if keep_unmatched else F.lit(0),
+                             "match_rate": F.try_divide(m, n),
+                             "target_non_null_after": t if keep_unmatched else F.coalesce(matched_t, F.lit(0)),
+                             "hydra_unique_dates": F.count_distinct("date_key"),
+                             "duplicate_joins": F.count_if(F.col("m") > 1),
+                             "overlapping_dates": F.count_distinct(F.when(F.col("_in_f"), F.col("date_key")))}),
         _metric_rows(f, {"param_rows_before": F.count(F.lit(1)),
                          "param_unique_dates": F.count_distinct("date_key")}),
-        _metric_rows(left.where(m).groupBy("machine_key", "date_key").count().where("count > 1"),
-                     {"duplicate_joins": F.count(F.lit(1))}),
-        _metric_rows(date_overlap(p, f).where(F.col("status") == "matched"),
-                     {"overlapping_dates": F.count(F.lit(1))}),
     ]
     return reduce(DataFrame.unionByName, parts)
 
