@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from moldwise.functions.columns import risk_status
 from moldwise.operators.metrics import classification_metrics, naive_baseline, regression_metrics
-from moldwise.operators.ranking import dense_codes_multi
+from moldwise.operators.ranking import CodeTable, dense_codes_multi, join_codes
 from moldwise.operators.selection import SENSOR_IGNORE
 from moldwise.operators.splits import row_split, stratified_folds
 from moldwise.operators.windows import JOB_KEYS, scoring_context
@@ -198,38 +198,41 @@ class CodedModel:
     """A fitted pipeline plus the label-code tables its inputs need."""
 
     model: PipelineModel
-    codes: dict = field(default_factory=dict)  # source column -> (code column, code table)
+    codes: dict = field(default_factory=dict)  # source column -> (code column, CodeTable)
     features: list = field(default_factory=list)
 
     def encode(self, df: DataFrame, unseen: int | None = 0) -> DataFrame:
+        """Add the code columns; values without a code get ``unseen``.  A code
+        table of proven small size is broadcast, a large one is shuffled."""
         out = df
-        for col, (code_col, table) in self.codes.items():
-            # small code tables are local relations with exact statistics and
-            # are broadcast by the planner; large ones are joined by shuffle
-            out = out.join(table, col, "left")
+        for col, (code_col, codes) in self.codes.items():
+            out = join_codes(out, col, codes)
             if unseen is not None:
                 out = out.withColumn(code_col, F.coalesce(F.col(code_col), F.lit(unseen)))
         return out
 
     def save(self, path: str) -> None:
         self.model.write().overwrite().save(f"{path}/model")
-        for col, (code_col, table) in self.codes.items():
-            table.write.mode("overwrite").parquet(f"{path}/codes/{col}")
+        for col, (code_col, codes) in self.codes.items():
+            codes.table.write.mode("overwrite").parquet(f"{path}/codes/{col}")
         spark = SparkSession.getActiveSession()
-        meta = json.dumps({"codes": {c: cc for c, (cc, _t) in self.codes.items()}, "features": self.features})
+        meta = json.dumps({"codes": {c: [cc, t.rows] for c, (cc, t) in self.codes.items()},
+                           "features": self.features})
         spark.createDataFrame([(meta,)], "meta string").write.mode("overwrite").json(f"{path}/meta")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> "CodedModel":
         meta = json.loads(spark.read.json(f"{path}/meta").first()["meta"])
-        codes = {c: (cc, spark.read.parquet(f"{path}/codes/{c}")) for c, cc in meta["codes"].items()}
+        codes = {c: (cc, CodeTable(spark.read.parquet(f"{path}/codes/{c}"), rows))
+                 for c, (cc, rows) in meta["codes"].items()}
         return CodedModel(PipelineModel.load(f"{path}/model"), codes, meta["features"])
 
 
 def code_tables(df: DataFrame, cols: dict) -> dict:
-    """``{col: (code col, table)}``: sorted-position codes of each column."""
+    """``{col: (code col, CodeTable)}``: sorted-position codes of each column."""
     tables = dense_codes_multi(df, cols)
-    return {c: (o, tables[c].withColumn(o, F.col(o).cast("int"))) for c, o in cols.items()}
+    return {c: (o, tables[c]._replace(table=tables[c].table.withColumn(o, F.col(o).cast("int"))))
+            for c, o in cols.items()}
 
 
 def train_forecaster(table: DataFrame, label: str = "scrap_quantity", features: Sequence[str] = FORECAST_FEATURES,

@@ -10,7 +10,7 @@ numbering and counting see the same partition bounds.
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import NamedTuple, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -71,8 +71,24 @@ def dense_codes(df: DataFrame, col: str, out: str | None = None, small_limit: in
     return global_row_number(d, [col], out)
 
 
+class CodeTable(NamedTuple):
+    """A label-code table and its row count when it is known to be small."""
+
+    table: DataFrame
+    rows: int | None
+
+
+def join_codes(df: DataFrame, col: str, codes: CodeTable, how: str = "left") -> DataFrame:
+    """Join a code table; it is broadcast only when its size is proven
+    (built on the driver under the ``SMALL_DISTINCT`` bound)."""
+    t = codes.table
+    if codes.rows is not None and codes.rows <= SMALL_DISTINCT:
+        t = F.broadcast(t)
+    return df.join(t, col, how)
+
+
 def dense_codes_multi(df: DataFrame, cols: dict, small_limit: int = SMALL_DISTINCT) -> dict:
-    """``{col: code table}`` for several text label columns with ONE distinct
+    """``{col: CodeTable}`` for several text label columns with ONE distinct
     job over (column, value) pairs (bounded by ``small_limit`` values in
     total); falls back to one distributed table per column beyond it."""
     names = list(cols)
@@ -85,8 +101,9 @@ def dense_codes_multi(df: DataFrame, cols: dict, small_limit: int = SMALL_DISTIN
             out = {}
             for i, c in enumerate(names):
                 vals = sorted(r["v"] for r in pairs if r["i"] == i)
-                out[c] = spark.createDataFrame([(v, k) for k, v in enumerate(vals)],
-                                               StructType([StructField(c, StringType()),
-                                                           StructField(cols[c], LongType(), False)]))
+                table = spark.createDataFrame([(v, k) for k, v in enumerate(vals)],
+                                              StructType([StructField(c, StringType()),
+                                                          StructField(cols[c], LongType(), False)]))
+                out[c] = CodeTable(table, len(vals))
             return out
-    return {c: dense_codes(df, c, o, small_limit) for c, o in cols.items()}
+    return {c: CodeTable(dense_codes(df, c, o, small_limit), None) for c, o in cols.items()}

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from moldwise.functions.columns import risk_status
-from moldwise.operators.ranking import dense_codes_multi, global_row_number, small_sorted_distinct
+from moldwise.operators.ranking import dense_codes_multi, global_row_number, join_codes, small_sorted_distinct
 
 JOB_KEYS = ("machine_id", "tool_id", "part_number")
 
@@ -55,8 +55,8 @@ def label_encode(df: DataFrame, cols: dict, unseen: int | None = None, codes_fro
     tables = dense_codes_multi(src, cols)
     out = df
     for c, o in cols.items():
-        codes = tables[c].withColumn(o, F.col(o).cast("int"))
-        out = out.join(codes, c, "left")
+        codes = tables[c]
+        out = join_codes(out, c, codes._replace(table=codes.table.withColumn(o, F.col(o).cast("int"))))
         if unseen is not None:
             out = out.withColumn(o, F.coalesce(F.col(o), F.lit(unseen)))
     return out
