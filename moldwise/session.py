@@ -66,3 +66,30 @@ def reliable_checkpoint(df):
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return df.checkpoint(eager=True)
+
+
+def cluster_conf(input_bytes: int, executor_cores: int, executors: int,
+                 target_partition_bytes: int = 256 * 1024 * 1024) -> dict:
+    """Settings sized for a job reading ``input_bytes`` on a cluster.
+
+    * file splits of ``target_partition_bytes`` (one scan task per split);
+    * initial shuffle partitions ~ input / target, at least twice the task
+      slots, so a partition of the largest shuffle fits in an executor's
+      share of memory; AQE then coalesces the small ones to the advisory size;
+    * skew-join splitting for partitions 5x the median and above 1 GB;
+    * checkpoints and streaming state go to ``spark.checkpoint.dir``, which
+      the cluster must point at shared storage.
+    """
+    slots = max(executor_cores * executors, 1)
+    partitions = max(2 * slots, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 1024 * 1024),
+        "spark.sql.session.timeZone": "UTC",
+    }
