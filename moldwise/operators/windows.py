@@ -105,17 +105,19 @@ def scoring_context(daily: DataFrame, keys: Sequence[str] = JOB_KEYS, date: str
     ``rolling_avg_3`` = mean of the last three, ``last_date``, and
     ``forecast_date`` = last date + 1 day.
     """
+    keep = max(3, min_history)
     w = Window.partitionBy(*keys).orderBy(F.col(date).desc())
-    ranked = daily.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= 3)
-    v = F.col(value)
+    # row_number() <= keep becomes a per-partition limit before the shuffle
+    ranked = daily.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= keep)
+    v, rn = F.col(value), F.col("_rn")
     ctx = ranked.groupBy(*keys).agg(
-        F.max(F.when(F.col("_rn") == 1, v)).alias("scrap_lag_1"),
-        F.max(F.when(F.col("_rn") == 2, v)).alias("scrap_lag_2"),
-        F.avg(v).alias("rolling_avg_3"),
-        F.max(F.when(F.col("_rn") == 1, F.col(date))).alias("last_date"),
+        F.max(F.when(rn == 1, v)).alias("scrap_lag_1"),
+        F.max(F.when(rn == 2, v)).alias("scrap_lag_2"),
+        F.avg(F.when(rn <= 3, v)).alias("rolling_avg_3"),
+        F.max(F.when(rn == 1, F.col(date))).alias("last_date"),
         F.count(F.lit(1)).alias("_n"),
     )
-    return ctx.where(F.col("_n") >= min(min_history, 3)).drop("_n") \
+    return ctx.where(F.col("_n") >= min_history).drop("_n") \
               .withColumn("forecast_date", F.date_add("last_date", 1))
 
 

@@ -27,6 +27,8 @@ def test_scoring_context_needs_three_rows(spark):
     r = ctx[0]
     assert (r["scrap_lag_1"], r["scrap_lag_2"], r["rolling_avg_3"]) == (50.0, 40.0, 40.0)
     assert r["forecast_date"] == dt.date(2024, 1, 11)
+    assert wn.scoring_context(_daily(spark), min_history=5).count() == 1
+    assert wn.scoring_context(_daily(spark), min_history=6).count() == 0
 
 
 def test_time_split_cut(spark):
