@@ -110,8 +110,6 @@ def _as_number(df: DataFrame, name: str) -> Column:
     c = _q(name)
     if _numeric(t):
         return c.cast("double")
-    if isinstance(t, BooleanType):
-        return c.cast("double")
     if isinstance(t, (TimestampType, TimestampNTZType)):
         # epoch nanoseconds, the integer form of a datetime
         return (F.unix_micros(c.cast("timestamp")) * 1000).cast("double")
@@ -126,9 +124,11 @@ def coerce_numeric_frame(df: DataFrame, columns: Sequence[str] | None = None, fi
                          keep: Sequence[str] = ()) -> DataFrame:
     """Every column becomes a double (text through the safe number parse,
     datetimes as epoch nanoseconds); columns with no value left are dropped;
-    remaining NULLs become ``fill``.  ``keep`` columns pass through untouched.
-    One aggregate pass decides which columns survive."""
-    cols = [c for c in (columns if columns is not None else df.columns) if c not in keep]
+    remaining NULLs become ``fill``.  Boolean columns are not numbers and are
+    dropped.  ``keep`` columns pass through untouched.  One aggregate pass
+    decides which columns survive."""
+    cols = [c for c in (columns if columns is not None else df.columns)
+            if c not in keep and not isinstance(df.schema[c].dataType, BooleanType)]
     conv = df.select(*[_q(k) for k in keep], *[_as_number(df, c).alias(c) for c in cols])
     counts = conv.agg(*[F.count(_q(c)).alias(f"n{i}") for i, c in enumerate(cols)]).first() if cols else None
     alive = [c for i, c in enumerate(cols) if counts[f"n{i}"] > 0]

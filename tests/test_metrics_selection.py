@@ -37,12 +37,12 @@ def test_feature_selection_rules(spark):
 
 
 def test_coerce_and_fill(spark):
-    df = spark.createDataFrame([("1.5", "a", None), ("x", "b", 2.0), (None, "c", 4.0), ("3", "d", None)],
-                               "s string, t string, v double")
+    df = spark.createDataFrame([("1.5", "a", None, True), ("x", "b", 2.0, False), (None, "c", 4.0, True),
+                                ("3", "d", None, None)], "s string, t string, v double, flag boolean")
     c = se.coerce_numeric_frame(df)
-    assert c.columns == ["s", "v"]                                   # t has no number at all
+    assert c.columns == ["s", "v"]                        # t has no number at all; booleans are not numbers
     assert [r["s"] for r in c.collect()] == [1.5, 0.0, 0.0, 3.0]
-    f = se.fill_median(df.select("v"), ["v"]).collect()
+    f = se.fill_median(df.select("v"), ["v"]).collect()  # median of 2 and 4
     assert [r["v"] for r in f] == [3.0, 2.0, 4.0, 3.0]
 
 
