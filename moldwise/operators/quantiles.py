@@ -190,3 +190,22 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], local_limit
 
 def exact_median(df: DataFrame, col: str, **kw):
     return exact_quantiles(df, col, [0.5], **kw)[0]
+
+
+def approx_quantiles_multi(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                           accuracy: int = 10_000) -> dict:
+    """Opt-in approximate quantiles (``percentile_approx``, one pass, bounded
+    sketch per column; rank error about n / accuracy)."""
+    cols = list(cols)
+    if not cols:
+        return {}
+    r = df.agg(*[F.percentile_approx(F.when(~F.isnan(F.col(f"`{c}`").cast("double")),
+                                            F.col(f"`{c}`").cast("double")), list(probs), accuracy).alias(f"q{i}")
+                 for i, c in enumerate(cols)]).first()
+    return {c: (list(r[f"q{i}"]) if r[f"q{i}"] is not None else [None for _ in probs]) for i, c in enumerate(cols)}
+
+
+def quantiles_multi(df: DataFrame, cols: Sequence[str], probs: Sequence[float], exact: bool = True) -> dict:
+    """Exact linear-interpolation quantiles, or the approximate sketch when
+    ``exact`` is False."""
+    return exact_quantiles_multi(df, cols, probs) if exact else approx_quantiles_multi(df, cols, probs)

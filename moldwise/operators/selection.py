@@ -17,7 +17,7 @@ from pyspark.sql.types import (BooleanType, DateType, DoubleType, FloatType, Num
                                TimestampNTZType, TimestampType)
 
 from moldwise.functions.columns import clean_column_name, to_number
-from moldwise.operators.quantiles import exact_quantiles, exact_quantiles_multi
+from moldwise.operators.quantiles import quantiles_multi
 
 # Columns never used as model features by the baseline
 # regressor (target and leakage columns, post-hoc values, identifiers, raw
@@ -144,14 +144,14 @@ def final_model_frame(df: DataFrame, target: str = "target") -> DataFrame:
     return coerce_numeric_frame(df.select(*[_q(c) for c in feats + [target]]), feats, keep=[target])
 
 
-def column_medians(df: DataFrame, columns: Sequence[str]) -> dict:
-    """Exact (linearly interpolated) median of each column; columns without
-    values are left out."""
-    q = exact_quantiles_multi(df, columns, [0.5])
+def column_medians(df: DataFrame, columns: Sequence[str], exact: bool = True) -> dict:
+    """Exact (linearly interpolated) median of each column, or approximate
+    with ``exact=False``; columns without values are left out."""
+    q = quantiles_multi(df, columns, [0.5], exact)
     return {c: v[0] for c, v in q.items() if v[0] is not None}
 
 
-def fill_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def fill_median(df: DataFrame, columns: Sequence[str], exact: bool = True) -> DataFrame:
     """Fill NULLs of ``columns`` with each column's exact median, but only
     when any of them has a missing value (one counting pass decides);
     all-NULL columns stay NULL."""
@@ -161,22 +161,23 @@ def fill_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     gaps = [c for i, c in enumerate(columns) if row[f"m{i}"] > 0]
     if not gaps:
         return df
-    med = column_medians(df, gaps)
+    med = column_medians(df, gaps, exact)
     # a filled integer column becomes double (a median can fall between values)
     df = df.withColumns({c: _q(c).cast("double") for c in med if not isinstance(
         df.schema[c].dataType, (DoubleType, FloatType))})
     return df.na.fill(med) if med else df
 
 
-def high_risk_threshold(df: DataFrame, column: str = "actual_scrap_qty", q: float = 0.75) -> float | None:
-    return exact_quantiles(df, column, [q])[0]
+def high_risk_threshold(df: DataFrame, column: str = "actual_scrap_qty", q: float = 0.75,
+                        exact: bool = True) -> float | None:
+    return quantiles_multi(df, [column], [q], exact)[column][0]
 
 
 def label_high_risk(df: DataFrame, column: str = "actual_scrap_qty", q: float = 0.75,
-                    out: str = "high_scrap_risk") -> DataFrame:
+                    out: str = "high_scrap_risk", exact: bool = True) -> DataFrame:
     """1 when the value is strictly above the column's ``q`` quantile, else
     0 (a NULL value counts as 0)."""
-    t = high_risk_threshold(df, column, q)
+    t = high_risk_threshold(df, column, q, exact)
     if t is None:
         return df.withColumn(out, F.lit(0))
     return df.withColumn(out, F.coalesce((_q(column) > F.lit(t)).cast("int"), F.lit(0)))

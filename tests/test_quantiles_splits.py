@@ -48,3 +48,12 @@ def test_stratified_folds_balance(spark):
         c = [counts[(y, k)] for k in range(5)]
         assert max(c) - min(c) <= 1
     assert f.count() == 1003
+
+
+def test_approximate_quantiles_opt_in(spark):
+    from moldwise.operators.quantiles import quantiles_multi
+
+    df = spark.range(0, 1001).selectExpr("cast(id as double) as v")
+    exact = quantiles_multi(df, ["v"], [0.5], exact=True)["v"][0]
+    approx = quantiles_multi(df, ["v"], [0.5], exact=False)["v"][0]
+    assert exact == 500.0 and abs(approx - 500.0) <= 1.0
