@@ -34,7 +34,9 @@ _STATS = {
     "max": F.max,
     "min": F.min,
     "std": F.stddev_samp,
-    "count": F.count,
+    # a group without readings of a variable has no statistics at all:
+    # its count is NULL, not 0 (a per-variable pivot leaves the cell empty)
+    "count": lambda c: F.nullif(F.count(c), F.lit(0)),
     "sum": F.sum,
 }
 
@@ -88,7 +90,7 @@ def prepare_readings(readings: DataFrame, machine_col: str = "machine_def", time
 def daily_features(readings: DataFrame, machine_col: str = "machine_def", timestamp_col: str = "timestamp",
                    variable_col: str = "variable_name", value_col: str = "value", by_date: bool = True,
                    numeric: Sequence[str] = ("mean", "max", "std", "count"), drop_zero_variance: bool = True,
-                   variables: Iterable[str] | None = None) -> DataFrame:
+                   variables: Iterable[str] | None = None, split_blocks: bool = False) -> DataFrame:
     """Wide daily features per (machine, day) from long readings.
 
     * numeric and duration variables -> ``{var}_{stat}`` for ``numeric`` stats
@@ -98,8 +100,14 @@ def daily_features(readings: DataFrame, machine_col: str = "machine_def", timest
       ``_delta`` = last - first, ``_count``.
     Excluded (zero-variance) variables never produce columns.
 
+    A variable without readings in a group gets NULL statistics (count too).
+
     ``variables`` fixes the output schema; when omitted one small ``distinct``
     job finds the variables that have at least one usable value.
+    By default one aggregate with one exchange reads the input once.
+    ``split_blocks`` aggregates each variable class separately (see below):
+    faster aggregation, but every block scans the input again, so use it
+    only for a cached input or one clustered by variable.
     Output is not sorted (sort only at the final sink if needed).
     """
     p = prepare_readings(readings, machine_col, timestamp_col, variable_col, value_col, drop_zero_variance)
@@ -116,8 +124,40 @@ def daily_features(readings: DataFrame, machine_col: str = "machine_def", timest
     aggs, cols = feature_aggregates(names, variable_col, value_col, numeric)
     if not aggs:
         return p.select(*keys).distinct()
-    wide = p.groupBy(*keys).agg(*aggs)
-    return wide.select(*[F.col(k) for k in keys], *cols)
+    blocks = _class_blocks(names) if split_blocks else [names]
+    if len(blocks) <= 1:
+        wide = p.groupBy(*keys).agg(*aggs)
+        return wide.select(*[F.col(k) for k in keys], *cols)
+    # One aggregate per variable class.  Numeric statistics have fixed-width
+    # buffers and run as a hash aggregate; only the rows of the status (mode)
+    # and counter (ordered first/last) variables go through the sort-based
+    # aggregate.  Blocks partition the rows, so the shuffled volume is the
+    # same as for a single aggregate; the joins see one row per key and block.
+    out = None
+    for block in blocks:
+        b_aggs, b_cols = feature_aggregates(block, variable_col, value_col, numeric)
+        part = p.where(F.col(variable_col).isin(block)).groupBy(*keys).agg(*b_aggs) \
+                .select(*[F.col(k) for k in keys], *b_cols)
+        out = part if out is None else out.join(part, keys, "full")
+    return out.select(*[F.col(k) for k in keys],
+                      *[F.col(f"`{c}`") for c in _output_names(names, numeric)])
+
+
+def _class_blocks(names: Sequence[str]) -> list[list[str]]:
+    """Variable names grouped by aggregate kind: numeric + durations, status
+    (mode), counters; empty groups left out."""
+    cls = classify_names(names)
+    groups = [sorted(cls["numeric"] + cls["time_duration"]), sorted(cls["categorical"]), sorted(cls["counters"])]
+    return [g for g in groups if g]
+
+
+def _output_names(names: Sequence[str], numeric: Sequence[str]) -> list[str]:
+    cls = classify_names(names)
+    num_vars = sorted(cls["numeric"] + cls["time_duration"])
+    out = [f"{v}_{s}" for s in numeric for v in num_vars]
+    out += [f"{v}_mode" for v in sorted(cls["categorical"])]
+    out += [f"{v}_{s}" for s in ("first", "last", "delta", "count") for v in sorted(cls["counters"])]
+    return out
 
 
 def feature_aggregates(names: Sequence[str], variable_col: str = "variable_name", value_col: str = "value",
@@ -146,7 +186,7 @@ def feature_aggregates(names: Sequence[str], variable_col: str = "variable_name"
         hit = (var == v) & vn.isNotNull()
         aggs.append(F.min_by(F.when(hit, vn), F.when(hit, order)).alias(f"{v}_first"))
         aggs.append(F.max_by(F.when(hit, vn), F.when(hit, order)).alias(f"{v}_last"))
-        aggs.append(F.count(F.when(hit, vn)).alias(f"{v}_count"))
+        aggs.append(F.nullif(F.count(F.when(hit, vn)), F.lit(0)).alias(f"{v}_count"))
     cols = [F.col(f"{v}_{s}") for s in numeric for v in num_vars]
     cols += [F.col(f"{v}_mode") for v in cat_vars]
     for stat in ("first", "last", "delta", "count"):

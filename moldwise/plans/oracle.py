@@ -118,7 +118,8 @@ def _daily_features_sql(rounding: bool = True) -> str:
     sel, dbl = [], []
     for stat, fn in (("mean", "avg"), ("max", "max"), ("std", "stddev_samp"), ("count", "count")):
         for v in NUM_VARS:
-            sel.append(f"{fn}(vn) FILTER (WHERE variable_name = '{v}') AS {v}_{stat}")
+            e = f"{fn}(vn) FILTER (WHERE variable_name = '{v}')"
+            sel.append(f"{'nullif(' + e + ', 0)' if stat == 'count' else e} AS {v}_{stat}")
             if stat != "count":
                 dbl.append(f"{v}_{stat}")
     for v in CNT_VARS:
@@ -126,7 +127,7 @@ def _daily_features_sql(rounding: bool = True) -> str:
         sel.append(f"arg_min(vn, row(tsp, vn)) FILTER (WHERE {f}) AS {v}_first")
         sel.append(f"arg_max(vn, row(tsp, vn)) FILTER (WHERE {f}) AS {v}_last")
         sel.append(f"arg_max(vn, row(tsp, vn)) FILTER (WHERE {f}) - arg_min(vn, row(tsp, vn)) FILTER (WHERE {f}) AS {v}_delta")
-        sel.append(f"count(vn) FILTER (WHERE {f}) AS {v}_count")
+        sel.append(f"nullif(count(vn) FILTER (WHERE {f}), 0) AS {v}_count")
         dbl += [f"{v}_first", f"{v}_last", f"{v}_delta"]
     modes = []
     for v in CAT_VARS:

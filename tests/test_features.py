@@ -39,6 +39,8 @@ def test_daily_features_values(spark):
     assert a["Shot_counter_delta"] == 10.0 and a["Shot_counter_count"] == 3
     b = out["2024-01-06"]
     assert b["Cushion_std"] is None                  # one reading
+    assert b["Time_on_machine_count"] is None        # no reading of it that day: no statistics at all
+    assert b["Shot_counter_count"] is None
     assert "Cyl_tmp_z2_mean" not in a.asDict()       # excluded variable
 
 
@@ -74,3 +76,14 @@ def test_sensor_means_and_vertical(spark):
     assert m["machine_id"] == "M-231" and m["Cushion"] == 3.0 and m["date"] == dt.date(2024, 1, 5)
     v = feat.vertical_features(df).first()
     assert v["machine_id"] == "M231" and v["Cushion_min"] == 2.0 and v["Cushion_max"] == 4.0
+
+
+def test_split_blocks_same_result(spark):
+    df = spark.createDataFrame(_rows(), SCHEMA)
+    one = {r["agg_date"]: r.asDict() for r in feat.daily_features(df).collect()}
+    blocks = {r["agg_date"]: r.asDict() for r in feat.daily_features(df, split_blocks=True).collect()}
+    assert one.keys() == blocks.keys()
+    for k in one:
+        for c, v in one[k].items():
+            w = blocks[k][c]
+            assert (v is None and w is None) or v == pytest.approx(w), (k, c)
