@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 import statistics
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Callable, Sequence
 
@@ -145,19 +146,31 @@ def _fold_scores(pred: DataFrame, label: str) -> tuple[float, float]:
     return float(r["acc"] or 0.0), float(f1)
 
 
+def _run_folds(folds: DataFrame, label: str, k: int, make: Callable[[DataFrame], PipelineModel],
+               parallelism: int) -> list[tuple[float, float]]:
+    """Fit and score every fold; up to ``parallelism`` folds run as
+    concurrent Spark jobs (each fit is itself distributed)."""
+    def one(i: int) -> tuple[float, float]:
+        model = make(folds.where(F.col("fold") != i))
+        return _fold_scores(model.transform(folds.where(F.col("fold") == i)), label)
+
+    if parallelism <= 1:
+        return [one(i) for i in range(k)]
+    with ThreadPoolExecutor(max_workers=min(parallelism, k)) as pool:
+        return list(pool.map(one, range(k)))
+
+
 def cross_validate(df: DataFrame, features: Sequence[str], label: str, key_cols: Sequence[str], k: int = 5,
-                   make: Callable[[DataFrame], PipelineModel] | None = None, seed: int = 42) -> DataFrame:
+                   make: Callable[[DataFrame], PipelineModel] | None = None, seed: int = 42,
+                   parallelism: int = 3) -> DataFrame:
     """Stratified k-fold scores: one row per fold (accuracy, F1) plus a
     ``mean`` row carrying the verdict (signal > 0.98, strong > 0.85, else
     overfitting)."""
     make = make or (lambda t: train_rf_classifier(t, features, label, num_trees=100, balanced=True))
     # every fold reads the same rows 2k times: materialise them once
     folds = reliable_checkpoint(stratified_folds(df, label, key_cols, k, seed).select(*features, label, "fold"))
-    rows = []
-    for i in range(k):
-        model = make(folds.where(F.col("fold") != i))
-        acc, f1 = _fold_scores(model.transform(folds.where(F.col("fold") == i)), label)
-        rows.append((str(i + 1), acc, f1, None))
+    scores = _run_folds(folds, label, k, make, parallelism)
+    rows = [(str(i + 1), acc, f1, None) for i, (acc, f1) in enumerate(scores)]
     mean_acc = sum(r[1] for r in rows) / k
     verdict = "signal" if mean_acc > 0.98 else "strong" if mean_acc > 0.85 else "overfitting"
     rows.append(("mean", mean_acc, sum(r[2] for r in rows) / k, verdict))
@@ -165,7 +178,7 @@ def cross_validate(df: DataFrame, features: Sequence[str], label: str, key_cols:
 
 
 def compare_models(df: DataFrame, features: Sequence[str], label: str, key_cols: Sequence[str], k: int = 5,
-                   seed: int = 42) -> DataFrame:
+                   seed: int = 42, parallelism: int = 3) -> DataFrame:
     """Logistic regression, random forest (100) and gradient boosting (100)
     on the same stratified folds: mean and population std of accuracy, and
     the best model."""
@@ -177,10 +190,7 @@ def compare_models(df: DataFrame, features: Sequence[str], label: str, key_cols:
     folds = reliable_checkpoint(stratified_folds(df, label, key_cols, k, seed).select(*features, label, "fold"))
     res = []
     for name, make in makers.items():
-        accs = []
-        for i in range(k):
-            model = make(folds.where(F.col("fold") != i))
-            accs.append(_fold_scores(model.transform(folds.where(F.col("fold") == i)), label)[0])
+        accs = [acc for acc, _f1 in _run_folds(folds, label, k, make, parallelism)]
         res.append((name, sum(accs) / k, statistics.pstdev(accs)))
     best = max(res, key=lambda r: r[1])[0]
     return SparkSession.getActiveSession().createDataFrame(
