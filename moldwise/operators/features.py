@@ -41,6 +41,11 @@ _STATS = {
 }
 
 
+def _q(name: str) -> Column:
+    """A column by its literal name (variable names may hold dots or blanks)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def discover_values(df: DataFrame, col: str, limit: int = MAX_VARIABLES) -> list:
     """Sorted distinct non-null values of a low-cardinality column.
 
@@ -187,14 +192,14 @@ def feature_aggregates(names: Sequence[str], variable_col: str = "variable_name"
         aggs.append(F.min_by(F.when(hit, vn), F.when(hit, order)).alias(f"{v}_first"))
         aggs.append(F.max_by(F.when(hit, vn), F.when(hit, order)).alias(f"{v}_last"))
         aggs.append(F.nullif(F.count(F.when(hit, vn)), F.lit(0)).alias(f"{v}_count"))
-    cols = [F.col(f"{v}_{s}") for s in numeric for v in num_vars]
-    cols += [F.col(f"{v}_mode") for v in cat_vars]
+    cols = [_q(f"{v}_{s}") for s in numeric for v in num_vars]
+    cols += [_q(f"{v}_mode") for v in cat_vars]
     for stat in ("first", "last", "delta", "count"):
         for v in cnt_vars:
             if stat == "delta":
-                cols.append((F.col(f"{v}_last") - F.col(f"{v}_first")).alias(f"{v}_delta"))
+                cols.append((_q(f"{v}_last") - _q(f"{v}_first")).alias(f"{v}_delta"))
             else:
-                cols.append(F.col(f"{v}_{stat}"))
+                cols.append(_q(f"{v}_{stat}"))
     return aggs, cols
 
 
@@ -245,7 +250,7 @@ def sensor_means(readings: DataFrame, date_col: str = "date", machine_col: str =
         F.col(variable_col), F.col(value_col),
     )
     wide = wide_numeric(p, ["date", "machine_id"], variable_col, value_col, ["mean"], variables)
-    return wide.select("date", "machine_id", *[F.col(c).alias(c[: -len("_mean")]) for c in wide.columns[2:]])
+    return wide.select("date", "machine_id", *[_q(c).alias(c[: -len("_mean")]) for c in wide.columns[2:]])
 
 
 # Raw production column -> daily scrap column.

@@ -87,3 +87,12 @@ def test_split_blocks_same_result(spark):
         for c, v in one[k].items():
             w = blocks[k][c]
             assert (v is None and w is None) or v == pytest.approx(w), (k, c)
+
+
+def test_variable_names_with_dots_and_blanks(spark):
+    rows = [("M1-10", "2024-01-05 01:00:00", "Temp.zone 1", "2.0", None),
+            ("M1-10", "2024-01-05 02:00:00", "Temp.zone 1", "4.0", None)]
+    out = feat.daily_features(spark.createDataFrame(rows, SCHEMA)).first().asDict()
+    assert out["Temp.zone 1_mean"] == 3.0 and out["Temp.zone 1_count"] == 2
+    both = feat.daily_features(spark.createDataFrame(rows, SCHEMA), split_blocks=True).first().asDict()
+    assert both["Temp.zone 1_max"] == 4.0
