@@ -220,15 +220,32 @@ def wide_numeric(readings: DataFrame, keys: Sequence[str], variable_col: str, va
     return p.groupBy(*keys).agg(*aggs)
 
 
+def date_rejects(df: DataFrame, date_col: str, date_format: str) -> int:
+    """Number of non-empty date texts that do not parse with ``date_format``
+    (one aggregate job)."""
+    c = F.col(date_col)
+    return df.agg(F.count_if(c.isNotNull() & parse_date(c, date_format).isNull()).alias("n")).first()["n"]
+
+
+def _check_dates(df: DataFrame, date_col: str, date_format: str, strict: bool) -> None:
+    if strict:
+        n = date_rejects(df, date_col, date_format)
+        if n:
+            raise ValueError(f"{n} values of {date_col!r} do not match {date_format!r}")
+
+
 def vertical_features(readings: DataFrame, date_col: str = "date", machine_col: str = "machine_definition",
                       variable_col: str = "variable_name", value_col: str = "value", date_format: str = "M/d/yyyy",
                       stats: Sequence[str] = ("mean", "std", "min", "max"),
-                      variables: Iterable[str] | None = None) -> DataFrame:
+                      variables: Iterable[str] | None = None, strict_dates: bool = False) -> DataFrame:
     """Per (machine, date) statistics of every numeric variable, vertical layout.
 
     The machine is the row's own id normalised to ``M###`` (three digits),
-    so all machine files are handled in one pass.
+    so all machine files are handled in one pass.  With ``strict_dates`` a
+    date that does not parse fails the call (one counting job) instead of
+    leaving its rows out.
     """
+    _check_dates(readings, date_col, date_format, strict_dates)
     p = readings.select(
         machine_key(F.col(machine_col), "digits3").alias("machine_id"),
         parse_date(F.col(date_col), date_format).alias("date"),
@@ -239,11 +256,13 @@ def vertical_features(readings: DataFrame, date_col: str = "date", machine_col:
 
 def sensor_means(readings: DataFrame, date_col: str = "date", machine_col: str = "machine_definition",
                  variable_col: str = "variable_name", value_col: str = "value", date_format: str = "M/d/yyyy",
-                 variables: Iterable[str] | None = None) -> DataFrame:
+                 variables: Iterable[str] | None = None, strict_dates: bool = False) -> DataFrame:
     """Daily mean of each sensor per (date, machine_id), columns named by variable.
 
     Machine ids are rewritten ``M231-11`` -> ``M-231`` to meet the scrap table.
+    ``strict_dates`` as in ``vertical_features``.
     """
+    _check_dates(readings, date_col, date_format, strict_dates)
     p = readings.select(
         parse_date(F.col(date_col), date_format).alias("date"),
         machine_key(F.col(machine_col), "hyphen").alias("machine_id"),

@@ -96,3 +96,12 @@ def test_variable_names_with_dots_and_blanks(spark):
     assert out["Temp.zone 1_mean"] == 3.0 and out["Temp.zone 1_count"] == 2
     both = feat.daily_features(spark.createDataFrame(rows, SCHEMA), split_blocks=True).first().asDict()
     assert both["Temp.zone 1_max"] == 4.0
+
+
+def test_strict_dates(spark):
+    rows = [("1/5/2024", "M231-11", "Cushion", "2"), ("2024-01-05", "M231-11", "Cushion", "4")]
+    df = spark.createDataFrame(rows, "date string, machine_definition string, variable_name string, value string")
+    assert feat.date_rejects(df, "date", "M/d/yyyy") == 1
+    assert feat.vertical_features(df).count() == 1            # the bad row is left out
+    with pytest.raises(ValueError):
+        feat.sensor_means(df, strict_dates=True)
