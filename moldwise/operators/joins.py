@@ -15,7 +15,7 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StringType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 from moldwise.functions.columns import (
     DMY_PREFIX,

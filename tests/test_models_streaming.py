@@ -3,7 +3,6 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from moldwise.operators import models as md
-from moldwise.operators import metrics as mt
 from moldwise.operators import windows as wn
 from moldwise.streaming import live
 
