@@ -46,12 +46,16 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Directory for reliable checkpoints and intermediate tables.
 
-    Uses the cluster's ``spark.checkpoint.dir`` (shared storage).  Only when
-    it is unset (local tests) a scratch directory is created and registered.
+    Uses the cluster's ``spark.checkpoint.dir`` (shared storage).  Only in
+    local mode, when it is unset (tests), a scratch directory is created and
+    registered; on a cluster a missing setting is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if path:
         return path
+    if not spark.sparkContext.master.startswith("local"):
+        # a machine-local folder is invisible to other executors and lost with them
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster's distributed storage)")
     path = tempfile.mkdtemp(prefix="moldwise-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
