@@ -57,3 +57,12 @@ def test_approximate_quantiles_opt_in(spark):
     exact = quantiles_multi(df, ["v"], [0.5], exact=True)["v"][0]
     approx = quantiles_multi(df, ["v"], [0.5], exact=False)["v"][0]
     assert exact == 500.0 and abs(approx - 500.0) <= 1.0
+
+
+def test_exact_quantiles_many_rounds_with_a_hot_value(spark):
+    rng = np.random.default_rng(11)
+    vals = np.concatenate([np.full(700, 3.0), rng.exponential(5.0, 1300).round(2)])
+    df = spark.createDataFrame([(float(v),) for v in vals], "v double").repartition(5)
+    probs = [0.01, 0.33, 0.5, 0.9, 0.999]
+    got = exact_quantiles(df, "v", probs, local_limit=5, grid=3)
+    assert got == pytest.approx(list(np.quantile(vals, probs)), abs=1e-12)
