@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType, StringType
 
 from moldwise.functions.columns import to_number
+from moldwise.operators.ranking import global_row_number
 
 # Suffixes that mark aggregated feature columns, and the key
 # columns a joined ML dataset may carry.
@@ -95,11 +96,17 @@ def profile_variables(readings: DataFrame, variable_col: str = "variable_name",
                                  F.min("v").alias("min"), F.max("v").alias("max"))
 
 
-def top_values(df: DataFrame, col: str, n: int = 10) -> DataFrame:
+def top_values(df: DataFrame, col: str, n: int | None = 10) -> DataFrame:
     """The ``n`` most frequent non-null values with count, percentage of all
-    rows and rank (ties -> smaller value first).  A top-k report."""
+    rows and rank (ties -> smaller value first).  A top-k report; with
+    ``n=None`` every value is listed (ranked by a distributed global rank)."""
     total = df.select(F.count(F.lit(1))).scalar()
     counts = df.where(_q(col).isNotNull()).groupBy(_q(col).alias("value")).agg(F.count(F.lit(1)).alias("count"))
+    if n is None:
+        ranked = global_row_number(counts.withColumn("_neg", -F.col("count")), ["_neg", "value"], "_i")
+        return ranked.select("value", "count", (F.col("count") * 100.0 / total).alias("pct"),
+                             (F.col("_i") + 1).cast("bigint").alias("rank"))
+    # at most n rows reach this window
     w = Window.orderBy(F.col("count").desc(), F.col("value"))
     top = counts.orderBy(F.col("count").desc(), F.col("value")).limit(n)
     return top.select("value", "count", (F.col("count") * 100.0 / total).alias("pct"),

@@ -56,6 +56,8 @@ def test_summaries(spark):
     df = spark.createDataFrame([("a",), ("b",), ("a",), (None,)], "v string")
     top = sm.top_values(df, "v", 1).collect()
     assert len(top) == 1 and top[0]["value"] == "a" and top[0]["pct"] == 50.0
+    full = {r["value"]: r["rank"] for r in sm.top_values(df, "v", None).collect()}
+    assert full == {"a": 1, "b": 2}
     miss = {r["column"]: r["missing_pct"] for r in sm.column_missing(df, 2).collect()}
     assert miss == {"v": 25.0}
     assert sm.rounded_pct is not None
