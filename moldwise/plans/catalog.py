@@ -661,3 +661,11 @@ def q_validation_json(spark, sf):
 
 
 QUERIES["validation_json"] = q_validation_json
+
+
+def q_variable_counts(spark, sf):
+    """Every variable with its reading count, share and rank (full list)."""
+    return round_doubles(sm.top_values(fx.readings(spark, sf), "variable_name", None))
+
+
+QUERIES["variable_counts"] = q_variable_counts

@@ -879,4 +879,8 @@ def _extra_queries() -> dict[str, str]:
   CASE WHEN rolling_avg_3 > 40.0 THEN 'HIGH RISK' ELSE 'NORMAL' END AS status FROM ({ctx}) AS c""",
         "standardize_columns": f"WITH {PRODUCTION} SELECT * FROM production",
         "check_outliers_sensor": _outlier_sql("events", "value", 1.5, "events"),
+        "variable_counts": f"""WITH {READINGS},
+c AS (SELECT variable_name AS value, count(*) AS count FROM readings WHERE variable_name IS NOT NULL GROUP BY 1)
+SELECT value, count, round(count * 100.0 / (SELECT count(*) FROM readings), {DIGITS}) AS pct,
+  row_number() OVER (ORDER BY count DESC, value) AS rank FROM c""",
     }
