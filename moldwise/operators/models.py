@@ -162,7 +162,7 @@ def _run_folds(folds: DataFrame, label: str, k: int, make: Callable[[DataFrame],
 
 def cross_validate(df: DataFrame, features: Sequence[str], label: str, key_cols: Sequence[str], k: int = 5,
                    make: Callable[[DataFrame], PipelineModel] | None = None, seed: int = 42,
-                   parallelism: int = 3) -> DataFrame:
+                   parallelism: int = 5) -> DataFrame:
     """Stratified k-fold scores: one row per fold (accuracy, F1) plus a
     ``mean`` row carrying the verdict (signal > 0.98, strong > 0.85, else
     overfitting)."""
@@ -178,7 +178,7 @@ def cross_validate(df: DataFrame, features: Sequence[str], label: str, key_cols:
 
 
 def compare_models(df: DataFrame, features: Sequence[str], label: str, key_cols: Sequence[str], k: int = 5,
-                   seed: int = 42, parallelism: int = 3) -> DataFrame:
+                   seed: int = 42, parallelism: int = 5) -> DataFrame:
     """Logistic regression, random forest (100) and gradient boosting (100)
     on the same stratified folds: mean and population std of accuracy, and
     the best model."""
