@@ -62,14 +62,14 @@ def q_parse_values(spark, sf):
 
 def q_machine_keys(spark, sf):
     v = fx.vertical_readings(spark, sf)
-    md = F.col("machine_definition")
-    path = F.concat(F.lit("/data/raw_param/"), md, F.lit("_Jan.csv"))
+    mdef = F.col("machine_definition")
+    path = F.concat(F.lit("/data/raw_param/"), mdef, F.lit("_Jan.csv"))
     return v.select(
-        md,
-        fn.machine_key(md, "strip").alias("key_strip"),
-        fn.machine_key(md, "digits3").alias("key_digits3"),
-        fn.machine_key(md, "hyphen").alias("key_hyphen"),
-        fn.sensor_core(md).alias("key_core"),
+        mdef,
+        fn.machine_key(mdef, "strip").alias("key_strip"),
+        fn.machine_key(mdef, "digits3").alias("key_digits3"),
+        fn.machine_key(mdef, "hyphen").alias("key_hyphen"),
+        fn.sensor_core(mdef).alias("key_core"),
         fn.machine_key_from_path(path).alias("key_from_path"))
 
 
