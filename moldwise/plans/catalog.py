@@ -216,8 +216,8 @@ def q_job_combinations(spark, sf):
 
 
 def q_label_encode(spark, sf):
-    live = feat.daily_scrap(fx.hydra_january(spark, sf))
-    return round_doubles(wn.label_encode(live, {"machine_id": "machine_code"}, unseen=0,
+    current = feat.daily_scrap(fx.hydra_january(spark, sf))
+    return round_doubles(wn.label_encode(current, {"machine_id": "machine_code"}, unseen=0,
                                          codes_from=_forecast_table(spark, sf)))
 
 
