@@ -196,7 +196,7 @@ def q_lag_features(spark, sf):
 
 
 def q_time_split(spark, sf):
-    return round_doubles(wn.time_split(_forecast_table(spark, sf)))
+    return round_doubles(wn.forecast_split(_daily(spark, sf)))
 
 
 def q_scoring_context(spark, sf):

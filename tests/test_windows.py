@@ -52,3 +52,11 @@ def test_planning_and_most_active(spark):
     assert k["M-1"]["avg_scrap_24h"] == 30.0 and k["M-1"]["avg_scrap_12h"] == 15.0 and k["M-1"]["max_scrap"] == 50.0
     top = wn.most_active_job(daily).first()
     assert top["machine_id"] == "M-1" and top["rows"] == 5
+
+
+def test_forecast_split_equals_two_step(spark):
+    daily = _daily(spark)
+    a = {(r["date"], r["machine_id"]): (r["split"], r["machine_code"])
+         for r in wn.time_split(wn.forecast_features(daily)).collect()}
+    b = {(r["date"], r["machine_id"]): (r["split"], r["machine_code"]) for r in wn.forecast_split(daily).collect()}
+    assert a == b and a
