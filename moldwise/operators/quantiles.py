@@ -139,18 +139,26 @@ def _select_ranks(values: DataFrame, wanted: dict, local_limit: int, grid: int)
     return done
 
 
+def value_counts(df: DataFrame, cols: Sequence[str]) -> dict:
+    """``{column: number of non-null, non-NaN values}`` in one pass."""
+    ok = {c: F.col(f"`{c}`").cast("double").isNotNull() & ~F.isnan(F.col(f"`{c}`").cast("double")) for c in cols}
+    row = df.agg(*[F.count_if(ok[c]).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    return {c: row[f"n{i}"] for i, c in enumerate(cols)}
+
+
 def exact_quantiles_multi(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                          local_limit: int = LOCAL_LIMIT, grid: int = GRID) -> dict:
+                          local_limit: int = LOCAL_LIMIT, grid: int = GRID, counts: dict | None = None) -> dict:
     """``{column: [quantile for each prob]}`` over the non-null, non-NaN
     values of each column (``None`` for an empty column); one counting pass
-    and then shared narrowing rounds for all columns."""
+    (skipped when ``counts`` from ``value_counts`` is given) and then shared
+    narrowing rounds for all columns."""
     cols = list(cols)
     if not cols:
         return {}
     x = {c: F.col(f"`{c}`").cast("double") for c in cols}
     ok = {c: x[c].isNotNull() & ~F.isnan(x[c]) for c in cols}
-    counts = df.agg(*[F.count_if(ok[c]).alias(f"n{i}") for i, c in enumerate(cols)]).first()
-    ns = {i: counts[f"n{i}"] for i in range(len(cols))}
+    counts = counts if counts is not None else value_counts(df, cols)
+    ns = {i: counts[c] for i, c in enumerate(cols)}
     values = df.select(F.explode(F.array(*[
         F.when(ok[c], F.struct(F.lit(i).alias("c"), x[c].alias("v"))) for i, c in enumerate(cols)])).alias("p")) \
         .where(F.col("p").isNotNull()).select("p.c", "p.v")
@@ -207,7 +215,10 @@ def approx_quantiles_multi(df: DataFrame, cols: Sequence[str], probs: Sequence[f
     return {c: (list(r[f"q{i}"]) if r[f"q{i}"] is not None else [None for _ in probs]) for i, c in enumerate(cols)}
 
 
-def quantiles_multi(df: DataFrame, cols: Sequence[str], probs: Sequence[float], exact: bool = True) -> dict:
+def quantiles_multi(df: DataFrame, cols: Sequence[str], probs: Sequence[float], exact: bool = True,
+                    counts: dict | None = None) -> dict:
     """Exact linear-interpolation quantiles, or the approximate sketch when
     ``exact`` is False."""
-    return exact_quantiles_multi(df, cols, probs) if exact else approx_quantiles_multi(df, cols, probs)
+    if exact:
+        return exact_quantiles_multi(df, cols, probs, counts=counts)
+    return approx_quantiles_multi(df, cols, probs)
