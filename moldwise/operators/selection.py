@@ -144,24 +144,29 @@ def final_model_frame(df: DataFrame, target: str = "target") -> DataFrame:
     return coerce_numeric_frame(df.select(*[_q(c) for c in feats + [target]]), feats, keep=[target])
 
 
-def column_medians(df: DataFrame, columns: Sequence[str], exact: bool = True) -> dict:
+def column_medians(df: DataFrame, columns: Sequence[str], exact: bool = True, counts: dict | None = None) -> dict:
     """Exact (linearly interpolated) median of each column, or approximate
-    with ``exact=False``; columns without values are left out."""
-    q = quantiles_multi(df, columns, [0.5], exact)
+    with ``exact=False``; columns without values are left out.  ``counts``
+    (non-null, non-NaN values per column) saves the counting pass."""
+    q = quantiles_multi(df, columns, [0.5], exact, counts)
     return {c: v[0] for c, v in q.items() if v[0] is not None}
 
 
 def fill_median(df: DataFrame, columns: Sequence[str], exact: bool = True) -> DataFrame:
-    """Fill NULLs of ``columns`` with each column's exact median, but only
-    when any of them has a missing value (one counting pass decides);
-    all-NULL columns stay NULL."""
+    """Fill missing values (NULL or NaN) of ``columns`` with each column's
+    exact median, but only when any of them has a missing value; all-missing
+    columns stay NULL.  One aggregate gives the row count and the value count
+    of every column, used both to find gaps and by the median search."""
     if not columns:
         return df
-    row = df.agg(*[F.count_if(_q(c).isNull()).alias(f"m{i}") for i, c in enumerate(columns)]).first()
-    gaps = [c for i, c in enumerate(columns) if row[f"m{i}"] > 0]
+    x = {c: _q(c).cast("double") for c in columns}
+    row = df.agg(F.count(F.lit(1)).alias("__n"),
+                 *[F.count_if(x[c].isNotNull() & ~F.isnan(x[c])).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+    counts = {c: row[f"n{i}"] for i, c in enumerate(columns)}
+    gaps = [c for c in columns if counts[c] < row["__n"]]
     if not gaps:
         return df
-    med = column_medians(df, gaps, exact)
+    med = column_medians(df, gaps, exact, {c: counts[c] for c in gaps})
     # a filled integer column becomes double (a median can fall between values)
     df = df.withColumns({c: _q(c).cast("double") for c in med if not isinstance(
         df.schema[c].dataType, (DoubleType, FloatType))})
