@@ -1,0 +1 @@
+"""Registered queries (``catalog``) and their DuckDB SQL oracles (``oracle``)."""

@@ -1,0 +1 @@
+"""Structured Streaming: watermarked daily features, live scoring, alerts."""
