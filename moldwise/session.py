@@ -57,8 +57,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
         # a machine-local folder is invisible to other executors and lost with them
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster's distributed storage)")
     path = tempfile.mkdtemp(prefix="moldwise-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
+    try:  # also visible to later readers of the conf; a session may refuse core confs
+        spark.conf.set("spark.checkpoint.dir", path)
+    except Exception:  # noqa: BLE001
+        pass
     return path
 
 
