@@ -33,3 +33,26 @@ def test_build_ml_dataset(spark):
     rows = {r["order_id"]: r for r in jn.build_ml_dataset(readings, prod).collect()}
     assert rows[1]["Cushion_mean"] == 3.0 and rows[1]["machine_key"] == "M221-10"
     assert rows[2]["Cushion_mean"] is None
+
+
+def test_checkpoint_dir_requires_shared_folder_on_a_cluster():
+    import pytest
+
+    from moldwise.session import checkpoint_dir
+
+    class _Conf:
+        def get(self, key, default=None):
+            return default
+
+    class _Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class _Session:
+        conf = _Conf()
+        sparkContext = _Context()
+
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(_Session())
