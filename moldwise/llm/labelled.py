@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -13,8 +15,8 @@ from pyspark.sql import types as T
 from moldwise.llm.textbytes import is_fold, slices, text_bytes
 
 
-def bounded_sample(docs: DataFrame, targets: DataFrame, folds: int, held_out: int, per_label: int, max_bytes: int) -> tuple[list[str], np.ndarray]:
-    """Texts and labels of at most ``per_label`` documents for each label, outside the held-out fold.
+def bounded_sample(docs: DataFrame, targets: DataFrame, folds: int, held_out: int, per_label: int, max_bytes: int) -> DataFrame:
+    """(doc_id, text, label) of at most ``per_label`` documents for each label, outside the held-out fold.
 
     ``targets`` has ``doc_id`` and ``label``; several labels of one id count as
     the largest, a null label as none.  The documents with the smallest hash of
@@ -26,18 +28,23 @@ def bounded_sample(docs: DataFrame, targets: DataFrame, folds: int, held_out: in
     ids = docs.select("doc_id").where(~is_fold(F.col("doc_id"), folds, held_out)).distinct()
     order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = ids.join(known, "doc_id").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_label).drop("rank")
-    picked = {r.doc_id: r.label for r in chosen.collect()}  # at most per_label rows for each label
-    if not picked:
-        return [], np.empty(0)
-    rows = (
-        docs.select("doc_id", "text")
-        .where(F.col("text").isNotNull() & (F.octet_length("text") <= max_bytes))
-        .join(F.broadcast(docs.sparkSession.createDataFrame([(k,) for k in picked], "doc_id long")), "doc_id")
-        .groupBy("doc_id").agg(F.min("text").alias("text"))
-        .orderBy("doc_id")
-        .collect()
-    )
-    return [r.text for r in rows], np.array([picked[r.doc_id] for r in rows])
+    texts = docs.select("doc_id", "text").where(F.col("text").isNotNull() & (F.octet_length("text") <= max_bytes))
+    # at most per_label ids for each label are broadcast
+    return texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+
+
+def fitted(sample: DataFrame, fit: Callable[[list[str], np.ndarray], Any]) -> Any:
+    """``fit(texts, labels)`` over a bounded sample in order of ids, in one task of its own; the model comes back."""
+
+    def run(batches):
+        rows = [batch for batch in batches if batch.num_rows]
+        if rows:
+            table = pa.Table.from_batches(rows).sort_by("doc_id")
+            model = fit(table.column("text").to_pylist(), np.array(table.column("label").to_pylist()))
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    got = sample.select("doc_id", "text", "label").repartition(1).mapInArrow(run, "model binary").collect()
+    return pickle.loads(got[0]["model"]) if got else fit([], np.empty(0))
 
 
 def add_columns(docs: DataFrame, fields: list[T.StructField], fn: Callable[[np.ndarray, np.ndarray], list]) -> DataFrame:

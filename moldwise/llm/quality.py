@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moldwise.llm.labelled import add_columns, bounded_sample
+from moldwise.llm.labelled import add_columns, bounded_sample, fitted
 from moldwise.llm.textbytes import is_fold, text_bytes
 
 FOLDS, HELD_OUT = 4, 2
@@ -154,7 +154,7 @@ def _slopes(model: Model, texts: list[str], y: np.ndarray, share: np.ndarray) ->
 def train(docs: DataFrame, labels: DataFrame, per_label: int = 1200, max_bytes: int = 8192) -> Model:
     """Fit on at most ``per_label`` documents of each label outside the held-out fold."""
     targets = labels.select("doc_id", F.col("quality").alias("label"))
-    return fit(*bounded_sample(docs, targets, FOLDS, HELD_OUT, per_label, max_bytes))
+    return fitted(bounded_sample(docs, targets, FOLDS, HELD_OUT, per_label, max_bytes), fit)
 
 
 def quality(docs: DataFrame, model: Model, name: str = "quality_score") -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moldwise.llm.labelled import add_columns, bounded_sample
+from moldwise.llm.labelled import add_columns, bounded_sample, fitted
 from moldwise.llm.textbytes import ALNUM, Words, is_fold, text_bytes
 
 FOLDS, HELD_OUT = 5, 0
@@ -117,7 +117,7 @@ FIELDS = [
 def train(docs: DataFrame, labels: DataFrame, per_label: int = 3000, max_bytes: int = 32768) -> Model:
     """Fit on at most ``per_label`` documents of each label outside the held-out fold."""
     targets = labels.select("doc_id", F.col("toxic").alias("label"))
-    return fit(*bounded_sample(docs, targets, FOLDS, HELD_OUT, per_label, max_bytes))
+    return fitted(bounded_sample(docs, targets, FOLDS, HELD_OUT, per_label, max_bytes), fit)
 
 
 def toxicity(docs: DataFrame, model: Model, prefix: str = "") -> DataFrame:
