@@ -353,8 +353,8 @@ ORACLE_SQL = r"""
 with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
 s as (select distinct doc_id, array_to_string(w[i:i + least(len(w), 5) - 1], ' ') as g from w, range(1, len(w) - least(len(w), 5) + 2) t(i) where len(w) > 0),
 n as (select doc_id, count(*) as n from s group by doc_id),
-pairs as (select x.doc_id as a, y.doc_id as b, count(*) as both from s x join s y on x.g = y.g and x.doc_id < y.doc_id group by all),
-links as (select a, b from pairs join n na on a = na.doc_id join n nb on b = nb.doc_id where 100 * both >= 75 * (na.n + nb.n - both)),
+pairs as (select x.doc_id as a, y.doc_id as b, count(*) as common from s x join s y on x.g = y.g and x.doc_id < y.doc_id group by all),
+links as (select a, b from pairs join n na on a = na.doc_id join n nb on b = nb.doc_id where 100 * common >= 75 * (na.n + nb.n - common)),
 ways as (select a, b from links union select b, a from links),
 reach(doc_id, to_id) as (select a, a from ways union select r.doc_id, ways.b from reach r join ways on r.to_id = ways.a)
 select w.doc_id, coalesce(n.n, 0)::bigint as n_shingles, coalesce(c.least, w.doc_id) as component_id

@@ -6,15 +6,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from moldwise.llm import decontaminate, jaccard, quality, toxicity
+from moldwise.llm import decontaminate, jaccard, nearest, quality, sharding, token_records, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharding_report(_table(spark, sf_dir, "documents"))
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.jaccard_components(_table(spark, sf_dir, "documents"))
+    return jaccard.jaccard_components(_table(spark, sf_dir, "documents")).drop("class_id")
+
+
+def op5_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_records.token_report(_table(spark, sf_dir, "documents"))
+
+
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest_report(_table(spark, sf_dir, "embeddings"))
 
 
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +42,6 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_jaccard_join, op8_quality_classifier, op9_toxicity, op10_decontamination)
+    f.__name__: f for f in (op2_sharding, op3_jaccard_join, op5_token_records, op7_nearest_neighbours, op8_quality_classifier, op9_toxicity, op10_decontamination)
 }
-SQL: dict[str, str] = {"op3_jaccard_join": jaccard.ORACLE_SQL, "op10_decontamination": decontaminate.ORACLE_SQL}
+SQL: dict[str, str] = {"op3_jaccard_join": jaccard.ORACLE_SQL, "op7_nearest_neighbours": nearest.ORACLE_SQL, "op10_decontamination": decontaminate.ORACLE_SQL}

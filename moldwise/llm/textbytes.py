@@ -21,11 +21,11 @@ U64 = np.uint64
 SLICE_BYTES = 2 << 20
 
 _rng = np.random.default_rng(20240229)
-_BYTE = _rng.integers(1, 1 << 63, size=(2, 256), dtype=U64) * U64(2) + U64(1)
-_BASE = (U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F))
+_BYTE = _rng.integers(1, 1 << 63, size=(3, 256), dtype=U64) * U64(2) + U64(1)
+_BASE = (U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F), U64(0xD6E8FEB86659FD93))
 _GRAM = _rng.integers(1, 1 << 63, size=64, dtype=U64) * U64(2) + U64(1)
 _upper = np.arange(ord("A"), ord("Z") + 1)
-_BYTE[:, _upper] = _BYTE[:, _upper + 32]
+_BYTE[:2, _upper] = _BYTE[:2, _upper + 32]
 
 _ALL = np.arange(256)
 #: `[^\x20\x09-\x0D]+`
@@ -126,7 +126,7 @@ class Words:
         return np.repeat(np.arange(len(self.at) - 1), self.counts)
 
     def hashes(self, k: int = 0) -> np.ndarray:
-        """A 64-bit hash of each word, lower-cased (A-Z); ``k`` picks one of two independent ones."""
+        """A 64-bit hash of each word: 0 and 1 are independent ones of the lower-cased word (A-Z), 2 of the word as it is."""
         power, inverse = _power(k, len(self.data) + 1)
         total = np.zeros(len(self.data) + 1, U64)
         np.cumsum(_BYTE[k][self.data] * power[: len(self.data)], out=total[1:])
