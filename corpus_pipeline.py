@@ -12,6 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from moldwise.llm import decontaminate, jaccard, segment
 from moldwise.llm import quality as quality_model
 from moldwise.llm import toxicity as toxicity_model
 from moldwise.session import checkpoint_dir
@@ -38,9 +39,29 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where(F.col("__toxic_score") < 0.5).select(*docs.columns)
 
 
+def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document (smallest id) of each group that links of shingle sets connect."""
+    return jaccard.one_of_each(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a window of any benchmark item."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
+    marked = decontaminate.contamination(docs, items, prefix="__")
+    return marked.where(F.size("__hit_words") == 0).select(*docs.columns)
+
+
+def sampled_segmentations(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Two sampled segmentations of every document that is left, decoded again."""
+    return segment.segmentation_report(docs)
+
+
 STAGES = [
     ("quality", keep_quality),
     ("toxicity", drop_toxic),
+    ("near_copies", one_of_near_copies),
+    ("decontamination", drop_contaminated),
+    ("segmentation", sampled_segmentations),
 ]
 
 

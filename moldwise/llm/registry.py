@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from moldwise.llm import decontaminate, jaccard, nearest, quality, sharding, token_records, toxicity
+from moldwise.llm import decontaminate, jaccard, nearest, ngram_lm, quality, segment, sharding, token_records, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.scoring_report(_table(spark, sf_dir, "documents"))
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharding_report(_table(spark, sf_dir, "documents"))
 
@@ -25,6 +29,10 @@ def op5_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records.token_report(_table(spark, sf_dir, "documents"))
 
 
+def op6_sampled_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segment.segmentation_report(_table(spark, sf_dir, "documents"))
+
+
 def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.nearest_report(_table(spark, sf_dir, "embeddings"))
 
@@ -42,6 +50,6 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_sharding, op3_jaccard_join, op5_token_records, op7_nearest_neighbours, op8_quality_classifier, op9_toxicity, op10_decontamination)
+    f.__name__: f for f in (op1_ngram_trie, op2_sharding, op3_jaccard_join, op5_token_records, op6_sampled_segmentation, op7_nearest_neighbours, op8_quality_classifier, op9_toxicity, op10_decontamination)
 }
 SQL: dict[str, str] = {"op3_jaccard_join": jaccard.ORACLE_SQL, "op7_nearest_neighbours": nearest.ORACLE_SQL, "op10_decontamination": decontaminate.ORACLE_SQL}

@@ -127,10 +127,22 @@ class Words:
 
     def hashes(self, k: int = 0) -> np.ndarray:
         """A 64-bit hash of each word: 0 and 1 are independent ones of the lower-cased word (A-Z), 2 of the word as it is."""
-        power, inverse = _power(k, len(self.data) + 1)
-        total = np.zeros(len(self.data) + 1, U64)
-        np.cumsum(_BYTE[k][self.data] * power[: len(self.data)], out=total[1:])
-        return mix((total[self.end] - total[self.start]) * inverse[self.start] + (self.end - self.start).astype(U64))
+        return run_hashes(self.data, self.start, self.end, k)
+
+
+def prefix_sums(data: np.ndarray, k: int = 0) -> np.ndarray:
+    """Prefix sums of a polynomial over the bytes, for hashes of any runs."""
+    power, _ = _power(k, len(data) + 1)
+    total = np.zeros(len(data) + 1, U64)
+    np.cumsum(_BYTE[k][data] * power[: len(data)], out=total[1:])
+    return total
+
+
+def run_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, k: int = 0, total: np.ndarray | None = None) -> np.ndarray:
+    """The hashes of runs of bytes ``start[i]:end[i]``, equal for equal runs anywhere."""
+    total = prefix_sums(data, k) if total is None else total
+    _, inverse = _power(k, len(data) + 1)
+    return mix((total[end] - total[start]) * inverse[start] + (end - start).astype(U64))
 
 
 def grams(h: np.ndarray, n: int) -> np.ndarray:

@@ -25,11 +25,11 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from moldwise.llm.eliasfano import filesystem
 from moldwise.llm.textbytes import SPACED, Words, expand, slices, text_bytes
 from moldwise.session import checkpoint_dir
 
@@ -120,10 +120,6 @@ class WordIds:
 _encoders: dict[str, WordIds] = {}
 
 
-def _filesystem(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
-    return pyarrow.fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{os.path.abspath(path)}")
-
-
 def write_records(docs: DataFrame, folder: str, tokenizer: str, end: int = END) -> DataFrame:
     """Write the records of all documents to a shared folder; (place, file, n, tokens) of each file.
 
@@ -133,7 +129,7 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end: int = END)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches):
-        where, base = _filesystem(folder)
+        where, base = filesystem(folder)
         context = TaskContext.get()
         place = context.partitionId()
         name = f"{place:06d}-{context.taskAttemptId()}-{uuid.uuid4().hex[:8]}"
@@ -156,7 +152,7 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end: int = END)
             out.write(np.array(offsets, "<u8").tobytes())
         yield pa.RecordBatch.from_arrays([pa.array([place], pa.int32()), pa.array([name]), pa.array([n], pa.int64()), pa.array([tokens], pa.int64())], names=["place", "file", "n", "tokens"])
 
-    where, base = _filesystem(folder)
+    where, base = filesystem(folder)
     where.create_dir(base, recursive=True)
     mark = F.xxhash64("text").alias("mark")
     ordered = docs.select("doc_id", "text", mark).repartitionByRange(parts, "doc_id", "mark").sortWithinPartitions("doc_id", "mark")
@@ -176,7 +172,7 @@ def read_records(spark: SparkSession, folder: str, files: DataFrame) -> DataFram
         before += tokens
 
     def run(batches):
-        where, base = _filesystem(folder)
+        where, base = filesystem(folder)
         for batch in batches:
             for name, before, n, tokens in zip(*(c.to_pylist() for c in batch.columns)):
                 with where.open_input_file(f"{base}/{name}.idx") as source:
@@ -206,7 +202,7 @@ def read_records(spark: SparkSession, folder: str, files: DataFrame) -> DataFram
 
 def read_at(folder: str, file: str, k: int) -> tuple[int | None, np.ndarray]:
     """The k-th record of a file, by its index."""
-    where, base = _filesystem(folder)
+    where, base = filesystem(folder)
     with where.open_input_file(f"{base}/{file}.idx") as index, where.open_input_file(f"{base}/{file}.rec") as source:
         at = int(np.frombuffer(index.read_at(8, 8 * k), "<u8")[0])
         size = struct.unpack("<Q", source.read_at(8, at))[0]
