@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from moldwise.llm import decontaminate, jaccard, nearest, ngram_lm, quality, segment, sharding, token_records, toxicity
+from moldwise.llm import decontaminate, jaccard, language, nearest, ngram_lm, quality, segment, sharding, token_records, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(_table(spark, sf_dir, "documents")).drop("class_id")
 
 
+def op4_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_report(_table(spark, sf_dir, "documents"))
+
+
 def op5_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records.token_report(_table(spark, sf_dir, "documents"))
 
@@ -50,6 +54,6 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_trie, op2_sharding, op3_jaccard_join, op5_token_records, op6_sampled_segmentation, op7_nearest_neighbours, op8_quality_classifier, op9_toxicity, op10_decontamination)
+    f.__name__: f for f in (op1_ngram_trie, op2_sharding, op3_jaccard_join, op4_language_crf, op5_token_records, op6_sampled_segmentation, op7_nearest_neighbours, op8_quality_classifier, op9_toxicity, op10_decontamination)
 }
 SQL: dict[str, str] = {"op3_jaccard_join": jaccard.ORACLE_SQL, "op7_nearest_neighbours": nearest.ORACLE_SQL, "op10_decontamination": decontaminate.ORACLE_SQL}
