@@ -85,8 +85,8 @@ def score(model: Model, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarra
     return [1 / (1 + np.exp(-np.clip(mean, -500, 500)))]
 
 
-def fit(texts: list[str], labels: np.ndarray, epochs: int = 8, batch: int = 48, rate: float = 0.01, seed: int = 7) -> Model:
-    """Adam on the documents' log loss; both labels weigh the same."""
+def fit(texts: list[str], labels: np.ndarray, steps: int = 400, batch: int = 48, rate: float = 0.01, seed: int = 7) -> Model:
+    """Adam on the documents' log loss, ``steps`` batches of shuffled documents; both labels weigh the same."""
     rng = np.random.default_rng(seed)
     model = Model(
         rng.normal(0, 0.5, (256, DIM)).astype(np.float32), rng.normal(0, (WIDTH * DIM) ** -0.5, (WIDTH * DIM, FILTERS)).astype(np.float32),
@@ -99,20 +99,19 @@ def fit(texts: list[str], labels: np.ndarray, epochs: int = 8, batch: int = 48,
     share = np.where(y > 0, 0.5 / y.mean(), 0.5 / (1 - y).mean())
     names = ("embed", "filters", "shift", "weights", "bias")
     moments = {k: (np.zeros_like(getattr(model, k)), np.zeros_like(getattr(model, k))) for k in names}
-    step, total = 0, epochs * -(-len(y) // batch)
-    for _ in range(epochs):
-        order = rng.permutation(len(y))
-        for at in range(0, len(y), batch):
-            rows = order[at : at + batch]
-            slopes = _slopes(model, [_cropped(texts[i], rng) for i in rows], y[rows], share[rows])
-            step += 1
-            now = rate * (1 - step / (total + 1))
-            for k in names:
-                a, b = moments[k]
-                a, b = 0.9 * a + 0.1 * slopes[k], 0.99 * b + 0.01 * slopes[k] ** 2
-                moments[k] = (a, b)
-                move = now * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.99**step)) + 1e-8)
-                setattr(model, k, float(model.bias - move) if k == "bias" else (getattr(model, k) - move).astype(getattr(model, k).dtype))
+    queue = np.empty(0, np.int64)
+    for step in range(1, steps + 1):
+        if len(queue) < batch:
+            queue = np.append(queue, rng.permutation(len(y)))
+        rows, queue = queue[:batch], queue[batch:]
+        slopes = _slopes(model, [_cropped(texts[i], rng) for i in rows], y[rows], share[rows])
+        now = rate * (1 - step / (steps + 1))
+        for k in names:
+            a, b = moments[k]
+            a, b = 0.9 * a + 0.1 * slopes[k], 0.99 * b + 0.01 * slopes[k] ** 2
+            moments[k] = (a, b)
+            move = now * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.99**step)) + 1e-8)
+            setattr(model, k, float(model.bias - move) if k == "bias" else (getattr(model, k) - move).astype(getattr(model, k).dtype))
     return model
 
 
