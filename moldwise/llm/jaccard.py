@@ -12,12 +12,14 @@ agrees with each partner on one that isn't empty; only sets that don't, sign
 their empty partitions too.  So every linked pair shares a signature.
 
 Sets alike in every shingle are one class (a 64-bit fingerprint).  Of the
-classes with one signature all are compared with the smallest; components of
+classes with one signature all are compared with the smallest.  Components of
 these links leave few pairs open: those of different components that share a
-signature.  They are compared next, in blocks where a signature has very many
-classes, and the links of both rounds make the components.  Before sets are
-compared, a parity bitmap of each (as many bits as shingles, the next power of
-two) shows a lower bound of the difference, which turns away unlike pairs.
+signature.  Of these each class is compared with the one that looks nearest
+first, and, after the components have grown by the links found, with all that
+are still open, in blocks where a signature has very many classes.  The links
+of all rounds make the components.  Before sets are
+compared, a parity bitmap of each (four to eight bits a shingle) shows a lower
+bound of the difference, which turns away unlike pairs.
 
 Null and empty texts have an empty set and link with nothing; a text of fewer
 than five words is one shingle of them all.  Repeated rows are in one class.
@@ -77,24 +79,42 @@ def fingerprint(values: np.ndarray) -> int:
 
 
 def parity(values: np.ndarray) -> bytes:
-    """A bitmap of the set: bit by bit the parity of the features hashed to it."""
-    log2 = max(6, int(len(values) - 1).bit_length())
+    """A bitmap of the set, four to eight bits a feature: bit by bit the parity of the features hashed to it."""
+    log2 = max(6, int(len(values) - 1).bit_length() + 2)
     bits = np.bincount((mix(values ^ U64(0xA0761D6478BD642F)) >> U64(64 - log2)).astype(np.int64), minlength=1 << log2) & 1
     return np.packbits(bits.astype(np.uint8)).tobytes()
 
 
+def folded(bitmap: bytes, size: int) -> np.ndarray:
+    """A bitmap brought down to ``size`` bytes: a hash's first bits choose the place, so neighbouring bits fold into one."""
+    x = np.frombuffer(bitmap, np.uint8)
+    return x if len(x) == size else np.packbits(np.bitwise_xor.reduce(np.unpackbits(x).reshape(size * 8, -1), axis=1))
+
+
 def differences(one: bytes, others: list[bytes]) -> np.ndarray:
     """Lower bounds of the symmetric differences of one set and others."""
-    out = np.empty(len(others), np.int64)
-    a = np.frombuffer(one, np.uint8)
-    for i, other in enumerate(others):
-        x, y = a, np.frombuffer(other, np.uint8)
-        if len(x) < len(y):
-            x, y = y, x
-        if len(x) > len(y):  # the hash's first bits choose the place, so neighbouring bits fold into one
-            x = np.packbits(np.bitwise_xor.reduce(np.unpackbits(x).reshape(len(y) * 8, -1), axis=1))
-        out[i] = int(np.bitwise_count(x ^ y).sum())
-    return out
+    size = [min(len(one), len(other)) for other in others]
+    return np.array([int(np.bitwise_count(folded(one, n) ^ folded(other, n)).sum()) for n, other in zip(size, others)], np.int64)
+
+
+class Bitmaps:
+    """Bitmaps of several sets, each also folded to the smaller sizes that occur among them."""
+
+    def __init__(self, bitmaps: list[bytes]) -> None:
+        self.size = np.array([len(b) for b in bitmaps])
+        self.at = {n: np.flatnonzero(self.size >= n) for n in np.unique(self.size).tolist()}
+        self.rows = {n: np.stack([folded(bitmaps[i], n) for i in at]).view(U64) for n, at in self.at.items()}
+
+    def differences(self, i: int, others: np.ndarray) -> np.ndarray:
+        """Lower bounds of the differences of set ``i`` and ``others`` (rising indexes)."""
+        out = np.empty(len(others), np.int64)
+        least = np.minimum(self.size[i], self.size[others])
+        for n in np.unique(least).tolist():
+            mine = least == n
+            rows = self.rows[n]
+            own = rows[np.searchsorted(self.at[n], i)]
+            out[mine] = np.bitwise_count(rows[np.searchsorted(self.at[n], others[mine])] ^ own).sum(axis=1)
+        return out
 
 
 def possible(n: int, others: np.ndarray) -> np.ndarray:
@@ -287,8 +307,11 @@ def _linked(docs: DataFrame, classes: DataFrame, near: DataFrame) -> DataFrame:
     return near.join(one, "a").join(two, "b").select("a", "b", "xa", "xb").mapInArrow(run, "a long, b long")
 
 
-def _open_pairs(buckets: DataFrame, labels: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Pairs of different components in one bucket that may link; buckets of many classes in blocks."""
+def _open_pairs(buckets: DataFrame, labels: DataFrame, sketches: DataFrame, nearest: bool) -> DataFrame:
+    """Pairs of different components in one bucket that may link; buckets of many classes in blocks.
+
+    With ``nearest``, only the likeliest partner of each class in each block.
+    """
     known = buckets.join(labels.withColumnRenamed("node", "fp"), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     mixed = known.groupBy("bucket").agg(F.count("*").alias("size"), F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("bucket", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
     rows = known.join(mixed, "bucket").join(sketches, "fp")
@@ -299,18 +322,25 @@ def _open_pairs(buckets: DataFrame, labels: DataFrame, sketches: DataFrame) -> D
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("fp")
         own, fp, label, n = (rows.column(c).to_numpy() for c in ("own", "fp", "label", "n"))
-        sketch = rows.column("sketch").to_pylist()
+        bitmaps = Bitmaps(rows.column("sketch").to_pylist())
         one, two = rows.column("one")[0].as_py(), rows.column("two")[0].as_py()
         a, b = [], []
         for i in range(len(fp)):
-            may = (label != label[i]) & (np.arange(len(fp)) > i)
+            may = label != label[i]
+            if not nearest:
+                may &= np.arange(len(fp)) > i
             if one != two:
                 may &= own != own[i]
             most = possible(int(n[i]), n)
             at = np.flatnonzero(may & (most >= 0))
-            at = at[differences(sketch[i], [sketch[j] for j in at]) <= most[at]]
-            a.extend([fp[i]] * len(at))
-            b.extend(fp[at])
+            apart = bitmaps.differences(i, at)
+            at, apart = at[apart <= most[at]], apart[apart <= most[at]]
+            if nearest and len(at):
+                at = at[[np.argmin(apart / (n[i] + n[at]))]]
+            a.extend(np.minimum(fp[i], fp[at]))
+            b.extend(np.maximum(fp[i], fp[at]))
+        if a:
+            a, b = np.unique(np.array([a, b], np.int64), axis=1)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return cells.groupBy("bucket", "one", "two").applyInArrow(run, "a long, b long").distinct()
@@ -328,10 +358,11 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     links = reliable_checkpoint(_linked(docs, classes, reliable_checkpoint(_near(pairs, sketches))))
     labels = components(links)
     buckets = met.where("kind = 4").select("bucket", "fp").distinct()
-    rest = reliable_checkpoint(_open_pairs(buckets, labels, sketches))
-    if rest.take(1):
-        more = reliable_checkpoint(_linked(docs, classes, rest))
-        labels = components(links.unionByName(more))
+    for nearest in (True, False):
+        near = reliable_checkpoint(_open_pairs(buckets, labels, sketches, nearest))
+        if near.take(1):
+            links = reliable_checkpoint(links.unionByName(_linked(docs, classes, near)))
+            labels = components(links)
     by_class = classes.join(labels.withColumnRenamed("node", "fp"), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     least = by_class.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"))
     return by_class.join(least, "label", "left").select(

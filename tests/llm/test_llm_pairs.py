@@ -136,12 +136,19 @@ def test_contamination_without_rows(spark, edge_docs, edge_rows, no_docs):
     assert decontaminate.contamination_report(no_docs, spark.createDataFrame([(1, "a b c")], "item_id long, text string")).count() == 0
 
 
+def product(v, w):
+    total = 0.0
+    for a, b in zip(v, w):  # sum() would compensate rounding
+        total += a * b
+    return total
+
+
 def plain_nearest(rows, k=20):
     ok = {(i, tuple(float(x) for x in v)) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)}
     out = []
     for i, v in ok:
         if i % 20 == 0:
-            best = sorted((-sum(a * b for a, b in zip(v, w)), j) for j, w in ok if j != i and len(w) == len(v))[:k]
+            best = sorted((-product(v, w), j) for j, w in ok if j != i and len(w) == len(v))[:k]
             out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(best)]
     return sorted(out)
 
