@@ -30,12 +30,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moldwise.llm.eliasfano import filesystem
-from moldwise.llm.textbytes import SPACED, Words, expand, slices, text_bytes
+from moldwise.llm.textbytes import SPACED, Words, expand, run_hashes, slices, text_bytes
 from moldwise.session import checkpoint_dir
 
 END = 2
 MASK = 0xA282EAD8
-HELD = 400_000  # distinct words whose ids a worker keeps
+HELD = 800_000  # distinct units whose ids a worker keeps
 
 
 def masked(data: bytes) -> int:
@@ -63,10 +63,39 @@ def parse(data: memoryview, at: int) -> tuple[int | None, np.ndarray, int]:
     return (doc_id if flags & 1 else None), np.frombuffer(payload, "<u4" if flags & 2 else "<u2", offset=9), to + 4
 
 
-class WordIds:
-    """Ids of a text as those of its words between ASCII white space, each distinct word encoded once.
+_BYTES = np.arange(256)
+LETTER = ((_BYTES | 0x20) >= 0x61) & ((_BYTES | 0x20) <= 0x7A) & (_BYTES < 0x80)
+OTHER = (_BYTES > 0x20) & (_BYTES < 0x7F) & ~LETTER & (_BYTES != 0x27)
 
-    Right for tokenizers that drop white space and never look across it.
+
+def units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of bytes that are encoded by themselves: start, end, whether letter case matters, and each text's bounds.
+
+    Words between white space, cut where ASCII letters meet other ASCII marks.
+    An apostrophe joins (contractions are tokens), and a word with `<|` stays
+    whole, as it may hold a special token.
+    """
+    words = Words(data, offsets, SPACED)
+    letter, other = LETTER[data], OTHER[data]
+    cut = np.zeros(len(data), bool)
+    cut[1:] = (letter[1:] & other[:-1]) | (other[1:] & letter[:-1])
+    cut[words.start] = False
+    special = np.zeros(len(words), bool)
+    special[np.searchsorted(words.start, np.flatnonzero((data[:-1] == 0x3C) & (data[1:] == 0x7C)), "right") - 1] = True
+    inside = np.flatnonzero(cut & SPACED[data])
+    inside = inside[~special[np.searchsorted(words.start, inside, "right") - 1]]
+    start = np.sort(np.concatenate([words.start, inside]))
+    word = np.searchsorted(words.start, start, "right") - 1
+    end = np.minimum(np.append(start[1:], len(data)), words.end[word])
+    foreign = np.append(0, np.cumsum(data >= 0x80))
+    return start, end, special[word] | (foreign[end] > foreign[start]), np.searchsorted(start, offsets)
+
+
+class UnitIds:
+    """Ids of a text as those of its units, each distinct unit encoded once.
+
+    Right for tokenizers that drop white space, ignore the case of ASCII
+    letters and keep letters and other marks in separate tokens.
     """
 
     def __init__(self, path: str) -> None:
@@ -81,43 +110,56 @@ class WordIds:
         self.flat, self.used = np.empty(1 << 16, np.uint32), 0
         self.start, self.count = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
 
-    def _learn(self, hashes: list[int], words: list[str]) -> None:
-        for at in range(0, len(words), 20_000):
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(words[at : at + 20_000], add_special_tokens=False)]
-            count = np.array([len(x) for x in ids], np.int64)
-            flat = np.array([i for x in ids for i in x], np.uint32)
-            while self.used + len(flat) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
-            have = len(self.known)
-            while have + len(ids) > len(self.start):
-                self.start, self.count = (np.concatenate([x, np.empty_like(x)]) for x in (self.start, self.count))
-            self.flat[self.used : self.used + len(flat)] = flat
-            self.count[have : have + len(ids)] = count
-            self.start[have : have + len(ids)] = self.used + np.cumsum(count) - count
-            self.used += len(flat)
-            self.known.update(zip(hashes[at : at + 20_000], range(have, have + len(ids))))
+    def _encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and how many each text has.  Runs of letters are one word each: joined by blanks they are encoded at one go."""
+        if texts[0].isalpha():
+            found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+            count = np.bincount(np.array(found.word_ids, np.int64))
+            if len(count) == len(texts) and count.all():
+                return np.array(found.ids, np.uint32), count
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.array([i for x in ids for i in x], np.uint32), np.array([len(x) for x in ids], np.int64)
+
+    def _learn(self, hashes: list[int], texts: list[str]) -> None:
+        order = sorted(range(len(texts)), key=lambda i: texts[i].isalpha())
+        plain = next((k for k, i in enumerate(order) if texts[i].isalpha()), len(order))
+        for run in (order[:plain], order[plain:]):
+            for at in range(0, len(run), 2000):
+                mine = run[at : at + 2000]
+                flat, count = self._encoded([texts[i] for i in mine])
+                while self.used + len(flat) > len(self.flat):
+                    self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
+                have = len(self.known)
+                while have + len(mine) > len(self.start):
+                    self.start, self.count = (np.concatenate([x, np.empty_like(x)]) for x in (self.start, self.count))
+                self.flat[self.used : self.used + len(flat)] = flat
+                self.count[have : have + len(mine)] = count
+                self.start[have : have + len(mine)] = self.used + np.cumsum(count) - count
+                self.used += len(flat)
+                self.known.update(zip([hashes[i] for i in mine], range(have, have + len(mine))))
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of some texts, and how many are of each."""
-        words = Words(data, offsets, SPACED)
-        if not len(words):
+        start, end, exact, at = units(data, offsets)
+        if not len(start):
             return np.empty(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
-        distinct, first, which = np.unique(words.hashes(2), return_index=True, return_inverse=True)
+        h = np.where(exact, run_hashes(data, start, end, 2), run_hashes(data, start, end, 0))
+        distinct, first, which = np.unique(h, return_index=True, return_inverse=True)
         if len(self.known) + len(distinct) > HELD:
             self.clear()
         names = distinct.tolist()
         new = [i for i, name in enumerate(names) if name not in self.known]
         if new:
-            raw, at, to = data.tobytes(), words.start[first].tolist(), words.end[first].tolist()
-            self._learn([names[i] for i in new], [raw[at[i] : to[i]].decode() for i in new])
+            raw, a, b, keep = data.tobytes(), start[first].tolist(), end[first].tolist(), exact[first].tolist()
+            self._learn([names[i] for i in new], [raw[a[i] : b[i]].decode() if keep[i] else raw[a[i] : b[i]].lower().decode() for i in new])
         place = np.fromiter((self.known[name] for name in names), np.int64, len(names))[which]
         count = self.count[place]
-        total = np.zeros(len(words) + 1, np.int64)
+        total = np.zeros(len(start) + 1, np.int64)
         np.cumsum(count, out=total[1:])
-        return self.flat[expand(self.start[place], count)], np.diff(total[words.at])
+        return self.flat[expand(self.start[place], count)], np.diff(total[at])
 
 
-_encoders: dict[str, WordIds] = {}
+_encoders: dict[str, UnitIds] = {}
 
 
 def write_records(docs: DataFrame, folder: str, tokenizer: str, end: int = END) -> DataFrame:
@@ -133,7 +175,7 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end: int = END)
         context = TaskContext.get()
         place = context.partitionId()
         name = f"{place:06d}-{context.taskAttemptId()}-{uuid.uuid4().hex[:8]}"
-        encoder = _encoders.setdefault(tokenizer, None) or WordIds(tokenizer)
+        encoder = _encoders.setdefault(tokenizer, None) or UnitIds(tokenizer)
         _encoders[tokenizer] = encoder
         n = tokens = at = 0
         offsets = []

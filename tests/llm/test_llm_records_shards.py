@@ -73,3 +73,24 @@ def test_frames_and_damage(tmp_path):
     (tmp_path / "f.rec").write_bytes(data)
     (tmp_path / "f.idx").write_bytes(np.array([0, at], "<u8").tobytes())
     assert token_records.read_at(str(tmp_path), "f", 1)[1].tolist() == [1]
+
+
+def test_units_encode_like_whole_texts():
+    import random
+
+    import pyarrow as pa
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from moldwise.llm.textbytes import text_bytes
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    plain, units = Tokenizer.from_file(path), token_records.UnitIds(path)
+    rng = random.Random(3)
+    parts = ["The", "cat", "it's", "'s", "''ll", ",'s", "!!", "…", "a,b", "x1y22", "<|endoftext|>", "<|EndOfText|>z", "<", "|>", "H\u0331", "h\u0331", "Éa", "İx", "日本", "\u3000", "\u00a0", "\u0301", "é,\u0301", "-", "@", "_", " ", "\n", "\x1c", "\x00", "ǅ", "ﬁ", "ß", "I'VE", "o'Re"]
+    texts = ["".join(rng.choice(parts) + (" " if rng.random() < 0.4 else "") for _ in range(rng.randint(0, 14))) for _ in range(4000)]
+    ids, count = units.encode(*text_bytes(pa.array(texts)))
+    at = 0
+    for text, n in zip(texts, count.tolist()):
+        assert ids[at : at + n].tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
+        at += n
