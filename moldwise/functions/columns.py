@@ -37,6 +37,31 @@ def to_number(c) -> Column:
     return F.when(~F.isnan(x), x)
 
 
+def known(df, name: str) -> Column:
+    """A column with NaN as NULL: NaN is a missing number everywhere."""
+    c = F.col("`" + name.replace("`", "``") + "`")
+    return F.nanvl(c, F.lit(None)) if df.schema[name].dataType.typeName() in ("double", "float") else c
+
+
+# Texts that stand for a missing value in delimited files (the
+# public defaults of pandas.read_csv).
+MISSING_TEXTS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A",
+                 "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
+
+
+def present_text(c) -> Column:
+    """A text, or NULL where it only marks a missing value."""
+    c = _col(c)
+    return F.when(~F.trim(c).isin(MISSING_TEXTS), c)
+
+
+def or_fail(parsed: Column, c, what: str) -> Column:
+    """``parsed``; where it is NULL although the source isn't, the job fails
+    and names the value (no extra pass over the data)."""
+    text = _col(c).cast("string")
+    return F.coalesce(parsed, F.when(text.isNotNull(), F.raise_error(F.concat(F.lit(f"{what}: cannot parse '"), text, F.lit("'")))))
+
+
 def duration_seconds(c) -> Column:
     """``H:M:S`` or ``M:S`` (decimals allowed, surrounding blanks trimmed) -> seconds.
 
@@ -155,6 +180,17 @@ def parse_date_dayfirst(c) -> Column:
     return F.coalesce(*[F.to_date(F.try_to_timestamp(s, F.lit(f))) for f in DAYFIRST_FORMATS])
 
 
+# Formats of a month-first or ISO date column, tried in order.
+MONTHFIRST_FORMATS = ["yyyy-M-d", "M/d/yyyy", "M-d-yyyy", "yyyy/M/d", "yyyy-M-d H:m:s", "yyyy-M-d'T'H:m:s", "M/d/yyyy H:m:s",
+                      "M/d/yyyy H:m"]
+
+
+def parse_date_monthfirst(c) -> Column:
+    """ISO or month-first date parse over a list of common layouts; unparseable -> NULL."""
+    s = F.trim(_col(c).cast("string"))
+    return F.coalesce(*[F.to_date(F.try_to_timestamp(s, F.lit(f))) for f in MONTHFIRST_FORMATS])
+
+
 def date_key(c) -> Column:
     """``yyyy-MM-dd`` string of a date/timestamp column (the join key format)."""
     return F.date_format(_col(c), "yyyy-MM-dd")

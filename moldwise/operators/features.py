@@ -21,14 +21,15 @@ from moldwise.functions.columns import (
     classify_names,
     classify_variable,
     duration_seconds,
+    known,
     machine_key,
+    or_fail,
     parse_date,
+    parse_date_monthfirst,
+    present_text,
     to_number,
 )
 
-# Upper bound on the number of distinct variables turned into columns.
-MAX_VARIABLES = 2000
-
 _STATS = {
     "mean": F.avg,
     "max": F.max,
@@ -46,16 +47,18 @@ def _q(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def discover_values(df: DataFrame, col: str, limit: int = MAX_VARIABLES) -> list:
-    """Sorted distinct non-null values of a low-cardinality column.
+def discover_values(df: DataFrame, col: str, limit: int | None = None) -> list:
+    """Sorted distinct non-null values of a column that is to become column names.
 
-    One distributed ``distinct`` job; the driver only receives at most
-    ``limit + 1`` values and fails loudly beyond the bound.
+    One distributed ``distinct`` job; the result is as large as the schema that
+    it makes.  A ``limit`` fails loudly beyond it.  For variable sets too wide
+    for a schema use ``long_features``.
     """
-    vals = [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().limit(limit + 1).collect()]
-    if len(vals) > limit:
+    vals = df.select(col).where(F.col(col).isNotNull()).distinct()
+    got = [r[0] for r in (vals if limit is None else vals.limit(limit + 1)).collect()]
+    if limit is not None and len(got) > limit:
         raise ValueError(f"column {col!r} has more than {limit} distinct values; pass an explicit list")
-    return sorted(vals)
+    return sorted(got)
 
 
 def _parsed_ts(df: DataFrame, timestamp_col: str) -> Column:
@@ -220,51 +223,68 @@ def wide_numeric(readings: DataFrame, keys: Sequence[str], variable_col: str, va
     return p.groupBy(*keys).agg(*aggs)
 
 
-def date_rejects(df: DataFrame, date_col: str, date_format: str) -> int:
-    """Number of non-empty date texts that do not parse with ``date_format``
-    (one aggregate job)."""
-    c = F.col(date_col)
-    return df.agg(F.count_if(c.isNotNull() & parse_date(c, date_format).isNull()).alias("n")).first()["n"]
-
+def long_features(readings: DataFrame, machine_col: str = "machine_def", timestamp_col: str = "timestamp",
+                  variable_col: str = "variable_name", value_col: str = "value") -> DataFrame:
+    """Daily statistics with one row per (machine, day, variable): the form
+    for variable sets of any width, without a list of variables.
 
-def _check_dates(df: DataFrame, date_col: str, date_format: str, strict: bool) -> None:
-    if strict:
-        n = date_rejects(df, date_col, date_format)
-        if n:
-            raise ValueError(f"{n} values of {date_col!r} do not match {date_format!r}")
+    ``mean``, ``max``, ``std`` and ``count`` of the numbers; ``first``, ``last``
+    and ``delta`` for counters; ``mode`` for status texts (counted per text
+    first, so no buffer grows with the number of texts).
+    """
+    p = prepare_readings(readings, machine_col, timestamp_col, variable_col, value_col)
+    keys = [machine_col, "agg_date", variable_col]
+    for k in keys:
+        p = p.where(F.col(k).isNotNull())
+    vn, counter = F.col("value_numeric"), F.col("var_class") == "counters"
+    order = F.when(counter & vn.isNotNull(), F.struct("timestamp_parsed", vn))
+    numbers = p.where(vn.isNotNull()).groupBy(*keys).agg(
+        F.avg(vn).alias("mean"), F.max(vn).alias("max"), F.stddev_samp(vn).alias("std"), F.count(vn).alias("count"),
+        F.min(order)["value_numeric"].alias("first"), F.max(order)["value_numeric"].alias("last"))
+    numbers = numbers.withColumn("delta", F.col("last") - F.col("first")).withColumn("mode", F.lit(None).cast("string"))
+    texts = p.where((F.col("var_class") == "categorical") & F.col(value_col).isNotNull()).groupBy(*keys, value_col).agg(F.count("*").alias("n"))
+    modes = texts.groupBy(*keys).agg(F.min(F.struct((-F.col("n")).alias("n"), F.col(value_col).alias("v")))["v"].alias("mode"))
+    return numbers.unionByName(modes, allowMissingColumns=True)
+
+
+def _date(df: DataFrame, date_col: str, date_format: str | None, strict: bool) -> Column:
+    """A date column as a date: by one format, or ISO and month-first texts."""
+    c = F.col(date_col)
+    if not isinstance(df.schema[date_col].dataType, StringType):
+        return F.to_date(c)
+    parsed = parse_date(c, date_format) if date_format else parse_date_monthfirst(c)
+    return or_fail(parsed, present_text(c), date_col) if strict else parsed
 
 
 def vertical_features(readings: DataFrame, date_col: str = "date", machine_col: str = "machine_definition",
-                      variable_col: str = "variable_name", value_col: str = "value", date_format: str = "M/d/yyyy",
+                      variable_col: str = "variable_name", value_col: str = "value", date_format: str | None = None,
                       stats: Sequence[str] = ("mean", "std", "min", "max"),
-                      variables: Iterable[str] | None = None, strict_dates: bool = False) -> DataFrame:
+                      variables: Iterable[str] | None = None, strict_dates: bool = True) -> DataFrame:
     """Per (machine, date) statistics of every numeric variable, vertical layout.
 
     The machine is the row's own id normalised to ``M###`` (three digits),
-    so all machine files are handled in one pass.  With ``strict_dates`` a
-    date that does not parse fails the call (one counting job) instead of
-    leaving its rows out.
+    so all machine files are handled in one pass.  Dates are ISO or
+    month-first texts, or follow ``date_format``; one that does not parse
+    fails the job, or with ``strict_dates=False`` leaves its rows out.
     """
-    _check_dates(readings, date_col, date_format, strict_dates)
     p = readings.select(
         machine_key(F.col(machine_col), "digits3").alias("machine_id"),
-        parse_date(F.col(date_col), date_format).alias("date"),
+        _date(readings, date_col, date_format, strict_dates).alias("date"),
         F.col(variable_col), F.col(value_col),
     )
     return wide_numeric(p, ["machine_id", "date"], variable_col, value_col, stats, variables)
 
 
 def sensor_means(readings: DataFrame, date_col: str = "date", machine_col: str = "machine_definition",
-                 variable_col: str = "variable_name", value_col: str = "value", date_format: str = "M/d/yyyy",
-                 variables: Iterable[str] | None = None, strict_dates: bool = False) -> DataFrame:
+                 variable_col: str = "variable_name", value_col: str = "value", date_format: str | None = None,
+                 variables: Iterable[str] | None = None, strict_dates: bool = True) -> DataFrame:
     """Daily mean of each sensor per (date, machine_id), columns named by variable.
 
     Machine ids are rewritten ``M231-11`` -> ``M-231`` to meet the scrap table.
-    ``strict_dates`` as in ``vertical_features``.
+    Dates as in ``vertical_features``.
     """
-    _check_dates(readings, date_col, date_format, strict_dates)
     p = readings.select(
-        parse_date(F.col(date_col), date_format).alias("date"),
+        _date(readings, date_col, date_format, strict_dates).alias("date"),
         machine_key(F.col(machine_col), "hyphen").alias("machine_id"),
         F.col(variable_col), F.col(value_col),
     )
@@ -279,21 +299,18 @@ DAILY_KEYS = ("date", "machine_id", "tool_id", "part_number")
 
 
 def daily_scrap(raw: DataFrame, rename: dict | None = None, keys: Sequence[str] = DAILY_KEYS,
-                value: str = "scrap_quantity") -> DataFrame:
+                value: str = "scrap_quantity", strict_dates: bool = True) -> DataFrame:
     """Daily scrap per (date, machine, tool, part): the MAX of the raw rows.
 
     The raw total repeats on every row of a day, so summing would multiply it.
-    Rows with a NULL key are dropped (a group needs a key).
+    Rows with a NULL key are dropped (a group needs a key); NaN is a missing
+    value; dates as in ``vertical_features``.
     """
     mapping = {k: v for k, v in (rename or DAILY_RENAME).items() if k in raw.columns}
     df = raw.withColumnsRenamed(mapping)
-    dt = df.schema["date"].dataType
-    if isinstance(dt, StringType):
-        df = df.withColumn("date", F.coalesce(parse_date("date", "yyyy-MM-dd"), parse_date("date", "M/d/yyyy")))
-    else:
-        df = df.withColumn("date", F.to_date("date"))
+    df = df.withColumn("date", _date(df, "date", None, strict_dates))
     cond = None
     for k in keys:
         c = F.col(k).isNotNull()
         cond = c if cond is None else cond & c
-    return df.where(cond).groupBy(*keys).agg(F.max(value).alias(value))
+    return df.where(cond).groupBy(*keys).agg(F.max(known(df, value)).alias(value))

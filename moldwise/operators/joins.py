@@ -27,7 +27,7 @@ from moldwise.functions.columns import (
     production_core,
     sensor_core,
 )
-from moldwise.operators.features import discover_values
+from moldwise.operators.features import daily_features
 from moldwise.session import reliable_checkpoint
 
 
@@ -139,7 +139,7 @@ def join_production_features(production: DataFrame, features: DataFrame, prod_da
                              prod_machine: str = "machine_id", feat_date: str = "agg_date",
                              feat_machine: str = "machine_def", keep_unmatched: bool = True,
                              date_format: str | None = None, indicator: bool = False,
-                             materialize_features: bool = False) -> DataFrame:
+                             materialize_features: bool = True) -> DataFrame:
     """Production rows enriched with the daily features of their machine and day.
 
     Left join (all production rows kept) or inner join; many production rows
@@ -147,9 +147,8 @@ def join_production_features(production: DataFrame, features: DataFrame, prod_da
     tells which rows found features.
 
     The feature table is read twice (distinct machine ids for the mapping,
-    and the join).  When it is a lazy plan over raw readings rather than a
-    stored table, ``materialize_features`` writes it once to the shared
-    checkpoint folder so the readings are aggregated only once.
+    and the join), so ``materialize_features`` writes it once to the shared
+    checkpoint folder; pass False for a table that is stored already.
     """
     if materialize_features:
         features = reliable_checkpoint(features)
@@ -175,7 +174,7 @@ def _metric_rows(df: DataFrame, metrics: dict) -> DataFrame:
 def join_report(production: DataFrame, features: DataFrame, target: str = "actual_scrap_qty",
                 prod_date: str = "date", prod_machine: str = "machine_id", feat_date: str = "agg_date",
                 feat_machine: str = "machine_def", keep_unmatched: bool = True,
-                materialize_features: bool = False) -> DataFrame:
+                materialize_features: bool = True) -> DataFrame:
     """Join statistics as (metric, value) rows.
 
     rows before (both sides), distinct dates (both sides), output rows,
@@ -192,7 +191,7 @@ def join_report(production: DataFrame, features: DataFrame, target: str = "actua
         features = reliable_checkpoint(features)
     f = prepare_features(features, feat_date, feat_machine, dedupe=False)
     left = join_production_features(production, features, prod_date, prod_machine, feat_date, feat_machine,
-                                    True, indicator=True)
+                                    True, indicator=True, materialize_features=False)
     by_key = left.groupBy("machine_key", "date_key").agg(
         F.count(F.lit(1)).alias("n"), F.count(target).alias("t"), F.count_if("_matched").alias("m"))
     f_dates = f.select("date_key").where(F.col("date_key").isNotNull()).distinct().withColumn("_in_f", F.lit(True))
@@ -272,16 +271,10 @@ def union_datasets(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def variable_list(df: DataFrame, col: str = "variable_name") -> list:
-    return discover_values(df, col)
-
-
 def build_ml_dataset(readings: DataFrame, production: DataFrame, variables=None, keep_unmatched: bool = True,
-                     materialize_features: bool = False) -> DataFrame:
+                     materialize_features: bool = True) -> DataFrame:
     """ML dataset for all machines at once: daily features of the readings
     joined to the production rows (one plan; no per-machine loop)."""
-    from moldwise.operators.features import daily_features
-
     feats = daily_features(readings, variables=variables)
     return join_production_features(production, feats, keep_unmatched=keep_unmatched,
                                     materialize_features=materialize_features)

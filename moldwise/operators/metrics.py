@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_CLASSES = 1000
+from moldwise.session import reliable_checkpoint
 
 
 def _q(name: str) -> Column:
@@ -38,33 +38,24 @@ def regression_metrics(pred: DataFrame, label: str, prediction: str = "predictio
                     "y_mean", "y_std", "y_range")
 
 
-def improvement(model_metrics: DataFrame, baseline_metrics: DataFrame) -> DataFrame:
-    """Percent improvement of MAE and RMSE over the baseline."""
-    b = baseline_metrics.select(F.col("mae").alias("b_mae"), F.col("rmse").alias("b_rmse"))
-    bm = b.select("b_mae").scalar()
-    br = b.select("b_rmse").scalar()
-    return model_metrics.select(
-        ((bm - F.col("mae")) / bm * 100).alias("mae_improvement_pct"),
-        ((br - F.col("rmse")) / br * 100).alias("rmse_improvement_pct"))
+def _pair_counts(pred: DataFrame, label: str, prediction: str) -> DataFrame:
+    """(actual, predicted, count): the one pass over the predictions, kept for
+    everything that is derived from it."""
+    return reliable_checkpoint(pred.groupBy(_q(label).alias("actual"), _q(prediction).alias("predicted")).agg(
+        F.count(F.lit(1)).alias("count")))
 
 
-def _classes(pred: DataFrame, label: str, prediction: str) -> list:
-    vals = pred.select(_q(label).alias("c")).union(pred.select(_q(prediction).alias("c"))) \
-        .where(F.col("c").isNotNull()).distinct().limit(MAX_CLASSES + 1).collect()
-    if len(vals) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes")
-    return sorted(r[0] for r in vals)
+def _classes(counts: DataFrame) -> DataFrame:
+    both = counts.select(F.col("actual").alias("cls")).union(counts.select(F.col("predicted").alias("cls")))
+    return both.where(F.col("cls").isNotNull()).distinct()
 
 
 def confusion_matrix(pred: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
     """(actual, predicted, count) for every pair of classes seen in either
-    column, zero cells included."""
-    cls = _classes(pred, label, prediction)
-    counts = pred.groupBy(_q(label).alias("actual"), _q(prediction).alias("predicted")).agg(
-        F.count(F.lit(1)).alias("count"))
-    lit = F.array(*[F.lit(c) for c in cls])
-    grid = pred.sparkSession.range(1).select(F.explode(lit).alias("actual")) \
-        .select("actual", F.explode(lit).alias("predicted"))
+    column, zero cells included (the matrix itself is classes squared)."""
+    counts = _pair_counts(pred, label, prediction)
+    every = _classes(counts).agg(F.array_sort(F.collect_list("cls")).alias("all"))
+    grid = every.select(F.explode("all").alias("actual"), "all").select("actual", F.explode("all").alias("predicted"))
     return grid.join(counts, ["actual", "predicted"], "left") \
         .select("actual", "predicted", F.coalesce("count", F.lit(0)).alias("count"))
 
@@ -73,14 +64,11 @@ def classification_metrics(pred: DataFrame, label: str, prediction: str = "predi
     """Per class: precision, recall, F1 and support (0 when undefined), plus
     ``accuracy``, ``macro avg`` and ``weighted avg`` rows (as in a
     classification report; accuracy is in the f1 column)."""
-    # the confusion counts (at most MAX_CLASSES^2 rows) are computed once and
-    # every metric below is derived from that small local table
-    cm_rows = confusion_matrix(pred, label, prediction)
-    cm = pred.sparkSession.createDataFrame(cm_rows.collect(), cm_rows.schema)
+    cm = _pair_counts(pred, label, prediction).where("actual is not null and predicted is not null")
     per = cm.groupBy(F.col("actual").alias("cls")).agg(
         F.sum("count").alias("support"), F.sum(F.when(F.col("actual") == F.col("predicted"), F.col("count"))).alias("tp"))
     pcount = cm.groupBy(F.col("predicted").alias("cls")).agg(F.sum("count").alias("predicted_n"))
-    m = per.join(pcount, "cls")
+    m = _classes(cm).join(per, "cls", "left").join(pcount, "cls", "left").na.fill(0, ["support", "tp", "predicted_n"])
     prec = F.coalesce(F.try_divide(F.col("tp"), F.col("predicted_n")), F.lit(0.0))
     rec = F.coalesce(F.try_divide(F.col("tp"), F.col("support")), F.lit(0.0))
     m = m.select(F.col("cls").cast("string").alias("class"), prec.alias("precision"), rec.alias("recall"),

@@ -35,12 +35,10 @@ from moldwise.session import reliable_checkpoint
 # Inputs of the next-day forecaster, in model order.
 FORECAST_FEATURES = ["machine_code", "tool_code", "part_code", "scrap_lag_1", "scrap_lag_2", "rolling_avg_3"]
 JOB_CODES = {"machine_id": "machine_code", "tool_id": "tool_code", "part_number": "part_code"}
-MAX_CLASSES = 1000
-# Default tree depth (a parameter).  The original forests grow without a
-# limit; Spark allows at most 30, and every extra level is another pass over
-# the data with node statistics that double in size, so the default is
-# bounded for large inputs.
-MAX_TREE_DEPTH = 12
+# Default tree depth (a parameter): the original forests grow without a limit,
+# and 30 is the most that Spark allows.  Each level is another pass over the
+# data, so large inputs may want less.
+MAX_TREE_DEPTH = 30
 
 
 def _q(name: str) -> Column:
@@ -52,21 +50,18 @@ def _assembler(features: Sequence[str], out: str = "features") -> VectorAssemble
 
 
 def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """``n / (classes * n_class)`` per row (class counts are one small job)."""
-    counts = {r[0]: r[1] for r in df.groupBy(_q(label)).count().limit(MAX_CLASSES + 1).collect()}
-    if len(counts) > MAX_CLASSES:
-        raise ValueError("too many classes for balanced weights")
-    n, k = sum(counts.values()), len(counts)
-    w = F.lit(1.0)
-    for c, m in counts.items():
-        w = F.when(_q(label) == F.lit(c), F.lit(n / (k * m))).otherwise(w)
-    return df.withColumn(out, w)
+    """``n / (classes * n_class)`` per row; the class counts are joined (a row
+    for each class), so any number of classes works."""
+    counts = df.groupBy(_q(label).alias("_class")).agg(F.count(F.lit(1)).alias("_m"))
+    every = counts.agg(F.sum("_m").alias("n"), F.count(F.lit(1)).alias("k"))
+    weight = every.select(F.col("n") / F.col("k")).scalar() / F.col("_m")
+    return df.join(counts, _q(label).eqNullSafe(F.col("_class"))).withColumn(out, weight).drop("_class", "_m")
 
 
 def train_rf_regressor(train: DataFrame, features: Sequence[str], label: str, num_trees: int = 100,
                        max_depth: int = MAX_TREE_DEPTH, seed: int = 42) -> PipelineModel:
     rf = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=num_trees, maxDepth=max_depth,
-                               seed=seed)
+                               featureSubsetStrategy="all", seed=seed)
     return Pipeline(stages=[_assembler(features), rf]).fit(train)
 
 
@@ -85,23 +80,27 @@ def train_rf_classifier(train: DataFrame, features: Sequence[str], label: str, n
 
 def train_logistic(train: DataFrame, features: Sequence[str], label: str, max_iter: int = 1000) -> PipelineModel:
     """Logistic regression on standardised features (scaler fitted on the
-    training rows only)."""
+    training rows only), with an L2 penalty of strength one over the rows."""
+    n = train.count()
     return Pipeline(stages=[_assembler(features, "raw"),
                             StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True),
-                            LogisticRegression(featuresCol="features", labelCol=label, maxIter=max_iter)]).fit(train)
+                            LogisticRegression(featuresCol="features", labelCol=label, maxIter=max_iter,
+                                               regParam=1.0 / max(n, 1), standardization=False)]).fit(train)
 
 
 def train_gbt_classifier(train: DataFrame, features: Sequence[str], label: str, max_iter: int = 100,
-                         seed: int = 42) -> PipelineModel:
+                         max_depth: int = 3, seed: int = 42) -> PipelineModel:
     return Pipeline(stages=[_assembler(features),
-                            GBTClassifier(featuresCol="features", labelCol=label, maxIter=max_iter, seed=seed)]).fit(train)
+                            GBTClassifier(featuresCol="features", labelCol=label, maxIter=max_iter, maxDepth=max_depth,
+                                          seed=seed)]).fit(train)
 
 
 def train_gbt_regressor(train: DataFrame, features: Sequence[str], label: str, max_iter: int = 100,
-                        step: float = 0.1, seed: int = 42) -> PipelineModel:
+                        step: float = 0.1, max_depth: int = 6, seed: int = 42) -> PipelineModel:
+    """Boosted regression trees (no L2 penalty on leaves: Spark has none)."""
     return Pipeline(stages=[_assembler(features),
                             GBTRegressor(featuresCol="features", labelCol=label, maxIter=max_iter, stepSize=step,
-                                         seed=seed)]).fit(train)
+                                         maxDepth=max_depth, seed=seed)]).fit(train)
 
 
 def feature_importance(model: PipelineModel, features: Sequence[str], top_n: int | None = 15) -> DataFrame:
@@ -162,11 +161,11 @@ def _run_folds(folds: DataFrame, label: str, k: int, make: Callable[[DataFrame],
 
 def cross_validate(df: DataFrame, features: Sequence[str], label: str, key_cols: Sequence[str], k: int = 5,
                    make: Callable[[DataFrame], PipelineModel] | None = None, seed: int = 42,
-                   parallelism: int = 5) -> DataFrame:
+                   parallelism: int = 5, max_depth: int = MAX_TREE_DEPTH) -> DataFrame:
     """Stratified k-fold scores: one row per fold (accuracy, F1) plus a
     ``mean`` row carrying the verdict (signal > 0.98, strong > 0.85, else
     overfitting)."""
-    make = make or (lambda t: train_rf_classifier(t, features, label, num_trees=100, balanced=True))
+    make = make or (lambda t: train_rf_classifier(t, features, label, num_trees=100, balanced=True, max_depth=max_depth))
     # every fold reads the same rows 2k times: materialise them once
     folds = reliable_checkpoint(stratified_folds(df, label, key_cols, k, seed).select(*features, label, "fold"))
     scores = _run_folds(folds, label, k, make, parallelism)
@@ -178,13 +177,13 @@ def cross_validate(df: DataFrame, features: Sequence[str], label: str, key_cols:
 
 
 def compare_models(df: DataFrame, features: Sequence[str], label: str, key_cols: Sequence[str], k: int = 5,
-                   seed: int = 42, parallelism: int = 5) -> DataFrame:
+                   seed: int = 42, parallelism: int = 5, max_depth: int = MAX_TREE_DEPTH) -> DataFrame:
     """Logistic regression, random forest (100) and gradient boosting (100)
     on the same stratified folds: mean and population std of accuracy, and
     the best model."""
     makers = {
         "Logistic Regression": lambda t: train_logistic(t, features, label),
-        "Random Forest": lambda t: train_rf_classifier(t, features, label, num_trees=100, balanced=False),
+        "Random Forest": lambda t: train_rf_classifier(t, features, label, num_trees=100, balanced=False, max_depth=max_depth),
         "Gradient Boosting": lambda t: train_gbt_classifier(t, features, label),
     }
     folds = reliable_checkpoint(stratified_folds(df, label, key_cols, k, seed).select(*features, label, "fold"))
@@ -212,8 +211,7 @@ class CodedModel:
     features: list = field(default_factory=list)
 
     def encode(self, df: DataFrame, unseen: int | None = 0) -> DataFrame:
-        """Add the code columns; values without a code get ``unseen``.  A code
-        table of proven small size is broadcast, a large one is shuffled."""
+        """Add the code columns; values without a code get ``unseen``."""
         out = df
         for col, (code_col, codes) in self.codes.items():
             out = join_codes(out, col, codes)
@@ -233,16 +231,14 @@ class CodedModel:
     @staticmethod
     def load(spark: SparkSession, path: str) -> "CodedModel":
         meta = json.loads(spark.read.json(f"{path}/meta").first()["meta"])
-        codes = {c: (cc, CodeTable(spark.read.parquet(f"{path}/codes/{c}"), rows))
-                 for c, (cc, rows) in meta["codes"].items()}
+        codes = {c: (cc, CodeTable(spark.read.parquet(f"{path}/codes/{c}"), rows)) for c, (cc, rows) in meta["codes"].items()}
         return CodedModel(PipelineModel.load(f"{path}/model"), codes, meta["features"])
 
 
 def code_tables(df: DataFrame, cols: dict) -> dict:
     """``{col: (code col, CodeTable)}``: sorted-position codes of each column."""
     tables = dense_codes_multi(df, cols)
-    return {c: (o, tables[c]._replace(table=tables[c].table.withColumn(o, F.col(o).cast("int"))))
-            for c, o in cols.items()}
+    return {c: (o, tables[c]._replace(table=tables[c].table.withColumn(o, F.col(o).cast("int")))) for c, o in cols.items()}
 
 
 def train_forecaster(table: DataFrame, label: str = "scrap_quantity", features: Sequence[str] = FORECAST_FEATURES,
@@ -252,7 +248,7 @@ def train_forecaster(table: DataFrame, label: str = "scrap_quantity", features:
     codes = code_tables(table, JOB_CODES)
     cm = CodedModel(None, codes, list(features))
     enc = cm.encode(table.drop(*[c for c in JOB_CODES.values() if c in table.columns]), unseen=None)
-    cm.model = train_gbt_regressor(enc, features, label, max_iter, step, seed)
+    cm.model = train_gbt_regressor(enc, features, label, max_iter, step, seed=seed)
     return cm
 
 
@@ -286,6 +282,6 @@ def train_sensor_model(training: DataFrame, label: str = "scrap_quantity", key_c
     cm.features = feats
     split = row_split(enc, list(key_cols), test_size, seed)
     train = split.where("split = 'train'")
-    cm.model = train_gbt_regressor(train, feats, label, max_iter, step, seed)
+    cm.model = train_gbt_regressor(train, feats, label, max_iter, step, seed=seed)
     metrics = regression_metrics(cm.model.transform(split.where("split = 'test'")), label, "prediction")
     return cm, metrics

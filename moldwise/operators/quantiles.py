@@ -5,8 +5,8 @@ aggregation buffer; for a global quantile that is one task holding the whole
 column.  Here each wanted order statistic is found by narrowing a value
 range: a bounded grid of approximate quantiles splits the current range,
 one aggregate pass counts the rows below / at every grid point, and the
-range holding the wanted rank becomes the next range.  Once a range holds at
-most ``local_limit`` rows they are fetched (a bounded list).  Ties are
+range holding the wanted rank becomes the next range.  Ranges that together
+hold at most ``local_limit`` rows are fetched (a bounded list).  Ties are
 answered directly when the rank falls on a grid value, so a value that fills
 a third of the column does not stall the search.
 
@@ -90,9 +90,13 @@ def _select_ranks(values: DataFrame, wanted: dict, local_limit: int, grid: int)
     # (with its rows) from the rank's range, so the loop always ends; with a
     # 64-point grid a round typically shrinks a range about 50-fold.
     while pending:
-        small = {key: st for key, st in pending.items() if st[3] <= local_limit}
+        small, rows = {}, 0  # ranges that fit the limit all together; the others are narrowed on
+        for key, st in sorted(pending.items(), key=lambda item: item[1][3]):
+            if rows + st[3] > local_limit:
+                break
+            small[key], rows = st, rows + st[3]
         if small:
-            done.update(_fetch(values, small, local_limit * max(len(small), 1)))
+            done.update(_fetch(values, small, local_limit))
             for key in small:
                 pending.pop(key)
         if not pending:
@@ -198,10 +202,6 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], local_limit
     return exact_quantiles_multi(df, [col], probs, local_limit, grid)[col]
 
 
-def exact_median(df: DataFrame, col: str, **kw):
-    return exact_quantiles(df, col, [0.5], **kw)[0]
-
-
 def approx_quantiles_multi(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                            accuracy: int = 10_000) -> dict:
     """Opt-in approximate quantiles (``percentile_approx``, one pass, bounded

@@ -14,96 +14,81 @@ from typing import NamedTuple, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from moldwise.session import reliable_checkpoint
 
 
+# Rows that one range of a global ranking should hold at most.
+ROWS_A_RANGE = 1_000_000
+
+
 def global_row_number(df: DataFrame, order: Sequence[str], out: str = "row_idx",
                       num_partitions: int | None = None) -> DataFrame:
     """0-based position of each row in the total order ``order`` (ties broken
-    by the order columns only, so give a unique order for a deterministic result)."""
+    by the order columns only, so give a unique order for a deterministic result).
+
+    Ranges are sorted inside their partitions before they are stored, and a
+    row's place is its position in the stored partition: no second shuffle.
+    Without ``num_partitions`` there are as many ranges as the row count asks
+    for, so a small table makes few files.
+    """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = [F.col(c) for c in order]
-    # The range partitioner samples its bounds with a seed tied to the RDD, so
-    # two evaluations of the same repartitionByRange may cut differently.  The
-    # partitioned rows are materialised once (reliable checkpoint on shared
-    # storage) and both the numbering and the counting read that copy.
-    ranged = reliable_checkpoint(df.repartitionByRange(n, *cols).withColumn("_pid", F.spark_partition_id()))
-    local = ranged.withColumn("_rn", F.row_number().over(Window.partitionBy("_pid").orderBy(*cols)) - 1)
-    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    if num_partitions is None:
+        df = reliable_checkpoint(df)
+        num_partitions = max(1, -(-df.count() // ROWS_A_RANGE))
+    ranged = df.repartitionByRange(num_partitions, *cols).sortWithinPartitions(*cols)
+    # two evaluations of a range partitioning may cut differently: both the
+    # numbering and the counting read the one stored copy
+    place = F.monotonically_increasing_id()  # partition in the upper bits, row position in the lower 33
+    ranged = reliable_checkpoint(ranged.withColumn("_at", place))
+    pid, rn = F.shiftright("_at", 33).alias("_pid"), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)).alias("_rn")
+    local = ranged.select("*", pid, rn)
+    counts = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # one row per partition: a bounded table, safe to order globally and broadcast
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(
         Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_pid", "_off")
     out_df = local.join(F.broadcast(offsets), "_pid").withColumn(out, F.col("_off") + F.col("_rn"))
-    return out_df.drop("_pid", "_rn", "_off")
+    return out_df.drop("_pid", "_rn", "_off", "_at")
 
 
-# Distinct-value lists up to this size are sorted on the driver; the bound is
-# checked with ``limit(n + 1)`` before anything is relied on.
-SMALL_DISTINCT = 100_000
+# A code table is broadcast up to this many rows (a few MB of labels).
+LABELS_TO_SEND = 100_000
 
 
-def small_sorted_distinct(df: DataFrame, col: str, limit: int = SMALL_DISTINCT) -> list | None:
-    """Sorted distinct non-null values of ``col`` when there are at most
-    ``limit`` of them (one distributed ``distinct`` job, at most ``limit + 1``
-    values reach the driver); ``None`` when there are more."""
-    vals = [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().limit(limit + 1).collect()]
-    return sorted(vals) if len(vals) <= limit else None
+class CodeTable(NamedTuple):
+    """A stored label-code table and its row count."""
 
+    table: DataFrame
+    rows: int
 
-def dense_codes(df: DataFrame, col: str, out: str | None = None, small_limit: int = SMALL_DISTINCT) -> DataFrame:
-    """Code table ``(col, out)``: position of each distinct non-null value in
-    ascending order (what a sorted label encoder assigns).
 
-    A label column with a bounded number of values (checked) gets its table
-    built on the driver and is broadcast by the joins that use it; beyond the
-    bound the distributed global rank is used."""
-    out = out or f"{col}_code"
-    vals = small_sorted_distinct(df, col, small_limit)
-    if vals is not None:
-        field = df.schema[col]
-        return df.sparkSession.createDataFrame(
-            [(v, i) for i, v in enumerate(vals)],
-            StructType([StructField(col, field.dataType), StructField(out, LongType(), False)]))
-    d = df.select(col).where(F.col(col).isNotNull()).distinct()
-    return global_row_number(d, [col], out)
+def dense_codes_multi(df: DataFrame, cols: dict) -> dict:
+    """``{col: CodeTable}``: the position of each distinct non-null value in
+    ascending order (what a sorted label encoder assigns).
 
+    One distinct job over (column, value) pairs and one global ranking serve
+    all columns of one type; a column's codes count from its first position.
+    """
+    out = {}
+    for kind in dict.fromkeys(df.schema[c].dataType.simpleString() for c in cols):
+        names = [c for c in cols if df.schema[c].dataType.simpleString() == kind]
+        pairs = df.select(F.explode(F.array(*[
+            F.struct(F.lit(i).alias("i"), F.col(c).alias("v")) for i, c in enumerate(names)])).alias("p")) \
+            .select("p.i", "p.v").where(F.col("v").isNotNull()).distinct()
+        ranked = reliable_checkpoint(global_row_number(pairs, ["i", "v"], "_k"))
+        facts = {r["i"]: (r["f"], r["n"]) for r in ranked.groupBy("i").agg(F.min("_k").alias("f"), F.count("*").alias("n")).collect()}
+        for i, c in enumerate(names):
+            first, n = facts.get(i, (0, 0))
+            out[c] = CodeTable(ranked.where(F.col("i") == i).select(F.col("v").alias(c), (F.col("_k") - first).alias(cols[c])), n)
+    return out
 
-class CodeTable(NamedTuple):
-    """A label-code table and its row count when it is known to be small."""
 
-    table: DataFrame
-    rows: int | None
+def dense_codes(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
+    """The code table of one column."""
+    return dense_codes_multi(df, {col: out or f"{col}_code"})[col].table
 
 
 def join_codes(df: DataFrame, col: str, codes: CodeTable, how: str = "left") -> DataFrame:
-    """Join a code table; it is broadcast only when its size is proven
-    (built on the driver under the ``SMALL_DISTINCT`` bound)."""
-    t = codes.table
-    if codes.rows is not None and codes.rows <= SMALL_DISTINCT:
-        t = F.broadcast(t)
-    return df.join(t, col, how)
-
-
-def dense_codes_multi(df: DataFrame, cols: dict, small_limit: int = SMALL_DISTINCT) -> dict:
-    """``{col: CodeTable}`` for several text label columns with ONE distinct
-    job over (column, value) pairs (bounded by ``small_limit`` values in
-    total); falls back to one distributed table per column beyond it."""
-    names = list(cols)
-    if all(isinstance(df.schema[c].dataType, StringType) for c in names):
-        pairs = df.select(F.explode(F.array(*[
-            F.struct(F.lit(i).alias("i"), F.col(c).alias("v")) for i, c in enumerate(names)])).alias("p")) \
-            .select("p.i", "p.v").where(F.col("v").isNotNull()).distinct().limit(small_limit + 1).collect()
-        if len(pairs) <= small_limit:
-            spark = df.sparkSession
-            out = {}
-            for i, c in enumerate(names):
-                vals = sorted(r["v"] for r in pairs if r["i"] == i)
-                table = spark.createDataFrame([(v, k) for k, v in enumerate(vals)],
-                                              StructType([StructField(c, StringType()),
-                                                          StructField(cols[c], LongType(), False)]))
-                out[c] = CodeTable(table, len(vals))
-            return out
-    return {c: CodeTable(dense_codes(df, c, o, small_limit), None) for c, o in cols.items()}
+    """Join a code table, broadcast if its counted rows are few."""
+    return df.join(F.broadcast(codes.table) if codes.rows <= LABELS_TO_SEND else codes.table, col, how)

@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, DateType, DoubleType, FloatType, NumericType, StringType,
                                TimestampNTZType, TimestampType)
 
-from moldwise.functions.columns import clean_column_name, to_number
+from moldwise.functions.columns import clean_column_name, known, to_number
 from moldwise.operators.quantiles import quantiles_multi
+from moldwise.session import reliable_checkpoint
 
 # Columns never used as model features by the baseline
 # regressor (target and leakage columns, post-hoc values, identifiers, raw
@@ -159,6 +160,7 @@ def fill_median(df: DataFrame, columns: Sequence[str], exact: bool = True) -> Da
     of every column, used both to find gaps and by the median search."""
     if not columns:
         return df
+    df = reliable_checkpoint(df)  # every round of the search must see the same values
     x = {c: _q(c).cast("double") for c in columns}
     row = df.agg(F.count(F.lit(1)).alias("__n"),
                  *[F.count_if(x[c].isNotNull() & ~F.isnan(x[c])).alias(f"n{i}") for i, c in enumerate(columns)]).first()
@@ -181,8 +183,8 @@ def high_risk_threshold(df: DataFrame, column: str = "actual_scrap_qty", q: floa
 def label_high_risk(df: DataFrame, column: str = "actual_scrap_qty", q: float = 0.75,
                     out: str = "high_scrap_risk", exact: bool = True) -> DataFrame:
     """1 when the value is strictly above the column's ``q`` quantile, else
-    0 (a NULL value counts as 0)."""
+    0 (a NULL or NaN value counts as 0)."""
     t = high_risk_threshold(df, column, q, exact)
     if t is None:
         return df.withColumn(out, F.lit(0))
-    return df.withColumn(out, F.coalesce((_q(column) > F.lit(t)).cast("int"), F.lit(0)))
+    return df.withColumn(out, F.coalesce((known(df, column) > F.lit(t)).cast("int"), F.lit(0)))

@@ -5,7 +5,7 @@ placed by ``md5(key || '#' || seed)``, so the result does not depend on
 partitioning, executor count or retries (``randomSplit`` does).  Rows are
 labelled in place by comparing their own hash with one cut value; no join
 back to a group table is needed.  The cut is the k-th smallest group hash,
-found with a distributed global rank over the distinct hashes.
+found by counting the distinct hashes by prefix, range by range.
 """
 
 from __future__ import annotations
@@ -16,7 +16,13 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from moldwise.operators.ranking import global_row_number, small_sorted_distinct
+from moldwise.functions.columns import known
+from moldwise.operators.ranking import global_row_number
+from moldwise.session import reliable_checkpoint
+
+
+# A table of class starts is broadcast up to this many rows (a few MB).
+CLASSES_TO_SEND = 100_000
 
 
 def _q(name: str) -> Column:
@@ -38,22 +44,27 @@ def group_split(df: DataFrame, group_cols: Sequence[str], test_size: float = 0.2
     groups with the smallest hashes form the test side, so no group is on
     both sides."""
     h = key_hash(group_cols, seed)
-    hashes = df.select(h.alias("_h"))
-    small = small_sorted_distinct(hashes, "_h")
-    if small is not None:
-        n = len(small)
-    else:
-        hashes = hashes.distinct()
-        n = hashes.count()
+    # distinct hashes are stored once; each round counts them by a longer
+    # prefix inside the range that holds the cut (65,536 ranges a round)
+    hashes = reliable_checkpoint(df.select(h.alias("_h")).distinct())
+    n = hashes.count()
     k = math.ceil(test_size * n) if n else 0
     if k <= 0:
         return df.withColumn(out, F.lit("train"))
     if k >= n:
         return df.withColumn(out, F.lit("test"))
-    if small is not None:
-        cut = small[k - 1]
-    else:
-        cut = global_row_number(hashes, ["_h"], "_i").where(F.col("_i") == k - 1).select("_h").first()[0]
+    prefix, rank = "", k - 1
+    while len(prefix) < 32:
+        length = len(prefix) + 4
+        counts = hashes.where(F.col("_h").startswith(prefix)).groupBy(F.substring("_h", 1, length).alias("p")).count().collect()
+        for p, m in sorted((r["p"], r["count"]) for r in counts):
+            if rank < m:
+                break
+            rank -= m
+        prefix = p
+        if m == 1:
+            break
+    cut = hashes.where(F.col("_h").startswith(prefix)).first()[0]
     return df.withColumn(out, F.when(h <= F.lit(cut), "test").otherwise("train"))
 
 
@@ -76,9 +87,10 @@ def stratified_folds(df: DataFrame, label: str, key_cols: Sequence[str], k: int
     """
     h = key_hash(key_cols, seed)
     ranked = global_row_number(df.withColumn("_h", h), [label, "_h"], "_g")
-    # one row per class; AQE broadcasts it when its measured size is small
-    starts = ranked.groupBy(_q(label).alias("_lab")).agg(F.min("_g").alias("_s"))
-    return ranked.join(starts, _q(label).eqNullSafe(F.col("_lab"))) \
+    # one row per class, stored, so its size is known when the join is planned
+    # (small: broadcast); rows of a class never meet in one task for it
+    starts = reliable_checkpoint(ranked.groupBy(_q(label).alias("_lab")).agg(F.min("_g").alias("_s")))
+    return ranked.join(F.broadcast(starts) if starts.count() <= CLASSES_TO_SEND else starts, _q(label).eqNullSafe(F.col("_lab"))) \
         .withColumn(out, ((F.col("_g") - F.col("_s")) % k).cast("int")).drop("_h", "_g", "_s", "_lab")
 
 
@@ -105,11 +117,11 @@ def matrix_summary(df: DataFrame, features: Sequence[str], target: str) -> DataF
     target mean / population std / min / max."""
     n = F.count(F.lit(1))
     if features:
-        missing = sum((F.count_if(_q(c).isNull()) for c in features), F.lit(0))
+        missing = sum((F.count_if(known(df, c).isNull()) for c in features), F.lit(0))
         miss = F.try_divide(missing * 100.0, n * len(features))
     else:
         miss = F.lit(None).cast("double")
-    y = _q(target)
+    y = known(df, target)
     return df.agg(n.alias("rows"), F.lit(len(features)).alias("features"), miss.alias("missing_pct"),
                   F.avg(y).alias("target_mean"), F.stddev_pop(y).alias("target_std"),
                   F.min(y).cast("double").alias("target_min"), F.max(y).cast("double").alias("target_max"))

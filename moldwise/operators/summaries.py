@@ -17,13 +17,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType, StringType
 
-from moldwise.functions.columns import to_number
+from moldwise.functions.columns import known, to_number
 from moldwise.operators.ranking import global_row_number
 
-# Suffixes that mark aggregated feature columns, and the key
-# columns a joined ML dataset may carry.
+# Suffixes that mark aggregated feature columns.
 FEATURE_SUFFIXES = ("_mean", "_max", "_std", "_count", "_mode", "_delta", "_first", "_last")
-DATASET_KEYS = ("machine_key", "date_key", "machine_id", "machine_nr", "machine_def", "agg_date")
 # Average above which a scrap column is judged a running total, not a daily value.
 CUMULATIVE_AVERAGE = 10000
 
@@ -38,12 +36,6 @@ def _parsed(df: DataFrame, col: str) -> Column:
     return _q(col)
 
 
-def _stack(df: DataFrame, pairs: Sequence[tuple[str, str]], names: Sequence[str]) -> DataFrame:
-    """Unpivot ``(label, alias-of-aggregate)`` pairs of a one-row frame."""
-    body = ", ".join(f"'{lab.replace(chr(39), chr(39) * 2)}', `{a}`" for lab, a in pairs)
-    return df.selectExpr(f"stack({len(pairs)}, {body}) AS ({', '.join(names)})")
-
-
 def profile_readings(readings: DataFrame, timestamp_col: str = "timestamp", variable_col: str = "variable_name",
                      value_col: str = "value") -> DataFrame:
     """One row: rows, distinct variables, first/last timestamp, rows whose
@@ -78,7 +70,7 @@ def rounded_pct(part: Column, whole: Column, digits: int) -> Column:
 def column_missing(df: DataFrame, digits: int | None = None) -> DataFrame:
     """Per column: missing count and percentage (optionally rounded), one pass."""
     cols = df.columns
-    a = df.agg(F.count(F.lit(1)).alias("__n"), *[F.count_if(_q(c).isNull()).alias(f"m{i}") for i, c in enumerate(cols)])
+    a = df.agg(F.count(F.lit(1)).alias("__n"), *[F.count_if(known(df, c).isNull()).alias(f"m{i}") for i, c in enumerate(cols)])
     long = a.selectExpr("__n", "stack({}, {}) AS (column, missing)".format(
         len(cols), ", ".join(f"'{c}', m{i}" for i, c in enumerate(cols))))
     if digits is None:
@@ -162,7 +154,7 @@ def column_stats(df: DataFrame, top: int = 5) -> DataFrame:
     if num:
         aggs = []
         for i, c in enumerate(num):
-            x = _q(c).cast("double")
+            x = known(df, c).cast("double")
             aggs += [F.avg(x).alias(f"a{i}"), F.stddev_samp(x).alias(f"s{i}"), F.min(x).alias(f"l{i}"),
                      F.max(x).alias(f"h{i}")]
         body = ", ".join(f"'{c}', '{types[c]}', a{i}, s{i}, l{i}, h{i}" for i, c in enumerate(num))
@@ -198,11 +190,10 @@ def cumulative_verdict(df: DataFrame, columns: Sequence[str] = ("shift_scrap", "
     cols = [c for c in columns if c in df.columns]
     if not cols:
         return df.sparkSession.createDataFrame([], "column string, average double, maximum double, verdict string")
-    a = df.agg(*[F.avg(_q(c)).alias(f"a{i}") for i, c in enumerate(cols)],
-               *[F.max(_q(c)).cast("double").alias(f"m{i}") for i, c in enumerate(cols)])
-    long = _stack(a, [(c, f"a{i}") for i, c in enumerate(cols)], ["column", "average"])
-    longm = _stack(a, [(c, f"m{i}") for i, c in enumerate(cols)], ["column", "maximum"])
-    out = long.join(longm, "column")
+    a = df.agg(*[F.avg(known(df, c)).alias(f"a{i}") for i, c in enumerate(cols)],
+               *[F.max(known(df, c)).cast("double").alias(f"m{i}") for i, c in enumerate(cols)])
+    body = ", ".join(f"'{c}', a{i}, m{i}" for i, c in enumerate(cols))
+    out = a.selectExpr(f"stack({len(cols)}, {body}) AS (column, average, maximum)")
     return out.select("column", "average", "maximum",
                       F.when(F.col("average") > threshold, "cumulative").otherwise("daily").alias("verdict"))
 
@@ -217,16 +208,16 @@ def dataset_summary(df: DataFrame, target: str = "actual_scrap_qty", machine_col
     zero and positive counts), mean missing % over feature columns, rows with
     any / no feature value, distinct machines and dates."""
     feats = feature_columns(df)
-    t = _q(target)
+    t = known(df, target)
     n = F.count(F.lit(1))
     aggs = [n.alias("total_rows"), F.count(t).alias("target_count"), F.avg(t).alias("target_mean"),
             F.stddev_samp(t).alias("target_std"), F.min(t).cast("double").alias("target_min"),
             F.max(t).cast("double").alias("target_max"), F.count_if(t == 0).alias("target_zeros"),
             F.count_if(t > 0).alias("target_non_zeros")]
     if feats:
-        missing = reduce(lambda a, b: a + b, [F.count_if(_q(c).isNull()) for c in feats])
+        missing = reduce(lambda a, b: a + b, [F.count_if(known(df, c).isNull()) for c in feats])
         aggs.append(F.try_divide(missing * 100.0, n * len(feats)).alias("feature_missing_pct"))
-        anyf = F.coalesce(*[_q(c).cast("string") for c in feats]).isNotNull()
+        anyf = F.coalesce(*[known(df, c).cast("string") for c in feats]).isNotNull()
         aggs += [F.count_if(anyf).alias("rows_with_features"), F.count_if(~anyf).alias("rows_without_features")]
     else:
         aggs += [F.lit(None).cast("double").alias("feature_missing_pct"), F.lit(0).cast("bigint").alias("rows_with_features"),
@@ -262,7 +253,7 @@ def feature_ranges(df: DataFrame) -> DataFrame:
             if isinstance(f.dataType, NumericType) and any(f.name.endswith(f"_{k}") for k in kinds)]
     if not cols:
         return df.sparkSession.createDataFrame([], "column string, kind string, min double, max double")
-    a = df.agg(*[F.min(_q(c)).cast("double").alias(f"l{i}") for i, c in enumerate(cols)],
-               *[F.max(_q(c)).cast("double").alias(f"h{i}") for i, c in enumerate(cols)])
+    a = df.agg(*[F.min(known(df, c)).cast("double").alias(f"l{i}") for i, c in enumerate(cols)],
+               *[F.max(known(df, c)).cast("double").alias(f"h{i}") for i, c in enumerate(cols)])
     body = ", ".join(f"'{c}', '{c.rsplit('_', 1)[1]}', l{i}, h{i}" for i, c in enumerate(cols))
     return a.selectExpr(f"stack({len(cols)}, {body}) AS (column, kind, min, max)")

@@ -12,11 +12,10 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from moldwise.functions.columns import risk_status
-from moldwise.operators.ranking import (SMALL_DISTINCT, CodeTable, dense_codes_multi, global_row_number, join_codes,
-                                        small_sorted_distinct)
+from moldwise.operators.ranking import dense_codes_multi, global_row_number, join_codes
+from moldwise.session import reliable_checkpoint
 
 JOB_KEYS = ("machine_id", "tool_id", "part_number")
 
@@ -82,19 +81,12 @@ def time_split(df: DataFrame, date: str = "date", train_fraction: float = 0.8, o
     least 1) in ascending order; rows before it train, rows on or after it
     test.  With a single distinct date every row is ``train``.
     """
-    small = small_sorted_distinct(df, date)
-    if small is not None:
-        n = len(small)
-    else:
-        dates = df.select(date).where(F.col(date).isNotNull()).distinct()
-        n = dates.count()
+    ranked = reliable_checkpoint(global_row_number(df.select(date).where(F.col(date).isNotNull()).distinct(), [date], "_i"))
+    n = ranked.count()
     k = max(int(n * train_fraction), 1)
     if k >= n:
         return df.withColumn(out, F.lit("train"))
-    if small is not None:
-        cut = small[k]
-    else:
-        cut = global_row_number(dates, [date], "_i").where(F.col("_i") == k).select(date).first()[0]
+    cut = ranked.where(F.col("_i") == k).select(date).first()[0]
     c = F.col(date)
     return df.withColumn(out, F.when(c < F.lit(cut), "train").when(c >= F.lit(cut), "test"))
 
@@ -155,33 +147,6 @@ def with_risk_status(df: DataFrame, prediction: str = "prediction", threshold: f
 
 def forecast_split(daily: DataFrame, train_fraction: float = 0.8, include_current: bool = True,
                    out: str = "split") -> DataFrame:
-    """``time_split(forecast_features(daily))`` with one driver job less.
-
-    The job-label values and the distinct dates come from ONE distinct job
-    over (column, value) pairs of the lag table, checked against the same
-    bound as the label codes; beyond it the two steps run separately.
-    """
-    clean = lag_features(daily, include_current=include_current)
-    codes = {"machine_id": "machine_code", "tool_id": "tool_code", "part_number": "part_code"}
-    if not all(isinstance(clean.schema[c].dataType, StringType) for c in codes):
-        return time_split(encode_jobs(clean), out=out, train_fraction=train_fraction)
-    names = list(codes) + ["date"]
-    pairs = clean.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("i"), F.col(c).cast("string").alias("v")) for i, c in enumerate(names)])).alias("p")) \
-        .select("p.i", "p.v").where(F.col("v").isNotNull()).distinct().limit(SMALL_DISTINCT + 1).collect()
-    if len(pairs) > SMALL_DISTINCT:
-        return time_split(encode_jobs(clean), out=out, train_fraction=train_fraction)
-    spark = clean.sparkSession
-    enc = clean
-    for i, (c, o) in enumerate(codes.items()):
-        vals = sorted(r["v"] for r in pairs if r["i"] == i)
-        table = spark.createDataFrame([(v, k) for k, v in enumerate(vals)], f"`{c}` string, `{o}` int")
-        enc = join_codes(enc, c, CodeTable(table, len(vals)))
-    dates = sorted(r["v"] for r in pairs if r["i"] == len(codes))
-    n = len(dates)
-    k = max(int(n * train_fraction), 1)
-    if k >= n:
-        return enc.withColumn(out, F.lit("train"))
-    cut = F.lit(dates[k]).cast(clean.schema["date"].dataType)
-    d = F.col("date")
-    return enc.withColumn(out, F.when(d < cut, "train").when(d >= cut, "test"))
+    """``time_split(forecast_features(daily))`` with the lag table computed once."""
+    clean = reliable_checkpoint(lag_features(daily, include_current=include_current))
+    return time_split(encode_jobs(clean), out=out, train_fraction=train_fraction)

@@ -469,11 +469,136 @@ QUERIES.update({
 })
 
 
+# ---------------------------------------------------- missing numbers, dates --
+
+
+def q_nan_missing(spark, sf):
+    return _issues(ql.check_missing(fx.customers_with_nan(spark, sf), "customer"))
+
+
+def q_nan_ranges(spark, sf):
+    return _issues(ql.check_ranges(fx.customers_with_nan(spark, sf), "balance", 0.0, 9000.0, "customer"))
+
+
+def q_nan_outliers(spark, sf):
+    return _issues(ql.check_outliers_iqr(fx.customers_with_nan(spark, sf), "balance", 1.5, "customer"))
+
+
+def q_nan_high_risk(spark, sf):
+    return se.label_high_risk(fx.customers_with_nan(spark, sf), "balance", 0.75).select("c_custkey", "high_scrap_risk")
+
+
+def q_nan_column_stats(spark, sf):
+    return round_doubles(sm.column_stats(fx.customers_with_nan(spark, sf)))
+
+
+def q_nan_dataset_summary(spark, sf):
+    data = fx.customers_with_nan(spark, sf).withColumn("balance_mean", F.col("balance"))
+    return round_doubles(sm.dataset_summary(data, "balance", "c_mktsegment", "c_mktsegment"))
+
+
+def q_nan_daily_scrap(spark, sf):
+    """NaN is no value, and text dates of two layouts meet."""
+    return round_doubles(feat.daily_scrap(fx.hydra_with_nan(spark, sf)))
+
+
+def q_standardize_date_iso(spark, sf):
+    """ISO dates; one with a time behind it isn't a date (NULL)."""
+    text = F.when(F.col("order_id") % 5 == 0, F.date_format("order_start", "yyyy-MM-dd HH:mm:ss")).otherwise(F.date_format("order_start", "yyyy-MM-dd"))
+    p = fx.production(spark, sf).select("order_id", text.alias("date"))
+    return jn.standardize_date(p, "date").select("order_id", "date", "date_key")
+
+
+def q_standardize_date_mixed(spark, sf):
+    day = F.col("order_start")
+    text = F.when(F.col("order_id") % 2 == 0, F.date_format(day, "yyyy-MM-dd")).otherwise(F.date_format(day, "dd/MM/yyyy"))
+    return jn.standardize_date(fx.production(spark, sf).select("order_id", text.alias("date")), "date").select("order_id", "date", "date_key")
+
+
+def q_read_by_name(spark, sf):
+    """CSV files whose headers differ in order and columns, with rare decimals
+    and marks for missing numbers, read back without a schema."""
+    base = rd.scratch_path(spark, f"by-name-{uuid.uuid4().hex}")
+    k = F.col("order_id")
+    quantity = F.when(k % 13 == 0, F.lit("NaN")).when(k % 997 == 0, F.concat(F.col("actual_scrap_qty").cast("string"), F.lit(".5"))) \
+        .otherwise(F.col("actual_scrap_qty").cast("string"))
+    p = fx.production(spark, sf).select("order_id", "machine_id", quantity.alias("actual_scrap_qty"))
+    rd.write_dataset(p.where(k % 2 == 0), f"{base}/a", fmt="csv")
+    rd.write_dataset(p.where(k % 2 == 1).select("actual_scrap_qty", "order_id"), f"{base}/b", fmt="csv")
+    return round_doubles(rd.read_production(spark, f"{base}/*"))
+
+
+def q_long_features(spark, sf):
+    return round_doubles(feat.long_features(fx.readings(spark, sf)))
+
+
+def q_build_ml_dataset(spark, sf):
+    return round_doubles(jn.build_ml_dataset(fx.readings(spark, sf), fx.production(spark, sf), variables=FIXTURE_VARIABLES))
+
+
+def q_rows_per_date(spark, sf):
+    return jn.rows_per_date(fx.production(spark, sf), "date")
+
+
+def q_check_columns(spark, sf):
+    return _issues(ql.check_columns(fx.production(spark, sf), ["order_id", "cavity"], ["shift", "remark"], "HydraData"))
+
+
+def q_check_types(spark, sf):
+    expected = {"order_id": "numeric", "date": "datetime", "article": "string", "shift": "categorical"}
+    return _issues(ql.check_types(fx.production(spark, sf), expected, "HydraData"))
+
+
+def q_validate_dispatch(spark, sf):
+    return _issues(ql.validate(fx.production(spark, sf), "hydra", key_columns=["machine_id", "date"])
+                   .unionByName(ql.validate(fx.readings(spark, sf), "param")))
+
+
+def q_variable_summary(spark, sf):
+    return ql.variable_summary(fx.readings(spark, sf))
+
+
+def q_issue_details(spark, sf):
+    """What the range, duplicate and missing-value issues carry besides their message."""
+    issues = ql.check_ranges(fx.customers_with_nan(spark, sf), "balance", 0.0, 9000.0, "customer") \
+        .unionByName(ql.check_missing(fx.customers_with_nan(spark, sf), "customer")) \
+        .unionByName(ql.check_duplicates(fx.order_facts(spark, sf), ["o_custkey", "o_orderdate"], "orders"))
+    get = lambda key: F.get_json_object("details", f"$.{key}").cast("double").alias(key)
+    return round_doubles(issues.select("column", "issue_type", *map(get, (
+        "violation_count", "actual_min", "actual_max", "missing_count", "missing_pct", "duplicate_count"))))
+
+
+QUERIES.update({
+    "nan_missing": q_nan_missing,
+    "nan_ranges": q_nan_ranges,
+    "nan_outliers": q_nan_outliers,
+    "nan_high_risk": q_nan_high_risk,
+    "nan_column_stats": q_nan_column_stats,
+    "nan_dataset_summary": q_nan_dataset_summary,
+    "nan_daily_scrap": q_nan_daily_scrap,
+    "standardize_date_iso": q_standardize_date_iso,
+    "standardize_date_mixed": q_standardize_date_mixed,
+    "read_by_name": q_read_by_name,
+    "long_features": q_long_features,
+    "build_ml_dataset": q_build_ml_dataset,
+    "rows_per_date": q_rows_per_date,
+    "check_columns": q_check_columns,
+    "check_types": q_check_types,
+    "validate_dispatch": q_validate_dispatch,
+    "variable_summary": q_variable_summary,
+    "issue_details": q_issue_details,
+})
+
+
 # ------------------------------------------------------------------ models --
 # Trained-model queries have no SQL form: the driver checks rows only, and
 # tests check invariants (disjoint splits, model vs. naive baseline).
 
 
+# The fixtures are small and the deep default is slow on them.
+FIXTURE_TREE_DEPTH = 12
+
+
 def _baseline_matrix(spark, sf):
     """ML dataset -> sorted numeric features (median-filled) + group split."""
     ml = _ml_dataset(spark, sf)
@@ -485,7 +610,7 @@ def _baseline_matrix(spark, sf):
 def _rf_regressor(spark, sf):
     s, feats = _baseline_matrix(spark, sf)
     train, test = s.where("split = 'train'"), s.where("split = 'test'")
-    return md.train_rf_regressor(train, feats, "actual_scrap_qty"), feats, train, test
+    return md.train_rf_regressor(train, feats, "actual_scrap_qty", max_depth=FIXTURE_TREE_DEPTH), feats, train, test
 
 
 def q_rf_regressor(spark, sf):
@@ -507,7 +632,8 @@ def q_risk_classifier(spark, sf):
     feats = se.risk_features(df)
     data = df.select("date", "high_scrap_risk", *feats).na.fill(0.0, subset=feats)
     s = sp.group_split(data, ["date"])
-    model = md.train_rf_classifier(s.where("split = 'train'"), feats, "high_scrap_risk", num_trees=200)
+    model = md.train_rf_classifier(s.where("split = 'train'"), feats, "high_scrap_risk", num_trees=200,
+                                   max_depth=FIXTURE_TREE_DEPTH)
     return md.risk_classifier_report(model, s.where("split = 'test'"), "high_scrap_risk")
 
 
@@ -519,12 +645,12 @@ def _final_frame(spark, sf):
 
 def q_cross_validate(spark, sf):
     frame, feats = _final_frame(spark, sf)
-    return md.cross_validate(frame, feats, "target", ["order_id"], 5)
+    return md.cross_validate(frame, feats, "target", ["order_id"], 5, max_depth=FIXTURE_TREE_DEPTH)
 
 
 def q_compare_models(spark, sf):
     frame, feats = _final_frame(spark, sf)
-    return md.compare_models(frame, feats, "target", ["order_id"], 5)
+    return md.compare_models(frame, feats, "target", ["order_id"], 5, max_depth=FIXTURE_TREE_DEPTH)
 
 
 def q_forecaster(spark, sf):
@@ -643,7 +769,8 @@ def q_final_risk_model(spark, sf):
     frame = se.final_model_frame(ml.withColumn("_row", F.col("order_id")), "target")
     feats = [c for c in frame.columns if c not in ("target", "_row")]
     s = sp.row_split(frame, ["_row"])
-    model = md.train_rf_classifier(s.where("split = 'train'"), feats, "target", num_trees=200)
+    model = md.train_rf_classifier(s.where("split = 'train'"), feats, "target", num_trees=200,
+                                   max_depth=FIXTURE_TREE_DEPTH)
     path = rd.scratch_path(spark, f"final-model-{uuid.uuid4().hex}")
     model.write().overwrite().save(path)
     back = md.PipelineModel.load(path)

@@ -9,17 +9,24 @@ from __future__ import annotations
 
 DIGITS = 6
 
-NUM_RE = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)$"
+# Texts that DuckDB casts to a double but that are no plain numbers: with
+# anything besides digits, signs, a point and an exponent letter, or with a
+# digit separator.  Infinity is a number, NaN isn't.
+INFINITY = "('inf', 'infinity', '+inf', '+infinity', '-inf', '-infinity')"
+
+
+def _plain(x: str) -> str:
+    return (f"((translate(lower({x}), '0123456789.+-e', '') = '' AND translate({x}, '.+-eE', '') <> '') "
+            f"OR lower({x}) IN {INFINITY})")
 
 
 def to_number(x: str) -> str:
-    return (f"(CASE WHEN regexp_matches(trim({x}), '{NUM_RE}') AND NOT isnan(try_cast(trim({x}) AS DOUBLE)) "
-            f"THEN try_cast(trim({x}) AS DOUBLE) END)")
+    return f"(CASE WHEN {_plain(f'trim({x})')} THEN try_cast(trim({x}) AS DOUBLE) END)"
 
 
 def _part(x: str, i: int) -> str:
     p = f"trim(string_split(trim({x}), ':')[{i}])"
-    return f"(CASE WHEN regexp_matches({p}, '{NUM_RE}') THEN try_cast({p} AS DOUBLE) END)"
+    return f"(CASE WHEN {_plain(p)} THEN try_cast({p} AS DOUBLE) END)"
 
 
 def duration(x: str) -> str:
@@ -390,6 +397,7 @@ def queries_sql() -> dict[str, str]:
         **_summary_queries(),
         **_selection_queries(),
         **_source_queries(),
+        **_missing_queries(),
         **_stream_queries(),
         **_extra_queries(),
     }
@@ -512,8 +520,7 @@ def _missing_sql(table: str, cols: list[tuple[str, bool]], dataset: str, warn=5.
     pct = "(m * 100.0 / n)"
     return f"""SELECT '{dataset}' AS dataset, "column", 'missing_values' AS issue_type,
   CASE WHEN {pct} > {err} THEN 'error' WHEN {pct} > {warn} THEN 'warning' ELSE 'info' END AS severity,
-  CASE WHEN {pct} > {err} THEN 'High missing rate: ' WHEN {pct} > {warn} THEN 'Moderate missing rate: '
-       ELSE 'Some missing values: ' END || {pct1('m', 'n')} || '% (' || {thousands('m')} || ' values)' AS message,
+  {thousands('m')} || ' values missing, ' || {pct1('m', 'n')} || '% of the rows' AS message,
   CAST(m AS BIGINT) AS count, round({pct}, {DIGITS}) AS pct
 FROM ({body}) WHERE n > 0 AND m > 0"""
 
@@ -523,8 +530,7 @@ def _dup_sql(table: str, cols: list[str], keys: list[str], dataset: str, max_pct
     pct = "(dup * 100.0 / n)"
     sql = f"""SELECT '{dataset}' AS dataset, CAST(NULL AS VARCHAR) AS "column", 'duplicates' AS issue_type,
   CASE WHEN {pct} > {max_pct} THEN 'error' ELSE 'warning' END AS severity,
-  CASE WHEN {pct} > {max_pct} THEN 'High duplicate row rate: ' ELSE 'Duplicate rows found: ' END
-    || {pct1('dup', 'n')} || '% (' || {thousands('dup')} || ' rows)' AS message,
+  {thousands('dup')} || ' rows repeat an earlier one, ' || {pct1('dup', 'n')} || '% of the rows' AS message,
   CAST(dup AS BIGINT) AS count, round({pct}, {DIGITS}) AS pct
 FROM (SELECT sum(c) AS n, sum(c - 1) AS dup FROM (SELECT count(*) AS c FROM {table} GROUP BY ALL_COLS))
 WHERE dup > 0""".replace("GROUP BY ALL_COLS", f"GROUP BY {allc}")
@@ -533,7 +539,7 @@ WHERE dup > 0""".replace("GROUP BY ALL_COLS", f"GROUP BY {allc}")
         sql += f"""
 UNION ALL
 SELECT '{dataset}', NULL, 'duplicate_keys', 'warning',
-  'Duplicate keys [{k}]: ' || {pct1('dup', 'n')} || '% (' || {thousands('dup')} || ' rows)',
+  {thousands('dup')} || ' rows repeat a key of ({k}), ' || {pct1('dup', 'n')} || '% of the rows',
   CAST(dup AS BIGINT), round({pct}, {DIGITS})
 FROM (SELECT sum(c) AS n, sum(c - 1) AS dup FROM (SELECT count(*) AS c FROM {table} GROUP BY {k})) WHERE dup > 0"""
     return sql
@@ -543,12 +549,12 @@ def _range_sql(table: str, col: str, lo, hi, dataset: str) -> str:
     parts = []
     if lo is not None:
         parts.append(f"""SELECT '{dataset}' AS dataset, '{col}' AS "column", 'out_of_range' AS issue_type,
-  'error' AS severity, {thousands('k')} || ' values below minimum ({float(lo)})' AS message,
+  'error' AS severity, {thousands('k')} || ' values below the lower bound {float(lo)}' AS message,
   CAST(k AS BIGINT) AS count, CAST(NULL AS DOUBLE) AS pct
 FROM (SELECT count(*) FILTER (WHERE {col} < {lo}) AS k FROM {table}) WHERE k > 0""")
     if hi is not None:
         parts.append(f"""SELECT '{dataset}', '{col}', 'out_of_range', 'error',
-  {thousands('k')} || ' values above maximum ({float(hi)})', CAST(k AS BIGINT), CAST(NULL AS DOUBLE)
+  {thousands('k')} || ' values above the upper bound {float(hi)}', CAST(k AS BIGINT), CAST(NULL AS DOUBLE)
 FROM (SELECT count(*) FILTER (WHERE {col} > {hi}) AS k FROM {table}) WHERE k > 0""")
     return " UNION ALL ".join(parts)
 
@@ -557,7 +563,7 @@ def _outlier_sql(table: str, col: str, mult: float, dataset: str) -> str:
     pct = "(k * 100.0 / n)"
     return f"""SELECT '{dataset}' AS dataset, '{col}' AS "column", 'outliers' AS issue_type,
   CASE WHEN {pct} < 5 THEN 'warning' ELSE 'error' END AS severity,
-  {thousands('k')} || ' potential outliers (' || {pct1('k', 'n')} || '%) using IQR method' AS message,
+  {thousands('k')} || ' values outside the quartile fences (' || {pct1('k', 'n')} || '% of all)' AS message,
   CAST(k AS BIGINT) AS count, round({pct}, {DIGITS}) AS pct
 FROM (SELECT count(*) FILTER (WHERE {col} < q1 - {mult} * (q3 - q1) OR {col} > q3 + {mult} * (q3 - q1)) AS k,
              count({col}) AS n
@@ -569,7 +575,7 @@ WHERE k > 0"""
 
 def _min_rows_sql(table: str, dataset: str, min_rows: int = 100) -> str:
     return f"""SELECT '{dataset}' AS dataset, CAST(NULL AS VARCHAR) AS "column", 'insufficient_data' AS issue_type,
-  'critical' AS severity, 'Dataset has only ' || CAST(n AS VARCHAR) || ' rows, minimum required is {min_rows}' AS message,
+  'critical' AS severity, CAST(n AS VARCHAR) || ' rows are fewer than the {min_rows} needed' AS message,
   CAST(n AS BIGINT) AS count, CAST(NULL AS DOUBLE) AS pct
 FROM (SELECT count(*) AS n FROM {table}) WHERE n < {min_rows}"""
 
@@ -607,7 +613,7 @@ def _quality_queries() -> dict[str, str]:
             _missing_sql("readings", READING_COLS, "ParamData"),
             _dup_sql("readings", [c for c, _ in READING_COLS], [], "ParamData"),
             f"""SELECT 'ParamData', 'variable_name', 'sparse_data', 'info',
-  CAST(k AS VARCHAR) || ' variables have fewer than 10 readings', CAST(k AS BIGINT), CAST(NULL AS DOUBLE)
+  CAST(k AS VARCHAR) || ' variables with under 10 readings', CAST(k AS BIGINT), CAST(NULL AS DOUBLE)
 FROM (SELECT count(*) AS k FROM (SELECT variable_name FROM readings WHERE variable_name IS NOT NULL
       GROUP BY variable_name HAVING count(*) < 10)) WHERE k > 0"""]),
         "validation_report": f"""WITH {PRODUCTION}, issues AS ({_validate_production_body()})
@@ -864,6 +870,96 @@ def _source_queries() -> dict[str, str]:
     }
 
 
+CUST_NAN = """cn AS (
+  SELECT c_custkey, c_mktsegment,
+         CASE WHEN c_custkey % 7 = 0 OR c_custkey % 11 = 0 THEN NULL
+              WHEN c_custkey % 97 = 0 THEN c_acctbal * 50 ELSE c_acctbal END AS balance
+  FROM customer)"""
+
+
+def _missing_queries() -> dict[str, str]:
+    """NaN counts as missing (NULL here), dates of other layouts, and files by header name."""
+    cols = [("c_custkey", False), ("c_mktsegment", False), ("balance", False)]
+    missing, ranges = _missing_sql("cn", cols, "customer"), _range_sql("cn", "balance", 0.0, 9000.0, "customer")
+    top = """(SELECT string_agg(v || ':' || CAST(n AS VARCHAR), '|' ORDER BY n DESC, v)
+   FROM (SELECT c_mktsegment AS v, count(*) AS n FROM cn WHERE c_mktsegment IS NOT NULL GROUP BY 1 ORDER BY n DESC, v LIMIT 5))"""
+    stats = " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", '{t}' AS dtype, {_r(f'avg({c})')} AS mean, {_r(f'stddev_samp({c})')} AS std,
+  {_r(f'CAST(min({c}) AS DOUBLE)')} AS min, {_r(f'CAST(max({c}) AS DOUBLE)')} AS max, CAST(NULL AS BIGINT) AS unique_count,
+  CAST(NULL AS VARCHAR) AS top_values FROM cn""" for c, t in (("c_custkey", "bigint"), ("balance", "double")))
+    stats += f""" UNION ALL SELECT 'c_mktsegment', 'string', NULL, NULL, NULL, NULL, (SELECT count(DISTINCT c_mktsegment) FROM cn), {top}"""
+    day = "strftime(order_start, '%Y-%m-%d')"
+    iso = f"CASE WHEN order_id % 5 = 0 THEN strftime(order_start, '%Y-%m-%d %H:%M:%S') ELSE {day} END"
+    mixed = "CASE WHEN order_id % 2 = 0 THEN strftime(order_start, '%Y-%m-%d') ELSE strftime(order_start, '%d/%m/%Y') END"
+    none = {k: "CAST(NULL AS DOUBLE)" for k in ("violation_count", "actual_min", "actual_max", "missing_count", "missing_pct", "duplicate_count")}
+
+    def details(column: str, kind: str, source: str, **known: str) -> str:
+        values = ", ".join(f"CAST({_r(v)} AS DOUBLE) AS {k}" if k in known else f"{v} AS {k}" for k, v in (none | known).items())
+        return f"""SELECT {column} AS "column", '{kind}' AS issue_type, {values} FROM {source}"""
+
+    parts = [
+        details("'balance'", "out_of_range", "cn HAVING count(*) FILTER (WHERE balance < 0) > 0", violation_count="CAST(count(*) FILTER (WHERE balance < 0) AS DOUBLE)", actual_min="min(balance)"),
+        details("'balance'", "out_of_range", "cn HAVING count(*) FILTER (WHERE balance > 9000) > 0", violation_count="CAST(count(*) FILTER (WHERE balance > 9000) AS DOUBLE)", actual_max="max(balance)"),
+        *(details(f"'{c}'", "missing_values", f"cn HAVING count(*) FILTER (WHERE {c} IS NULL) > 0", missing_count=f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS DOUBLE)", missing_pct=f"count(*) FILTER (WHERE {c} IS NULL) * 100.0 / count(*)") for c, _ in cols),
+        *(details("CAST(NULL AS VARCHAR)", kind, f"(SELECT sum(c - 1) AS dup FROM (SELECT count(*) AS c FROM ofacts GROUP BY {by})) WHERE dup > 0", duplicate_count="CAST(dup AS DOUBLE)")
+          for kind, by in (("duplicates", "ALL_COLS"), ("duplicate_keys", "o_custkey, o_orderdate"))),
+    ]
+    every = "o_custkey, o_orderdate, o_orderstatus, o_orderpriority"
+    counter = "FILTER (WHERE variable_name IN ('Shot_counter', 'Scrap_counter') AND vn IS NOT NULL)"
+    production_issues = _validate_production_body()
+    reading_issues = _quality_queries()["validate_readings"].split("FROM ev) ", 1)[1]
+    return {
+        "nan_missing": f"WITH {CUST_NAN} {missing}",
+        "nan_ranges": f"WITH {CUST_NAN} {ranges}",
+        "nan_outliers": f"WITH {CUST_NAN} " + _outlier_sql("cn", "balance", 1.5, "customer"),
+        "nan_high_risk": f"""WITH {CUST_NAN}, t AS (SELECT quantile_cont(balance, 0.75) AS t FROM cn)
+SELECT c_custkey, CAST(coalesce(balance > t.t, false) AS INTEGER) AS high_scrap_risk FROM cn, t""",
+        "nan_column_stats": f"WITH {CUST_NAN} {stats}",
+        "nan_dataset_summary": f"""WITH {CUST_NAN}
+SELECT 4 AS total_columns, 1 AS feature_columns, count(*) AS total_rows, count(balance) AS target_count,
+  {_r('avg(balance)')} AS target_mean, {_r('stddev_samp(balance)')} AS target_std, {_r('min(balance)')} AS target_min,
+  {_r('max(balance)')} AS target_max, count(*) FILTER (WHERE balance = 0) AS target_zeros,
+  count(*) FILTER (WHERE balance > 0) AS target_non_zeros,
+  {_r('count(*) FILTER (WHERE balance IS NULL) * 100.0 / count(*)')} AS feature_missing_pct,
+  count(balance) AS rows_with_features, count(*) - count(balance) AS rows_without_features,
+  count(DISTINCT c_mktsegment) AS unique_machines, count(DISTINCT c_mktsegment) AS unique_dates FROM cn""",
+        "nan_daily_scrap": """SELECT CAST(l_shipdate AS DATE) AS date, 'M-' || CAST(l_suppkey AS VARCHAR) AS machine_id,
+  l_returnflag AS tool_id, l_linestatus AS part_number,
+  max(CASE WHEN l_linenumber % 3 <> 0 THEN CAST(l_quantity AS DOUBLE) END) AS scrap_quantity
+FROM lineitem WHERE l_shipdate IS NOT NULL GROUP BY ALL""",
+        "standardize_date_iso": f"WITH {PRODUCTION} SELECT order_id, {iso} AS date, CASE WHEN order_id % 5 <> 0 THEN {day} END AS date_key FROM production",
+        "standardize_date_mixed": f"WITH {PRODUCTION} SELECT order_id, {mixed} AS date, strftime(order_start, '%Y-%m-%d') AS date_key FROM production",
+        "read_by_name": f"""WITH {PRODUCTION}
+SELECT order_id, CASE WHEN order_id % 2 = 0 THEN machine_id END AS machine_id,
+  CASE WHEN order_id % 13 = 0 THEN NULL WHEN order_id % 997 = 0 THEN actual_scrap_qty + 0.5 ELSE CAST(actual_scrap_qty AS DOUBLE) END
+    AS actual_scrap_qty FROM production""",
+        "long_features": f"""WITH {PREP},
+m AS (SELECT machine_def, agg_date, variable_name, value AS mode FROM (
+  SELECT machine_def, agg_date, variable_name, value,
+         row_number() OVER (PARTITION BY machine_def, agg_date, variable_name ORDER BY count(*) DESC, value) AS rn
+  FROM prep WHERE variable_name = 'Machine_status' AND value IS NOT NULL
+  GROUP BY machine_def, agg_date, variable_name, value) WHERE rn = 1)
+SELECT machine_def, agg_date, variable_name, {_r('avg(vn)')} AS mean, {_r('max(vn)')} AS max, {_r('stddev_samp(vn)')} AS std,
+  count(vn) AS count, {_r(f'arg_min(vn, row(tsp, vn)) {counter}')} AS "first", {_r(f'arg_max(vn, row(tsp, vn)) {counter}')} AS "last",
+  {_r(f'arg_max(vn, row(tsp, vn)) {counter} - arg_min(vn, row(tsp, vn)) {counter}')} AS delta, CAST(NULL AS VARCHAR) AS mode
+FROM prep WHERE vn IS NOT NULL AND variable_name IS NOT NULL GROUP BY machine_def, agg_date, variable_name
+UNION ALL SELECT machine_def, agg_date, variable_name, NULL, NULL, NULL, NULL, NULL, NULL, NULL, mode FROM m""",
+        "build_ml_dataset": _join_sql("LEFT"),
+        "rows_per_date": f"WITH {PRODUCTION} SELECT date, count(*) AS rows FROM production GROUP BY date",
+        "check_columns": f"""SELECT 'HydraData' AS dataset, 'cavity' AS "column", 'missing_column' AS issue_type, 'error' AS severity,
+  'column cavity is required but absent' AS message, CAST(NULL AS BIGINT) AS count, CAST(NULL AS DOUBLE) AS pct
+UNION ALL SELECT 'HydraData', 'remark', 'missing_column', 'info', 'column remark is absent (optional)', NULL, NULL""",
+        "check_types": """SELECT 'HydraData' AS dataset, 'date' AS "column", 'type_mismatch' AS issue_type, 'warning' AS severity,
+  'date should be datetime but is string' AS message, CAST(NULL AS BIGINT) AS count, CAST(NULL AS DOUBLE) AS pct
+UNION ALL SELECT 'HydraData', 'shift', 'type_mismatch', 'warning', 'shift should be categorical but is int', NULL, NULL""",
+        "validate_dispatch": f"WITH {PRODUCTION}, {READINGS} SELECT * FROM ({production_issues}) UNION ALL SELECT * FROM ({reading_issues})",
+        "variable_summary": f"""WITH {READINGS},
+c AS (SELECT variable_name AS variable, count(*) AS readings FROM readings WHERE variable_name IS NOT NULL GROUP BY 1)
+SELECT (SELECT count(*) FROM c) AS unique_variables, variable, readings FROM c ORDER BY readings DESC, variable LIMIT 10""",
+        "issue_details": f"WITH {CUST_NAN}, {ORDER_FACTS} " + " UNION ALL ".join(parts).replace("ALL_COLS", every),
+    }
+
+
 def _stream_queries() -> dict[str, str]:
     # append mode emits a day once the watermark (latest event - 1 day) has
     # reached the end of that day

@@ -140,6 +140,28 @@ def customers_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def customers_with_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``customer`` with a ``balance`` that is NaN (1/7), NULL (1/11) or far off
+    (1/97) for some rows."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    balance = (F.when(k % 7 == 0, F.lit(float("nan"))).when(k % 11 == 0, F.lit(None).cast("double"))
+                .when(k % 97 == 0, F.col("c_acctbal") * 50).otherwise(F.col("c_acctbal")))
+    return c.select(k, "c_mktsegment", balance.alias("balance"))
+
+
+def hydra_with_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``hydra_raw`` with NaN for every third line number, and text dates, ISO and month-first in turn."""
+    li = table(spark, sf_dir, "lineitem")
+    day = F.to_date("l_shipdate")
+    return li.select(
+        F.when(F.col("l_linenumber") % 2 == 0, F.date_format(day, "yyyy-MM-dd")).otherwise(F.date_format(day, "M/d/yyyy")).alias("date"),
+        F.concat(F.lit("M-"), F.col("l_suppkey").cast("string")).alias("machine_nr"),
+        F.col("l_returnflag").alias("tool_number"), F.col("l_linestatus").alias("article"),
+        F.when(F.col("l_linenumber") % 3 == 0, F.lit(float("nan"))).otherwise(F.col("l_quantity").cast("double")).alias("actual_scrap_qty"),
+    )
+
+
 def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Low-resolution projection of ``orders``; repeated rows occur naturally."""
     return table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority")

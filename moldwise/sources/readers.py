@@ -4,19 +4,23 @@ One read covers a whole directory (``pathGlobFilter`` selects the files) so
 Spark plans one scan with one task per file split, instead of a loop over
 files on the driver.  The file a row came from is taken from the hidden
 ``_metadata`` column, which is how a machine id encoded in a file name
-reaches the rows.  Schemas are explicit where the layout is known: schema
-inference would read the data twice.
+reaches the rows.  Columns are found by header name and read as text; types
+come from a schema or from one pass over all rows, never from a sample.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 from typing import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, FloatType, IntegralType, StringType, StructField, StructType
 
-from moldwise.functions.columns import machine_key, machine_key_from_path
+from moldwise.functions.columns import (machine_key, machine_key_from_path, or_fail, parse_date_monthfirst, present_text,
+                                        to_number)
 from moldwise.session import checkpoint_dir
 
 # Long sensor-reading layout: every field is read as text, values are parsed
@@ -30,21 +34,97 @@ READINGS_SCHEMA = StructType([
 ])
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None, glob: str | None = None,
-             with_source: bool = False, sampling_ratio: float = 0.1) -> DataFrame:
-    """CSV files with a header row.  Without a schema the types are inferred
-    from a sample (``sampling_ratio``) rather than a full extra pass."""
-    r = spark.read.option("header", True).option("mode", "PERMISSIVE")
+def _headers(spark: SparkSession, files: list[str]) -> dict[tuple, list[str]]:
+    """Files by their header row.  Each costs a look at its first line; the
+    looks run side by side, and no data row is read."""
+    def look(file: str) -> tuple:
+        return tuple(spark.read.option("header", True).csv(file).columns)
+
+    with ThreadPoolExecutor(16) as pool:
+        found = list(pool.map(look, files))
+    out: dict[tuple, list[str]] = {}
+    for header, file in zip(found, files):
+        if header:
+            out.setdefault(header, []).append(file)
+    return out
+
+
+def read_text_columns(spark: SparkSession, path: str, columns: Sequence[str] | None = None, glob: str | None = None,
+                      with_source: bool = False) -> DataFrame:
+    """CSV files with header rows as text columns, found by name.
+
+    Files may order their columns differently or lack some (NULL); the header
+    of every file is checked again when it is read.  Blank texts and marks for
+    missing values (``NaN``, ``NA``, ...) become NULL.  Without ``columns``
+    all columns of all files are read, in the order in which they first occur.
+    """
+    listing = spark.read.format("text")
     if glob:
-        r = r.option("pathGlobFilter", glob)
-    if schema is not None:
-        r = r.schema(schema)
+        listing = listing.option("pathGlobFilter", glob)
+    groups = _headers(spark, sorted(unquote(f) for f in listing.load(path).inputFiles()))
+    names = list(columns) if columns is not None else list(dict.fromkeys(c for header in groups for c in header))
+    source = [F.col("_metadata.file_path").alias("source_file")] if with_source else []
+    frames = []
+    for header, files in groups.items():
+        schema = StructType([StructField(c, StringType()) for c in header])
+        df = spark.read.option("header", True).option("enforceSchema", False).schema(schema).csv(files)
+        frames.append(df.select(*[present_text(F.col(f"`{c}`")).alias(c) if c in header else F.lit(None).cast("string").alias(c)
+                                  for c in names], *source))
+    if not frames:
+        return spark.createDataFrame([], StructType([StructField(c, StringType()) for c in [*names, *(["source_file"] if with_source else [])]]))
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _typed(c: str, kind, strict: bool):
+    """A text column as ``kind``; a text that doesn't fit fails the job, or with ``strict=False`` becomes NULL."""
+    text, name = F.col(f"`{c}`"), kind.typeName()
+    if name == "string":
+        return text
+    if isinstance(kind, IntegralType):
+        number = to_number(text)
+        parsed = F.coalesce(F.trim(text).try_cast(kind), F.when(number == F.floor(number), number.try_cast(kind)))
+    elif isinstance(kind, (DoubleType, FloatType)):
+        parsed = to_number(text).cast(kind)
+    elif name == "date":
+        parsed = parse_date_monthfirst(text)
     else:
-        r = r.option("inferSchema", True).option("samplingRatio", sampling_ratio)
-    df = r.csv(path)
-    if with_source:
-        df = df.withColumn("source_file", F.col("_metadata.file_path"))
-    return df
+        parsed = F.trim(text).try_cast(kind)
+    return or_fail(parsed, text, c) if strict else parsed
+
+
+def numbers_where_possible(df: DataFrame) -> DataFrame:
+    """Text columns as ``bigint`` or ``double`` where every value is a whole
+    number or a number; others stay text.  One aggregate over all rows decides
+    (nothing is sampled)."""
+    cols = [f.name for f in df.schema.fields if f.dataType == StringType() and f.name != "source_file"]
+    if not cols:
+        return df
+    facts = []
+    for i, c in enumerate(cols):
+        text, number = F.col(f"`{c}`"), to_number(F.col(f"`{c}`"))
+        facts += [F.count(text).alias(f"n{i}"), F.count(number).alias(f"d{i}"), F.count(F.trim(text).try_cast("bigint")).alias(f"i{i}")]
+    row = df.agg(*facts).first()
+    kinds = {c: "bigint" if row[f"i{i}"] == row[f"n{i}"] else "double" for i, c in enumerate(cols)
+             if row[f"n{i}"] and row[f"d{i}"] == row[f"n{i}"]}
+    return df.withColumns({c: F.trim(F.col(f"`{c}`")).cast("bigint") if k == "bigint" else to_number(F.col(f"`{c}`"))
+                           for c, k in kinds.items()}) if kinds else df
+
+
+def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None, glob: str | None = None,
+             with_source: bool = False, strict: bool = True) -> DataFrame:
+    """CSV files with header rows; columns are found by name.
+
+    With a schema its columns are parsed from text, and a value that doesn't
+    fit fails the job (``strict=False``: NULL).  Without one, columns that
+    hold only numbers become numbers, decided over all rows.
+    """
+    if schema is None:
+        return numbers_where_possible(read_text_columns(spark, path, None, glob, with_source))
+    if isinstance(schema, str):
+        schema = spark.createDataFrame([], schema).schema
+    df = read_text_columns(spark, path, schema.names, glob, with_source)
+    return df.select(*[_typed(f.name, f.dataType, strict).alias(f.name) for f in schema.fields],
+                     *(["source_file"] if with_source else []))
 
 
 def read_readings(spark: SparkSession, path: str, glob: str = "*.csv", machine_from_file: bool = False) -> DataFrame:
@@ -60,9 +140,9 @@ def read_readings(spark: SparkSession, path: str, glob: str = "*.csv", machine_f
 
 
 def read_production(spark: SparkSession, path: str, glob: str | None = None,
-                    schema: StructType | str | None = None) -> DataFrame:
+                    schema: StructType | str | None = None, strict: bool = True) -> DataFrame:
     """Production (order/shift) records from CSV."""
-    return read_csv(spark, path, schema, glob)
+    return read_csv(spark, path, schema, glob, strict=strict)
 
 
 def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:

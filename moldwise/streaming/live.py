@@ -84,8 +84,11 @@ def stream_alerts(scored: DataFrame, threshold: float = ALERT_THRESHOLD) -> Data
 
 def run_available_now(stream: DataFrame, sink: str, checkpoint: str, fmt: str = "parquet",
                       mode: str = "append", timeout_s: int | None = None) -> None:
-    """Process all data available now into ``sink`` and stop."""
+    """Process all data available now into ``sink`` and stop; a run that isn't
+    done after ``timeout_s`` is an error, as its sink is incomplete."""
     q = stream.writeStream.format(fmt).outputMode(mode).option("checkpointLocation", checkpoint) \
         .trigger(availableNow=True).start(sink)
-    q.awaitTermination(timeout_s)
+    done = q.awaitTermination(timeout_s) if timeout_s is not None else q.awaitTermination() or True
     q.stop()
+    if not done:
+        raise TimeoutError(f"the stream was not done after {timeout_s} seconds; {sink} is incomplete")

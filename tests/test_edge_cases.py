@@ -48,17 +48,15 @@ def test_empty_inputs(spark):
 
 
 def test_inline_validation_samples(spark):
-    prod = spark.createDataFrame(
-        [("O001", "M-221", 1, 100, 5.0), ("O002", "M-221", 2, 150, 8.0), ("O003", "M-221", 3, 120, 3.0),
-         ("O004", "M-221", 1, 130, 12.0), ("O005", "M-221", 2, 110, 6.0)],
-        "order_id string, machine_id string, shift int, production_qty int, actual_scrap_qty double")
+    prod = spark.createDataFrame([(f"job-{i}", "M-7", i % 2 + 1, 40 + i, float(2 * i)) for i in range(7)],
+                                 "order_id string, machine_id string, shift int, production_qty int, actual_scrap_qty double")
     issues = {(r["issue_type"], r["severity"]) for r in ql.validate_production(prod).collect()}
     assert ("insufficient_data", "critical") in issues
     assert not any(t == "outliers" for t, _ in issues)
-    start = dt.datetime(2024, 1, 1)
-    vals = [250.5, 120.3, 251.2, 119.8, 249.9] * 10
+    start = dt.datetime(2031, 5, 4)
+    vals = [float(i % 9) for i in range(40)]
     readings = spark.createDataFrame(
-        [("M221-10", start + dt.timedelta(hours=i), "temp" if i % 2 == 0 else "pressure", str(v), None)
+        [("M7-10", start + dt.timedelta(hours=i), "heat" if i % 2 == 0 else "load", str(v), None)
          for i, v in enumerate(vals)], "machine_def string, timestamp timestamp, variable_name string, value string, "
                                        "variable_attribute string")
     got = {(r["issue_type"], r["column"]) for r in ql.validate_readings(readings).collect()}

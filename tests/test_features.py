@@ -98,10 +98,33 @@ def test_variable_names_with_dots_and_blanks(spark):
     assert both["Temp.zone 1_max"] == 4.0
 
 
-def test_strict_dates(spark):
+def test_dates_of_either_layout_and_bad_ones(spark):
     rows = [("1/5/2024", "M231-11", "Cushion", "2"), ("2024-01-05", "M231-11", "Cushion", "4")]
-    df = spark.createDataFrame(rows, "date string, machine_definition string, variable_name string, value string")
-    assert feat.date_rejects(df, "date", "M/d/yyyy") == 1
-    assert feat.vertical_features(df).count() == 1            # the bad row is left out
+    schema = "date string, machine_definition string, variable_name string, value string"
+    df = spark.createDataFrame(rows, schema)
+    assert feat.vertical_features(df).first()["Cushion_mean"] == 3.0
+    assert feat.sensor_means(df, date_format="M/d/yyyy", strict_dates=False).count() == 1  # the ISO row is left out
+    bad = spark.createDataFrame([*rows, ("5 Jan", "M231-11", "Cushion", "4")], schema)
+    for job in (lambda: feat.vertical_features(bad).collect(), lambda: feat.sensor_means(bad, variables=["Cushion"]).collect()):
+        with pytest.raises(Exception, match="cannot parse '5 Jan'"):
+            job()
+    raw = spark.createDataFrame([("nope", "M-1", "T", "A", 1.0)], "date string, machine_nr string, tool_number string, article string, actual_scrap_qty double")
+    with pytest.raises(Exception, match="cannot parse 'nope'"):
+        feat.daily_scrap(raw).collect()
+    assert feat.daily_scrap(raw, strict_dates=False).count() == 0
+
+
+def test_nan_is_missing(spark):
+    nan = float("nan")
+    raw = spark.createDataFrame([("2024-01-05", "M-1", "T", "A", x) for x in (5.0, nan)] + [("2024-01-06", "M-1", "T", "A", nan)],
+                                "date string, machine_nr string, tool_number string, article string, actual_scrap_qty double")
+    assert sorted((str(r["date"]), r["scrap_quantity"]) for r in feat.daily_scrap(raw).collect()) == [("2024-01-05", 5.0), ("2024-01-06", None)]
+
+
+def test_variable_sets_without_a_bound(spark):
+    rows = [("M1-10", "2024-01-05 01:00:00", f"v{i}", str(i), None) for i in range(2500)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert len(feat.discover_values(df, "variable_name")) == 2500
     with pytest.raises(ValueError):
-        feat.sensor_means(df, strict_dates=True)
+        feat.discover_values(df, "variable_name", limit=2000)
+    assert feat.long_features(df).count() == 2500

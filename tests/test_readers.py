@@ -1,3 +1,5 @@
+import pytest
+
 from moldwise.sources import readers as rd
 
 
@@ -23,3 +25,29 @@ def test_filter_machine_and_write(spark, tmp_path):
     assert [r["v"] for r in back.collect()] == [3]
     rd.write_sample(df, str(tmp_path / "sample"), n=2)
     assert rd.read_csv(spark, str(tmp_path / "sample")).count() == 2
+
+
+def test_columns_by_name_rare_decimals_and_missing_marks(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "a.csv").write_text("machine,qty,note\n" + "".join(f"M{i},{i},x\n" for i in range(5000)) + "M5000,0.5,y\n")
+    (raw / "b.csv").write_text("qty,machine\n7,M-b\nNaN,M-c\n,M-d\n")
+    df = rd.read_production(spark, str(raw))
+    assert dict(df.dtypes) == {"machine": "string", "qty": "double", "note": "string"}
+    got = {r["machine"]: (r["qty"], r["note"]) for r in df.collect()}
+    assert got["M5000"] == (0.5, "y") and got["M-b"] == (7.0, None) and got["M-c"][0] is None and got["M-d"][0] is None and len(got) == 5004
+
+
+def test_readings_with_a_reordered_header_and_a_missing_column(spark, tmp_path):
+    (tmp_path / "r.csv").write_text("timestamp,machine_def,value,variable_name\n2024-01-05 01:00:00,M117-10,1.5,Cushion\n")
+    row = rd.read_readings(spark, str(tmp_path)).first()
+    assert (row["machine_def"], row["variable_name"], row["value"], row["variable_attribute"]) == ("M117-10", "Cushion", "1.5", None)
+
+
+def test_schema_is_strict(spark, tmp_path):
+    (tmp_path / "p.csv").write_text("qty,day\n3,1/5/2024\n4.0,2024-01-06\nmany,2024-01-07\n")
+    with pytest.raises(Exception, match="cannot parse 'many'"):
+        rd.read_csv(spark, str(tmp_path), "qty long, day date").collect()
+    got = [(r["qty"], str(r["day"])) for r in rd.read_csv(spark, str(tmp_path), "qty long, day date", strict=False).collect()]
+    assert got == [(3, "2024-01-05"), (4, "2024-01-06"), (None, "2024-01-07")]
+    assert rd.read_csv(spark, str(tmp_path), glob="*.none").count() == 0
