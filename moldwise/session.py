@@ -53,7 +53,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if path:
         return path
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):  # local-cluster has executors of its own
         # a machine-local folder is invisible to other executors and lost with them
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster's distributed storage)")
     path = tempfile.mkdtemp(prefix="moldwise-ckpt-")

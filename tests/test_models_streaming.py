@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from moldwise.operators import models as md
@@ -107,3 +108,27 @@ def test_stream_restart_and_late_rows(spark, tmp_path):
     got2 = run()                                                         # resumes from the checkpoint
     assert got2["2024-01-01"] == 1                                       # late row not counted, day emitted once
     assert set(got2) == {"2024-01-0%d" % d for d in range(1, 6)}         # watermark now Jan 8 12:00
+
+
+def test_model_parameters(spark):
+    rows = spark.createDataFrame([(float(i % 7), float(i % 3), float(i % 2)) for i in range(60)], "a double, b double, y double")
+    forest = md.train_rf_regressor(rows, ["a", "b"], "y", num_trees=2).stages[-1]
+    assert forest.getOrDefault("featureSubsetStrategy") == "all" and forest.getOrDefault("maxDepth") == 30
+    assert md.train_rf_classifier(rows, ["a", "b"], "y", num_trees=2).stages[-1].getOrDefault("maxDepth") == 30
+    assert md.train_gbt_classifier(rows, ["a", "b"], "y", max_iter=1).stages[-1].getOrDefault("maxDepth") == 3
+    boosted = md.train_gbt_regressor(rows, ["a", "b"], "y", max_iter=1).stages[-1]
+    assert boosted.getOrDefault("maxDepth") == 6 and boosted.getOrDefault("stepSize") == 0.1
+    assert md.train_logistic(rows, ["a", "b"], "y").stages[-1].getOrDefault("regParam") == pytest.approx(1 / 60)
+
+
+def test_balanced_weights_of_many_classes(spark):
+    rows = spark.range(3000).select((F.col("id") % 1500).alias("y"))
+    got = md.balanced_weights(rows, "y").agg(F.min("weight").alias("a"), F.max("weight").alias("b"), F.count("*").alias("n")).first()
+    assert (got["a"], got["b"], got["n"]) == (1.0, 1.0, 3000)
+
+
+def test_an_unfinished_stream_is_an_error(spark, tmp_path):
+    spark.range(1000).repartition(50).write.parquet(str(tmp_path / "in"))
+    feed = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    with pytest.raises(TimeoutError):
+        live.run_available_now(feed, str(tmp_path / "out"), str(tmp_path / "ckpt"), timeout_s=1)

@@ -53,3 +53,13 @@ def test_no_cartesian_or_nested_loop_joins(spark, name):
 def test_label_codes_are_broadcast(spark):
     plan = _plan(spark, "lag_features")
     assert plan.count("BroadcastHashJoin") >= 3 and _shuffles(plan) == 2
+
+
+def _scans(plan):
+    """Table scans of the plan that runs (each table is one file)."""
+    return len(re.findall(r"FileScan parquet", plan))
+
+
+@pytest.mark.parametrize("name, most", [("validate_production", 3), ("validation_report", 4), ("join_left", 3)])
+def test_few_scans(spark, name, most):
+    assert _scans(_plan(spark, name)) <= most
