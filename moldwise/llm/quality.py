@@ -85,7 +85,7 @@ def score(model: Model, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarra
     return [1 / (1 + np.exp(-np.clip(mean, -500, 500)))]
 
 
-def fit(texts: list[str], labels: np.ndarray, steps: int = 400, batch: int = 48, rate: float = 0.01, seed: int = 7) -> Model:
+def fit(texts: list[str], labels: np.ndarray, steps: int = 600, batch: int = 48, rate: float = 0.01, seed: int = 7) -> Model:
     """Adam on the documents' log loss, ``steps`` batches of shuffled documents; both labels weigh the same."""
     rng = np.random.default_rng(seed)
     model = Model(
@@ -115,13 +115,13 @@ def fit(texts: list[str], labels: np.ndarray, steps: int = 400, batch: int = 48,
     return model
 
 
-def _cropped(text: str, rng: np.random.Generator, share: float = 0.3) -> str:
+def _cropped(text: str, rng: np.random.Generator, share: float = 0.5) -> str:
     """The text, or now and then a short piece of its second half, so that short documents are learned too."""
     if rng.random() >= share or len(text) < 120:
         return text
     at = int(rng.integers(len(text) // 2, len(text) - 50))
     at = text.find(" ", at) + 1 or at
-    return text[at : at + int(rng.integers(15, 250))]
+    return text[at : at + int(np.exp(rng.uniform(2.3, 6)))]  # 10 to 400 characters
 
 
 def _slopes(model: Model, texts: list[str], y: np.ndarray, share: np.ndarray) -> dict:
