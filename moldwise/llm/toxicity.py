@@ -1,7 +1,7 @@
 """Toxicity by multiple-instance learning: sentences are the instances, only documents have labels.
 
-A sentence's logit is a bias plus the weights of its distinct words; a
-document is toxic if any sentence is (noisy-or over the sentences).  Weights
+A sentence's logit is a bias plus the weights of its distinct words and of
+their stems (first four bytes); a document is toxic if any sentence is (noisy-or over the sentences).  Weights
 are fitted by gradient descent on the documents' likelihood, so the sentences
 that carry a label are found without sentence labels.
 
@@ -19,9 +19,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from moldwise.llm.labelled import add_columns, bounded_sample, fitted
-from moldwise.llm.textbytes import ALNUM, Words, is_fold, text_bytes
+from moldwise.llm.textbytes import ALNUM, U64, Words, is_fold, mix, run_hashes, text_bytes
 
 FOLDS, HELD_OUT = 5, 0
+STEM = 4  # bytes of a word that are a feature besides the word
 #: Sentence ends: full stop, exclamation and question mark, line feed.
 BREAKS = np.zeros(256, bool)
 BREAKS[[0x0A, 0x21, 0x2E, 0x3F]] = True
@@ -29,7 +30,7 @@ BREAKS[[0x0A, 0x21, 0x2E, 0x3F]] = True
 
 @dataclass(frozen=True)
 class Model:
-    words: np.ndarray  # sorted hashes of the words that have a weight
+    words: np.ndarray  # sorted hashes of the words and stems that have a weight
     weights: np.ndarray
     bias: float
 
@@ -47,6 +48,14 @@ def sentences(data: np.ndarray, offsets: np.ndarray) -> tuple[Words, np.ndarray,
     return words, np.cumsum(new) - 1, text[first], first
 
 
+def features(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of each word and of its first four bytes (as far as it is longer), and which word each is of."""
+    h = words.hashes()
+    longer = np.flatnonzero(words.end - words.start > STEM)
+    stems = run_hashes(words.data, words.start[longer], words.start[longer] + STEM)
+    return np.concatenate([h, mix(stems + U64(STEM))]), np.concatenate([np.arange(len(h)), longer])
+
+
 def _known(vocabulary: np.ndarray, h: np.ndarray, sentence: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Index and sentence of the words with a weight, once for each sentence."""
     if not len(vocabulary):
@@ -57,19 +66,17 @@ def _known(vocabulary: np.ndarray, h: np.ndarray, sentence: np.ndarray) -> tuple
     return key % len(vocabulary), key // len(vocabulary)
 
 
-def fit(texts: list[str], labels: np.ndarray, min_docs: int = 4, steps: int = 200, rate: float = 0.1, decay: float = 2e-4) -> Model:
+def fit(texts: list[str], labels: np.ndarray, min_docs: int = 5, steps: int = 250, rate: float = 0.1, decay: float = 2e-4) -> Model:
     """Fit word weights from document labels; words in fewer than ``min_docs`` sampled texts get none."""
     data, offsets = text_bytes(pa.array(texts, pa.string()))
     words, sentence, text, _ = sentences(data, offsets)
     if not len(words) or len(set(labels)) < 2:
         return Model(np.empty(0, np.uint64), np.empty(0), -6.0 if not len(labels) or not labels.max() else 0.0)
-    h = words.hashes()
-    order = np.lexsort((words.text, h))
-    first = np.ones(len(h), bool)
-    first[1:] = (h[order][1:] != h[order][:-1]) | (words.text[order][1:] != words.text[order][:-1])
-    distinct, docs = np.unique(h[order][first], return_counts=True)
+    h, of_word = features(words)
+    pairs = np.unique(np.stack([h, words.text[of_word].astype(U64)], 1), axis=0)  # once for each text
+    distinct, docs = np.unique(pairs[:, 0], return_counts=True)
     vocabulary = distinct[docs >= min_docs]
-    word, of = _known(vocabulary, h, sentence)
+    word, of = _known(vocabulary, h, sentence[of_word])
     y = (labels > 0).astype(float)
     share = np.where(y > 0, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))
     weights, bias = np.zeros(len(vocabulary)), -5.0
@@ -91,7 +98,8 @@ def score(model: Model, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarra
     """For each text: probability, sentences, sentences over one half, and the byte span of the worst sentence."""
     n = len(offsets) - 1
     words, sentence, text, first = sentences(data, offsets)
-    word, of = _known(model.words, words.hashes() if len(words) else np.empty(0, np.uint64), sentence)
+    h, of_word = features(words) if len(words) else (np.empty(0, U64), np.empty(0, np.int64))
+    word, of = _known(model.words, h, sentence[of_word])
     z = model.bias + np.bincount(of, model.weights[word], len(text))
     probability = -np.expm1(-np.bincount(text, np.logaddexp(0, z), n))
     worst = np.full(n, -1)
