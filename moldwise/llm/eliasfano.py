@@ -3,7 +3,8 @@
 A rising sequence of n integers below u is split: the low bits of each lie
 packed side by side, the high bits are a bit vector in which value i sets bit
 (value >> low) + i.  A directory of the zeros before each 64-bit word finds
-where a high part begins, so a successor search is one select and a short scan.
+where a high part begins and ends, so a successor search is two selects and a
+binary search among the low bits between.
 """
 
 from __future__ import annotations
@@ -76,16 +77,20 @@ class EliasFano:
             return out
         high = (x >> U64(self.bits)).astype(np.int64)
         want = x & ((ONE << U64(self.bits)) - ONE)
-        at = self._after_zero(high - 1)
-        on = np.arange(len(x))
-        while len(on):
-            here = at[on]
-            on = on[(self.high[here >> 6] >> (here & 63).astype(U64)) & ONE == ONE]  # no more with this high part
-            got = self._low(at[on] - high[on])
-            same = got == want[on]
-            out[on[same]] = (at[on] - high[on])[same]
-            on = on[got < want[on]]
-            at[on] += 1
+        begin = self._after_zero(high - 1) - high  # values with a smaller high part
+        end = self._after_zero(high) - 1 - high  # and those with this one too
+        on = np.flatnonzero(begin < end)
+        a, b, goal = begin[on], end[on], want[on]
+        while len(on):  # halve the run of one high part: a busy context has many words in it
+            middle = (a + b) >> 1
+            less = self._low(middle) < goal
+            a, b = np.where(less, middle + 1, a), np.where(less, b, middle)
+            done = a >= b
+            if done.any():
+                first = np.flatnonzero(done & (a < end[on]))
+                first = first[self._low(a[first]) == goal[first]]
+                out[on[first]] = a[first]
+                on, a, b, goal = on[~done], a[~done], b[~done], goal[~done]
         return out
 
     def get(self, i: np.ndarray) -> np.ndarray:
