@@ -34,13 +34,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from moldwise.llm.components import components
-from moldwise.llm.textbytes import SPACED, U64, Words, grams, mix, slices, text_bytes
+from moldwise.llm.textbytes import SPACED, U64, Words, expand, grams, mix, slices, text_bytes
 from moldwise.session import reliable_checkpoint
 
 SHINGLE = 5
 GROWTH, ROOM = 1.6, 1.2  # size of a band's end against its start; partitions for each possible difference
 FLUSH = 1 << 21  # signatures that a task gathers before it deals them out
-BLOCK = 2048  # classes of one signature that are compared in one task
+BLOCK = 512  # classes of one signature that are compared at once
+PAIRS = 1 << 19  # pairs that a task looks at together
 FILTER_LOG2 = 23  # bits of the table that picks candidate documents out of a scan
 
 
@@ -101,19 +102,30 @@ class Bitmaps:
     """Bitmaps of several sets, each also folded to the smaller sizes that occur among them."""
 
     def __init__(self, bitmaps: list[bytes]) -> None:
-        self.size = np.array([len(b) for b in bitmaps])
-        self.at = {n: np.flatnonzero(self.size >= n) for n in np.unique(self.size).tolist()}
-        self.rows = {n: np.stack([folded(bitmaps[i], n) for i in at]).view(U64) for n, at in self.at.items()}
-
-    def differences(self, i: int, others: np.ndarray) -> np.ndarray:
-        """Lower bounds of the differences of set ``i`` and ``others`` (rising indexes)."""
-        out = np.empty(len(others), np.int64)
-        least = np.minimum(self.size[i], self.size[others])
+        self.size = np.array([len(b) for b in bitmaps], np.int64)
+        self.rows: dict[int, np.ndarray] = {}
+        self.at: dict[int, np.ndarray] = {}  # row of each set in the table of a size
+        larger, who = np.empty((0, 0), np.uint8), np.empty(0, np.int64)
+        for n in sorted(set(self.size.tolist()), reverse=True):
+            while len(who) and larger.shape[1] > n:
+                bits = np.unpackbits(larger, axis=1)
+                larger = np.packbits(bits[:, ::2] ^ bits[:, 1::2], axis=1)
+            own = np.flatnonzero(self.size == n)
+            rows = np.frombuffer(b"".join(bitmaps[i] for i in own), np.uint8).reshape(-1, n)
+            larger, who = np.concatenate([larger.reshape(-1, n), rows]), np.concatenate([who, own])
+            self.rows[n] = np.ascontiguousarray(larger).view(U64)
+            self.at[n] = np.full(len(bitmaps), -1)
+            self.at[n][who] = np.arange(len(who))
+
+    def differences(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Lower bounds of the differences of paired sets."""
+        out, least = np.empty(len(i), np.int64), np.minimum(self.size[i], self.size[j])
         for n in np.unique(least).tolist():
-            mine = least == n
-            rows = self.rows[n]
-            own = rows[np.searchsorted(self.at[n], i)]
-            out[mine] = np.bitwise_count(rows[np.searchsorted(self.at[n], others[mine])] ^ own).sum(axis=1)
+            mine = np.flatnonzero(least == n)
+            rows, at = self.rows[n], self.at[n]
+            for k in range(0, len(mine), 1 << 15):
+                some = mine[k : k + (1 << 15)]
+                out[some] = np.bitwise_count(rows[at[i[some]]] ^ rows[at[j[some]]]).sum(axis=1)
         return out
 
 
@@ -319,31 +331,58 @@ def _open_pairs(buckets: DataFrame, labels: DataFrame, sketches: DataFrame, near
     cells = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cells = cells.select("bucket", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "own", "fp", "label", "n", "sketch")
 
-    def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by("fp")
-        own, fp, label, n = (rows.column(c).to_numpy() for c in ("own", "fp", "label", "n"))
+    def pairs(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs of some whole cells (rows in order of cells)."""
+        bucket, one, two, own, fp, label, n = (rows.column(c).to_numpy() for c in ("bucket", "one", "two", "own", "fp", "label", "n"))
+        start = np.flatnonzero(np.append(True, (bucket[1:] != bucket[:-1]) | (one[1:] != one[:-1]) | (two[1:] != two[:-1])))
+        later = np.repeat(np.append(start[1:], len(fp)), np.diff(np.append(start, len(fp)))) - np.arange(len(fp)) - 1
         bitmaps = Bitmaps(rows.column("sketch").to_pylist())
-        one, two = rows.column("one")[0].as_py(), rows.column("two")[0].as_py()
-        a, b = [], []
-        for i in range(len(fp)):
-            may = label != label[i]
-            if not nearest:
-                may &= np.arange(len(fp)) > i
-            if one != two:
-                may &= own != own[i]
-            most = possible(int(n[i]), n)
-            at = np.flatnonzero(may & (most >= 0))
-            apart = bitmaps.differences(i, at)
-            at, apart = at[apart <= most[at]], apart[apart <= most[at]]
-            if nearest and len(at):
-                at = at[[np.argmin(apart / (n[i] + n[at]))]]
-            a.extend(np.minimum(fp[i], fp[at]))
-            b.extend(np.maximum(fp[i], fp[at]))
-        if a:
-            a, b = np.unique(np.array([a, b], np.int64), axis=1)
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-    return cells.groupBy("bucket", "one", "two").applyInArrow(run, "a long, b long").distinct()
+        found = [[], [], []]
+        at = 0
+        while at < len(fp):
+            to = max(at + 1, int(np.searchsorted(np.cumsum(later[at:]), PAIRS, "right")) + at)
+            i = np.repeat(np.arange(at, to), later[at:to])
+            j = expand(np.arange(at, to) + 1, later[at:to])
+            may = (label[i] != label[j]) & ((one[i] == two[i]) | (own[i] != own[j]))
+            i, j = i[may], j[may]
+            most = possible(n[i], n[j])
+            i, j, most = i[most >= 0], j[most >= 0], most[most >= 0]
+            apart = bitmaps.differences(i, j)
+            near = apart <= most
+            for column, value in zip(found, (i[near], j[near], apart[near] / (n[i] + n[j])[near])):
+                column.append(value)
+            at = to
+        i, j, apart = (np.concatenate(x) for x in found)
+        if nearest:  # of each row, in either place, the pair that looks nearest
+            row, pair = np.concatenate([i, j]), np.tile(np.arange(len(i)), 2)
+            order = np.lexsort((apart[pair], row))
+            first = order[np.unique(row[order], return_index=True)[1]]
+            keep = np.unique(pair[first])
+            i, j = i[keep], j[keep]
+        both = np.unique(np.stack([np.minimum(fp[i], fp[j]), np.maximum(fp[i], fp[j])], 1), axis=0)
+        return both[:, 0], both[:, 1]
+
+    def run(batches):
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            rows = pa.Table.from_batches(held)
+            last = [rows.column(c).to_numpy() for c in ("bucket", "one", "two")]
+            same = np.logical_and.reduce([x == x[-1] for x in last])
+            whole = len(rows) - int(np.argmin(same[::-1])) if not same.all() else 0  # the last cell may go on
+            if whole:
+                a, b = pairs(rows.slice(0, whole))
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                held = rows.slice(whole).to_batches()
+        if held:
+            a, b = pairs(pa.Table.from_batches(held))
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    parts = int(buckets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = cells.repartition(parts, "bucket", "one", "two").sortWithinPartitions("bucket", "one", "two", "fp")
+    return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:

@@ -57,7 +57,7 @@ def near_copies(seed):
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize("seed, block", [(1, 2048), (2, 4)])
+@pytest.mark.parametrize("seed, block", [(1, 512), (2, 4)])
 def test_components_equal_plain_version(spark, monkeypatch, seed, block):
     monkeypatch.setattr(jaccard, "BLOCK", block)
     rows = near_copies(seed)
@@ -93,6 +93,14 @@ def test_linked_sets_share_a_signature():
                 assert jaccard.differences(jaccard.parity(a), [jaccard.parity(b)])[0] <= len(a) + len(b) - 2 * both <= jaccard.possible(len(a), np.array([len(b)]))[0]
 
 
+def test_bitmaps_in_arrays():
+    rng = np.random.default_rng(8)
+    sets = [np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64)) for n in (1, 3, 9, 20, 40, 70, 70, 130, 300, 3)]
+    maps = [jaccard.parity(s) for s in sets]
+    i, j = map(np.array, zip(*[(a, b) for a in range(len(sets)) for b in range(a)]))
+    assert jaccard.Bitmaps(maps).differences(i, j).tolist() == [jaccard.differences(maps[a], [maps[b]])[0] for a, b in zip(i, j)]
+
+
 def test_star_components(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, 101), (101, 102), (102, 100), (200, 200)] + [(300, 300 + i) for i in range(1, 30)]
     got = {r["node"]: r["label"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
