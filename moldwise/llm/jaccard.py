@@ -18,7 +18,7 @@ signature.  Of these each class is compared with the one that looks nearest
 first, and, after the components have grown by the links found, with all that
 are still open, in blocks where a signature has very many classes.  The links
 of all rounds make the components.  Before sets are
-compared, a parity bitmap of each (four to eight bits a shingle) shows a lower
+compared, a parity bitmap of each (two to four bits a shingle) shows a lower
 bound of the difference, which turns away unlike pairs.
 
 Null and empty texts have an empty set and link with nothing; a text of fewer
@@ -80,8 +80,8 @@ def fingerprint(values: np.ndarray) -> int:
 
 
 def parity(values: np.ndarray) -> bytes:
-    """A bitmap of the set, four to eight bits a feature: bit by bit the parity of the features hashed to it."""
-    log2 = max(6, int(len(values) - 1).bit_length() + 2)
+    """A bitmap of the set, two to four bits a feature: bit by bit the parity of the features hashed to it."""
+    log2 = max(6, int(len(values) - 1).bit_length() + 1)
     bits = np.bincount((mix(values ^ U64(0xA0761D6478BD642F)) >> U64(64 - log2)).astype(np.int64), minlength=1 << log2) & 1
     return np.packbits(bits.astype(np.uint8)).tobytes()
 
@@ -322,7 +322,8 @@ def _linked(docs: DataFrame, classes: DataFrame, near: DataFrame) -> DataFrame:
 def _open_pairs(buckets: DataFrame, labels: DataFrame, sketches: DataFrame, nearest: bool) -> DataFrame:
     """Pairs of different components in one bucket that may link; buckets of many classes in blocks.
 
-    With ``nearest``, only the likeliest partner of each class in each block.
+    With ``nearest``, only the pair of each component in each block that looks
+    nearest; a bucket without such a row has nothing to compare.
     """
     known = buckets.join(labels.withColumnRenamed("node", "fp"), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     mixed = known.groupBy("bucket").agg(F.count("*").alias("size"), F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("bucket", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
@@ -331,8 +332,8 @@ def _open_pairs(buckets: DataFrame, labels: DataFrame, sketches: DataFrame, near
     cells = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cells = cells.select("bucket", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "own", "fp", "label", "n", "sketch")
 
-    def pairs(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        """The pairs of some whole cells (rows in order of cells)."""
+    def pairs(rows: pa.Table) -> pa.RecordBatch:
+        """The pairs of some whole cells (rows in order of cells), and a bucket of each."""
         bucket, one, two, own, fp, label, n = (rows.column(c).to_numpy() for c in ("bucket", "one", "two", "own", "fp", "label", "n"))
         start = np.flatnonzero(np.append(True, (bucket[1:] != bucket[:-1]) | (one[1:] != one[:-1]) | (two[1:] != two[:-1])))
         later = np.repeat(np.append(start[1:], len(fp)), np.diff(np.append(start, len(fp)))) - np.arange(len(fp)) - 1
@@ -353,14 +354,17 @@ def _open_pairs(buckets: DataFrame, labels: DataFrame, sketches: DataFrame, near
                 column.append(value)
             at = to
         i, j, apart = (np.concatenate(x) for x in found)
-        if nearest:  # of each row, in either place, the pair that looks nearest
-            row, pair = np.concatenate([i, j]), np.tile(np.arange(len(i)), 2)
-            order = np.lexsort((apart[pair], row))
-            first = order[np.unique(row[order], return_index=True)[1]]
-            keep = np.unique(pair[first])
+        if nearest:  # of each component in a cell, the pair that looks nearest
+            cell = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(fp))))
+            of, where, pair = np.concatenate([label[i], label[j]]), np.tile(cell[i], 2), np.tile(np.arange(len(i)), 2)
+            order = np.lexsort((apart[pair], of, where))
+            new = np.ones(len(order), bool)
+            new[1:] = (of[order][1:] != of[order][:-1]) | (where[order][1:] != where[order][:-1])
+            keep = np.unique(pair[order[new]])
             i, j = i[keep], j[keep]
-        both = np.unique(np.stack([np.minimum(fp[i], fp[j]), np.maximum(fp[i], fp[j])], 1), axis=0)
-        return both[:, 0], both[:, 1]
+        both = np.stack([np.minimum(fp[i], fp[j]), np.maximum(fp[i], fp[j]), bucket[i]], 1)
+        both = np.unique(both, axis=0) if nearest else both[np.unique(both[:, :2], axis=0, return_index=True)[1]]
+        return pa.RecordBatch.from_arrays([pa.array(both[:, k], pa.int64()) for k in range(3)], names=["a", "b", "bucket"])
 
     def run(batches):
         held: list[pa.RecordBatch] = []
@@ -373,16 +377,14 @@ def _open_pairs(buckets: DataFrame, labels: DataFrame, sketches: DataFrame, near
             same = np.logical_and.reduce([x == x[-1] for x in last])
             whole = len(rows) - int(np.argmin(same[::-1])) if not same.all() else 0  # the last cell may go on
             if whole:
-                a, b = pairs(rows.slice(0, whole))
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                yield pairs(rows.slice(0, whole))
                 held = rows.slice(whole).to_batches()
         if held:
-            a, b = pairs(pa.Table.from_batches(held))
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            yield pairs(pa.Table.from_batches(held))
 
     parts = int(buckets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = cells.repartition(parts, "bucket", "one", "two").sortWithinPartitions("bucket", "one", "two", "fp")
-    return ordered.mapInArrow(run, "a long, b long").distinct()
+    return ordered.mapInArrow(run, "a long, b long, bucket long")
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -398,10 +400,12 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     labels = components(links)
     buckets = met.where("kind = 4").select("bucket", "fp").distinct()
     for nearest in (True, False):
-        near = reliable_checkpoint(_open_pairs(buckets, labels, sketches, nearest))
-        if near.take(1):
-            links = reliable_checkpoint(links.unionByName(_linked(docs, classes, near)))
-            labels = components(links)
+        found = reliable_checkpoint(_open_pairs(buckets, labels, sketches, nearest))
+        if not found.take(1):
+            break  # bitmaps and sizes leave no pair open in any bucket
+        links = reliable_checkpoint(links.unionByName(_linked(docs, classes, found.select("a", "b").distinct())))
+        labels = components(links)
+        buckets = reliable_checkpoint(buckets.join(found.select("bucket").distinct(), "bucket", "left_semi"))
     by_class = classes.join(labels.withColumnRenamed("node", "fp"), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     least = by_class.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"))
     return by_class.join(least, "label", "left").select(
