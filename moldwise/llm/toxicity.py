@@ -5,6 +5,11 @@ their stems (first four bytes); a document is toxic if any sentence is (noisy-or
 are fitted by gradient descent on the documents' likelihood, so the sentences
 that carry a label are found without sentence labels.
 
+A text grows longer by harmless sentences without getting likelier toxic: clean
+texts weigh in the fit as texts joined of several, and a sentence counts only
+by what its mass, -log(1 - probability), has over a floor.  The floor is the
+least at which all clean texts of the fit, joined into one, stay clean.
+
 Null and empty texts have no sentence and score 0.  Repeated rows score alike.
 """
 
@@ -23,6 +28,8 @@ from moldwise.llm.textbytes import ALNUM, U64, Words, is_fold, mix, run_hashes,
 
 FOLDS, HELD_OUT = 5, 0
 STEM = 4  # bytes of a word that are a feature besides the word
+#: Clean texts that are joined in the fit; the excess that all of them together may have; what an excess counts.
+JOINED, EXCESS, GAIN = 10, 0.1, 4.0
 #: Sentence ends: full stop, exclamation and question mark, line feed.
 BREAKS = np.zeros(256, bool)
 BREAKS[[0x0A, 0x21, 0x2E, 0x3F]] = True
@@ -33,6 +40,12 @@ class Model:
     words: np.ndarray  # sorted hashes of the words and stems that have a weight
     weights: np.ndarray
     bias: float
+    floor: float = 0.0  # mass up to which a sentence counts as harmless
+    gain: float = 1.0
+
+    def mass(self, z: np.ndarray) -> np.ndarray:
+        """What sentences with logits ``z`` add to -log(1 - probability) of their text."""
+        return self.gain * np.maximum(np.logaddexp(0, z) - self.floor, 0)
 
 
 def sentences(data: np.ndarray, offsets: np.ndarray) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
@@ -78,7 +91,8 @@ def fit(texts: list[str], labels: np.ndarray, min_docs: int = 5, steps: int = 25
     vocabulary = distinct[docs >= min_docs]
     word, of = _known(vocabulary, h, sentence[of_word])
     y = (labels > 0).astype(float)
-    share = np.where(y > 0, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))
+    # the loss of a joined clean text is the sum of its parts' losses
+    share = np.where(y > 0, 0.5 / max(y.sum(), 1), 0.5 * JOINED / max((1 - y).sum(), 1))
     weights, bias = np.zeros(len(vocabulary)), -5.0
     moment = [np.zeros(len(vocabulary) + 1), np.zeros(len(vocabulary) + 1)]
     for step in range(1, steps + 1):
@@ -91,7 +105,15 @@ def fit(texts: list[str], labels: np.ndarray, min_docs: int = 5, steps: int = 25
         moment[1] += 0.01 * (slope**2 - moment[1])
         move = rate * (moment[0] / (1 - 0.9**step)) / (np.sqrt(moment[1] / (1 - 0.99**step)) + 1e-8)
         weights, bias = weights - move[:-1], bias - move[-1]
-    return Model(vocabulary, weights, float(bias))
+    clean = np.logaddexp(0, bias + np.bincount(of, weights[word], len(text)))[y[text] == 0]
+    return Model(vocabulary, weights, float(bias), _floor(clean), GAIN)
+
+
+def _floor(mass: np.ndarray) -> float:
+    """The least floor (one of the masses) over which all of ``mass`` together has at most EXCESS."""
+    down = np.sort(mass)[::-1]
+    over = np.cumsum(down) - np.arange(1, len(down) + 1) * down  # with that mass as floor
+    return float(down[np.searchsorted(over, EXCESS, "right") - 1]) if len(down) else 0.0
 
 
 def score(model: Model, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
@@ -101,7 +123,8 @@ def score(model: Model, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarra
     h, of_word = features(words) if len(words) else (np.empty(0, U64), np.empty(0, np.int64))
     word, of = _known(model.words, h, sentence[of_word])
     z = model.bias + np.bincount(of, model.weights[word], len(text))
-    probability = -np.expm1(-np.bincount(text, np.logaddexp(0, z), n))
+    mass = model.mass(z)
+    probability = -np.expm1(-np.bincount(text, mass, n))
     worst = np.full(n, -1)
     order = np.lexsort((-np.arange(len(z)), z))  # the last written is the largest, the first one of equals
     worst[text[order]] = order
@@ -110,7 +133,7 @@ def score(model: Model, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarra
     start, end = np.full(n, -1), np.full(n, -1)
     start[has] = words.start[first[worst[has]]] - offsets[:-1][has]
     end[has] = words.end[last[worst[has]]] - offsets[:-1][has]
-    return [np.clip(probability, 0.0, 1.0), np.bincount(text, minlength=n), np.bincount(text, z > 0, n).astype(np.int64), start, end]
+    return [np.clip(probability, 0.0, 1.0), np.bincount(text, minlength=n), np.bincount(text, mass > np.log(2), n).astype(np.int64), start, end]
 
 
 FIELDS = [

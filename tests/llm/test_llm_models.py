@@ -223,6 +223,20 @@ def test_toxicity_finds_the_sentence():
     assert p > 0.5 and n == 3 and bad == 1 and probe.encode()[start:end] == b"w4 vile w5"
 
 
+def test_toxicity_of_joined_clean_texts(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.train(docs, labels)
+    held = labels.where("toxic is not null").join(docs, "doc_id").where(toxicity.is_fold(F.col("doc_id"), toxicity.FOLDS, toxicity.HELD_OUT)).orderBy("doc_id").select("text", "toxic").collect()
+    clean, toxic = ([r["text"] for r in held if r["toxic"] == label and r["text"]] for label in (0, 1))
+    p, _, bad, start, end = toxicity.score(model, *text_bytes(pa.array(toxic)))
+    found = [t.encode()[a:b].decode() for t, n, a, b in zip(toxic, bad, start, end) if n]
+    assert np.mean(p >= 0.5) > 0.75 and len(found) > 50
+    joined = ["\n".join(clean[i : i + 40]) for i in range(0, 720, 40)]
+    assert (toxicity.score(model, *text_bytes(pa.array(joined)))[0] >= 0.5).sum() <= 1
+    planted = [f"{text}\n{one}\n{text}" for text, one in zip(joined, found)]
+    assert (toxicity.score(model, *text_bytes(pa.array(planted)))[0] >= 0.5).all()
+
+
 def pieces():
     import public_tokenizers
 
