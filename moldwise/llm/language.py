@@ -268,10 +268,10 @@ def fit(texts: list[str], labels: np.ndarray, steps: int = 60, rate: float = 0.1
 FIELDS = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("other_words", T.LongType())]
 
 
-def train(docs: DataFrame, per_lang: int = 800, max_bytes: int = 16384) -> Model:
-    """Fit on at most ``per_lang`` texts of each language outside the held-out fold."""
+def train(docs: DataFrame, per_lang: int = 800, max_bytes: int = 16384, lang_bytes: int = 13 << 20) -> Model:
+    """Fit on at most ``per_lang`` texts of each language outside the held-out fold, excerpts of those over ``max_bytes``."""
     targets = docs.select("doc_id", F.col("lang").alias("label"))
-    return fitted(bounded_sample(docs.select("doc_id", "text"), targets, FOLDS, HELD_OUT, per_lang, max_bytes), fit)
+    return fitted(bounded_sample(docs.select("doc_id", "text"), targets, FOLDS, HELD_OUT, per_lang, max_bytes, lang_bytes), fit)
 
 
 def languages(docs: DataFrame, model: Model) -> DataFrame:

@@ -150,10 +150,10 @@ def _slopes(model: Model, texts: list[str], y: np.ndarray, share: np.ndarray) ->
     return {"embed": by_embed, "filters": by_filters + 1e-4 * model.filters, "shift": np.bincount(filt, slope, FILTERS), "weights": by_chunk @ pooled + 1e-4 * model.weights, "bias": by_logit.sum()}
 
 
-def train(docs: DataFrame, labels: DataFrame, per_label: int = 1200, max_bytes: int = 8192) -> Model:
-    """Fit on at most ``per_label`` documents of each label outside the held-out fold."""
+def train(docs: DataFrame, labels: DataFrame, per_label: int = 1200, max_bytes: int = 8192, label_bytes: int = 10 << 20) -> Model:
+    """Fit on at most ``per_label`` documents of each label outside the held-out fold, excerpts of those over ``max_bytes``."""
     targets = labels.select("doc_id", F.col("quality").alias("label"))
-    return fitted(bounded_sample(docs, targets, FOLDS, HELD_OUT, per_label, max_bytes), fit)
+    return fitted(bounded_sample(docs, targets, FOLDS, HELD_OUT, per_label, max_bytes, label_bytes), fit)
 
 
 def quality(docs: DataFrame, model: Model, name: str = "quality_score") -> DataFrame:

@@ -86,9 +86,10 @@ def fit(texts: list[str], labels: np.ndarray, min_docs: int = 5, steps: int = 25
     if not len(words) or len(set(labels)) < 2:
         return Model(np.empty(0, np.uint64), np.empty(0), -6.0 if not len(labels) or not labels.max() else 0.0)
     h, of_word = features(words)
-    pairs = np.unique(np.stack([h, words.text[of_word].astype(U64)], 1), axis=0)  # once for each text
-    distinct, docs = np.unique(pairs[:, 0], return_counts=True)
-    vocabulary = distinct[docs >= min_docs]
+    distinct, code = np.unique(h, return_inverse=True)
+    pairs = np.unique(code * len(texts) + words.text[of_word])  # once for each text
+    vocabulary = distinct[np.bincount(pairs // len(texts), minlength=len(distinct)) >= min_docs]
+    del code, pairs
     word, of = _known(vocabulary, h, sentence[of_word])
     y = (labels > 0).astype(float)
     # the loss of a joined clean text is the sum of its parts' losses
@@ -145,10 +146,13 @@ FIELDS = [
 ]
 
 
-def train(docs: DataFrame, labels: DataFrame, per_label: int = 3000, max_bytes: int = 32768) -> Model:
-    """Fit on at most ``per_label`` documents of each label outside the held-out fold."""
+def train(docs: DataFrame, labels: DataFrame, per_label: int = 3000, max_bytes: int = 1 << 20, label_bytes: int = 16 << 20) -> Model:
+    """Fit on at most ``per_label`` documents of each label outside the held-out fold.
+
+    Texts stay whole as far as ``label_bytes`` has room, as a toxic sentence may stand anywhere.
+    """
     targets = labels.select("doc_id", F.col("toxic").alias("label"))
-    return fitted(bounded_sample(docs, targets, FOLDS, HELD_OUT, per_label, max_bytes), fit)
+    return fitted(bounded_sample(docs, targets, FOLDS, HELD_OUT, per_label, max_bytes, label_bytes), fit)
 
 
 def toxicity(docs: DataFrame, model: Model, prefix: str = "") -> DataFrame:
