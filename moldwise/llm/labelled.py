@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from moldwise.llm.textbytes import is_fold, slices, text_bytes
 
 PIECES = 8  # of the excerpt of a long text
+RANGES = 14  # leading bits of an id's hash: its range
 
 
 def excerpt(text: Column, limit: Column) -> Column:
@@ -42,13 +43,28 @@ def bounded_sample(docs: DataFrame, targets: DataFrame, folds: int, held_out: in
     known = targets.where("label is not null and doc_id is not null").groupBy("doc_id").agg(F.max("label").alias("label"))
     texts = docs.select("doc_id", "text").where(F.col("text").isNotNull() & ~is_fold(F.col("doc_id"), folds, held_out))
     sizes = texts.groupBy("doc_id").agg(F.max(F.octet_length("text").cast("long")).alias("bytes"))
-    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = sizes.join(known, "doc_id").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_label).drop("rank")
+    chosen = smallest(sizes.join(known, "doc_id"), per_label)
     # at most per_label ids for each label are broadcast
     limited = texts.join(F.broadcast(_limits(chosen, text_bytes, label_bytes)), "doc_id")
     return limited.groupBy("doc_id", "label").agg(F.min(excerpt(F.col("text"), F.col("limit"))).alias("text"))
 
 
+def smallest(rows: DataFrame, per_label: int) -> DataFrame:
+    """The ``per_label`` rows of each label with the smallest hash of ``doc_id``; no task gets a whole label."""
+    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
+    return first_ranges(rows, per_label).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_label).drop("rank")
+
+
+def first_ranges(rows: DataFrame, per_label: int) -> DataFrame:
+    """The rows of each label in the first ranges of the hash of ``doc_id`` that have ``per_label`` rows together."""
+    bucket = F.shiftright(F.xxhash64("doc_id"), 64 - RANGES)
+    counts = rows.groupBy("label", bucket.alias("bucket")).agg(F.count("*").alias("rows"))
+    before = Window.partitionBy("label").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    needed = counts.withColumn("before", F.coalesce(F.sum("rows").over(before), F.lit(0))).where(F.col("before") < per_label)
+    last = needed.groupBy("label").agg(F.max("bucket").alias("last"))
+    return rows.join(F.broadcast(last), "label").where(bucket <= F.col("last")).drop("last")
+
+
 def _limits(chosen: DataFrame, text_bytes: int, label_bytes: int) -> DataFrame:
     """(doc_id, label, limit): as many bytes for each text of a label, ``text_bytes`` at most, as ``label_bytes`` has room for."""
     rows = chosen.withColumn("bytes", F.least("bytes", F.lit(text_bytes)))

@@ -51,3 +51,11 @@ def test_models_learn_from_long_texts_alone(spark):
     assert all((got[i] >= 0.5) == i % 2 for i in got)
     got = {r["doc_id"]: r["score"] for r in toxicity.toxicity_report(docs, labels).collect()}
     assert all((got[i] >= 0.5) == i % 2 for i in got)
+
+
+def test_smallest_ranks_few_rows(spark):
+    rows = spark.range(60000).select(F.col("id").alias("doc_id"), (F.col("id") % 50 == 0).cast("int").alias("label"))
+    want = {r["doc_id"] for label in (0, 1) for r in rows.where(F.col("label") == label).orderBy(F.xxhash64("doc_id")).limit(1500).collect()}
+    assert sorted(r["doc_id"] for r in labelled.smallest(rows, 1500).collect()) == sorted(want)
+    few = {r["label"]: r["count"] for r in labelled.first_ranges(rows, 1500).groupBy("label").count().collect()}
+    assert few[1] == 1200 and 1500 <= few[0] <= 1530  # of 58800
