@@ -180,15 +180,21 @@ def parse_date_dayfirst(c) -> Column:
     return F.coalesce(*[F.to_date(F.try_to_timestamp(s, F.lit(f))) for f in DAYFIRST_FORMATS])
 
 
-# Formats of a month-first or ISO date column, tried in order.
-MONTHFIRST_FORMATS = ["yyyy-M-d", "M/d/yyyy", "M-d-yyyy", "yyyy/M/d", "yyyy-M-d H:m:s", "yyyy-M-d'T'H:m:s", "M/d/yyyy H:m:s",
-                      "M/d/yyyy H:m"]
+# Layouts of a month-first or ISO date column: what a text looks like says which one it is parsed by.
+MONTHFIRST_LAYOUTS = [(r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"), (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"), (r"^\d{1,2}-\d{1,2}-\d{4}$", "M-d-yyyy"),
+                      (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"), (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$", "yyyy-M-d H:m:s"),
+                      (r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}$", "yyyy-M-d'T'H:m:s"),
+                      (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2}$", "M/d/yyyy H:m:s"),
+                      (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}$", "M/d/yyyy H:m")]
 
 
 def parse_date_monthfirst(c) -> Column:
-    """ISO or month-first date parse over a list of common layouts; unparseable -> NULL."""
+    """ISO or month-first date; a text of another layout, or no date of its layout -> NULL.  One parse a value."""
     s = F.trim(_col(c).cast("string"))
-    return F.coalesce(*[F.to_date(F.try_to_timestamp(s, F.lit(f))) for f in MONTHFIRST_FORMATS])
+    chosen = F.lit(None).cast("timestamp")
+    for pattern, layout in reversed(MONTHFIRST_LAYOUTS):
+        chosen = F.when(s.rlike(pattern), F.try_to_timestamp(s, F.lit(layout))).otherwise(chosen)
+    return F.to_date(chosen)
 
 
 def date_key(c) -> Column:

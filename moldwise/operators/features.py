@@ -30,7 +30,7 @@ from moldwise.functions.columns import (
     to_number,
 )
 
-_STATS = {
+STATS = {
     "mean": F.avg,
     "max": F.max,
     "min": F.min,
@@ -148,7 +148,7 @@ def daily_features(readings: DataFrame, machine_col: str = "machine_def", timest
                 .select(*[F.col(k) for k in keys], *b_cols)
         out = part if out is None else out.join(part, keys, "full")
     return out.select(*[F.col(k) for k in keys],
-                      *[F.col(f"`{c}`") for c in _output_names(names, numeric)])
+                      *[F.col(f"`{c}`") for c in feature_names(names, numeric)])
 
 
 def _class_blocks(names: Sequence[str]) -> list[list[str]]:
@@ -159,7 +159,8 @@ def _class_blocks(names: Sequence[str]) -> list[list[str]]:
     return [g for g in groups if g]
 
 
-def _output_names(names: Sequence[str], numeric: Sequence[str]) -> list[str]:
+def feature_names(names: Sequence[str], numeric: Sequence[str]) -> list[str]:
+    """Columns of the wide table of some variables, in order."""
     cls = classify_names(names)
     num_vars = sorted(cls["numeric"] + cls["time_duration"])
     out = [f"{v}_{s}" for s in numeric for v in num_vars]
@@ -184,7 +185,7 @@ def feature_aggregates(names: Sequence[str], variable_col: str = "variable_name"
     vn = F.col("value_numeric")
     aggs = []
     for stat in numeric:
-        fn = _STATS[stat]
+        fn = STATS[stat]
         for v in num_vars:
             aggs.append(fn(F.when(var == v, vn)).alias(f"{v}_{stat}"))
     for v in cat_vars:
@@ -207,19 +208,21 @@ def feature_aggregates(names: Sequence[str], variable_col: str = "variable_name"
 
 
 def wide_numeric(readings: DataFrame, keys: Sequence[str], variable_col: str, value_col: str,
-                 stats: Sequence[str], variables: Iterable[str] | None = None) -> DataFrame:
+                 stats: Sequence[str], variables: Iterable[str] | None = None, present: Sequence[str] = ()) -> DataFrame:
     """Generic long->wide numeric statistics ``{var}_{stat}``, stat-major column order.
 
-    Rows whose value is not a number are dropped; keys must be non-null.
+    Rows whose value is not a number are dropped, and rows with a NULL key
+    (``present`` keys have none, which saves computing them twice).
     """
     p = readings.select(*keys, variable_col, to_number(value_col).alias("_v")).where(F.col("_v").isNotNull())
     for k in keys:
-        p = p.where(F.col(k).isNotNull())
+        if k not in present:
+            p = p.where(F.col(k).isNotNull())
     names = discover_values(p, variable_col) if variables is None else sorted(set(variables))
     if variables is not None:
         p = p.where(F.col(variable_col).isin(names))
     var = F.col(variable_col)
-    aggs = [_STATS[s](F.when(var == v, F.col("_v"))).alias(f"{v}_{s}") for s in stats for v in names]
+    aggs = [STATS[s](F.when(var == v, F.col("_v"))).alias(f"{v}_{s}") for s in stats for v in names]
     return p.groupBy(*keys).agg(*aggs)
 
 
@@ -247,13 +250,19 @@ def long_features(readings: DataFrame, machine_col: str = "machine_def", timesta
     return numbers.unionByName(modes, allowMissingColumns=True)
 
 
-def _date(df: DataFrame, date_col: str, date_format: str | None, strict: bool) -> Column:
-    """A date column as a date: by one format, or ISO and month-first texts."""
+def _dated(df: DataFrame, date_col: str, date_format: str | None, strict: bool) -> tuple[DataFrame, Column, bool]:
+    """Rows, their date (by one format, or ISO and month-first texts), and whether every row is known to have one.
+
+    Strict dates fail the job where a text is no date, so rows without a text
+    are left out before they are parsed and the rest needs no second look.
+    """
     c = F.col(date_col)
     if not isinstance(df.schema[date_col].dataType, StringType):
-        return F.to_date(c)
+        return df, F.to_date(c), False
     parsed = parse_date(c, date_format) if date_format else parse_date_monthfirst(c)
-    return or_fail(parsed, present_text(c), date_col) if strict else parsed
+    if not strict:
+        return df, parsed, False
+    return df.where(present_text(c).isNotNull()), or_fail(parsed, c, date_col), True
 
 
 def vertical_features(readings: DataFrame, date_col: str = "date", machine_col: str = "machine_definition",
@@ -267,12 +276,9 @@ def vertical_features(readings: DataFrame, date_col: str = "date", machine_col:
     month-first texts, or follow ``date_format``; one that does not parse
     fails the job, or with ``strict_dates=False`` leaves its rows out.
     """
-    p = readings.select(
-        machine_key(F.col(machine_col), "digits3").alias("machine_id"),
-        _date(readings, date_col, date_format, strict_dates).alias("date"),
-        F.col(variable_col), F.col(value_col),
-    )
-    return wide_numeric(p, ["machine_id", "date"], variable_col, value_col, stats, variables)
+    rows, date, whole = _dated(readings, date_col, date_format, strict_dates)
+    p = rows.select(machine_key(F.col(machine_col), "digits3").alias("machine_id"), date.alias("date"), F.col(variable_col), F.col(value_col))
+    return wide_numeric(p, ["machine_id", "date"], variable_col, value_col, stats, variables, ["date"] if whole else ())
 
 
 def sensor_means(readings: DataFrame, date_col: str = "date", machine_col: str = "machine_definition",
@@ -283,12 +289,9 @@ def sensor_means(readings: DataFrame, date_col: str = "date", machine_col: str =
     Machine ids are rewritten ``M231-11`` -> ``M-231`` to meet the scrap table.
     Dates as in ``vertical_features``.
     """
-    p = readings.select(
-        _date(readings, date_col, date_format, strict_dates).alias("date"),
-        machine_key(F.col(machine_col), "hyphen").alias("machine_id"),
-        F.col(variable_col), F.col(value_col),
-    )
-    wide = wide_numeric(p, ["date", "machine_id"], variable_col, value_col, ["mean"], variables)
+    rows, date, whole = _dated(readings, date_col, date_format, strict_dates)
+    p = rows.select(date.alias("date"), machine_key(F.col(machine_col), "hyphen").alias("machine_id"), F.col(variable_col), F.col(value_col))
+    wide = wide_numeric(p, ["date", "machine_id"], variable_col, value_col, ["mean"], variables, ["date"] if whole else ())
     return wide.select("date", "machine_id", *[_q(c).alias(c[: -len("_mean")]) for c in wide.columns[2:]])
 
 
@@ -308,9 +311,9 @@ def daily_scrap(raw: DataFrame, rename: dict | None = None, keys: Sequence[str]
     """
     mapping = {k: v for k, v in (rename or DAILY_RENAME).items() if k in raw.columns}
     df = raw.withColumnsRenamed(mapping)
-    df = df.withColumn("date", _date(df, "date", None, strict_dates))
-    cond = None
+    df, date, whole = _dated(df, "date", None, strict_dates)
+    df = df.withColumn("date", date)
     for k in keys:
-        c = F.col(k).isNotNull()
-        cond = c if cond is None else cond & c
-    return df.where(cond).groupBy(*keys).agg(F.max(known(df, value)).alias(value))
+        if k != "date" or not whole:
+            df = df.where(F.col(k).isNotNull())
+    return df.groupBy(*keys).agg(F.max(known(df, value)).alias(value))

@@ -28,7 +28,7 @@ from moldwise.functions.columns import (
     sensor_core,
 )
 from moldwise.operators.features import daily_features
-from moldwise.session import reliable_checkpoint
+from moldwise.session import reliable_checkpoint, store_bucketed, stored
 
 
 # ---------------------------------------------------------------- dates -----
@@ -117,10 +117,11 @@ def _suffix_overlaps(left: DataFrame, right: DataFrame, keys: Sequence[str]):
 
 def prepare_production(production: DataFrame, features: DataFrame, prod_date: str = "date",
                        prod_machine: str = "machine_id", feat_machine: str = "machine_def",
-                       date_format: str | None = None) -> DataFrame:
+                       date_format: str | None = None, mapping: DataFrame | None = None) -> DataFrame:
     """Production rows with ``date_key`` and ``machine_key`` (NULL when unmapped)."""
     p = standardize_date(production, prod_date, date_format, "date_key")
-    mapping = map_machines(production, features, prod_machine, feat_machine)
+    if mapping is None:
+        mapping = map_machines(production, features, prod_machine, feat_machine)
     mapping = mapping.withColumnsRenamed({"production_id": prod_machine, "feature_id": "machine_key"})
     return p.join(mapping, prod_machine, "left")
 
@@ -146,24 +147,59 @@ def join_production_features(production: DataFrame, features: DataFrame, prod_da
     share one feature row.  With ``indicator`` a boolean ``_matched`` column
     tells which rows found features.
 
-    The feature table is read twice (distinct machine ids for the mapping,
-    and the join), so ``materialize_features`` writes it once to the shared
-    checkpoint folder; pass False for a table that is stored already.
+    The feature table has two uses: its machine ids make the mapping, and its
+    rows are joined.  With ``materialize_features`` the mapping (machine ids
+    alone, so no statistic is computed for it) is stored once and the wide rows
+    stay lazy, so unused columns are never computed; pass False for a table
+    that is stored already.
     """
-    if materialize_features:
-        features = reliable_checkpoint(features)
-    p = prepare_production(production, features, prod_date, prod_machine, feat_machine, date_format)
+    p, f = _join_sides(production, features, prod_date, prod_machine, feat_date, feat_machine, date_format, materialize_features)
+    return _joined(p, f, keep_unmatched, indicator)
+
+
+JOIN_KEYS = ("machine_key", "date_key")
+
+
+def _join_sides(production: DataFrame, features: DataFrame, prod_date: str, prod_machine: str, feat_date: str, feat_machine: str,
+                date_format: str | None, materialize: bool) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the join, keyed by ``JOIN_KEYS``, clashing names told apart."""
+    mapping = map_machines(production, features, prod_machine, feat_machine)
+    p = prepare_production(production, features, prod_date, prod_machine, feat_machine, date_format, stored(mapping) if materialize else mapping)
     f = prepare_features(features, feat_date, feat_machine).withColumn("_matched", F.lit(True))
-    p, f = _suffix_overlaps(p, f, ["machine_key", "date_key"])
-    j = p.join(f, ["machine_key", "date_key"], "left" if keep_unmatched else "inner")
+    return _suffix_overlaps(p, f, JOIN_KEYS)
+
+
+def _joined(p: DataFrame, f: DataFrame, keep_unmatched: bool, indicator: bool) -> DataFrame:
+    j = p.join(f, list(JOIN_KEYS), "left" if keep_unmatched else "inner")
     j = j.withColumn("_matched", F.coalesce(F.col("_matched"), F.lit(False)))
-    ordered = [c for c in p.columns if c not in ("machine_key", "date_key")] + ["machine_key", "date_key"] + \
-              [c for c in f.columns if c not in ("machine_key", "date_key", "_matched")]
+    ordered = [c for c in p.columns if c not in JOIN_KEYS] + [*JOIN_KEYS] + \
+              [c for c in f.columns if c not in (*JOIN_KEYS, "_matched")]
     if indicator:
         ordered.append("_matched")
     return j.select(*[F.col(f"`{c}`") for c in ordered])
 
 
+def store_join_sides(production: DataFrame, features: DataFrame, buckets: int | None = None, prod_date: str = "date",
+                     prod_machine: str = "machine_id", feat_date: str = "agg_date", feat_machine: str = "machine_def",
+                     date_format: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Production and features stored as tables bucketed and sorted by
+    (machine_key, date_key): each is shuffled once, when it is stored, and any
+    later join of the two on those keys needs no shuffle.
+
+    ``buckets`` is the number of shuffle partitions by default: as many tasks
+    as a join would have.  A key that holds much of the rows makes its bucket
+    large; such tables are better joined by ``join_production_features``,
+    where AQE splits it.
+    """
+    p, f = _join_sides(production, features, prod_date, prod_machine, feat_date, feat_machine, date_format, True)
+    return store_bucketed(p, JOIN_KEYS, buckets), store_bucketed(f, JOIN_KEYS, buckets)
+
+
+def join_stored_sides(production: DataFrame, features: DataFrame, keep_unmatched: bool = True, indicator: bool = False) -> DataFrame:
+    """``join_production_features`` of tables that ``store_join_sides`` stored."""
+    return _joined(production, features, keep_unmatched, indicator)
+
+
 def _metric_rows(df: DataFrame, metrics: dict) -> DataFrame:
     """One aggregate pass -> long (metric, value) rows."""
     agg = df.agg(*[e.cast("double").alias(k) for k, e in metrics.items()])

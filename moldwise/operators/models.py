@@ -134,22 +134,39 @@ def regression_report(model: PipelineModel, train: DataFrame, test: DataFrame, l
                     ((br - F.col("rmse")) / br * 100).alias("rmse_improvement_pct"))
 
 
-def _fold_scores(pred: DataFrame, label: str) -> tuple[float, float]:
-    """Accuracy and F1 of the positive class (1) in one aggregate."""
+def regression_checks(model: PipelineModel, train: DataFrame, test: DataFrame, label: str) -> DataFrame:
+    """One row: ``fits`` (on its training rows the model errs less than their
+    mean does) and ``in_range`` (its test predictions lie within the training
+    target's range, as averages of it must)."""
+    y = _q(label)
+    seen = model.transform(train).agg(F.avg(F.abs(F.col("prediction") - y)).alias("mae"), F.min(y).alias("low"), F.max(y).alias("high"))
+    base = naive_baseline(train, train, label).select("mae").scalar()
+    new = model.transform(test).agg(F.min("prediction").alias("low"), F.max("prediction").alias("high")).select(F.struct("low", "high")).scalar()
+    return seen.select((F.col("mae") < base).alias("fits"), ((new["low"] >= F.col("low") - 1e-6) & (new["high"] <= F.col("high") + 1e-6)).alias("in_range"))
+
+
+def balanced_accuracy(pred: DataFrame, label: str) -> float:
+    """Mean recall of the classes."""
+    per = pred.groupBy(_q(label)).agg(F.avg((_q(label).cast("double") == F.col("prediction")).cast("double")).alias("recall"))
+    return per.agg(F.avg("recall")).first()[0]
+
+
+def _fold_scores(pred: DataFrame, label: str) -> tuple[float, float, int, int]:
+    """Accuracy and F1 of the positive class (1), rows and positives, in one aggregate."""
     y, p = _q(label).cast("double"), F.col("prediction")
-    r = pred.agg(F.avg((y == p).cast("double")).alias("acc"),
+    r = pred.agg(F.count(F.lit(1)).alias("n"), F.count_if(y == 1).alias("positives"), F.avg((y == p).cast("double")).alias("acc"),
                  F.count_if((y == 1) & (p == 1)).alias("tp"), F.count_if((y != 1) & (p == 1)).alias("fp"),
                  F.count_if((y == 1) & (p != 1)).alias("fn")).first()
     tp, fp, fn = r["tp"], r["fp"], r["fn"]
     f1 = 2 * tp / (2 * tp + fp + fn) if (2 * tp + fp + fn) else 0.0
-    return float(r["acc"] or 0.0), float(f1)
+    return float(r["acc"] or 0.0), float(f1), r["n"], r["positives"]
 
 
 def _run_folds(folds: DataFrame, label: str, k: int, make: Callable[[DataFrame], PipelineModel],
-               parallelism: int) -> list[tuple[float, float]]:
+               parallelism: int) -> list[tuple[float, float, int, int]]:
     """Fit and score every fold; up to ``parallelism`` folds run as
     concurrent Spark jobs (each fit is itself distributed)."""
-    def one(i: int) -> tuple[float, float]:
+    def one(i: int) -> tuple[float, float, int, int]:
         model = make(folds.where(F.col("fold") != i))
         return _fold_scores(model.transform(folds.where(F.col("fold") == i)), label)
 
@@ -162,18 +179,18 @@ def _run_folds(folds: DataFrame, label: str, k: int, make: Callable[[DataFrame],
 def cross_validate(df: DataFrame, features: Sequence[str], label: str, key_cols: Sequence[str], k: int = 5,
                    make: Callable[[DataFrame], PipelineModel] | None = None, seed: int = 42,
                    parallelism: int = 5, max_depth: int = MAX_TREE_DEPTH) -> DataFrame:
-    """Stratified k-fold scores: one row per fold (accuracy, F1) plus a
-    ``mean`` row carrying the verdict (signal > 0.98, strong > 0.85, else
+    """Stratified k-fold scores: one row per fold (accuracy, F1, rows and
+    positives scored) plus a ``mean`` row (of all rows) carrying the verdict (signal > 0.98, strong > 0.85, else
     overfitting)."""
     make = make or (lambda t: train_rf_classifier(t, features, label, num_trees=100, balanced=True, max_depth=max_depth))
     # every fold reads the same rows 2k times: materialise them once
     folds = reliable_checkpoint(stratified_folds(df, label, key_cols, k, seed).select(*features, label, "fold"))
     scores = _run_folds(folds, label, k, make, parallelism)
-    rows = [(str(i + 1), acc, f1, None) for i, (acc, f1) in enumerate(scores)]
+    rows = [(str(i + 1), acc, f1, None, n, positives) for i, (acc, f1, n, positives) in enumerate(scores)]
     mean_acc = sum(r[1] for r in rows) / k
     verdict = "signal" if mean_acc > 0.98 else "strong" if mean_acc > 0.85 else "overfitting"
-    rows.append(("mean", mean_acc, sum(r[2] for r in rows) / k, verdict))
-    return SparkSession.getActiveSession().createDataFrame(rows, "fold string, accuracy double, f1 double, verdict string")
+    rows.append(("mean", mean_acc, sum(r[2] for r in rows) / k, verdict, sum(r[4] for r in rows), sum(r[5] for r in rows)))
+    return SparkSession.getActiveSession().createDataFrame(rows, "fold string, accuracy double, f1 double, verdict string, rows long, positives long")
 
 
 def compare_models(df: DataFrame, features: Sequence[str], label: str, key_cols: Sequence[str], k: int = 5,
@@ -189,7 +206,7 @@ def compare_models(df: DataFrame, features: Sequence[str], label: str, key_cols:
     folds = reliable_checkpoint(stratified_folds(df, label, key_cols, k, seed).select(*features, label, "fold"))
     res = []
     for name, make in makers.items():
-        accs = [acc for acc, _f1 in _run_folds(folds, label, k, make, parallelism)]
+        accs = [score[0] for score in _run_folds(folds, label, k, make, parallelism)]
         res.append((name, sum(accs) / k, statistics.pstdev(accs)))
     best = max(res, key=lambda r: r[1])[0]
     return SparkSession.getActiveSession().createDataFrame(

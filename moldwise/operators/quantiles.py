@@ -1,31 +1,34 @@
-"""Exact quantiles (linear interpolation) without a single-task buffer.
+"""Exact quantiles (linear interpolation) of many columns in two passes.
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one
 aggregation buffer; for a global quantile that is one task holding the whole
-column.  Here each wanted order statistic is found by narrowing a value
-range: a bounded grid of approximate quantiles splits the current range,
-one aggregate pass counts the rows below / at every grid point, and the
-range holding the wanted rank becomes the next range.  Ranges that together
-hold at most ``local_limit`` rows are fetched (a bounded list).  Ties are
-answered directly when the rank falls on a grid value, so a value that fills
-a third of the column does not stall the search.
-
-Several columns are searched together: the values are unpivoted to
-``(column id, value)`` rows and every round serves all pending ranks of all
-columns with the same two jobs.
+column.  Here the first pass is one aggregate for all columns: the number of
+values of each, and a mergeable sketch (rank error ``1 / ACCURACY``) that gives
+a bracket of two data values around each wanted rank.  The second pass counts
+the values below each bracket and groups those inside it by value, so a value
+that fills a third of a column is one row.  A rank is then read off exactly.
+
+What lies inside the brackets is about ``6 / ACCURACY`` of a column.  If that
+is more than ``local_limit`` rows, it is stored and narrowed further by rounds
+of grid and histogram over the stored rows; the data itself isn't read again.
+Whether a bracket holds its rank is checked, never assumed: one that doesn't is
+opened on that side and counted anew.
 """
 
 from __future__ import annotations
 
 import bisect
 import math
-from typing import Sequence
+from typing import NamedTuple, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from moldwise.session import reliable_checkpoint
+
+ACCURACY = 4000
 GRID = 64
-LOCAL_LIMIT = 20_000
+LOCAL_LIMIT = 100_000
 
 
 def _range_filter(cid: int, lo, hi):
@@ -46,7 +49,7 @@ def _fetch(values: DataFrame, states: dict, limit: int) -> dict:
     for cid, lo, hi in ranges:
         c = _range_filter(cid, lo, hi)
         cond = c if cond is None else cond | c
-    pairs = values.where(cond).groupBy("c", "v").count().limit(limit + 1).collect()
+    pairs = values.where(cond).groupBy("c", "v").agg(F.sum("n").alias("count")).limit(limit + 1).collect()
     if len(pairs) > limit:
         raise RuntimeError("quantile search could not narrow a value range below the fetch limit")
     by_col = {}
@@ -75,7 +78,8 @@ def _fetch(values: DataFrame, states: dict, limit: int) -> dict:
 
 def _select_ranks(values: DataFrame, wanted: dict, local_limit: int, grid: int) -> dict:
     """Values at 0-based ranks: ``wanted`` maps ``(column id, rank)`` to the
-    column's value count; ``values`` has columns ``c`` (id) and ``v``.
+    column's value count; ``values`` has columns ``c`` (id), ``v`` and ``n``
+    (how often).
 
     Each round costs two jobs for all pending ranks together: approximate
     grids per distinct range, then one small histogram (range, grid bucket,
@@ -112,8 +116,8 @@ def _select_ranks(values: DataFrame, wanted: dict, local_limit: int, grid: int)
             bucket = F.size(F.filter(arr, lambda x: x < v))
             tags.append(F.when(c, F.struct(F.lit(i).alias("rid"), bucket.alias("b"),
                                            F.array_contains(arr, v).alias("eq"))))
-        hist = values.select(F.explode(F.filter(F.array(*tags), lambda t: t.isNotNull())).alias("t")) \
-                     .groupBy("t.rid", "t.b", "t.eq").count().collect()
+        hist = values.select("n", F.explode(F.filter(F.array(*tags), lambda t: t.isNotNull())).alias("t")) \
+                     .groupBy("t.rid", "t.b", "t.eq").agg(F.sum("n").alias("count")).collect()
         counts = {(row["rid"], row["b"], row["eq"]): row["count"] for row in hist}
         for key in sorted(pending):
             lo, hi, r, m = pending[key]
@@ -143,51 +147,100 @@ def _select_ranks(values: DataFrame, wanted: dict, local_limit: int, grid: int)
     return done
 
 
-def value_counts(df: DataFrame, cols: Sequence[str]) -> dict:
-    """``{column: number of non-null, non-NaN values}`` in one pass."""
-    ok = {c: F.col(f"`{c}`").cast("double").isNotNull() & ~F.isnan(F.col(f"`{c}`").cast("double")) for c in cols}
-    row = df.agg(*[F.count_if(ok[c]).alias(f"n{i}") for i, c in enumerate(cols)]).first()
-    return {c: row[f"n{i}"] for i, c in enumerate(cols)}
+def _value(c: str) -> Column:
+    """A column as a number, NaN as NULL."""
+    x = F.col(f"`{c}`").cast("double")
+    return F.nanvl(x, F.lit(None))
+
+
+class Sketch(NamedTuple):
+    """The first pass: rows, values of each column, and a bracket (low, high) for each column and probability; None is open."""
+
+    rows: int
+    counts: dict
+    brackets: dict
+
+
+def sketch_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], accuracy: int = ACCURACY) -> Sketch:
+    """One aggregate over all columns."""
+    cols, probs = list(cols), list(dict.fromkeys(probs))
+    margin = 3 / accuracy
+    sides = [min(max(q, 0.0), 1.0) for p in probs for q in (p - margin, p + margin)]
+    aggs = [F.count(F.lit(1)).alias("rows")]
+    for i, c in enumerate(cols):
+        aggs += [F.count(_value(c)).alias(f"n{i}"), F.percentile_approx(_value(c), sides, accuracy).alias(f"q{i}")]
+    row = df.agg(*aggs).first()
+    counts = {c: row[f"n{i}"] for i, c in enumerate(cols)}
+    brackets = {}
+    for i, c in enumerate(cols):
+        for j, p in enumerate(probs):
+            # with few values a margin may be less than a rank: all of them are looked at
+            few = counts[c] < 2 * accuracy
+            low = None if few or p - margin <= 0 else row[f"q{i}"][2 * j]
+            high = None if few or p + margin >= 1 else row[f"q{i}"][2 * j + 1]
+            brackets[c, p] = (low, high)
+    return Sketch(row["rows"], counts, brackets)
+
+
+def _bracketed(df: DataFrame, cols: Sequence[str], brackets: list[tuple]) -> DataFrame:
+    """(c, v, n) of one pass: how often each value is inside bracket number ``c``, and with ``v`` NULL how many are below."""
+    found = []
+    for b, (i, low, high) in enumerate(brackets):
+        x = _value(cols[i])
+        kept = x.isNotNull() if high is None else x <= F.lit(high)
+        found.append(F.when(kept, F.struct(F.lit(b).alias("c"), (x if low is None else F.when(x >= F.lit(low), x)).alias("v"))))
+    rows = df.select(F.explode(F.filter(F.array(*found), lambda p: p.isNotNull())).alias("p")).select("p.c", "p.v")
+    return rows.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _ranks_in(df: DataFrame, cols: Sequence[str], wanted: dict, local_limit: int, grid: int) -> tuple[dict, dict]:
+    """Values of ``wanted`` ({(column number, low, high): ranks}) by one pass over ``df``, and the brackets that missed, widened."""
+    brackets = list(wanted)
+    inside = reliable_checkpoint(_bracketed(df, cols, brackets))  # few rows: what all else is read from
+    facts = {r["c"]: r for r in inside.groupBy("c").agg(F.sum(F.when(F.col("v").isNull(), F.col("n"))).alias("below"),
+                                                        F.sum(F.when(F.col("v").isNotNull(), F.col("n"))).alias("inside")).collect()}
+    todo, place, missed = {}, {}, {}
+    for b, bracket in enumerate(brackets):
+        below, held = (facts[b]["below"] or 0, facts[b]["inside"] or 0) if b in facts else (0, 0)
+        for k in wanted[bracket]:
+            if k < below or k >= below + held:
+                i, low, high = bracket
+                missed.setdefault((i, None, high) if k < below else (i, low, None), []).append(k)
+                continue
+            todo[b, k - below] = held
+            place[b, k - below] = (bracket[0], k)
+    values = inside.where(F.col("v").isNotNull())
+    at = _select_ranks(values, todo, local_limit, grid) if todo else {}
+    return {place[key]: v for key, v in at.items()}, missed
 
 
-def exact_quantiles_multi(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                          local_limit: int = LOCAL_LIMIT, grid: int = GRID, counts: dict | None = None) -> dict:
+def exact_quantiles_multi(df: DataFrame, cols: Sequence[str], probs: Sequence[float], local_limit: int = LOCAL_LIMIT,
+                          grid: int = GRID, accuracy: int = ACCURACY, sketch: Sketch | None = None) -> dict:
     """``{column: [quantile for each prob]}`` over the non-null, non-NaN
-    values of each column (``None`` for an empty column); one counting pass
-    (skipped when ``counts`` from ``value_counts`` is given) and then shared
-    narrowing rounds for all columns."""
+    values of each column (``None`` for an empty column), by two passes over
+    ``df`` for any number of columns; one if ``sketch`` is given."""
     cols = list(cols)
     if not cols:
         return {}
-    x = {c: F.col(f"`{c}`").cast("double") for c in cols}
-    ok = {c: x[c].isNotNull() & ~F.isnan(x[c]) for c in cols}
-    counts = counts if counts is not None else value_counts(df, cols)
-    ns = {i: counts[c] for i, c in enumerate(cols)}
-    values = df.select(F.explode(F.array(*[
-        F.when(ok[c], F.struct(F.lit(i).alias("c"), x[c].alias("v"))) for i, c in enumerate(cols)])).alias("p")) \
-        .where(F.col("p").isNotNull()).select("p.c", "p.v")
-    wanted = {}
-    for i in range(len(cols)):
-        n = ns[i]
-        if n == 0:
-            continue
-        for p in probs:
+    sketch = sketch or sketch_quantiles(df, cols, probs, accuracy)
+    wanted: dict = {}
+    for i, c in enumerate(cols):
+        n = sketch.counts[c]
+        for p in probs if n else []:
             h = (n - 1) * p
-            wanted[(i, math.floor(h))] = n
-            wanted[(i, math.ceil(h))] = n
-    at = _select_ranks(values, wanted, local_limit, grid) if wanted else {}
+            ranks = wanted.setdefault((i, *sketch.brackets[c, p]), [])
+            ranks += [k for k in (math.floor(h), math.ceil(h)) if k not in ranks]
+    at: dict = {}
+    while wanted:  # again only for brackets that missed their rank
+        found, wanted = _ranks_in(df, cols, wanted, local_limit, grid)
+        at.update(found)
     out = {}
     for i, c in enumerate(cols):
-        n = ns[i]
-        if n == 0:
-            out[c] = [None for _ in probs]
-            continue
-        res = []
+        n, res = sketch.counts[c], []
         for p in probs:
             h = (n - 1) * p
-            lo_i, hi_i = math.floor(h), math.ceil(h)
-            a, b = at[(i, lo_i)], at[(i, hi_i)]
-            res.append(a + (h - lo_i) * (b - a))
+            a, b = (at[i, math.floor(h)], at[i, math.ceil(h)]) if n else (None, None)
+            res.append(a + (h - math.floor(h)) * (b - a) if n else None)
         out[c] = res
     return out
 
@@ -216,9 +269,9 @@ def approx_quantiles_multi(df: DataFrame, cols: Sequence[str], probs: Sequence[f
 
 
 def quantiles_multi(df: DataFrame, cols: Sequence[str], probs: Sequence[float], exact: bool = True,
-                    counts: dict | None = None) -> dict:
+                    sketch: Sketch | None = None) -> dict:
     """Exact linear-interpolation quantiles, or the approximate sketch when
     ``exact`` is False."""
     if exact:
-        return exact_quantiles_multi(df, cols, probs, counts=counts)
+        return exact_quantiles_multi(df, cols, probs, sketch=sketch)
     return approx_quantiles_multi(df, cols, probs)

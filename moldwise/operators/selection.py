@@ -17,8 +17,8 @@ from pyspark.sql.types import (BooleanType, DateType, DoubleType, FloatType, Num
                                TimestampNTZType, TimestampType)
 
 from moldwise.functions.columns import clean_column_name, known, to_number
-from moldwise.operators.quantiles import quantiles_multi
-from moldwise.session import reliable_checkpoint
+from moldwise.operators.quantiles import Sketch, quantiles_multi, sketch_quantiles
+from moldwise.session import stored
 
 # Columns never used as model features by the baseline
 # regressor (target and leakage columns, post-hoc values, identifiers, raw
@@ -145,30 +145,29 @@ def final_model_frame(df: DataFrame, target: str = "target") -> DataFrame:
     return coerce_numeric_frame(df.select(*[_q(c) for c in feats + [target]]), feats, keep=[target])
 
 
-def column_medians(df: DataFrame, columns: Sequence[str], exact: bool = True, counts: dict | None = None) -> dict:
+def column_medians(df: DataFrame, columns: Sequence[str], exact: bool = True, sketch: Sketch | None = None) -> dict:
     """Exact (linearly interpolated) median of each column, or approximate
-    with ``exact=False``; columns without values are left out.  ``counts``
-    (non-null, non-NaN values per column) saves the counting pass."""
-    q = quantiles_multi(df, columns, [0.5], exact, counts)
+    with ``exact=False``; columns without values are left out.  ``sketch``
+    (the first pass, see ``sketch_quantiles``) saves that pass."""
+    q = quantiles_multi(df, columns, [0.5], exact, sketch)
     return {c: v[0] for c, v in q.items() if v[0] is not None}
 
 
-def fill_median(df: DataFrame, columns: Sequence[str], exact: bool = True) -> DataFrame:
+def fill_median(df: DataFrame, columns: Sequence[str], exact: bool = True, materialize: bool = True) -> DataFrame:
     """Fill missing values (NULL or NaN) of ``columns`` with each column's
     exact median, but only when any of them has a missing value; all-missing
-    columns stay NULL.  One aggregate gives the row count and the value count
-    of every column, used both to find gaps and by the median search."""
+    columns stay NULL.  One pass gives row and value counts and the medians'
+    brackets, a second one the medians of the columns with gaps; both read a
+    stored copy of the columns, so they see the same values (``materialize=False``
+    for a frame that is stored already)."""
     if not columns:
         return df
-    df = reliable_checkpoint(df)  # every round of the search must see the same values
-    x = {c: _q(c).cast("double") for c in columns}
-    row = df.agg(F.count(F.lit(1)).alias("__n"),
-                 *[F.count_if(x[c].isNotNull() & ~F.isnan(x[c])).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-    counts = {c: row[f"n{i}"] for i, c in enumerate(columns)}
-    gaps = [c for c in columns if counts[c] < row["__n"]]
+    values = stored(df.select(*[_q(c) for c in columns])) if materialize else df
+    sketch = sketch_quantiles(values, columns, [0.5])
+    gaps = [c for c in columns if sketch.counts[c] < sketch.rows]
     if not gaps:
         return df
-    med = column_medians(df, gaps, exact, {c: counts[c] for c in gaps})
+    med = column_medians(values, gaps, exact, sketch)
     # a filled integer column becomes double (a median can fall between values)
     df = df.withColumns({c: _q(c).cast("double") for c in med if not isinstance(
         df.schema[c].dataType, (DoubleType, FloatType))})

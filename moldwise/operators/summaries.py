@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType, StringType
 
 from moldwise.functions.columns import known, to_number
+from moldwise.operators.frequent import distinct_estimates, distinct_sketches, frequent_values, value_counts
 from moldwise.operators.ranking import global_row_number
 
 # Suffixes that mark aggregated feature columns.
@@ -90,17 +91,18 @@ def profile_variables(readings: DataFrame, variable_col: str = "variable_name",
 
 def top_values(df: DataFrame, col: str, n: int | None = 10) -> DataFrame:
     """The ``n`` most frequent non-null values with count, percentage of all
-    rows and rank (ties -> smaller value first).  A top-k report; with
-    ``n=None`` every value is listed (ranked by a distributed global rank)."""
+    rows and rank (ties -> smaller value first).  A top-k report, exact, by
+    bounded summaries and a recount of the candidates; with ``n=None`` every
+    value is listed (ranked by a distributed global rank)."""
     total = df.select(F.count(F.lit(1))).scalar()
-    counts = df.where(_q(col).isNotNull()).groupBy(_q(col).alias("value")).agg(F.count(F.lit(1)).alias("count"))
     if n is None:
+        counts = value_counts(df, col)
         ranked = global_row_number(counts.withColumn("_neg", -F.col("count")), ["_neg", "value"], "_i")
         return ranked.select("value", "count", (F.col("count") * 100.0 / total).alias("pct"),
                              (F.col("_i") + 1).cast("bigint").alias("rank"))
     # at most n rows reach this window
     w = Window.orderBy(F.col("count").desc(), F.col("value"))
-    top = counts.orderBy(F.col("count").desc(), F.col("value")).limit(n)
+    top = frequent_values(df, col, n).orderBy(F.col("count").desc(), F.col("value")).limit(n)
     return top.select("value", "count", (F.col("count") * 100.0 / total).alias("pct"),
                       F.row_number().over(w).cast("bigint").alias("rank"))
 
@@ -143,10 +145,14 @@ def _kind(t) -> str:
     return "other"
 
 
-def column_stats(df: DataFrame, top: int = 5) -> DataFrame:
+def column_stats(df: DataFrame, top: int = 5, approx_distinct: bool = False) -> DataFrame:
     """Per column: type, then mean / std / min / max for numeric columns, or
     distinct count and the ``top`` most frequent values (``value:count``
-    joined by ``|``, most frequent first) for all others."""
+    joined by ``|``, most frequent first) for all others.
+
+    With ``approx_distinct`` the distinct counts are estimates of one sketch
+    pass and the (still exact) top values come from bounded summaries, a pass
+    for each column over that column, so no column's distinct values are shuffled."""
     num = [f.name for f in df.schema.fields if _kind(f.dataType) == "numeric"]
     oth = [f.name for f in df.schema.fields if _kind(f.dataType) != "numeric"]
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
@@ -162,7 +168,9 @@ def column_stats(df: DataFrame, top: int = 5) -> DataFrame:
             f"stack({len(num)}, {body}) AS (column, dtype, mean, std, min, max)")
             .withColumn("unique_count", F.lit(None).cast("bigint"))
             .withColumn("top_values", F.lit(None).cast("string")))
-    if oth:
+    if oth and approx_distinct:
+        frames.append(_sketched_stats(df, oth, types, top))
+    elif oth:
         # one shuffle for all non-numeric columns: (column, value) pairs
         pairs = df.select(F.explode(F.array(*[
             F.struct(F.lit(c).alias("column"), _q(c).cast("string").alias("value")) for c in oth])).alias("p")) \
@@ -182,6 +190,19 @@ def column_stats(df: DataFrame, top: int = 5) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
+def _sketched_stats(df: DataFrame, columns: Sequence[str], types: dict, top: int) -> DataFrame:
+    """The part of ``column_stats`` for columns that aren't numbers, without a shuffle of their values."""
+    row = distinct_estimates(distinct_sketches(df, columns)).first()
+    out = []
+    for c in columns:
+        text = df.select(_q(c).cast("string").alias("value"))
+        best = frequent_values(text, "value", top).orderBy(F.desc("count"), "value").limit(top).collect()  # a top-k report
+        out.append((c, types[c], row[f"{c}_distinct"], "|".join(f"{r['value']}:{r['count']}" for r in best)))
+    names = df.sparkSession.createDataFrame(out, "column string, dtype string, unique_count bigint, top_values string")
+    return names.select("column", "dtype", *[F.lit(None).cast("double").alias(x) for x in ("mean", "std", "min", "max")], "unique_count",
+                        F.nullif("top_values", F.lit("")).alias("top_values"))
+
+
 def cumulative_verdict(df: DataFrame, columns: Sequence[str] = ("shift_scrap", "actual_scrap_qty", "actual_qty"),
                        threshold: float = CUMULATIVE_AVERAGE) -> DataFrame:
     """For each present column: average, maximum and a verdict —
@@ -203,10 +224,12 @@ def feature_columns(df: DataFrame, suffixes: Sequence[str] = FEATURE_SUFFIXES) -
 
 
 def dataset_summary(df: DataFrame, target: str = "actual_scrap_qty", machine_col: str = "machine_id",
-                    date_col: str = "date_key") -> DataFrame:
+                    date_col: str = "date_key", approx_distinct: float | None = None) -> DataFrame:
     """One row describing an ML dataset: size, target statistics (sample std,
     zero and positive counts), mean missing % over feature columns, rows with
-    any / no feature value, distinct machines and dates."""
+    any / no feature value, distinct machines and dates (with
+    ``approx_distinct``, a relative error, estimated without a shuffle of them)."""
+    count_distinct = F.count_distinct if approx_distinct is None else lambda c: F.approx_count_distinct(c, approx_distinct)
     feats = feature_columns(df)
     t = known(df, target)
     n = F.count(F.lit(1))
@@ -222,9 +245,9 @@ def dataset_summary(df: DataFrame, target: str = "actual_scrap_qty", machine_col
     else:
         aggs += [F.lit(None).cast("double").alias("feature_missing_pct"), F.lit(0).cast("bigint").alias("rows_with_features"),
                  n.alias("rows_without_features")]
-    aggs.append(F.count_distinct(_q(machine_col)).alias("unique_machines") if machine_col in df.columns
+    aggs.append(count_distinct(_q(machine_col)).alias("unique_machines") if machine_col in df.columns
                 else F.lit(0).cast("bigint").alias("unique_machines"))
-    aggs.append(F.count_distinct(_q(date_col)).alias("unique_dates") if date_col in df.columns
+    aggs.append(count_distinct(_q(date_col)).alias("unique_dates") if date_col in df.columns
                 else F.lit(0).cast("bigint").alias("unique_dates"))
     return df.agg(*aggs).select(F.lit(len(df.columns)).alias("total_columns"), F.lit(len(feats)).alias("feature_columns"),
                                 "*")

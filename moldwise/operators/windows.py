@@ -12,10 +12,11 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from moldwise.functions.columns import risk_status
 from moldwise.operators.ranking import dense_codes_multi, global_row_number, join_codes
-from moldwise.session import reliable_checkpoint
+from moldwise.session import reliable_checkpoint, stored
 
 JOB_KEYS = ("machine_id", "tool_id", "part_number")
 
@@ -81,12 +82,20 @@ def time_split(df: DataFrame, date: str = "date", train_fraction: float = 0.8, o
     least 1) in ascending order; rows before it train, rows on or after it
     test.  With a single distinct date every row is ``train``.
     """
-    ranked = reliable_checkpoint(global_row_number(df.select(date).where(F.col(date).isNotNull()).distinct(), [date], "_i"))
-    n = ranked.count()
-    k = max(int(n * train_fraction), 1)
-    if k >= n:
+    days = df.select(date).where(F.col(date).isNotNull()).distinct()
+    if isinstance(df.schema[date].dataType, DateType):
+        # a list of days is as long as the calendar at most: one task ranks it
+        ranked = days.select(date, (F.row_number().over(Window.orderBy(date)) - 1).alias("_i"), F.count(F.lit(1)).over(Window.partitionBy()).alias("_n"))
+        k = F.greatest(F.floor(F.col("_n") * train_fraction), F.lit(1))
+        row = ranked.where(F.col("_i") == k).select(date).first()
+        cut = row and row[0]
+    else:
+        ranked = reliable_checkpoint(global_row_number(days, [date], "_i"))
+        n = ranked.count()
+        k = max(int(n * train_fraction), 1)
+        cut = ranked.where(F.col("_i") == k).select(date).first()[0] if k < n else None
+    if cut is None:
         return df.withColumn(out, F.lit("train"))
-    cut = ranked.where(F.col("_i") == k).select(date).first()[0]
     c = F.col(date)
     return df.withColumn(out, F.when(c < F.lit(cut), "train").when(c >= F.lit(cut), "test"))
 
@@ -148,5 +157,5 @@ def with_risk_status(df: DataFrame, prediction: str = "prediction", threshold: f
 def forecast_split(daily: DataFrame, train_fraction: float = 0.8, include_current: bool = True,
                    out: str = "split") -> DataFrame:
     """``time_split(forecast_features(daily))`` with the lag table computed once."""
-    clean = reliable_checkpoint(lag_features(daily, include_current=include_current))
+    clean = stored(lag_features(daily, include_current=include_current))
     return time_split(encode_jobs(clean), out=out, train_fraction=train_fraction)

@@ -9,12 +9,13 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from moldwise.functions import columns as fn
 from moldwise.operators import features as feat
+from moldwise.operators import frequent as fq
 from moldwise.operators import joins as jn
 from moldwise.operators import metrics as mt
 from moldwise.operators import models as md
@@ -24,8 +25,11 @@ from moldwise.operators import splits as sp
 from moldwise.operators import summaries as sm
 from moldwise.operators import windows as wn
 from moldwise.plans.oracle import DIGITS, FIXTURE_VARIABLES, VERT_VARS
+from moldwise.session import stored
 from moldwise.sources import fixtures as fx
+from moldwise.sources import isolation as iso
 from moldwise.sources import readers as rd
+from moldwise.sources.manifest import file_manifest
 from moldwise.streaming import live
 
 
@@ -367,7 +371,7 @@ def q_coerce_numeric_frame(spark, sf):
 def q_fill_median(spark, sf):
     ml = _ml_dataset(spark, sf)
     feats = se.baseline_features(ml)
-    return round_doubles(se.fill_median(ml.select(*feats), feats))
+    return round_doubles(se.fill_median(stored(ml.select(*feats)), feats, materialize=False))
 
 
 def q_group_split(spark, sf):
@@ -463,9 +467,36 @@ def q_machine_filter(spark, sf):
     return rd.filter_machine(fx.production(spark, sf), "M 105", "machine_nr")
 
 
+def _machine_features(spark, sf):
+    base = rd.scratch_path(spark, f"machines-{uuid.uuid4().hex}")
+    fx.write_machine_files(spark, sf, base)
+    return iso.machine_features(spark, base, variables=FIXTURE_VARIABLES)
+
+
+def q_isolated_features(spark, sf):
+    """Daily features of 20 machine files, two of which are broken and left out."""
+    return round_doubles(_machine_features(spark, sf)[0])
+
+
+def q_quarantine(spark, sf):
+    """What was wrong with the broken files, by line and column."""
+    unit = F.regexp_extract("source_file", "grp=([0-9]+)", 1).cast("int").alias("grp")
+    return _machine_features(spark, sf)[1].select(unit, "line", "column", "reason", "text")
+
+
+def q_file_manifest(spark, sf):
+    """Headers of the machine files, found by one job, and how many files have each."""
+    base = rd.scratch_path(spark, f"machines-{uuid.uuid4().hex}")
+    fx.write_machine_files(spark, sf, base)
+    return file_manifest(spark, base, "*.csv").groupBy(F.concat_ws(",", "header").alias("header")).agg(F.count("*").alias("files"))
+
+
 QUERIES.update({
     "file_roundtrip": q_file_roundtrip,
     "machine_filter": q_machine_filter,
+    "isolated_features": q_isolated_features,
+    "quarantine": q_quarantine,
+    "file_manifest": q_file_manifest,
 })
 
 
@@ -591,8 +622,9 @@ QUERIES.update({
 
 
 # ------------------------------------------------------------------ models --
-# Trained-model queries have no SQL form: the driver checks rows only, and
-# tests check invariants (disjoint splits, model vs. naive baseline).
+# What a model was trained to predict has no SQL form.  These queries return
+# everything around it that has (rows scored, targets, baselines, keys, dates)
+# and the trained figures as checks that hold for any rightly fitted model.
 
 
 # The fixtures are small and the deep default is slow on them.
@@ -603,7 +635,7 @@ def _baseline_matrix(spark, sf):
     """ML dataset -> sorted numeric features (median-filled) + group split."""
     ml = _ml_dataset(spark, sf)
     feats = se.baseline_features(ml)
-    filled = se.fill_median(ml.select("machine_id", "date_key", "actual_scrap_qty", *feats), feats)
+    filled = se.fill_median(stored(ml.select("machine_id", "date_key", "actual_scrap_qty", *feats)), feats, materialize=False)
     return sp.group_split(filled, ["machine_id", "date_key"]), feats
 
 
@@ -615,12 +647,20 @@ def _rf_regressor(spark, sf):
 
 def q_rf_regressor(spark, sf):
     model, feats, train, test = _rf_regressor(spark, sf)
-    return md.regression_report(model, train, test, "actual_scrap_qty")
+    report = md.regression_report(model, train, test, "actual_scrap_qty")
+    checks = md.regression_checks(model, train, test, "actual_scrap_qty")
+    return round_doubles(report.select("n", "y_mean", "y_std", "y_range", "mean_prediction", "baseline_mae", "baseline_rmse",
+                                       checks.select("fits").scalar().alias("fits"), checks.select("in_range").scalar().alias("in_range")))
 
 
 def q_feature_importance(spark, sf):
     model, feats, _train, _test = _rf_regressor(spark, sf)
-    return md.feature_importance(model, feats, 15)
+    all_ = md.feature_importance(model, feats, None)
+    w = Window.orderBy("rank")  # a row a feature
+    before, share = F.lag("importance").over(w), F.col("importance")
+    adds_up = F.abs(F.max("cumulative_importance").over(Window.partitionBy()) - 1) < 1e-6
+    top = F.lit(md.feature_importance(model, feats, 15).count())
+    return all_.select("feature", (share.between(0, 1) & (F.coalesce(before, share) >= share)).alias("in_order"), adds_up.alias("adds_up"), top.alias("top"))
 
 
 def _risk_dataset(spark, sf):
@@ -630,11 +670,18 @@ def _risk_dataset(spark, sf):
 def q_risk_classifier(spark, sf):
     df = _risk_dataset(spark, sf)
     feats = se.risk_features(df)
-    data = df.select("date", "high_scrap_risk", *feats).na.fill(0.0, subset=feats)
+    data = stored(df.select("date", "high_scrap_risk", *feats).na.fill(0.0, subset=feats))  # a fit reads it several times
     s = sp.group_split(data, ["date"])
-    model = md.train_rf_classifier(s.where("split = 'train'"), feats, "high_scrap_risk", num_trees=200,
-                                   max_depth=FIXTURE_TREE_DEPTH)
-    return md.risk_classifier_report(model, s.where("split = 'test'"), "high_scrap_risk")
+    train = s.where("split = 'train'")
+    model = md.train_rf_classifier(train, feats, "high_scrap_risk", num_trees=200, max_depth=FIXTURE_TREE_DEPTH)
+    return _checked_classes(md.risk_classifier_report(model, s.where("split = 'test'"), "high_scrap_risk"), model, train, "high_scrap_risk")
+
+
+def _checked_classes(report, model, train, label):
+    """Supports of a class report; whether its figures are shares, and whether the model tells its training rows apart."""
+    shares = F.coalesce(F.col("precision").between(0, 1), F.lit(True)) & F.coalesce(F.col("recall").between(0, 1), F.lit(True)) & F.col("f1").between(0, 1)
+    fits = md.balanced_accuracy(model.transform(train), label) > 0.5
+    return report.select("class", "support", shares.alias("shares"), F.lit(fits).alias("fits"))
 
 
 def _final_frame(spark, sf):
@@ -645,30 +692,42 @@ def _final_frame(spark, sf):
 
 def q_cross_validate(spark, sf):
     frame, feats = _final_frame(spark, sf)
-    return md.cross_validate(frame, feats, "target", ["order_id"], 5, max_depth=FIXTURE_TREE_DEPTH)
+    scores = md.cross_validate(frame, feats, "target", ["order_id"], 5, max_depth=FIXTURE_TREE_DEPTH)
+    mean = F.avg(F.when(F.col("fold") != "mean", F.col("accuracy"))).over(Window.partitionBy())
+    fine = F.col("accuracy").between(0, 1) & F.col("f1").between(0, 1) & ((F.col("fold") != "mean") | (F.abs(F.col("accuracy") - mean) < 1e-9))
+    return scores.select("fold", "rows", "positives", fine.alias("fine"), F.col("verdict").isNotNull().alias("verdict_given"))
 
 
 def q_compare_models(spark, sf):
     frame, feats = _final_frame(spark, sf)
-    return md.compare_models(frame, feats, "target", ["order_id"], 5, max_depth=FIXTURE_TREE_DEPTH)
+    scores = md.compare_models(frame, feats, "target", ["order_id"], 5, max_depth=FIXTURE_TREE_DEPTH)
+    every = Window.partitionBy()
+    best = (F.sum(F.col("best").cast("int")).over(every) == 1) & (F.max("mean_accuracy").over(every) == F.max(F.when(F.col("best"), F.col("mean_accuracy"))).over(every))
+    return scores.select("model", (F.col("mean_accuracy").between(0, 1) & (F.col("std_accuracy") >= 0)).alias("fine"), best.alias("one_best"))
 
 
 def q_forecaster(spark, sf):
-    s = wn.time_split(wn.lag_features(_daily(spark, sf)))
-    model = md.train_forecaster(s.where("split = 'train'"))
+    s = wn.time_split(stored(wn.lag_features(_daily(spark, sf))))
+    train = s.where("split = 'train'")
+    model = md.train_forecaster(train)
     test = model.encode(s.where("split = 'test'"), unseen=0)
-    return md.regression_metrics(model.model.transform(test), "scrap_quantity", "prediction")
+    metrics = md.regression_metrics(model.model.transform(test), "scrap_quantity", "prediction")
+    checks = md.regression_checks(model.model, model.encode(train, unseen=0), test, "scrap_quantity")
+    return round_doubles(metrics.select("n", "y_mean", "y_std", "y_range", checks.select("fits").scalar().alias("fits")))
 
 
 def q_forecast_next_day(spark, sf):
     daily = _daily(spark, sf)
     model = md.train_forecaster(wn.lag_features(daily))
-    return md.forecast_next_day(model, daily, threshold=100.0)
+    f = md.forecast_next_day(model, daily, threshold=100.0)
+    delta = F.abs(F.col("expected_scrap") - F.col("yesterday") - F.col("delta")) < 1e-6
+    status = F.col("status") == F.when(F.col("expected_scrap") > 100.0, "HIGH RISK").otherwise("NORMAL")
+    return round_doubles(f.select(*wn.JOB_KEYS, "last_date", "forecast_date", "yesterday", delta.alias("delta_fits"), status.alias("status_fits")))
 
 
 def q_sensor_model(spark, sf):
     _model, metrics = md.train_sensor_model(_training_set(spark, sf))
-    return metrics
+    return round_doubles(metrics.select("n", "y_mean", "y_std", "y_range", (F.col("mae") <= F.col("y_range")).alias("error_in_range")))
 
 
 QUERIES.update({
@@ -705,11 +764,16 @@ def q_stream_daily_features(spark, sf):
 FIXTURE_ALERT_LEVEL = 300.0
 
 
-def _scored_stream(spark, sf):
+def _fed_model(spark, sf):
     base = rd.scratch_path(spark, f"stream-score-{uuid.uuid4().hex}")
     training = _training_set(spark, sf)
     model, _metrics = md.train_sensor_model(training)
     rd.write_dataset(training, f"{base}/feed")
+    return base, model
+
+
+def _scored_stream(spark, sf):
+    base, model = _fed_model(spark, sf)
     feed = live.file_stream(spark, f"{base}/feed", spark.read.parquet(f"{base}/feed").schema)
     return base, live.stream_score(feed, model, threshold=FIXTURE_ALERT_LEVEL)
 
@@ -717,13 +781,24 @@ def _scored_stream(spark, sf):
 def q_stream_score(spark, sf):
     base, scored = _scored_stream(spark, sf)
     live.run_available_now(scored, f"{base}/out", f"{base}/checkpoint")
-    return spark.read.parquet(f"{base}/out")
+    out = spark.read.parquet(f"{base}/out")
+    half = F.abs(F.col("pred_12h") * 2 - F.col("pred_24h")) < 1e-9
+    status = F.col("status") == F.when(F.col("pred_24h") > FIXTURE_ALERT_LEVEL, "HIGH RISK").otherwise("NORMAL")
+    rows = [c for c in out.columns if c not in ("pred_24h", "pred_12h", "status")]
+    return round_doubles(out.select(*rows, half.alias("half_fits"), status.alias("status_fits")))
 
 
 def q_stream_alerts(spark, sf):
-    base, scored = _scored_stream(spark, sf)
+    """Alerts of the stream, held against those of the same rows scored at once."""
+    base, model = _fed_model(spark, sf)
+    feed = live.file_stream(spark, f"{base}/feed", spark.read.parquet(f"{base}/feed").schema)
+    scored = live.stream_score(feed, model, threshold=FIXTURE_ALERT_LEVEL)
     live.run_available_now(live.stream_alerts(scored, FIXTURE_ALERT_LEVEL), f"{base}/out", f"{base}/checkpoint")
-    return spark.read.parquet(f"{base}/out")
+    alerts = spark.read.parquet(f"{base}/out")
+    batch = live.stream_alerts(live.stream_score(spark.read.parquet(f"{base}/feed"), model, threshold=FIXTURE_ALERT_LEVEL), FIXTURE_ALERT_LEVEL)
+    differ = alerts.exceptAll(batch).count() + batch.exceptAll(alerts).count()
+    above = F.coalesce(F.bool_and(F.col("pred_24h") > FIXTURE_ALERT_LEVEL), F.lit(True))
+    return alerts.agg(F.lit(differ == 0).alias("agree"), above.alias("all_above"))
 
 
 QUERIES.update({
@@ -766,15 +841,17 @@ def q_final_risk_model(spark, sf):
     """Final risk model: leak-filtered numeric frame, 80/20 row split,
     balanced 200-tree forest, class report; the model is saved and reloaded."""
     ml = se.label_high_risk(_ml_dataset(spark, sf), "actual_scrap_qty", 0.75, "target")
-    frame = se.final_model_frame(ml.withColumn("_row", F.col("order_id")), "target")
+    frame = stored(se.final_model_frame(ml.withColumn("_row", F.col("order_id")), "target"))
     feats = [c for c in frame.columns if c not in ("target", "_row")]
     s = sp.row_split(frame, ["_row"])
-    model = md.train_rf_classifier(s.where("split = 'train'"), feats, "target", num_trees=200,
-                                   max_depth=FIXTURE_TREE_DEPTH)
+    train, test = s.where("split = 'train'"), s.where("split = 'test'")
+    model = md.train_rf_classifier(train, feats, "target", num_trees=200, max_depth=FIXTURE_TREE_DEPTH)
     path = rd.scratch_path(spark, f"final-model-{uuid.uuid4().hex}")
     model.write().overwrite().save(path)
     back = md.PipelineModel.load(path)
-    return md.risk_classifier_report(back, s.where("split = 'test'"), "target")
+    both = back.transform(model.transform(test).select(*test.columns, F.col("prediction").alias("_saved")))
+    same = both.where(F.col("prediction") != F.col("_saved")).isEmpty()
+    return _checked_classes(md.risk_classifier_report(back, test, "target"), back, train, "target").withColumn("reloaded_equal", F.lit(same))
 
 
 QUERIES["final_risk_model"] = q_final_risk_model
@@ -784,7 +861,12 @@ def q_validation_json(spark, sf):
     """Serialised production validation report with column statistics."""
     p = fx.production(spark, sf)
     issues = _validate_production(spark, sf)
-    return ql.report_json(ql.validation_report(issues, p, "HydraData"), issues, sm.column_stats(p))
+    doc = ql.report_json(ql.validation_report(issues, p, "HydraData"), issues, sm.column_stats(p))
+    get = lambda key: F.get_json_object("json", f"$.{key}")
+    messages = F.from_json(get("issues"), "array<struct<message string>>")
+    return doc.select("dataset", get("row_count").cast("bigint").alias("row_count"), get("issue_count").cast("bigint").alias("issue_count"),
+                      get("is_valid").cast("boolean").alias("is_valid"), F.concat_ws("; ", F.array_sort(messages["message"])).alias("messages"),
+                      F.json_array_length(get("column_stats")).alias("columns"))
 
 
 QUERIES["validation_json"] = q_validation_json
@@ -796,3 +878,102 @@ def q_variable_counts(spark, sf):
 
 
 QUERIES["variable_counts"] = q_variable_counts
+
+
+# ------------------------------------------- stored layouts, summaries, gates --
+
+
+def q_repeated_rows(spark, sf):
+    """Rows that occur again, found by fingerprint and compared in full."""
+    return ql.repeated_rows(fx.order_facts(spark, sf))
+
+
+def q_top_order_keys(spark, sf):
+    """The most frequent of very many values that hardly differ in frequency."""
+    return round_doubles(sm.top_values(fx.table(spark, sf, "lineitem"), "l_orderkey", 10))
+
+
+def q_column_stats_sketched(spark, sf):
+    return round_doubles(sm.column_stats(fx.production(spark, sf), approx_distinct=True))
+
+
+def q_distinct_by_machine(spark, sf):
+    """Distinct counts a machine and day, stored as sketches and united over the days."""
+    r = fx.readings(spark, sf).withColumn("day", F.to_date("timestamp"))
+    daily = stored(fq.distinct_sketches(r, ["variable_name", "day"], ["machine_def", "day"]))
+    return fq.distinct_estimates(fq.unite_sketches(daily, ["machine_def"]))
+
+
+def q_bucketed_join(spark, sf):
+    """The left join of stored, bucketed sides."""
+    return round_doubles(jn.join_stored_sides(*jn.store_join_sides(fx.production(spark, sf), _features(spark, sf))))
+
+
+def q_partition_overwrite(spark, sf):
+    """Features laid out by day; two days are replaced by some of their machines, the others stay."""
+    path = rd.scratch_path(spark, f"by-day-{uuid.uuid4().hex}")
+    rd.write_dataset(_features(spark, sf), path, partition_by=["agg_date"])
+    days = spark.read.parquet(path)
+    new = stored(days.where(F.col("agg_date").cast("string").isin("2024-01-05", "2024-01-06") & (F.col("machine_def") < "M00050")))
+    rd.write_dataset(new, path, partition_by=["agg_date"], mode="overwrite_partitions")
+    return round_doubles(spark.read.parquet(path).withColumn("agg_date", F.col("agg_date").cast("string")))
+
+
+def q_validate_on_write(spark, sf):
+    """Issues gathered while a table is written."""
+    path = rd.scratch_path(spark, f"validated-{uuid.uuid4().hex}")
+    return _issues(ql.write_validated(fx.customers_with_nan(spark, sf), path, "customer", {"balance": (0.0, 9000.0)}))
+
+
+def q_stream_history(spark, sf):
+    """Readings of a stream kept by key; the stream runs again from the start with its checkpoint lost."""
+    base = rd.scratch_path(spark, f"history-{uuid.uuid4().hex}")
+    rows = fx.readings_from_events(_events_stream(spark, sf)).drop("variable_attribute")
+    keys = ["machine_def", "timestamp", "variable_name"]
+    for run in ("first", "again"):
+        live.append_history(rows, f"{base}/table", f"{base}/checkpoint-{run}", keys)
+    return live.history(spark, f"{base}/table")
+
+
+def q_sample_file(spark, sf):
+    """The first rows of a sorted table as a sample file, read back."""
+    path = rd.scratch_path(spark, f"sample-{uuid.uuid4().hex}")
+    rd.write_sample(fx.production(spark, sf).select("order_id", "machine_id", "shift").orderBy("order_id"), path, 100)
+    return rd.read_csv(spark, path, "order_id long, machine_id string, shift int")
+
+
+def q_input_gates(spark, sf):
+    """Rows that pass a gate on required columns (none, if a column is missing)."""
+    p = fx.production(spark, sf)
+    gates = {"target and machine": ["actual_scrap_qty", "machine_id"], "cavity": ["actual_scrap_qty", "cavity"]}
+    rows = [p.where(F.lit(rd.require_columns(p, needed))).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("gate"), "rows")
+            for name, needed in gates.items()]
+    return rows[0].unionByName(rows[1])
+
+
+def q_feature_rules(spark, sf):
+    """The features that each rule selects, with their numbers of values."""
+    ml, training = _ml_dataset(spark, sf), _training_set(spark, sf)
+    chosen = {"baseline": (ml, se.baseline_features(ml)), "risk": (ml, se.risk_features(ml)),
+              "sensor": (training, [c for c in md.sensor_features(training) if c != "machine_code"])}
+    out = []
+    for rule, (df, names) in chosen.items():
+        counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(names)])
+        out.append(counts.selectExpr(f"stack({len(names)}, " + ", ".join(f"'{c}', n{i}" for i, c in enumerate(names)) + ") AS (feature, `values`)")
+                   .select(F.lit(rule).alias("rule"), "feature", "values"))
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+QUERIES.update({
+    "repeated_rows": q_repeated_rows,
+    "top_order_keys": q_top_order_keys,
+    "column_stats_sketched": q_column_stats_sketched,
+    "distinct_by_machine": q_distinct_by_machine,
+    "bucketed_join": q_bucketed_join,
+    "partition_overwrite": q_partition_overwrite,
+    "validate_on_write": q_validate_on_write,
+    "stream_history": q_stream_history,
+    "sample_file": q_sample_file,
+    "input_gates": q_input_gates,
+    "feature_rules": q_feature_rules,
+})

@@ -400,6 +400,8 @@ def queries_sql() -> dict[str, str]:
         **_missing_queries(),
         **_stream_queries(),
         **_extra_queries(),
+        **_model_queries(),
+        **_stored_queries(),
     }
 
 
@@ -863,10 +865,23 @@ UNION ALL SELECT 'weighted avg', {_r('sum(precision * support) / sum(support)')}
     return q
 
 
+BROKEN = "SELECT 1 FROM events WHERE user_id % 20 = 3 AND event_id % 97 = 0"
+
+
 def _source_queries() -> dict[str, str]:
     return {
         "file_roundtrip": _daily_features_sql(),
         "machine_filter": f"WITH {PRODUCTION} SELECT * FROM production WHERE replace(replace(machine_nr, '-', ''), ' ', '') = 'M105'",
+        "isolated_features": _daily_features_sql().replace("FROM ev)", f"FROM ev WHERE user_id % 20 <> 11 AND NOT (user_id % 20 = 3 AND EXISTS ({BROKEN})))"),
+        "quarantine": f"""WITH placed AS (SELECT *, row_number() OVER (PARTITION BY user_id % 20 ORDER BY event_id) + 1 AS line FROM events)
+SELECT 3 AS grp, line, 'timestamp' AS "column", 'not a timestamp' AS reason, 'no time' AS text FROM placed
+WHERE user_id % 20 = 3 AND event_id % 97 = 0
+UNION ALL SELECT 11, 1, 'value', 'the header lacks it', 'machine_def,timestamp,variable_name,variable_attribute'
+WHERE EXISTS (SELECT 1 FROM events WHERE user_id % 20 = 11)""",
+        "file_manifest": """SELECT CASE user_id % 20 WHEN 11 THEN 'machine_def,timestamp,variable_name,variable_attribute'
+  WHEN 5 THEN 'variable_attribute,value,variable_name,timestamp,machine_def'
+  ELSE 'machine_def,timestamp,variable_name,value,variable_attribute' END AS header, count(DISTINCT user_id % 20) AS files
+FROM events GROUP BY 1""",
     }
 
 
@@ -980,3 +995,79 @@ c AS (SELECT variable_name AS value, count(*) AS count FROM readings WHERE varia
 SELECT value, count, round(count * 100.0 / (SELECT count(*) FROM readings), {DIGITS}) AS pct,
   row_number() OVER (ORDER BY count DESC, value) AS rank FROM c""",
     }
+
+
+def _model_queries() -> dict[str, str]:
+    """What surrounds trained models; their own figures are checks that must all be true."""
+    q = {}
+    target = f"""{_r('avg(y)')} AS y_mean, {_r('stddev_pop(y)')} AS y_std, {_r('CAST(max(y) - min(y) AS DOUBLE)')} AS y_range"""
+    q["rf_regressor"] = f"""WITH {ML}, {_split_cte('ml', _gkey('machine_id', 'date_key'), 's')},
+m AS (SELECT avg(actual_scrap_qty) AS m FROM s WHERE split = 'train'),
+t AS (SELECT actual_scrap_qty AS y, m.m FROM s, m WHERE split = 'test')
+SELECT count(*) AS n, {target}, {_r('any_value(m)')} AS mean_prediction, {_r('avg(abs(y - m))')} AS baseline_mae,
+  {_r('sqrt(avg((y - m) * (y - m)))')} AS baseline_rmse, true AS fits, true AS in_range FROM t"""
+    q["feature_importance"] = f"""WITH {ML} SELECT f AS feature, true AS in_order, true AS adds_up, {min(15, len(ML_FEATURES))} AS top
+FROM (SELECT unnest({ML_FEATURES}) AS f) WHERE EXISTS (SELECT 1 FROM ml)"""
+
+    def supports(extra: str = "") -> str:
+        return f"""c AS (SELECT y, count(*) AS n FROM t GROUP BY y)
+SELECT CAST(y AS VARCHAR) AS class, n AS support, true AS shares, true AS fits{extra} FROM c
+UNION ALL SELECT k, CAST((SELECT sum(n) FROM c) AS BIGINT), true, true{extra.split(' AS')[0]} FROM (SELECT unnest(['accuracy', 'macro avg', 'weighted avg']) AS k)"""
+
+    risk = f"""{ML}, thr AS (SELECT quantile_cont(actual_scrap_qty, 0.75) AS t FROM ml),
+lab AS (SELECT ml.*, coalesce(CAST(ml.actual_scrap_qty > thr.t AS INTEGER), 0) AS y FROM ml, thr)"""
+    q["risk_classifier"] = f"""WITH {risk}, {_split_cte('lab', _gkey('date'), 's')}, t AS (SELECT y FROM s WHERE split = 'test'), {supports()}"""
+    row = "md5(CAST(order_id AS VARCHAR) || '.0' || '#42')"  # the key is a double by then
+    q["final_risk_model"] = f"""WITH {risk}, {_split_cte('lab', row, 's')}, t AS (SELECT y FROM s WHERE split = 'test'), {supports(', true AS reloaded_equal')}"""
+    q["cross_validate"] = f"""WITH {risk}, c AS (SELECT y, count(*) AS n FROM lab GROUP BY y)
+SELECT CAST(i + 1 AS VARCHAR) AS fold, CAST(sum((n - i + 4) // 5) AS BIGINT) AS rows,
+  CAST(coalesce(sum((n - i + 4) // 5) FILTER (WHERE y = 1), 0) AS BIGINT) AS positives, true AS fine, false AS verdict_given
+FROM c, range(5) r(i) GROUP BY i
+UNION ALL SELECT 'mean', CAST(sum(n) AS BIGINT), CAST(coalesce(sum(n) FILTER (WHERE y = 1), 0) AS BIGINT), true, true FROM c"""
+    q["compare_models"] = """SELECT m AS model, true AS fine, true AS one_best
+FROM (SELECT unnest(['Logistic Regression', 'Random Forest', 'Gradient Boosting']) AS m) WHERE EXISTS (SELECT 1 FROM orders)"""
+    q["forecaster"] = f"""WITH {PERSIST}, t AS (SELECT scrap_quantity AS y FROM ts WHERE scrap_quantity IS NOT NULL)
+SELECT count(*) AS n, {target}, true AS fits FROM t"""
+    q["forecast_next_day"] = f"""SELECT {KEYS}, last_date, forecast_date, scrap_lag_1 AS yesterday, true AS delta_fits, true AS status_fits
+FROM ({_scoring_context_sql()}) AS c"""
+    q["sensor_model"] = f"""WITH tr AS ({_sensor_training_sql()}), {_split_cte('tr', _gkey('date', 'machine_id'), 's')},
+t AS (SELECT scrap_quantity AS y FROM s WHERE split = 'test')
+SELECT count(*) AS n, {target}, true AS error_in_range FROM t"""
+    q["stream_score"] = f"SELECT *, true AS half_fits, true AS status_fits FROM ({_sensor_training_sql()}) AS t"
+    q["stream_alerts"] = "SELECT true AS agree, true AS all_above WHERE EXISTS (SELECT 1 FROM orders)"
+    q["validation_json"] = f"""WITH {PRODUCTION}, issues AS ({_validate_production_body()})
+SELECT 'HydraData' AS dataset, (SELECT count(*) FROM production) AS row_count, count(*) AS issue_count,
+  count(*) FILTER (WHERE severity IN ('critical', 'error')) = 0 AS is_valid, string_agg(message, '; ' ORDER BY message) AS messages, 9 AS columns
+FROM issues"""
+    return q
+
+
+def _stored_queries() -> dict[str, str]:
+    cols = "o_custkey, o_orderdate, o_orderstatus, o_orderpriority"
+    nan = [("c_custkey", False), ("c_mktsegment", False), ("balance", False)]
+    risk_names = [f for f in ["order_id", "shift"] + [n for n in _feature_names() if not n.endswith("_mode")]
+                  if not any(w in f.lower() for w in ("scrap", "risk", "qty", "duration", "runtime", "counter", "production"))]
+
+    def values(rule: str, names: list[str], source: str) -> str:
+        return " UNION ALL ".join(f"""SELECT '{rule}' AS rule, '{f}' AS feature, count("{f}") AS "values" FROM {source}""" for f in names)
+
+    return {
+        "repeated_rows": f"SELECT {cols}, count(*) AS count FROM orders GROUP BY {cols} HAVING count(*) > 1",
+        "top_order_keys": f"""WITH c AS (SELECT l_orderkey AS value, count(*) AS count FROM lineitem WHERE l_orderkey IS NOT NULL GROUP BY 1)
+SELECT value, count, round(count * 100.0 / (SELECT count(*) FROM lineitem), {DIGITS}) AS pct,
+  row_number() OVER (ORDER BY count DESC, value) AS rank FROM c ORDER BY count DESC, value LIMIT 10""",
+        "column_stats_sketched": _summary_queries()["column_stats"],
+        "distinct_by_machine": f"""WITH {READINGS} SELECT machine_def, count(*) AS rows, count(DISTINCT variable_name) AS variable_name_distinct,
+  count(DISTINCT CAST("timestamp" AS DATE)) AS day_distinct FROM readings GROUP BY machine_def""",
+        "bucketed_join": _join_sql("LEFT"),
+        "partition_overwrite": f"""SELECT * FROM ({_daily_features_sql()}) AS f
+WHERE agg_date NOT IN ('2024-01-05', '2024-01-06') OR machine_def < 'M00050'""",
+        "validate_on_write": f"WITH {CUST_NAN} {_min_rows_sql('cn', 'customer')} UNION ALL {_missing_sql('cn', nan, 'customer')} UNION ALL {_range_sql('cn', 'balance', 0.0, 9000.0, 'customer')}",
+        "stream_history": f"""WITH {READINGS} SELECT machine_def, "timestamp", variable_name,
+  CASE WHEN count(value) = count(*) THEN min(value) END AS value FROM readings
+WHERE machine_def IS NOT NULL AND "timestamp" IS NOT NULL AND variable_name IS NOT NULL GROUP BY ALL""",
+        "sample_file": f"WITH {PRODUCTION} SELECT order_id, machine_id, shift FROM production ORDER BY order_id LIMIT 100",
+        "input_gates": "SELECT 'target and machine' AS gate, count(*) AS rows FROM orders UNION ALL SELECT 'cavity', 0",
+        "feature_rules": f"""WITH {ML}, tr AS ({_sensor_training_sql()}) {values('baseline', ML_FEATURES, 'ml')}
+UNION ALL {values('risk', risk_names, 'ml')} UNION ALL {values('sensor', VERT_VARS, 'tr')}""",
+    }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -75,6 +76,28 @@ def reliable_checkpoint(df):
     return df.checkpoint(eager=True)
 
 
+def stored(df):
+    """The rows of ``df`` as a Parquet table in the shared folder: cut off from
+    its lineage like a checkpoint, but read back by column."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def store_bucketed(df, keys, buckets: int | None = None):
+    """``df`` as a table in the shared folder, bucketed and sorted by ``keys``, a file a bucket.
+
+    The catalog entry (named after the folder) is the session's; the files
+    outlive it.
+    """
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"bucketed_{uuid.uuid4().hex}"
+    df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys) \
+        .option("path", f"{checkpoint_dir(spark).rstrip('/')}/{name}").format("parquet").saveAsTable(name)
+    return spark.table(name)
+
+
 def cluster_conf(input_bytes: int, executor_cores: int, executors: int,
                  target_partition_bytes: int = 256 * 1024 * 1024) -> dict:
     """Settings sized for a job reading ``input_bytes`` on a cluster.

@@ -8,7 +8,7 @@ for the DuckDB oracle (``moldwise.plans.oracle``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -46,11 +46,12 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readings_from_events(table(spark, sf_dir, "events"))
 
 
-def readings_from_events(ev: DataFrame) -> DataFrame:
-    """The readings projection of an ``events`` frame (batch or stream)."""
+def readings_from_events(ev: DataFrame, *more: Column) -> DataFrame:
+    """The readings projection of an ``events`` frame (batch or stream), with ``more`` columns before it."""
     k = _k()
     variable, value = _reading_columns(k)
     return ev.select(
+        *more,
         F.concat(F.lit("M"), F.lpad(F.col("user_id").cast("string"), 5, "0"), F.lit("-10")).alias("machine_def"),
         F.col("ts").alias("timestamp"),
         variable.alias("variable_name"),
@@ -165,3 +166,20 @@ def hydra_with_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Low-resolution projection of ``orders``; repeated rows occur naturally."""
     return table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority")
+
+
+def write_machine_files(spark: SparkSession, sf_dir: str, base: str) -> None:
+    """Readings as one CSV file for each of 20 groups of machines, in order of events, below ``base``.
+
+    Group 11's file has no ``value``; some rows of group 3 have no time in
+    ``timestamp``; group 5 has another order of columns.
+    """
+    group = (F.col("user_id") % 20).alias("grp")
+    r = readings_from_events(table(spark, sf_dir, "events"), group, F.col("event_id"))
+    broken = (F.col("grp") == 3) & (F.col("event_id") % 97 == 0)
+    r = r.withColumn("timestamp", F.when(broken, "no time").otherwise(F.col("timestamp").cast("string")))
+    r = r.repartition(20, "grp").sortWithinPartitions("grp", "event_id").drop("event_id")
+    names = ["machine_def", "timestamp", "variable_name", "value", "variable_attribute"]
+    for condition, columns in ((~F.col("grp").isin(5, 11), names), (F.col("grp") == 11, [c for c in names if c != "value"]),
+                               (F.col("grp") == 5, names[::-1])):
+        r.where(condition).select("grp", *columns).write.mode("append").partitionBy("grp").option("header", True).csv(base)

@@ -10,18 +10,18 @@ come from a schema or from one pass over all rows, never from a sample.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from typing import Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, IntegralType, StringType, StructField, StructType
 
 from moldwise.functions.columns import (machine_key, machine_key_from_path, or_fail, parse_date_monthfirst, present_text,
                                         to_number)
 from moldwise.session import checkpoint_dir
+from moldwise.sources.manifest import file_manifest, layouts
 
 # Long sensor-reading layout: every field is read as text, values are parsed
 # by the feature operators (a value column mixes numbers, durations, codes).
@@ -34,62 +34,96 @@ READINGS_SCHEMA = StructType([
 ])
 
 
-def _headers(spark: SparkSession, files: list[str]) -> dict[tuple, list[str]]:
-    """Files by their header row.  Each costs a look at its first line; the
-    looks run side by side, and no data row is read."""
-    def look(file: str) -> tuple:
-        return tuple(spark.read.option("header", True).csv(file).columns)
+# A manifest is broadcast to the scan up to this many bytes of paths and places; beyond it each layout is a scan of its own.
+MANIFEST_TO_SEND = 32 << 20
 
-    with ThreadPoolExecutor(16) as pool:
-        found = list(pool.map(look, files))
-    out: dict[tuple, list[str]] = {}
-    for header, file in zip(found, files):
-        if header:
-            out.setdefault(header, []).append(file)
-    return out
+
+def _csv(spark: SparkSession, paths, names: Sequence[str], glob: str | None, check_header: bool) -> DataFrame:
+    """CSV files as text columns ``names``, by place."""
+    r = spark.read.option("header", True).option("enforceSchema", not check_header)
+    if glob:
+        r = r.option("pathGlobFilter", glob)
+    return r.schema(StructType([StructField(n, StringType()) for n in names])).csv(paths)
+
+
+def placed_text(spark: SparkSession, path: str, manifest: DataFrame, glob: str | None = None) -> DataFrame:
+    """Files of several layouts in one scan: (source_file, block, at, header, fields), the fields of a row by place.
+
+    The fields are one more than the widest header has, so that what lies
+    beyond a header can be seen; ``at`` numbers the rows of a block in order.  Each row gets its file's header from the
+    manifest, broadcast if its size is within ``MANIFEST_TO_SEND``.
+    """
+    facts = manifest.agg(F.max(F.size("header")).alias("width"), F.sum(F.octet_length("source_file") + F.octet_length(F.concat_ws(",", "header"))).alias("bytes")).first()
+    places = [f"c{i}" for i in range((facts["width"] or 0) + 1)]
+    rows = _csv(spark, path, places, glob, check_header=False)
+    rows = rows.select(F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("block"),
+                       F.monotonically_increasing_id().alias("at"), F.array(*places).alias("fields"))
+    known = manifest.select("source_file", "header")
+    return rows.join(F.broadcast(known) if (facts["bytes"] or 0) <= MANIFEST_TO_SEND else known, "source_file")
+
+
+def field(name: str) -> Column:
+    """The field of column ``name`` in rows of ``placed_text``; NULL where the file lacks it."""
+    return F.get("fields", F.array_position("header", name).cast("int") - 1)
 
 
 def read_text_columns(spark: SparkSession, path: str, columns: Sequence[str] | None = None, glob: str | None = None,
                       with_source: bool = False) -> DataFrame:
     """CSV files with header rows as text columns, found by name.
 
-    Files may order their columns differently or lack some (NULL); the header
-    of every file is checked again when it is read.  Blank texts and marks for
-    missing values (``NaN``, ``NA``, ...) become NULL.  Without ``columns``
-    all columns of all files are read, in the order in which they first occur.
+    Files may order their columns differently or lack some (NULL).  Blank texts
+    and marks for missing values (``NaN``, ``NA``, ...) become NULL.  Without
+    ``columns`` all columns of all files are read, in the order in which they
+    first occur (layouts of more files first).
+
+    One job makes a manifest of all headers.  If the files agree, they are one
+    plain scan, whose headers are checked again as they are read; if not, they
+    are one scan by place that looks each file up in the manifest, or, with a
+    manifest too large to broadcast, a scan for each layout.
     """
-    listing = spark.read.format("text")
-    if glob:
-        listing = listing.option("pathGlobFilter", glob)
-    groups = _headers(spark, sorted(unquote(f) for f in listing.load(path).inputFiles()))
-    names = list(columns) if columns is not None else list(dict.fromkeys(c for header in groups for c in header))
+    manifest = file_manifest(spark, path, glob)
+    found = layouts(manifest)
+    names = list(columns) if columns is not None else list(dict.fromkeys(c for header, _ in found for c in header))
     source = [F.col("_metadata.file_path").alias("source_file")] if with_source else []
-    frames = []
-    for header, files in groups.items():
-        schema = StructType([StructField(c, StringType()) for c in header])
-        df = spark.read.option("header", True).option("enforceSchema", False).schema(schema).csv(files)
-        frames.append(df.select(*[present_text(F.col(f"`{c}`")).alias(c) if c in header else F.lit(None).cast("string").alias(c)
-                                  for c in names], *source))
-    if not frames:
-        return spark.createDataFrame([], StructType([StructField(c, StringType()) for c in [*names, *(["source_file"] if with_source else [])]]))
-    return reduce(DataFrame.unionByName, frames)
 
+    def by_name(df: DataFrame, header: Sequence[str]) -> DataFrame:
+        return df.select(*[present_text(F.col(f"`{c}`")).alias(c) if c in header else F.lit(None).cast("string").alias(c)
+                           for c in names], *source)
 
-def _typed(c: str, kind, strict: bool):
-    """A text column as ``kind``; a text that doesn't fit fails the job, or with ``strict=False`` becomes NULL."""
-    text, name = F.col(f"`{c}`"), kind.typeName()
+    if not found:
+        return spark.createDataFrame([], StructType([StructField(c, StringType()) for c in [*names, *(["source_file"] if with_source else [])]]))
+    plain = all(len(set(header)) == len(header) for header, _ in found)
+    if len(found) == 1 and plain:
+        return by_name(_csv(spark, path, found[0][0], glob, check_header=True), found[0][0])
+    size = manifest.agg(F.sum(F.octet_length("source_file"))).first()[0]
+    if plain and size > MANIFEST_TO_SEND:  # the lists of files are of the scans' own making: a scan holds its files on the driver
+        lists = {tuple(r["header"]): r["files"] for r in manifest.groupBy("header").agg(F.collect_list("source_file").alias("files")).toLocalIterator()}
+        frames = [by_name(_csv(spark, sorted(unquote(f) for f in files), header, None, check_header=True), header) for header, files in lists.items()]
+        return reduce(DataFrame.unionByName, frames)
+    rows = placed_text(spark, path, manifest, glob)
+    return rows.select(*[present_text(field(c)).alias(c) for c in names], *(["source_file"] if with_source else []))
+
+
+def parsed_text(text: Column, kind) -> Column:
+    """A text as a value of type ``kind``; NULL where it doesn't fit."""
+    name = kind.typeName()
     if name == "string":
         return text
     if isinstance(kind, IntegralType):
         number = to_number(text)
-        parsed = F.coalesce(F.trim(text).try_cast(kind), F.when(number == F.floor(number), number.try_cast(kind)))
-    elif isinstance(kind, (DoubleType, FloatType)):
-        parsed = to_number(text).cast(kind)
-    elif name == "date":
-        parsed = parse_date_monthfirst(text)
-    else:
-        parsed = F.trim(text).try_cast(kind)
-    return or_fail(parsed, text, c) if strict else parsed
+        return F.coalesce(F.trim(text).try_cast(kind), F.when(number == F.floor(number), number.try_cast(kind)))
+    if isinstance(kind, (DoubleType, FloatType)):
+        return to_number(text).cast(kind)
+    if name == "date":
+        return parse_date_monthfirst(text)
+    return F.trim(text).try_cast(kind)
+
+
+def _typed(c: str, kind, strict: bool):
+    """A text column as ``kind``; a text that doesn't fit fails the job, or with ``strict=False`` becomes NULL."""
+    text = F.col(f"`{c}`")
+    parsed = parsed_text(text, kind)
+    return or_fail(parsed, text, c) if strict and kind.typeName() != "string" else parsed
 
 
 def numbers_where_possible(df: DataFrame) -> DataFrame:
@@ -166,10 +200,23 @@ def filter_machine(df: DataFrame, machine_id: str, col: str = "machine_nr") -> D
 
 
 def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] | None = None,
-                  mode: str = "overwrite") -> None:
+                  mode: str = "overwrite", rebalance: bool = True) -> None:
     """Write a table; ``partition_by`` lays files out per key value so later
-    reads prune whole directories (e.g. one machine)."""
-    w = df.write.mode(mode).format(fmt)
+    reads prune whole directories (e.g. one machine).
+
+    Rows are dealt by the partition columns before the write, so a value has
+    few files instead of one a task; AQE splits a value that holds much and
+    joins small ones (``rebalance=False``: written as they lie).  Mode
+    ``overwrite_partitions`` replaces only the partitions that ``df`` has rows of.
+    """
+    dynamic = mode == "overwrite_partitions"
+    if dynamic and not partition_by:
+        raise ValueError("overwrite_partitions needs partition columns")
+    if partition_by and rebalance:
+        df = df.hint("rebalance", *[F.col(f"`{c}`") for c in partition_by])
+    w = df.write.mode("overwrite" if dynamic else mode).format(fmt)
+    if dynamic:
+        w = w.option("partitionOverwriteMode", "dynamic")
     if fmt == "csv":
         w = w.option("header", True)
     if partition_by:

@@ -66,3 +66,39 @@ def test_exact_quantiles_many_rounds_with_a_hot_value(spark):
     probs = [0.01, 0.33, 0.5, 0.9, 0.999]
     got = exact_quantiles(df, "v", probs, local_limit=5, grid=3)
     assert got == pytest.approx(list(np.quantile(vals, probs)), abs=1e-12)
+
+
+def test_quantiles_by_brackets_and_missed_brackets(spark):
+    from moldwise.operators import quantiles as qt
+
+    rng = np.random.default_rng(11)
+    vals = np.concatenate([rng.normal(size=20_000), np.full(9_000, 0.5), [np.nan] * 50])
+    df = spark.createDataFrame([(float(v), float(-v), None if i % 3 else float(i)) for i, v in enumerate(vals)], "a double, b double, c double").repartition(5)
+    probs = [0.0, 0.001, 0.25, 0.5, 0.75, 1.0]
+    want = {"a": np.quantile(vals[:-50], probs), "b": np.quantile(-vals[:-50], probs), "c": np.quantile(np.arange(0, len(vals), 3.0), probs)}
+    sketch = qt.sketch_quantiles(df, ["a", "b", "c"], probs, accuracy=200)
+    assert sketch.rows == len(vals) and sketch.counts == {"a": 29_000, "b": 29_000, "c": -(-len(vals) // 3)}
+    assert sketch.brackets["a", 0.5][0] is not None and sketch.brackets["a", 0.0][0] is None
+    for limit in (100_000, 20):
+        got = qt.exact_quantiles_multi(df, ["a", "b", "c"], probs, local_limit=limit, grid=8, sketch=sketch)
+        assert all(got[c] == pytest.approx(list(want[c]), abs=1e-12) for c in want)
+    # brackets that hold no wanted rank are opened, never trusted
+    wrong = sketch._replace(brackets={k: (5.0, 6.0) if k[1] < 0.6 else (-6.0, -5.0) for k in sketch.brackets})
+    got = qt.exact_quantiles_multi(df, ["a", "b", "c"], probs, sketch=wrong)
+    assert all(got[c] == pytest.approx(list(want[c]), abs=1e-12) for c in want)
+
+
+def test_quantiles_read_the_data_twice(spark, tmp_path):
+    from moldwise.operators import selection as se
+
+    spark.range(30_000).select(*[F.when(F.col("id") % (i + 2) != 0, (F.col("id") * (7 + i)) % 1009).cast("double").alias(f"x{i}") for i in range(12)]).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    probe = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        probe.add(1)
+        yield from batches
+
+    med = se.column_medians(df.coalesce(1).mapInArrow(seen, df.schema), df.columns)
+    rows = df.toPandas()
+    assert med == pytest.approx({c: rows[c].median() for c in df.columns}) and probe.value == 2
