@@ -1,7 +1,7 @@
 """Document quality by a byte-level convolutional network in numpy.
 
-Bytes are embedded, 8-byte windows at every position of the document go
-through learned filters with a rectifier, and each filter is max-pooled over
+Bytes are embedded, 8-byte windows at every position of the document (filled
+up with zeros to whole halves of a chunk) go through learned filters with a rectifier, and each filter is max-pooled over
 chunks that overlap by half.  A chunk's logit is linear in its pooled values;
 the document's logit is the mean over its chunks, so its whole length counts
 and a long document isn't likelier to be rejected for one odd place.
@@ -57,13 +57,27 @@ def convolve(model: Model, raw: np.ndarray) -> np.ndarray:
     return out.reshape(n, -1)
 
 
-def half_maxima(model: Model, raw: np.ndarray) -> np.ndarray:
+def half_responses(model: Model, raw: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Responses by half and position; windows that would run past a text's ``last`` half are left out."""
+    seen = convolve(model, raw).reshape(len(last), HALF, -1)
+    seen[last, HALF - WIDTH + 1 :] = -np.inf
+    return seen
+
+
+def last_halves(first: np.ndarray, halves: np.ndarray) -> np.ndarray:
+    """Which halves are the last of their text."""
+    last = np.zeros(int(halves.sum()), bool)
+    last[first + halves - 1] = True
+    return last
+
+
+def half_maxima(model: Model, raw: np.ndarray, last: np.ndarray) -> np.ndarray:
     """Largest response of each filter in each half chunk, some halves at a time."""
-    step, n = 256, (len(raw) - WIDTH) // HALF
+    step, n = 256, len(last)
     out = np.empty((n, model.filters.shape[1]), np.float32)
     for at in range(0, n, step):
         to = min(n, at + step)
-        out[at:to] = convolve(model, raw[at * HALF : to * HALF + WIDTH]).reshape(to - at, HALF, -1).max(axis=1)
+        out[at:to] = half_responses(model, raw[at * HALF : to * HALF + WIDTH], last[at:to]).max(axis=1)
     return np.maximum(out + model.shift, 0)
 
 
@@ -78,7 +92,7 @@ def chunk_pairs(first: np.ndarray, halves: np.ndarray) -> tuple[np.ndarray, np.n
 def score(model: Model, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     """The probability of label 1 for each text."""
     raw, first, halves = padded(data, offsets)
-    top = half_maxima(model, raw)
+    top = half_maxima(model, raw, last_halves(first, halves))
     left, right, text = chunk_pairs(first, halves)
     logit = np.maximum(top[left], top[right]).astype(float) @ model.weights + model.bias
     mean = np.bincount(text, logit, len(halves)) / np.bincount(text, minlength=len(halves))
@@ -126,7 +140,7 @@ def _cropped(text: str, rng: np.random.Generator, share: float = 0.5) -> str:
 
 def _slopes(model: Model, texts: list[str], y: np.ndarray, share: np.ndarray) -> dict:
     raw, first, halves = padded(*text_bytes(pa.array(texts, pa.string())))
-    seen = convolve(model, raw).reshape(-1, HALF, FILTERS)
+    seen = half_responses(model, raw, last_halves(first, halves))
     where = seen.argmax(axis=1)  # the window that each maximum comes from
     top = np.maximum(np.take_along_axis(seen, where[:, None], 1)[:, 0] + model.shift, 0)
     left, right, text = chunk_pairs(first, halves)

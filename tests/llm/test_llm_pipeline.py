@@ -37,4 +37,4 @@ def test_stages_of_odd_and_no_rows(spark, edge_docs, no_docs):
 
 
 def test_registered_queries():
-    assert sorted(int(k[2:].split("_")[0]) for k in registry.QUERIES) == list(range(1, 11)) and set(registry.SQL) <= set(registry.QUERIES)
+    assert sorted(int(k[2:].split("_")[0]) for k in registry.QUERIES) == list(range(1, 14)) and set(registry.SQL) <= set(registry.QUERIES)
