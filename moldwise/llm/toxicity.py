@@ -79,18 +79,50 @@ def _known(vocabulary: np.ndarray, h: np.ndarray, sentence: np.ndarray) -> tuple
     return key % len(vocabulary), key // len(vocabulary)
 
 
+def _parts(texts: list[str], limit: int = 1 << 20):
+    """(number of the first text, words, sentence of each word, text of each sentence) of some texts at a time."""
+    at = 0
+    while at < len(texts):
+        to, size = at, 0
+        while to < len(texts) and (to == at or size + len(texts[to]) <= limit):
+            size += len(texts[to])
+            to += 1
+        words, sentence, text, _ = sentences(*text_bytes(pa.array(texts[at:to], pa.string())))
+        if len(words):
+            yield at, words, sentence, text
+        at = to
+
+
+def _vocabulary(texts: list[str], min_docs: int) -> np.ndarray | None:
+    """Sorted hashes of the features in ``min_docs`` texts at least; None without any word."""
+    known, count = np.empty(0, U64), np.empty(0, np.int64)
+    for _, words, _, _ in _parts(texts):
+        h, of_word = features(words)
+        distinct, code = np.unique(h, return_inverse=True)
+        n = len(words.at) - 1
+        new = np.bincount(np.unique(code * n + words.text[of_word]) // n, minlength=len(distinct))  # once for each text
+        known, code = np.unique(np.concatenate([known, distinct]), return_inverse=True)
+        count = np.bincount(code, np.concatenate([count, new]), len(known)).astype(np.int64)
+    return known[count >= min_docs] if len(known) else None
+
+
+def _occurrences(texts: list[str], vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Index and sentence of the features with a weight, and the text of each sentence."""
+    found, before = [], 0
+    for at, words, sentence, text in _parts(texts):
+        h, of_word = features(words)
+        word, of = _known(vocabulary, h, sentence[of_word])
+        found.append((word, of + before, text + at))
+        before += len(text)
+    return tuple(np.concatenate(c) for c in zip(*found))
+
+
 def fit(texts: list[str], labels: np.ndarray, min_docs: int = 5, steps: int = 250, rate: float = 0.1, decay: float = 2e-4) -> Model:
     """Fit word weights from document labels; words in fewer than ``min_docs`` sampled texts get none."""
-    data, offsets = text_bytes(pa.array(texts, pa.string()))
-    words, sentence, text, _ = sentences(data, offsets)
-    if not len(words) or len(set(labels)) < 2:
+    vocabulary = _vocabulary(texts, min_docs)
+    if vocabulary is None or len(set(labels)) < 2:
         return Model(np.empty(0, np.uint64), np.empty(0), -6.0 if not len(labels) or not labels.max() else 0.0)
-    h, of_word = features(words)
-    distinct, code = np.unique(h, return_inverse=True)
-    pairs = np.unique(code * len(texts) + words.text[of_word])  # once for each text
-    vocabulary = distinct[np.bincount(pairs // len(texts), minlength=len(distinct)) >= min_docs]
-    del code, pairs
-    word, of = _known(vocabulary, h, sentence[of_word])
+    word, of, text = _occurrences(texts, vocabulary)
     y = (labels > 0).astype(float)
     # the loss of a joined clean text is the sum of its parts' losses
     share = np.where(y > 0, 0.5 / max(y.sum(), 1), 0.5 * JOINED / max((1 - y).sum(), 1))
