@@ -33,27 +33,25 @@ SPACED = ~((_ALL == 0x20) | ((_ALL >= 0x09) & (_ALL <= 0x0D)))
 #: `[^\x00-\x2F\x3A-\x60\x7B-\x7F]+` after lower-casing A-Z
 ALNUM = (_ALL >= 0x80) | ((_ALL >= 0x30) & (_ALL <= 0x39)) | ((_ALL >= 0x41) & (_ALL <= 0x5A)) | ((_ALL >= 0x61) & (_ALL <= 0x7A))
 
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_STEP = 16  # powers up to 2**_STEP are kept, and those of that power; any other is a product of two
+_powers: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = {}
 
 
-def _inverse(a: np.uint64) -> np.uint64:
-    x = int(a)
-    return U64(pow(x, -1, 1 << 64))
+def _run(base: np.uint64, n: int) -> np.ndarray:
+    run = np.full(n, base, U64)
+    run[0] = 1
+    return np.cumprod(run, dtype=U64)
 
 
-def _power(k: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of base ``k`` and of its inverse modulo 2**64, ``n`` at least."""
+def _power(k: int, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Powers of base ``k`` modulo 2**64 (small steps, large steps), enough for ``n``, and those of its inverse."""
     have = _powers.get(k)
-    if have is None or len(have[0]) < n:
-        size = max(n, SLICE_BYTES + 1)
+    if have is None or len(have[1]) << _STEP < n:
+        large = (n >> _STEP) + 2
         out = []
-        for base in (_BASE[k], _inverse(_BASE[k])):
-            run = np.full(size, base, U64)
-            run[0] = 1
-            out.append(np.cumprod(run, dtype=U64))
-        have = (out[0], out[1])
-        if size <= 4 * SLICE_BYTES:  # those of a very long text aren't kept
-            _powers[k] = have
+        for base in (_BASE[k], U64(pow(int(_BASE[k]), -1, 1 << 64))):
+            out += [_run(base, 1 << _STEP), _run(U64(pow(int(base), 1 << _STEP, 1 << 64)), large)]
+        have = _powers[k] = (out[0], out[1], out[2], out[3])
     return have
 
 
@@ -81,6 +79,7 @@ def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``limit`` bytes of text; each text stays whole."""
+    pa.default_memory_pool().release_unused()  # what earlier tasks of this worker held
     for batch in batches:
         if batch.num_rows == 0:
             continue
@@ -132,17 +131,25 @@ class Words:
 
 def prefix_sums(data: np.ndarray, k: int = 0) -> np.ndarray:
     """Prefix sums of a polynomial over the bytes, for hashes of any runs."""
-    power, _ = _power(k, len(data) + 1)
-    total = np.zeros(len(data) + 1, U64)
-    np.cumsum(_BYTE[k][data] * power[: len(data)], out=total[1:])
+    small, large, _, _ = _power(k, len(data) + 1)
+    total = np.empty(len(data) + 1, U64)
+    total[0] = 0
+    values = total[1:]
+    for block in range(-(-len(data) >> _STEP)):
+        part = slice(block << _STEP, (block + 1) << _STEP)
+        raw = _BYTE[k][data[part]]
+        raw *= small[: len(raw)]
+        raw *= large[block]
+        values[part] = raw
+    np.cumsum(values, out=values)
     return total
 
 
 def run_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, k: int = 0, total: np.ndarray | None = None) -> np.ndarray:
     """The hashes of runs of bytes ``start[i]:end[i]``, equal for equal runs anywhere."""
     total = prefix_sums(data, k) if total is None else total
-    _, inverse = _power(k, len(data) + 1)
-    return mix((total[end] - total[start]) * inverse[start] + (end - start).astype(U64))
+    _, _, small, large = _power(k, len(data) + 1)
+    return mix((total[end] - total[start]) * small[start & (1 << _STEP) - 1] * large[start >> _STEP] + (end - start).astype(U64))
 
 
 def grams(h: np.ndarray, n: int) -> np.ndarray:
