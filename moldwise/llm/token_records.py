@@ -30,12 +30,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moldwise.llm.eliasfano import filesystem
-from moldwise.llm.textbytes import SPACED, Words, expand, run_hashes, slices, text_bytes
+from moldwise.llm.textbytes import SPACED, U64, Words, expand, run_hashes, slices, text_bytes
 from moldwise.session import checkpoint_dir
 
 END = 2
 MASK = 0xA282EAD8
-HELD = 800_000  # distinct units whose ids a worker keeps
+HELD = 1 << 20  # distinct units whose ids a worker keeps (more while one text alone has more)
 
 
 def masked(data: bytes) -> int:
@@ -105,10 +105,39 @@ class UnitIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.clear()
 
-    def clear(self) -> None:
-        self.known: dict[int, int] = {}
-        self.flat, self.used = np.empty(1 << 16, np.uint32), 0
+    def clear(self, held: int = HELD) -> None:
+        self.have = self.used = 0
+        self.held = held
+        slots = 1 << (2 * held - 1).bit_length()
+        self.flat = np.empty(1 << 16, np.uint32)
         self.start, self.count = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
+        self.slots = np.full(slots, -1, np.int32)  # open addressing: the unit that has a slot, its hash beside it
+        self.keys = np.zeros(slots, U64)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Numbers of units by their hashes; -1 for those not known."""
+        out = np.full(len(h), -1, np.int64)
+        todo, at = np.arange(len(h)), (h & U64(len(self.keys) - 1)).view(np.int64)
+        while len(todo):
+            unit = self.slots[at]
+            same = (unit >= 0) & (self.keys[at] == h[todo])
+            out[todo[same]] = unit[same]
+            on = (unit >= 0) & ~same
+            todo, at = todo[on], (at[on] + 1) & (len(self.keys) - 1)
+        return out
+
+    def enter(self, h: np.ndarray) -> None:
+        """Give the next numbers to units that aren't known."""
+        todo, at = np.arange(len(h)), (h & U64(len(self.keys) - 1)).view(np.int64)
+        while len(todo):
+            free = np.flatnonzero(self.slots[at] < 0)
+            slot, first = np.unique(at[free], return_index=True)
+            placed = free[first]
+            self.keys[slot], self.slots[slot] = h[todo[placed]], self.have + todo[placed]
+            left = np.ones(len(todo), bool)
+            left[placed] = False
+            todo, at = todo[left], (at[left] + 1) & (len(self.keys) - 1)
+        self.have += len(h)
 
     def _encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids and how many each text has.  Runs of letters are one word each: joined by blanks they are encoded at one go."""
@@ -120,39 +149,43 @@ class UnitIds:
         ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         return np.array([i for x in ids for i in x], np.uint32), np.array([len(x) for x in ids], np.int64)
 
-    def _learn(self, hashes: list[int], texts: list[str]) -> None:
-        order = sorted(range(len(texts)), key=lambda i: texts[i].isalpha())
-        plain = next((k for k, i in enumerate(order) if texts[i].isalpha()), len(order))
-        for run in (order[:plain], order[plain:]):
+    def _learn(self, hashes: np.ndarray, texts: list[str]) -> None:
+        alpha = np.array([text.isalpha() for text in texts])
+        for run in (np.flatnonzero(~alpha), np.flatnonzero(alpha)):
             for at in range(0, len(run), 2000):
                 mine = run[at : at + 2000]
-                flat, count = self._encoded([texts[i] for i in mine])
+                flat, count = self._encoded([texts[i] for i in mine.tolist()])
                 while self.used + len(flat) > len(self.flat):
                     self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
-                have = len(self.known)
-                while have + len(mine) > len(self.start):
+                while self.have + len(mine) > len(self.start):
                     self.start, self.count = (np.concatenate([x, np.empty_like(x)]) for x in (self.start, self.count))
                 self.flat[self.used : self.used + len(flat)] = flat
-                self.count[have : have + len(mine)] = count
-                self.start[have : have + len(mine)] = self.used + np.cumsum(count) - count
+                self.count[self.have : self.have + len(mine)] = count
+                self.start[self.have : self.have + len(mine)] = self.used + np.cumsum(count) - count
                 self.used += len(flat)
-                self.known.update(zip([hashes[i] for i in mine], range(have, have + len(mine))))
+                self.enter(hashes[mine])
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of some texts, and how many are of each."""
         start, end, exact, at = units(data, offsets)
         if not len(start):
             return np.empty(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
-        h = np.where(exact, run_hashes(data, start, end, 2), run_hashes(data, start, end, 0))
-        distinct, first, which = np.unique(h, return_index=True, return_inverse=True)
-        if len(self.known) + len(distinct) > HELD:
-            self.clear()
-        names = distinct.tolist()
-        new = [i for i, name in enumerate(names) if name not in self.known]
-        if new:
-            raw, a, b, keep = data.tobytes(), start[first].tolist(), end[first].tolist(), exact[first].tolist()
-            self._learn([names[i] for i in new], [raw[a[i] : b[i]].decode() if keep[i] else raw[a[i] : b[i]].lower().decode() for i in new])
-        place = np.fromiter((self.known[name] for name in names), np.int64, len(names))[which]
+        h = run_hashes(data, start, end, 0)
+        if exact.any():
+            size = (end - start)[exact]
+            to = np.cumsum(size)
+            h[exact] = run_hashes(data[expand(start[exact], size)], to - size, to, 2)
+        place = self.find(h)
+        missed = np.flatnonzero(place < 0)
+        if len(missed):
+            new, first, which = np.unique(h[missed], return_index=True, return_inverse=True)
+            if self.have + len(new) > self.held:  # begin anew, with room for all units of these texts
+                self.clear(max(HELD, len(start)))
+                return self.encode(data, offsets)
+            raw, spot = data.tobytes(), missed[first]
+            texts = [raw[a:b].decode() if whole else raw[a:b].lower().decode() for a, b, whole in zip(start[spot].tolist(), end[spot].tolist(), exact[spot].tolist())]
+            self._learn(new, texts)
+            place[missed] = self.find(new)[which]
         count = self.count[place]
         total = np.zeros(len(start) + 1, np.int64)
         np.cumsum(count, out=total[1:])
