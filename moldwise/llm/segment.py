@@ -41,6 +41,7 @@ from moldwise.llm.textbytes import U64, expand, mix, prefix_sums, run_hashes, sl
 BLANK = "▁"
 BEGIN = 5  # bytes of a text that must begin some longer piece before longer ones are looked up
 SLICE = 3 << 18  # bytes of text that a task searches at once
+LOOK = 20
 
 
 @dataclass(frozen=True)
@@ -54,6 +55,8 @@ class Pieces:
     by_size: dict[int, tuple[np.ndarray, np.ndarray]]
     begins: np.ndarray
     of_byte: np.ndarray
+    may: np.ndarray  # by the first LOOK bits of a hash: whether a piece has them
+    may_begin: np.ndarray
 
 
 @lru_cache(maxsize=2)
@@ -93,7 +96,14 @@ def load(path: str) -> Pieces:
         by_size[int(length)] = (some[at], mine[at])
     long = ids[size[ids] > BEGIN]
     begins = np.unique(run_hashes(data, start[long], start[long] + BEGIN, 2))
-    return Pieces(data, start, size, weight - np.log(np.exp(weight).sum()), by_size, begins, of_byte)
+    may, may_begin = np.zeros(1 << LOOK, bool), np.zeros(1 << LOOK, bool)
+    may[_look(h)] = True
+    may_begin[_look(begins)] = True
+    return Pieces(data, start, size, weight - np.log(np.exp(weight).sum()), by_size, begins, of_byte, may, may_begin)
+
+
+def _look(h: np.ndarray) -> np.ndarray:
+    return (h >> U64(64 - LOOK)).view(np.int64)
 
 
 class Lattice:
@@ -114,16 +124,20 @@ class Lattice:
             if step > BEGIN and not narrowed:
                 spots, narrowed = spots[spots + BEGIN <= stop[spots]], True
                 h = run_hashes(raw, spots, spots + BEGIN, 2, total)
+                some = pieces.may_begin[_look(h)]
+                spots, h = spots[some], h[some]
                 spots = spots[pieces.begins[np.minimum(np.searchsorted(pieces.begins, h), len(pieces.begins) - 1)] == h]
             spots = spots[spots + step <= stop[spots]] if len(spots) else spots
             h = run_hashes(raw, spots, spots + step, 2, total)
+            some = pieces.may[_look(h)]  # few others are searched for
+            place, h = spots[some], h[some]
             key = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
             hit = keys[key] == h
-            at.append(spots[hit])
+            at.append(place[hit])
             length.append(np.full(int(hit.sum()), step))
             piece.append(ids[key[hit]])
             if step <= 4:
-                have[spots[hit]] |= 1 << step
+                have[place[hit]] |= 1 << step
         lead = (raw & 0xC0) != 0x80
         width = np.select([raw < 0x80, raw < 0xE0, raw < 0xF0], [1, 2, 3], 4)
         unknown = lead & ((have >> width) & 1 == 0)
@@ -307,6 +321,20 @@ class Sampler:
         pick = min(int(np.searchsorted(np.cumsum(chance), u * chance.sum(), "right")), len(e) - 1)
         return int(e[pick]), float(max(0.0, chance.sum() - chance[pick]) if len(e) > 1 else 0.0)
 
+    def spelled(self, paths: list[Path | None]) -> np.ndarray:
+        """Whether the pieces of each text's path (None: no path) spell the text with its blank."""
+        edges = [p.edges if p else np.empty(0, np.int64) for p in paths]
+        ids = self.lattice.piece[np.concatenate(edges)]
+        bounds = np.append(0, np.cumsum([len(e) for e in edges]))
+        ends = np.append(0, np.cumsum(self.pieces.size[ids]))[bounds]
+        same = np.diff(ends) == np.diff(self.offsets)
+        mine = expand(self.offsets[:-1][same], np.diff(self.offsets)[same])
+        drawn = self.pieces.data[expand(self.pieces.start[ids], self.pieces.size[ids])][expand(ends[:-1][same], np.diff(ends)[same])]
+        wrong = np.append(0, np.cumsum(drawn != self.data[mine]))
+        at = np.append(0, np.cumsum(np.diff(ends)[same]))
+        same[same] = wrong[at[1:]] == wrong[at[:-1]]
+        return same
+
     def ids(self, path: Path) -> np.ndarray:
         return self.lattice.piece[path.edges]
 
@@ -344,14 +372,13 @@ def segmentations(docs: DataFrame, path: str, k: int = 2, seed: int = 0, with_id
             data, offsets = text_bytes(batch.column(1))
             sampler = Sampler(pieces, data, offsets, mix(batch.column(2).to_numpy().view(U64) + U64(seed)))
             paths, left = sampler.search(k)
-            raw = data.tobytes()
+            decoded = [sampler.spelled([p[j] if j < len(p) else None for p in paths]).tolist() for j in range(max(map(len, paths), default=0))]
             out: list[list] = [[] for _ in names]
             for i, doc_id in enumerate(batch.column(0).to_pylist()):
-                text = raw[offsets[i] : offsets[i + 1]]
                 for j, p in enumerate(paths[i]):
                     ids, log = sampler.ids(p), float(p.logs.sum())
                     end = ids.astype(np.int32) if with_ids else zlib.crc32(ids.astype("<u4").tobytes())
-                    for column, value in zip(out, (doc_id, j, len(ids), log, p.key, log_inclusion(log, left[i]), decode(pieces, ids) == text, end)):
+                    for column, value in zip(out, (doc_id, j, len(ids), log, p.key, log_inclusion(log, left[i]), decoded[j][i], end)):
                         column.append(value)
             types = [pa.int64(), pa.int32(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.bool_(), pa.list_(pa.int32()) if with_ids else pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=names)
