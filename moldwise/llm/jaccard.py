@@ -30,8 +30,9 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from moldwise.llm.components import components
 from moldwise.llm.textbytes import SPACED, U64, Words, expand, grams, mix, slices, text_bytes
@@ -389,6 +390,11 @@ def _open_pairs(buckets: DataFrame, labels: DataFrame, sketches: DataFrame, near
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, class_id, component_id) of every row of ``docs`` (``doc_id``, ``text``)."""
+    return _labelled(docs).drop("label")
+
+
+def _labelled(docs: DataFrame) -> DataFrame:
+    """``jaccard_components`` with the smallest class of each row's component as ``label``."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     shards = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -410,16 +416,44 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     least = by_class.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"))
     return by_class.join(least, "label", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.col("fp").alias("class_id"),
-        F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"),
+        F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"), "label",
     )
 
 
+def _class_of(docs: DataFrame) -> DataFrame:
+    """``docs`` with the class of each row's set (null: empty set) as ``__class``."""
+    names = [*docs.columns, "__class"]
+
+    def run(batches):
+        for batch in slices(batches):
+            sets = shingle_sets(*text_bytes(batch.column(batch.schema.get_field_index("text"))))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([fingerprint(s) if len(s) else None for s in sets], pa.int64())], names=names)
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("__class", T.LongType())]))
+
+
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows of a component other than one row of its smallest id; rows without an id stay."""
-    found = jaccard_components(docs.select("doc_id", "text"))
-    keep = found.where("doc_id = component_id").select(F.col("doc_id").alias("__kept_id")).distinct()
-    first = docs.join(keep, docs["doc_id"] == keep["__kept_id"], "left_semi").dropDuplicates(["doc_id", "text"])
-    return first.unionByName(docs.where("doc_id is null"))
+    """``docs`` with one row of each component: one of its smallest id, or, if none of its rows has an id, any one.
+
+    Rows with an empty set link with nothing and all stay.  Most rows are told
+    by their id alone; only those that share an id, or have none, are looked at
+    again for their class, and of several that could stay the one of the
+    smallest text does.
+    """
+    found = reliable_checkpoint(_labelled(docs.select("doc_id", "text")))
+    ids = found.where("doc_id is not null").groupBy("doc_id").agg(
+        F.count("*").alias("rows"), F.bool_or(F.col("class_id").isNull() | (F.col("doc_id") == F.col("component_id"))).alias("keep"))
+    alone = ids.where("rows = 1 and keep").select(F.col("doc_id").alias("__id"))
+    several = ids.where("rows > 1").select(F.col("doc_id").alias("__id"))
+    same = F.col("doc_id").cast("long") == F.col("__id")
+    kept = docs.join(alone, same, "left_semi")
+    odd = _class_of(docs.join(several, same, "left_semi").unionByName(docs.where(F.col("doc_id").isNull())))
+    classes = found.where("label is not null").select(F.col("class_id").alias("__class"), F.col("label").alias("__label"), F.col("component_id").alias("__least")).distinct()
+    odd = odd.join(classes, "__class", "left").where("__class is null or __least is null or doc_id = __least")
+    # one row a component: the first by text, found map-side before the shuffle
+    one = Window.partitionBy("__label").orderBy(F.xxhash64("text"), "text")
+    chosen = odd.where("__class is not null").withColumn("__n", F.row_number().over(one)).where("__n = 1")
+    return kept.unionByName(chosen.select(*docs.columns)).unionByName(odd.where("__class is null").select(*docs.columns))
 
 
 #: Pairs of classes that share a shingle, by distinct sets; labels spread along links until they rest.

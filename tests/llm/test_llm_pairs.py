@@ -76,6 +76,29 @@ def test_components_of_odd_texts(spark, edge_docs, edge_rows, no_docs):
     assert jaccard.one_of_each(no_docs).count() == 0
 
 
+def test_one_row_of_each_component(spark):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+
+    def near(text):
+        words = text.split()
+        words[rng.randrange(len(words))] = word()
+        return " ".join(words)
+
+    a, b, c, d, e = (" ".join(word() for _ in range(80)) for _ in range(5))
+    rows = [(1, a), (1, a), (1, near(a)), (2, a)]  # one id, copies and a near copy
+    rows += [(5, b), (5, c), (6, b), (7, c)]  # one id in two components
+    rows += [(None, d), (None, d), (None, near(d)), (None, e), (9, e), (None, None), (None, ""), (3, None), (3, None)]
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, label string, component_id int").repartition(3)
+    kept = jaccard.one_of_each(docs)
+    assert kept.columns == docs.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    assert [i for i, _ in got].count(1) == 1 and sorted(t for i, t in got if i == 5) == sorted([b, c])
+    assert not {2, 6, 7} & {i for i, _ in got} and (9, e) in got
+    assert sorted(str(t) for i, t in got if i is None and not (t and len(t) > 9)) == ["", "None"] and sum(i is None and bool(t) for i, t in got) == 1
+    assert got.count((3, None)) == 2
+
+
 def test_linked_sets_share_a_signature():
     rng = np.random.default_rng(3)
     for n in [1, 2, 3, 4, 5, 6, 7, 8, 11, 12, 20, 33, 64, 100, 333, 1000]:
