@@ -40,7 +40,7 @@ from moldwise.session import reliable_checkpoint
 
 SHINGLE = 5
 GROWTH, ROOM = 1.6, 1.2  # size of a band's end against its start; partitions for each possible difference
-FLUSH = 1 << 21  # signatures that a task gathers before it deals them out
+FLUSH = 1 << 20  # signatures that a task gathers before it deals them out
 BLOCK = 512  # classes of one signature that are compared at once
 PAIRS = 1 << 19  # pairs that a task looks at together
 FILTER_LOG2 = 23  # bits of the table that picks candidate documents out of a scan

@@ -93,7 +93,7 @@ def load(path: str) -> Pieces:
         mine = ids[size[ids] == length]
         some = h[size[ids] == length]
         at = np.argsort(some)
-        by_size[int(length)] = (some[at], mine[at])
+        by_size[int(length)] = (some[at], mine[at].astype(np.int32))
     long = ids[size[ids] > BEGIN]
     begins = np.unique(run_hashes(data, start[long], start[long] + BEGIN, 2))
     may, may_begin = np.zeros(1 << LOOK, bool), np.zeros(1 << LOOK, bool)
@@ -133,8 +133,8 @@ class Lattice:
             place, h = spots[some], h[some]
             key = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
             hit = keys[key] == h
-            at.append(place[hit])
-            length.append(np.full(int(hit.sum()), step))
+            at.append(place[hit].astype(np.int32))
+            length.append(np.full(int(hit.sum()), step, np.int32))
             piece.append(ids[key[hit]])
             if step <= 4:
                 have[place[hit]] |= 1 << step
@@ -143,14 +143,15 @@ class Lattice:
         unknown = lead & ((have >> width) & 1 == 0)
         first = np.maximum.accumulate(np.where(lead, np.arange(n), 0)) if n else np.arange(0)
         lone = np.flatnonzero(unknown[first]) if n else first
-        at.append(lone)
-        length.append(np.ones(len(lone), np.int64))
-        piece.append(pieces.of_byte[raw[lone]])
+        at.append(lone.astype(np.int32))
+        length.append(np.ones(len(lone), np.int32))
+        piece.append(pieces.of_byte[raw[lone]].astype(np.int32))
         at, length, piece = at[-2::-1] + at[-1:], length[-2::-1] + length[-1:], piece[-2::-1] + piece[-1:]  # long ones first: mostly the likelier
         self.at, self.piece = np.concatenate(at), np.concatenate(piece)
         order = np.argsort(self.at, kind="stable")
-        self.at, self.piece = self.at[order], self.piece[order].astype(np.int32)
+        self.at, self.piece = self.at[order], self.piece[order]
         self.to = self.at + np.concatenate(length)[order]
+        del at, length, piece, order, total, spots
         self.first = np.searchsorted(self.at, np.arange(n + 1))
         weight = pieces.weight[self.piece]
         some = np.diff(self.first) > 0  # inside a character with a piece of its own nothing begins
