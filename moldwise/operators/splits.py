@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from moldwise.functions.columns import known
 from moldwise.operators.ranking import global_row_number
-from moldwise.session import reliable_checkpoint
+from moldwise.session import reliable_checkpoint, stored
 
 
 # A table of class starts is broadcast up to this many rows (a few MB).
@@ -44,28 +44,36 @@ def group_split(df: DataFrame, group_cols: Sequence[str], test_size: float = 0.2
     groups with the smallest hashes form the test side, so no group is on
     both sides."""
     h = key_hash(group_cols, seed)
-    # distinct hashes are stored once; each round counts them by a longer
-    # prefix inside the range that holds the cut (65,536 ranges a round)
-    hashes = reliable_checkpoint(df.select(h.alias("_h")).distinct())
-    n = hashes.count()
-    k = math.ceil(test_size * n) if n else 0
-    if k <= 0:
+    hashes = stored(df.select(h.alias("_h")).distinct())
+    cut = _kth_hash(hashes, test_size)
+    if cut is None:
         return df.withColumn(out, F.lit("train"))
-    if k >= n:
-        return df.withColumn(out, F.lit("test"))
-    prefix, rank = "", k - 1
-    while len(prefix) < 32:
-        length = len(prefix) + 4
-        counts = hashes.where(F.col("_h").startswith(prefix)).groupBy(F.substring("_h", 1, length).alias("p")).count().collect()
-        for p, m in sorted((r["p"], r["count"]) for r in counts):
+    return df.withColumn(out, F.when(h <= F.lit(cut), "test").otherwise("train"))
+
+
+# Hashes that are fetched to pick the cut among them.
+HASHES_TO_FETCH = 10_000
+
+
+def _kth_hash(hashes: DataFrame, share: float) -> str | None:
+    """The ``ceil(share * n)``-th smallest of the stored distinct hashes; None
+    if that is none.  A round counts them by the next four digits (65,536
+    ranges at most) within the range that holds the cut, until that range can
+    be fetched; hashes spread evenly, so one round serves 600 million."""
+    prefix, rank = "", None
+    while True:
+        within = hashes.where(F.col("_h").startswith(prefix))
+        counts = within.groupBy(F.substring("_h", 1, len(prefix) + 4).alias("p")).count().collect()
+        if rank is None:
+            rank = min(math.ceil(share * sum(r["count"] for r in counts)), sum(r["count"] for r in counts)) - 1
+            if rank < 0:
+                return None
+        for prefix, m in sorted((r["p"], r["count"]) for r in counts):
             if rank < m:
                 break
             rank -= m
-        prefix = p
-        if m == 1:
-            break
-    cut = hashes.where(F.col("_h").startswith(prefix)).first()[0]
-    return df.withColumn(out, F.when(h <= F.lit(cut), "test").otherwise("train"))
+        if m <= HASHES_TO_FETCH:
+            return sorted(r[0] for r in hashes.where(F.col("_h").startswith(prefix)).collect())[rank]
 
 
 def row_split(df: DataFrame, key_cols: Sequence[str], test_size: float = 0.2, seed: int = 42,

@@ -40,6 +40,15 @@ def test_group_split_disjoint(spark):
     assert rep["test"]["group_overlap"] == 0 and rep["test"]["groups"] == 20
 
 
+@pytest.mark.parametrize("limit", [10_000, 1])
+def test_group_split_cut_by_any_number_of_rounds(spark, monkeypatch, limit):
+    monkeypatch.setattr(sp, "HASHES_TO_FETCH", limit)
+    df = spark.range(0, 3000).select((F.col("id") % 1000).alias("g"), F.col("id"))
+    for share, groups in ((0.2, 200), (0.0, 0), (1.0, 1000), (0.0004, 1)):
+        assert sp.group_split(df, ["g"], share).where("split = 'test'").select("g").distinct().count() == groups
+    assert sp.group_split(df.where("false"), ["g"], 0.2).count() == 0
+
+
 def test_stratified_folds_balance(spark):
     df = spark.range(0, 1003).select("id", (F.col("id") % 4 == 0).cast("int").alias("y"))
     f = sp.stratified_folds(df, "y", ["id"], 5)
