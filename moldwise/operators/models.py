@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 import statistics
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Callable, Sequence
@@ -30,7 +31,7 @@ from moldwise.operators.ranking import CodeTable, dense_codes_multi, join_codes
 from moldwise.operators.selection import SENSOR_IGNORE
 from moldwise.operators.splits import row_split, stratified_folds
 from moldwise.operators.windows import JOB_KEYS, scoring_context
-from moldwise.session import reliable_checkpoint
+from moldwise.session import checkpoint_dir, reliable_checkpoint
 
 # Inputs of the next-day forecaster, in model order.
 FORECAST_FEATURES = ["machine_code", "tool_code", "part_code", "scrap_lag_1", "scrap_lag_2", "rolling_avg_3"]
@@ -49,6 +50,15 @@ def _assembler(features: Sequence[str], out: str = "features") -> VectorAssemble
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep")
 
 
+def _without_summary(model: PipelineModel, spark: SparkSession) -> PipelineModel:
+    """The model as it comes back from storage.  A fresh classifier holds a
+    training summary with its session, which can't be sent to tasks once the
+    session has observed a table (``DataFrame.observe``)."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/model-{uuid.uuid4().hex}"
+    model.write().save(path)
+    return PipelineModel.load(path)
+
+
 def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """``n / (classes * n_class)`` per row; the class counts are joined (a row
     for each class), so any number of classes works."""
@@ -75,17 +85,16 @@ def train_rf_classifier(train: DataFrame, features: Sequence[str], label: str, n
         kw["weightCol"] = "weight"
     rf = RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=num_trees, maxDepth=max_depth,
                                 seed=seed, **kw)
-    return Pipeline(stages=[_assembler(features), rf]).fit(train)
+    return _without_summary(Pipeline(stages=[_assembler(features), rf]).fit(train), train.sparkSession)
 
 
 def train_logistic(train: DataFrame, features: Sequence[str], label: str, max_iter: int = 1000) -> PipelineModel:
     """Logistic regression on standardised features (scaler fitted on the
     training rows only), with an L2 penalty of strength one over the rows."""
     n = train.count()
-    return Pipeline(stages=[_assembler(features, "raw"),
-                            StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True),
-                            LogisticRegression(featuresCol="features", labelCol=label, maxIter=max_iter,
-                                               regParam=1.0 / max(n, 1), standardization=False)]).fit(train)
+    stages = [_assembler(features, "raw"), StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True),
+              LogisticRegression(featuresCol="features", labelCol=label, maxIter=max_iter, regParam=1.0 / max(n, 1), standardization=False)]
+    return _without_summary(Pipeline(stages=stages).fit(train), train.sparkSession)
 
 
 def train_gbt_classifier(train: DataFrame, features: Sequence[str], label: str, max_iter: int = 100,

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from moldwise.operators import models as md
@@ -132,3 +133,12 @@ def test_an_unfinished_stream_is_an_error(spark, tmp_path):
     feed = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
     with pytest.raises(TimeoutError):
         live.run_available_now(feed, str(tmp_path / "out"), str(tmp_path / "ckpt"), timeout_s=1)
+
+
+def test_classifiers_score_after_an_observation(spark):
+    df = _signal(spark, 200).withColumn("label", (F.col("x1") > 6).cast("int"))
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).collect()
+    assert seen.get["rows"] == 200  # from here on the session itself can't be sent to tasks
+    for model in (md.train_rf_classifier(df, ["x1", "x2"], "label", num_trees=3, max_depth=4), md.train_logistic(df, ["x1", "x2"], "label")):
+        assert md.balanced_accuracy(model.transform(df), "label") > 0.9
