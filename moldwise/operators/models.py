@@ -19,8 +19,8 @@ from dataclasses import dataclass, field
 from typing import Callable, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassificationModel, RandomForestClassifier
+from pyspark.ml.feature import Bucketizer, StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +31,7 @@ from moldwise.operators.ranking import CodeTable, dense_codes_multi, join_codes
 from moldwise.operators.selection import SENSOR_IGNORE
 from moldwise.operators.splits import row_split, stratified_folds
 from moldwise.operators.windows import JOB_KEYS, scoring_context
-from moldwise.session import checkpoint_dir, reliable_checkpoint
+from moldwise.session import checkpoint_dir, reliable_checkpoint, stored
 
 # Inputs of the next-day forecaster, in model order.
 FORECAST_FEATURES = ["machine_code", "tool_code", "part_code", "scrap_lag_1", "scrap_lag_2", "rolling_avg_3"]
@@ -42,18 +42,35 @@ JOB_CODES = {"machine_id": "machine_code", "tool_id": "tool_code", "part_number"
 MAX_TREE_DEPTH = 30
 
 
+# Rows that one partition of a fit should hold at most.
+ROWS_A_PART = 2_000_000
+
+
 def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def dealt(train: DataFrame) -> DataFrame:
+    """The rows of a fit dealt evenly, a partition a core or a multiple of that.
+
+    In every pass a partition counts each node by itself, so counts grow with
+    the partitions; with fewer than there are cores, cores have nothing to do.
+    """
+    cores = max(train.sparkSession.sparkContext.defaultParallelism, 1)
+    rounds = max(1, -(-train.count() // (cores * ROWS_A_PART)))
+    return train.repartition(cores * rounds)
+
+
 def _assembler(features: Sequence[str], out: str = "features") -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep")
 
 
 def _without_summary(model: PipelineModel, spark: SparkSession) -> PipelineModel:
-    """The model as it comes back from storage.  A fresh classifier holds a
-    training summary with its session, which can't be sent to tasks once the
-    session has observed a table (``DataFrame.observe``)."""
+    """The model without its training summary.  That holds the session, which
+    can't be sent to tasks once it has observed a table (``DataFrame.observe``).
+    A forest's copy has none; other models are read back from storage."""
+    if isinstance(model.stages[-1], RandomForestClassificationModel):
+        return PipelineModel([*model.stages[:-1], model.stages[-1].copy()])
     path = f"{checkpoint_dir(spark).rstrip('/')}/model-{uuid.uuid4().hex}"
     model.write().save(path)
     return PipelineModel.load(path)
@@ -72,7 +89,7 @@ def train_rf_regressor(train: DataFrame, features: Sequence[str], label: str, nu
                        max_depth: int = MAX_TREE_DEPTH, seed: int = 42) -> PipelineModel:
     rf = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=num_trees, maxDepth=max_depth,
                                featureSubsetStrategy="all", seed=seed)
-    return Pipeline(stages=[_assembler(features), rf]).fit(train)
+    return Pipeline(stages=[_assembler(features), rf]).fit(dealt(train.select(*map(_q, [*features, label]))))
 
 
 def train_rf_classifier(train: DataFrame, features: Sequence[str], label: str, num_trees: int = 200,
@@ -80,6 +97,7 @@ def train_rf_classifier(train: DataFrame, features: Sequence[str], label: str, n
     """Random-forest classifier; ``balanced`` weights classes inversely to
     their frequency in the training rows."""
     kw = {}
+    train = dealt(train.select(*map(_q, [*features, label])))
     if balanced:
         train = balanced_weights(train, label)
         kw["weightCol"] = "weight"
@@ -92,6 +110,7 @@ def train_logistic(train: DataFrame, features: Sequence[str], label: str, max_it
     """Logistic regression on standardised features (scaler fitted on the
     training rows only), with an L2 penalty of strength one over the rows."""
     n = train.count()
+    train = dealt(train.select(*map(_q, [*features, label])))
     stages = [_assembler(features, "raw"), StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True),
               LogisticRegression(featuresCol="features", labelCol=label, maxIter=max_iter, regParam=1.0 / max(n, 1), standardization=False)]
     return _without_summary(Pipeline(stages=stages).fit(train), train.sparkSession)
@@ -101,15 +120,43 @@ def train_gbt_classifier(train: DataFrame, features: Sequence[str], label: str,
                          max_depth: int = 3, seed: int = 42) -> PipelineModel:
     return Pipeline(stages=[_assembler(features),
                             GBTClassifier(featuresCol="features", labelCol=label, maxIter=max_iter, maxDepth=max_depth,
-                                          seed=seed)]).fit(train)
+                                          seed=seed)]).fit(dealt(train.select(*map(_q, [*features, label]))))
+
+
+# Bins of a feature that boosted regression trees tell apart (Spark's trees have 32 too).
+BINS = 32
+
+
+def binned_means(train: DataFrame, features: Sequence[str], label: str) -> tuple[Bucketizer, DataFrame]:
+    """Cuts of each feature at its quantiles, and the rows in one row for each
+    combination of bins: mean label and number of rows (``weight``).
+
+    Trees see a feature by its bins alone, and rows of equal bins stay together
+    in every node.  With squared loss a split's gain and a leaf's mean depend
+    only on such rows' mean and number, so the fit is that of all rows, over at
+    most as many rows as bins combine to.
+    """
+    cuts = train.approxQuantile(list(features), [i / BINS for i in range(1, BINS)], 0.1 / BINS)
+    bins = [f"{c}__bin" for c in features]
+    cutter = Bucketizer(inputCols=list(features), outputCols=bins, handleInvalid="keep",
+                        splitsArray=[[float("-inf"), *(sorted(set(c)) or [0.0]), float("inf")] for c in cuts])
+    y = _q(label)
+    checked = cutter.copy({cutter.handleInvalid: "error"})  # a fit takes no missing values, scoring does
+    binned = checked.transform(train.select(*map(_q, [*features, label])))
+    means = binned.groupBy(*[_q(b).alias(b, metadata={}) for b in bins]).agg(  # bins have an order, they are no categories
+        F.when(F.count(y) == F.count(F.lit(1)), F.avg(y)).alias(label), F.count(F.lit(1)).cast("double").alias("weight"))
+    return cutter, means
 
 
 def train_gbt_regressor(train: DataFrame, features: Sequence[str], label: str, max_iter: int = 100,
                         step: float = 0.1, max_depth: int = 6, seed: int = 42) -> PipelineModel:
-    """Boosted regression trees (no L2 penalty on leaves: Spark has none)."""
-    return Pipeline(stages=[_assembler(features),
-                            GBTRegressor(featuresCol="features", labelCol=label, maxIter=max_iter, stepSize=step,
-                                         maxDepth=max_depth, seed=seed)]).fit(train)
+    """Boosted regression trees (no L2 penalty on leaves: Spark has none) on binned features."""
+    cutter, means = binned_means(train, features, label)
+    means = stored(means)
+    boosted = GBTRegressor(featuresCol="features", labelCol=label, weightCol="weight", maxIter=max_iter, stepSize=step,
+                           maxDepth=max_depth, maxBins=BINS + 2, seed=seed)
+    model = Pipeline(stages=[_assembler(cutter.getOutputCols()), boosted]).fit(dealt(means))
+    return PipelineModel([cutter, *model.stages])
 
 
 def feature_importance(model: PipelineModel, features: Sequence[str], top_n: int | None = 15) -> DataFrame:

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
@@ -142,3 +143,22 @@ def test_classifiers_score_after_an_observation(spark):
     assert seen.get["rows"] == 200  # from here on the session itself can't be sent to tasks
     for model in (md.train_rf_classifier(df, ["x1", "x2"], "label", num_trees=3, max_depth=4), md.train_logistic(df, ["x1", "x2"], "label")):
         assert md.balanced_accuracy(model.transform(df), "label") > 0.9
+
+
+def test_boosting_over_binned_means_is_that_of_all_rows(spark):
+    rows = [(float(i % 40), float(i * 7 % 5), 1.0, float(i * i % 23 + i % 40)) for i in range(600)]
+    df = spark.createDataFrame(rows, "a double, b double, same double, y double")
+    cutter, means = md.binned_means(df, ["a", "b", "same"], "y")
+    assert means.count() < 600 and means.agg(F.sum("weight")).first()[0] == 600
+    model = md.train_gbt_regressor(df, ["a", "b", "same"], "y", max_iter=5)
+    plain = GBTRegressor(labelCol="y", maxIter=5, stepSize=0.1, maxDepth=6, maxBins=md.BINS + 2, seed=42)
+    cut = cutter.transform(df).select("a", "b", "same", "y", *[F.col(c).alias(c, metadata={}) for c in cutter.getOutputCols()])
+    every = md._assembler(cutter.getOutputCols()).transform(cut)
+    want = plain.fit(every).transform(every).withColumnRenamed("prediction", "want")
+    got = model.transform(want.drop("features", *cutter.getOutputCols()))
+    assert got.where(F.abs(F.col("prediction") - F.col("want")) > 1e-6).isEmpty()
+
+
+def test_a_fit_uses_every_core(spark):
+    one = _signal(spark, 100).coalesce(1)
+    assert md.dealt(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
