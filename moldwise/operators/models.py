@@ -42,8 +42,8 @@ JOB_CODES = {"machine_id": "machine_code", "tool_id": "tool_code", "part_number"
 MAX_TREE_DEPTH = 30
 
 
-# Rows that one partition of a fit should hold at most.
-ROWS_A_PART = 2_000_000
+# Rows that one partition of a fit should hold, at least and at most.
+ROWS_WORTH, ROWS_A_PART = 10_000, 2_000_000
 
 
 def _q(name: str) -> Column:
@@ -51,14 +51,14 @@ def _q(name: str) -> Column:
 
 
 def dealt(train: DataFrame) -> DataFrame:
-    """The rows of a fit dealt evenly, a partition a core or a multiple of that.
+    """The rows of a fit dealt evenly, a partition a core or a multiple of that; few rows over fewer.
 
     In every pass a partition counts each node by itself, so counts grow with
     the partitions; with fewer than there are cores, cores have nothing to do.
     """
-    cores = max(train.sparkSession.sparkContext.defaultParallelism, 1)
-    rounds = max(1, -(-train.count() // (cores * ROWS_A_PART)))
-    return train.repartition(cores * rounds)
+    cores, rows = max(train.sparkSession.sparkContext.defaultParallelism, 1), train.count()
+    rounds = max(1, -(-rows // (cores * ROWS_A_PART)))
+    return train.repartition(max(1, min(cores * rounds, -(-rows // ROWS_WORTH))))
 
 
 def _assembler(features: Sequence[str], out: str = "features") -> VectorAssembler:

@@ -160,5 +160,6 @@ def test_boosting_over_binned_means_is_that_of_all_rows(spark):
 
 
 def test_a_fit_uses_every_core(spark):
-    one = _signal(spark, 100).coalesce(1)
-    assert md.dealt(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    cores = spark.sparkContext.defaultParallelism
+    assert md.dealt(_signal(spark, cores * md.ROWS_WORTH).coalesce(1)).rdd.getNumPartitions() == cores
+    assert md.dealt(_signal(spark, 100)).rdd.getNumPartitions() == 1  # not worth more
