@@ -35,14 +35,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from moldwise.llm.components import components
-from moldwise.llm.textbytes import SPACED, U64, Words, expand, grams, mix, slices, text_bytes
-from moldwise.session import reliable_checkpoint
+from moldwise.llm.textbytes import SPACED, U64, Words, expand, grams, mix, release, slices, text_bytes
+from moldwise.session import freed_shuffles, reliable_checkpoint
 
 SHINGLE = 5
 GROWTH, ROOM = 1.6, 1.2  # size of a band's end against its start; partitions for each possible difference
 FLUSH = 1 << 20  # signatures that a task gathers before it deals them out
 BLOCK = 512  # classes of one signature that are compared at once
 PAIRS = 1 << 19  # pairs that a task looks at together
+XOR_BYTES = 4 << 20  # of bitmaps that are laid on each other at once
 FILTER_LOG2 = 23  # bits of the table that picks candidate documents out of a scan
 
 
@@ -124,8 +125,9 @@ class Bitmaps:
         for n in np.unique(least).tolist():
             mine = np.flatnonzero(least == n)
             rows, at = self.rows[n], self.at[n]
-            for k in range(0, len(mine), 1 << 15):
-                some = mine[k : k + (1 << 15)]
+            step = max(1, XOR_BYTES // n)
+            for k in range(0, len(mine), step):
+                some = mine[k : k + step]
                 out[some] = np.bitwise_count(rows[at[i[some]]] ^ rows[at[j[some]]]).sum(axis=1)
         return out
 
@@ -368,6 +370,7 @@ def _open_pairs(buckets: DataFrame, labels: DataFrame, sketches: DataFrame, near
         return pa.RecordBatch.from_arrays([pa.array(both[:, k], pa.int64()) for k in range(3)], names=["a", "b", "bucket"])
 
     def run(batches):
+        release()
         held: list[pa.RecordBatch] = []
         for batch in batches:
             if not batch.num_rows:
@@ -395,8 +398,20 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
 def _labelled(docs: DataFrame) -> DataFrame:
     """``jaccard_components`` with the smallest class of each row's component as ``label``."""
-    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    with freed_shuffles(docs.sparkSession):  # each step's shuffles go once its checkpoint is written
+        classes, labels = _classes_and_labels(docs)
+    by_class = classes.join(labels.withColumnRenamed("node", "fp"), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
+    least = by_class.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"))
+    return by_class.join(least, "label", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.col("fp").alias("class_id"),
+        F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"), "label",
+    )
+
+
+def _classes_and_labels(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n, fp) of every row, and (node, label) of the classes that have links; both read from checkpoints."""
+    spark = docs.sparkSession
     shards = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     met = reliable_checkpoint(docs.mapInArrow(_sign(shards), _ROW).groupBy("shard").applyInArrow(_meet, _MET_SCHEMA))
     classes = met.where("kind = 0").select("doc_id", "n", "fp")
@@ -412,12 +427,7 @@ def _labelled(docs: DataFrame) -> DataFrame:
         links = reliable_checkpoint(links.unionByName(_linked(docs, classes, found.select("a", "b").distinct())))
         labels = components(links)
         buckets = reliable_checkpoint(buckets.join(found.select("bucket").distinct(), "bucket", "left_semi"))
-    by_class = classes.join(labels.withColumnRenamed("node", "fp"), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
-    least = by_class.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"))
-    return by_class.join(least, "label", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.col("fp").alias("class_id"),
-        F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"), "label",
-    )
+    return classes, labels
 
 
 def _class_of(docs: DataFrame) -> DataFrame:

@@ -1,9 +1,14 @@
+import glob
 import hashlib
+import os
 import random
+import tempfile
+import time
 
 import numpy as np
 import pytest
 
+from moldwise import session
 from moldwise.llm import decontaminate, jaccard, nearest
 from moldwise.llm.components import components
 
@@ -76,6 +81,31 @@ def test_components_of_odd_texts(spark, edge_docs, edge_rows, no_docs):
     assert jaccard.one_of_each(no_docs).count() == 0
 
 
+def test_shuffles_of_the_join_go_with_their_steps(spark):
+    conf = session.FREE_SHUFFLES
+    top = os.environ.get("SPARK_LOCAL_DIRS") or spark.conf.get("spark.local.dir", None) or tempfile.gettempdir()
+    files = lambda: {*glob.glob(f"{top}/**/blockmgr-*/*/shuffle_*.data", recursive=True)}
+    docs = spark.createDataFrame(near_copies(4), "doc_id long, text string")
+    before, kept = files(), spark.conf.get(conf, None)
+    found = jaccard.jaccard_components(docs)  # all steps but the last have run
+    until = time.time() + 20  # files are removed in the background
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before
+    assert spark.conf.get(conf, None) == kept
+    assert found.count() == found.count() == docs.count()
+
+
+def test_differences_in_small_steps(monkeypatch):
+    rng = np.random.default_rng(8)
+    bitmaps = [jaccard.parity(np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))) for n in (3, 40, 41, 90, 700, 700, 3000)]
+    i, j = (x.ravel() for x in np.meshgrid(np.arange(len(bitmaps)), np.arange(len(bitmaps))))
+    plain = [jaccard.differences(bitmaps[a], [bitmaps[b]])[0] for a, b in zip(i, j)]
+    for limit in (1, 100, 4 << 20):
+        monkeypatch.setattr(jaccard, "XOR_BYTES", limit)
+        assert jaccard.Bitmaps(bitmaps).differences(i, j).tolist() == plain
+
+
 def test_one_row_of_each_component(spark):
     rng = random.Random(12)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
