@@ -18,12 +18,16 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Callable, Sequence
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import Bucketizer, StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from moldwise.functions.columns import risk_status
 from moldwise.operators.metrics import classification_metrics, naive_baseline, regression_metrics
@@ -44,21 +48,26 @@ MAX_TREE_DEPTH = 30
 
 # Rows that one partition of a fit should hold, at least and at most.
 ROWS_WORTH, ROWS_A_PART = 10_000, 2_000_000
+# Bins of a feature that trees tell apart (Spark's have 32 too).
+BINS = 32
+# Classifiers and forests are fitted on combinations of bins (``Cells``) from
+# so many rows on, where a combination stands for so many rows on average.
+CELLS_FROM, ROWS_A_CELL = 100_000, 16
 
 
 def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def dealt(train: DataFrame) -> DataFrame:
-    """The rows of a fit dealt evenly, a partition a core or a multiple of that; few rows over fewer.
+def dealt(train: DataFrame, *keys: Column) -> DataFrame:
+    """The rows of a fit dealt evenly (or by ``keys``), a partition a core or a multiple of that; few rows over fewer.
 
     In every pass a partition counts each node by itself, so counts grow with
     the partitions; with fewer than there are cores, cores have nothing to do.
     """
     cores, rows = max(train.sparkSession.sparkContext.defaultParallelism, 1), train.count()
     rounds = max(1, -(-rows // (cores * ROWS_A_PART)))
-    return train.repartition(max(1, min(cores * rounds, -(-rows // ROWS_WORTH))))
+    return train.repartition(max(1, min(cores * rounds, -(-rows // ROWS_WORTH))), *keys)
 
 
 def _assembler(features: Sequence[str], out: str = "features") -> VectorAssembler:
@@ -76,19 +85,156 @@ def _without_summary(model: PipelineModel, spark: SparkSession) -> PipelineModel
     return PipelineModel.load(path)
 
 
-def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
+def balanced_weights(df: DataFrame, label: str, out: str = "weight", rows: str | None = None) -> DataFrame:
     """``n / (classes * n_class)`` per row; the class counts are joined (a row
-    for each class), so any number of classes works."""
-    counts = df.groupBy(_q(label).alias("_class")).agg(F.count(F.lit(1)).alias("_m"))
+    for each class), so any number of classes works.  The column ``rows`` says
+    how many rows one of ``df`` stands for."""
+    counts = df.groupBy(_q(label).alias("_class")).agg((F.sum(_q(rows)) if rows else F.count(F.lit(1))).alias("_m"))
     every = counts.agg(F.sum("_m").alias("n"), F.count(F.lit(1)).alias("k"))
     weight = every.select(F.col("n") / F.col("k")).scalar() / F.col("_m")
     return df.join(counts, _q(label).eqNullSafe(F.col("_class"))).withColumn(out, weight).drop("_class", "_m")
 
 
+def _cutter(train: DataFrame, features: Sequence[str]) -> Bucketizer:
+    """Cuts of each feature at its quantiles."""
+    cuts = train.approxQuantile(list(features), [i / BINS for i in range(1, BINS)], 0.1 / BINS)
+    return Bucketizer(inputCols=list(features), outputCols=[f"{c}__bin" for c in features], handleInvalid="keep",
+                      splitsArray=[[float("-inf"), *(sorted(set(c)) or [0.0]), float("inf")] for c in cuts])
+
+
+@dataclass
+class Cells:
+    """Rows of a fit by the combination of bins that they fall in, a cell.
+
+    Trees see a feature by its bins alone and rows of a cell stay together in
+    every node, so a fit needs only how many rows (and with which labels) a
+    cell has.  Bags are drawn by row: of a cell's n rows, each tree draws as
+    many as n draws from Poisson(1) give.
+    """
+
+    cutter: Bucketizer
+    rows: DataFrame  # bins and label of every row
+    counts: DataFrame  # (bins, label, rows), stored
+
+    @property
+    def bins(self) -> list[str]:
+        return self.cutter.getOutputCols()
+
+    def labelled(self, classes: int) -> Column:
+        return F.col("label").alias("label", metadata={"ml_attr": {"type": "nominal", "num_vals": classes}})
+
+    def classes(self) -> int:
+        return int(self.counts.agg(F.max("label")).first()[0]) + 1
+
+
+def cells(train: DataFrame, features: Sequence[str], label: str, by_label: bool = True) -> Cells | None:
+    """The rows by cells (with ``by_label``, by cell and class); None where
+    rows are few or there aren't many to a cell, so that it wouldn't pay."""
+    n = train.count()
+    if n < max(CELLS_FROM, 1) or not features:
+        return None
+    cutter = _cutter(train, features)
+    bins = cutter.getOutputCols()
+    checked = cutter.copy({cutter.handleInvalid: "error"})  # a fit takes no missing values, scoring does
+    # bins have an order, they are no categories
+    rows = checked.transform(train.select(*map(_q, dict.fromkeys([*features, label])))) \
+        .select(*[_q(b).alias(b, metadata={}) for b in bins], _q(label).cast("double").alias("label"))
+    counts = stored(rows.groupBy(*map(_q, bins), *(["label"] if by_label else [])).agg(F.count(F.lit(1)).alias("rows")))
+    return Cells(cutter, rows, counts) if counts.count() * ROWS_A_CELL <= n else None
+
+
+def _class_bags(found: Cells, trees: int, seed: int) -> DataFrame:
+    """The cells with the rows that each tree draws of them (``drawn0``, ...)."""
+    names = [f"drawn{t}" for t in range(trees)]
+
+    def run(batches):
+        rng = np.random.default_rng([seed, TaskContext.get().partitionId()])
+        for batch in batches:
+            drawn = rng.poisson(batch.column(batch.schema.get_field_index("rows")).to_numpy()[:, None], (batch.num_rows, trees))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(drawn[:, t]) for t in range(trees))], names=[*batch.schema.names, *names])
+
+    return found.counts.mapInArrow(run, T.StructType([*found.counts.schema.fields, *(T.StructField(c, T.LongType()) for c in names)]))
+
+
+def _value_bags(found: Cells, trees: int, seed: int) -> DataFrame:
+    """Cells with the number and the mean label of the rows that each tree draws of them
+    (``drawn0``, ``mean0``, ...).  Rows meet by cell; one that spans several Arrow
+    batches comes in as many rows, which trees keep together as well."""
+    bins, names = found.bins, [*(f"drawn{t}" for t in range(trees)), *(f"mean{t}" for t in range(trees))]
+    rows = dealt(found.rows, *map(_q, bins)).sortWithinPartitions(*map(_q, bins), "label")
+
+    def run(batches):
+        rng = np.random.default_rng([seed, TaskContext.get().partitionId()])
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = [batch.column(i).to_numpy() for i in range(len(bins))]
+            y = batch.column(len(bins)).to_numpy(zero_copy_only=False)
+            new = np.ones(batch.num_rows, bool)
+            new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+            first = np.flatnonzero(new)
+            each = rng.poisson(1.0, (batch.num_rows, trees))
+            drawn = np.add.reduceat(each, first, axis=0)
+            mean = np.add.reduceat(each * y[:, None], first, axis=0) / np.maximum(drawn, 1)
+            columns = [*(k[first] for k in keys), *drawn.T, *mean.T]
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], names=[*bins, *names])
+
+    kinds = [T.LongType()] * trees + [T.DoubleType()] * trees
+    return rows.mapInArrow(run, T.StructType([*found.rows.select(*map(_q, bins)).schema.fields, *(T.StructField(c, k) for c, k in zip(names, kinds))]))
+
+
+def _forest_of(found: Cells, bags: DataFrame, forest, label: Column | None = None, weight: str | None = None) -> PipelineModel:
+    """``forest`` grown tree by tree, each on the rows drawn for it; trees are
+    concurrent Spark jobs.  The trees make one model of Spark's."""
+    spark, trees = bags.sparkSession, forest.getNumTrees()
+    kept = [c for c in bags.columns if c not in found.bins]
+    bags = stored(_assembler(found.bins).transform(bags).select("features", *kept)
+                  .repartition(max(1, -(-found.counts.count() // (10 * ROWS_WORTH)))))
+
+    def grow(t: int):
+        one = forest.copy({forest.numTrees: 1, forest.bootstrap: False, forest.seed: forest.getSeed() + t, forest.weightCol: "_weight"})
+        rows = bags.where(F.col(f"drawn{t}") > 0)
+        y = F.col(f"mean{t}").alias("label") if label is None else label
+        return one.fit(rows.select("features", y, (F.col(f"drawn{t}") * (F.col(weight) if weight else 1.0)).alias("_weight")))
+
+    with ThreadPoolExecutor(max_workers=max(1, min(trees, spark.sparkContext.defaultParallelism))) as pool:
+        grown = list(pool.map(grow, range(trees)))
+    kind = "classification.{}Classification" if label is not None else "regression.{}Regression"
+    jvm, name = spark._jvm.org.apache.spark.ml, kind.split(".")
+    models = getattr(jvm, name[0])
+    every = spark.sparkContext._gateway.new_array(getattr(models, name[1].format("DecisionTree") + "Model"), trees)
+    for t, model in enumerate(grown):
+        every[t] = model._java_obj.trees()[0]
+    sizes = [grown[0].numFeatures, *([grown[0].numClasses] if label is not None else [])]
+    joined = getattr(models, name[1].format("RandomForest") + "Model")(forest.uid, every, *sizes)
+    forest._transfer_params_to_java()
+    forest._java_obj.copyValues(joined, spark._jvm.org.apache.spark.ml.param.ParamMap.empty())
+    return PipelineModel([found.cutter, _assembler(found.bins), forest._copyValues(forest._create_model(joined))])
+
+
+# A table of cells is broadcast up to this many rows (some MB).
+CELLS_TO_SEND = 100_000
+
+
+def scored(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """``df`` with the model's ``prediction``.  Where the model tells rows apart
+    by bins, each combination of bins is scored once, with all trees, and joined."""
+    if not isinstance(model.stages[0], Bucketizer):
+        return model.transform(df).select(*map(_q, df.columns), "prediction")
+    cutter, rest = model.stages[0], PipelineModel(model.stages[1:])
+    bins = cutter.getOutputCols()
+    cut = cutter.transform(df).withColumns({b: F.coalesce(_q(b), F.lit(float("nan"))) for b in bins})  # NaN joins NaN
+    found = stored(rest.transform(cut.select(*map(_q, bins)).distinct()).select(*map(_q, bins), "prediction"))
+    return cut.join(F.broadcast(found) if found.count() <= CELLS_TO_SEND else found, bins).select(*map(_q, df.columns), "prediction")
+
+
 def train_rf_regressor(train: DataFrame, features: Sequence[str], label: str, num_trees: int = 100,
                        max_depth: int = MAX_TREE_DEPTH, seed: int = 42) -> PipelineModel:
-    rf = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=num_trees, maxDepth=max_depth,
-                               featureSubsetStrategy="all", seed=seed)
+    found = cells(train, features, label, by_label=False)
+    rf = RandomForestRegressor(featuresCol="features", labelCol="label" if found else label, numTrees=num_trees, maxDepth=max_depth,
+                               featureSubsetStrategy="all", maxBins=BINS + 2 if found else BINS, seed=seed)
+    if found:
+        return _forest_of(found, _value_bags(found, num_trees, seed), rf)
     return Pipeline(stages=[_assembler(features), rf]).fit(dealt(train.select(*map(_q, [*features, label]))))
 
 
@@ -96,6 +242,14 @@ def train_rf_classifier(train: DataFrame, features: Sequence[str], label: str, n
                         balanced: bool = True, max_depth: int = MAX_TREE_DEPTH, seed: int = 42) -> PipelineModel:
     """Random-forest classifier; ``balanced`` weights classes inversely to
     their frequency in the training rows."""
+    found = cells(train, features, label)
+    if found:
+        rf = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=num_trees, maxDepth=max_depth,
+                                    featureSubsetStrategy="sqrt" if num_trees > 1 else "all", maxBins=BINS + 2, seed=seed)
+        bags = _class_bags(found, num_trees, seed)
+        if not balanced:
+            return _forest_of(found, bags, rf, found.labelled(found.classes()))
+        return _forest_of(found, balanced_weights(bags, "label", rows="rows"), rf, found.labelled(found.classes()), "weight")
     kw = {}
     train = dealt(train.select(*map(_q, [*features, label])))
     if balanced:
@@ -118,15 +272,18 @@ def train_logistic(train: DataFrame, features: Sequence[str], label: str, max_it
 
 def train_gbt_classifier(train: DataFrame, features: Sequence[str], label: str, max_iter: int = 100,
                          max_depth: int = 3, seed: int = 42) -> PipelineModel:
+    found = cells(train, features, label)
+    if found:  # nothing is drawn, so rows of a cell and class are one row of their weight
+        boosted = GBTClassifier(featuresCol="features", labelCol="label", weightCol="rows", maxIter=max_iter, maxDepth=max_depth,
+                                maxBins=BINS + 2, seed=seed)
+        model = Pipeline(stages=[_assembler(found.bins), boosted]).fit(dealt(
+            found.counts.select(*map(_q, found.bins), found.labelled(found.classes()), F.col("rows").cast("double").alias("rows"))))
+        return PipelineModel([found.cutter, *model.stages])
     return Pipeline(stages=[_assembler(features),
                             GBTClassifier(featuresCol="features", labelCol=label, maxIter=max_iter, maxDepth=max_depth,
                                           seed=seed)]).fit(dealt(train.select(*map(_q, [*features, label]))))
 
 
-# Bins of a feature that boosted regression trees tell apart (Spark's trees have 32 too).
-BINS = 32
-
-
 def binned_means(train: DataFrame, features: Sequence[str], label: str) -> tuple[Bucketizer, DataFrame]:
     """Cuts of each feature at its quantiles, and the rows in one row for each
     combination of bins: mean label and number of rows (``weight``).
@@ -136,11 +293,8 @@ def binned_means(train: DataFrame, features: Sequence[str], label: str) -> tuple
     only on such rows' mean and number, so the fit is that of all rows, over at
     most as many rows as bins combine to.
     """
-    cuts = train.approxQuantile(list(features), [i / BINS for i in range(1, BINS)], 0.1 / BINS)
-    bins = [f"{c}__bin" for c in features]
-    cutter = Bucketizer(inputCols=list(features), outputCols=bins, handleInvalid="keep",
-                        splitsArray=[[float("-inf"), *(sorted(set(c)) or [0.0]), float("inf")] for c in cuts])
-    y = _q(label)
+    cutter = _cutter(train, features)
+    bins, y = cutter.getOutputCols(), _q(label)
     checked = cutter.copy({cutter.handleInvalid: "error"})  # a fit takes no missing values, scoring does
     binned = checked.transform(train.select(*map(_q, [*features, label])))
     means = binned.groupBy(*[_q(b).alias(b, metadata={}) for b in bins]).agg(  # bins have an order, they are no categories
@@ -180,7 +334,7 @@ def feature_importance(model: PipelineModel, features: Sequence[str], top_n: int
 def regression_report(model: PipelineModel, train: DataFrame, test: DataFrame, label: str) -> DataFrame:
     """Model metrics on the test rows next to the mean-prediction baseline,
     with the improvement in percent."""
-    pred = model.transform(test)
+    pred = scored(model, test)
     m = regression_metrics(pred, label, "prediction")
     b = naive_baseline(train, test, label)
     bm, br = b.select("mae").scalar(), b.select("rmse").scalar()
@@ -195,9 +349,9 @@ def regression_checks(model: PipelineModel, train: DataFrame, test: DataFrame, l
     mean does) and ``in_range`` (its test predictions lie within the training
     target's range, as averages of it must)."""
     y = _q(label)
-    seen = model.transform(train).agg(F.avg(F.abs(F.col("prediction") - y)).alias("mae"), F.min(y).alias("low"), F.max(y).alias("high"))
+    seen = scored(model, train).agg(F.avg(F.abs(F.col("prediction") - y)).alias("mae"), F.min(y).alias("low"), F.max(y).alias("high"))
     base = naive_baseline(train, train, label).select("mae").scalar()
-    new = model.transform(test).agg(F.min("prediction").alias("low"), F.max("prediction").alias("high")).select(F.struct("low", "high")).scalar()
+    new = scored(model, test).agg(F.min("prediction").alias("low"), F.max("prediction").alias("high")).select(F.struct("low", "high")).scalar()
     return seen.select((F.col("mae") < base).alias("fits"), ((new["low"] >= F.col("low") - 1e-6) & (new["high"] <= F.col("high") + 1e-6)).alias("in_range"))
 
 
@@ -224,7 +378,7 @@ def _run_folds(folds: DataFrame, label: str, k: int, make: Callable[[DataFrame],
     concurrent Spark jobs (each fit is itself distributed)."""
     def one(i: int) -> tuple[float, float, int, int]:
         model = make(folds.where(F.col("fold") != i))
-        return _fold_scores(model.transform(folds.where(F.col("fold") == i)), label)
+        return _fold_scores(scored(model, folds.where(F.col("fold") == i)), label)
 
     if parallelism <= 1:
         return [one(i) for i in range(k)]
@@ -270,7 +424,7 @@ def compare_models(df: DataFrame, features: Sequence[str], label: str, key_cols:
 
 
 def risk_classifier_report(model: PipelineModel, test: DataFrame, label: str) -> DataFrame:
-    return classification_metrics(model.transform(test).withColumn("prediction", F.col("prediction").cast("int")),
+    return classification_metrics(scored(model, test).withColumn("prediction", F.col("prediction").cast("int")),
                                   label, "prediction")
 
 

@@ -631,9 +631,14 @@ QUERIES.update({
 FIXTURE_TREE_DEPTH = 12
 
 
+def _model_dataset(spark, sf):
+    """The ML dataset for fits, which read it several times: daily features are computed once."""
+    return jn.join_production_features(fx.production(spark, sf), stored(_features(spark, sf)), keep_unmatched=True, materialize_features=False)
+
+
 def _baseline_matrix(spark, sf):
     """ML dataset -> sorted numeric features (median-filled) + group split."""
-    ml = _ml_dataset(spark, sf)
+    ml = _model_dataset(spark, sf)
     feats = se.baseline_features(ml)
     filled = se.fill_median(stored(ml.select("machine_id", "date_key", "actual_scrap_qty", *feats)), feats, materialize=False)
     return sp.group_split(filled, ["machine_id", "date_key"]), feats
@@ -664,7 +669,7 @@ def q_feature_importance(spark, sf):
 
 
 def _risk_dataset(spark, sf):
-    return se.label_high_risk(_ml_dataset(spark, sf), "actual_scrap_qty", 0.75, "high_scrap_risk")
+    return se.label_high_risk(_model_dataset(spark, sf), "actual_scrap_qty", 0.75, "high_scrap_risk")
 
 
 def q_risk_classifier(spark, sf):
@@ -680,12 +685,12 @@ def q_risk_classifier(spark, sf):
 def _checked_classes(report, model, train, label):
     """Supports of a class report; whether its figures are shares, and whether the model tells its training rows apart."""
     shares = F.coalesce(F.col("precision").between(0, 1), F.lit(True)) & F.coalesce(F.col("recall").between(0, 1), F.lit(True)) & F.col("f1").between(0, 1)
-    fits = md.balanced_accuracy(model.transform(train), label) > 0.5
+    fits = md.balanced_accuracy(md.scored(model, train), label) > 0.5
     return report.select("class", "support", shares.alias("shares"), F.lit(fits).alias("fits"))
 
 
 def _final_frame(spark, sf):
-    ml = se.label_high_risk(_ml_dataset(spark, sf), "actual_scrap_qty", 0.75, "target")
+    ml = se.label_high_risk(_model_dataset(spark, sf), "actual_scrap_qty", 0.75, "target")
     frame = se.final_model_frame(ml, "target")
     return frame, [c for c in frame.columns if c != "target"]
 
@@ -840,7 +845,7 @@ QUERIES["check_outliers_sensor"] = q_check_outliers_sensor
 def q_final_risk_model(spark, sf):
     """Final risk model: leak-filtered numeric frame, 80/20 row split,
     balanced 200-tree forest, class report; the model is saved and reloaded."""
-    ml = se.label_high_risk(_ml_dataset(spark, sf), "actual_scrap_qty", 0.75, "target")
+    ml = se.label_high_risk(_model_dataset(spark, sf), "actual_scrap_qty", 0.75, "target")
     frame = stored(se.final_model_frame(ml.withColumn("_row", F.col("order_id")), "target"))
     feats = [c for c in frame.columns if c not in ("target", "_row")]
     s = sp.row_split(frame, ["_row"])
@@ -849,7 +854,7 @@ def q_final_risk_model(spark, sf):
     path = rd.scratch_path(spark, f"final-model-{uuid.uuid4().hex}")
     model.write().overwrite().save(path)
     back = md.PipelineModel.load(path)
-    both = back.transform(model.transform(test).select(*test.columns, F.col("prediction").alias("_saved")))
+    both = md.scored(back, md.scored(model, test).withColumnRenamed("prediction", "_saved"))
     same = both.where(F.col("prediction") != F.col("_saved")).isEmpty()
     return _checked_classes(md.risk_classifier_report(back, test, "target"), back, train, "target").withColumn("reloaded_equal", F.lit(same))
 

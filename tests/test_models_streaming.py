@@ -1,5 +1,6 @@
 import datetime as dt
 
+import numpy as np
 import pytest
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Observation
@@ -163,3 +164,56 @@ def test_a_fit_uses_every_core(spark):
     cores = spark.sparkContext.defaultParallelism
     assert md.dealt(_signal(spark, cores * md.ROWS_WORTH).coalesce(1)).rdd.getNumPartitions() == cores
     assert md.dealt(_signal(spark, 100)).rdd.getNumPartitions() == 1  # not worth more
+
+
+def _many_to_a_cell(spark, n=4000):
+    """Rows of few combinations of features, one of them missing at times; labels differ within a combination."""
+    rows = [(i, float(i % 12), None if i % 8 == 7 else float(i * 7 % 5), float(i % 12 * 3 + i * 7 % 5 + i * i % 4), int(i % 12 > 7) if i % 50 else 1) for i in range(n)]
+    return spark.createDataFrame(rows, "id long, a double, b double, y double, label int")
+
+
+def test_forests_over_cells_do_as_those_over_rows(spark, monkeypatch):
+    df = _many_to_a_cell(spark)
+    assert md.cells(df, ["a", "b"], "label") is None  # few rows go as they are
+    monkeypatch.setattr(md, "CELLS_FROM", 100)
+    assert md.cells(df, ["id"], "label", by_label=False) is not None and md.cells(df.where("id < 400"), ["id"], "label") is None
+    for train, label, score in ((md.train_rf_classifier, "label", lambda p: md.balanced_accuracy(p, "label")),
+                                (md.train_rf_regressor, "y", lambda p: -p.agg(F.avg(F.abs(F.col("prediction") - F.col("y")))).first()[0])):
+        scores, models = [], []
+        for least in (100, 1 << 60):
+            monkeypatch.setattr(md, "CELLS_FROM", least)
+            model = train(df.where("b is not null"), ["a", "b"], label, num_trees=8, max_depth=6)
+            pred = md.scored(model, df)
+            assert pred.columns == [*df.columns, "prediction"] and pred.count() == df.count()
+            same = pred.withColumnRenamed("prediction", "joined").join(model.transform(df).select("id", "prediction"), "id")
+            assert same.where("joined = prediction").count() == df.count()
+            scores.append(score(pred))
+            models.append(model)
+        by_cells, by_rows = (m.stages[-1] for m in models)
+        assert abs(scores[0] - scores[1]) < 0.05 and type(by_cells) is type(by_rows)
+        assert by_cells.getNumTrees == 8 and len({t.toDebugString for t in by_cells.trees}) > 1
+        assert abs(by_cells.featureImportances[0] - by_rows.featureImportances[0]) < 0.1
+
+
+def test_a_cells_rows_are_drawn_one_by_one(spark, monkeypatch):
+    monkeypatch.setattr(md, "CELLS_FROM", 100)
+    df = _many_to_a_cell(spark, 6000).na.fill(0.0)
+    by_class = md._class_bags(md.cells(df, ["a", "b"], "label"), 30, 1)
+    row = by_class.agg(F.sum("rows"), *[F.sum(f"drawn{t}") for t in range(30)]).first()
+    assert row[0] == 6000 and all(abs(n - 6000) < 6 * 6000**0.5 for n in row[1:]) and len(set(row[1:])) > 20
+    found = md.cells(df, ["a", "b"], "y", by_label=False)
+    drawn = np.array(md._value_bags(found, 30, 1).select(*[f"drawn{t}" for t in range(30)]).collect())
+    assert abs(drawn.sum() - 180000) < 6 * 180000**0.5
+    assert 3000 < drawn.var(axis=1).sum() < 12000  # of rows drawn one by one 6000, of whole cells some hundred times that
+    total = md._value_bags(found, 30, 1).select(F.sum(F.col("drawn0") * F.col("mean0"))).first()[0]
+    assert abs(total / df.agg(F.sum("y")).first()[0] - 1) < 0.1
+
+
+def test_boosted_classes_over_cells_are_those_of_all_rows(spark, monkeypatch):
+    monkeypatch.setattr(md, "CELLS_FROM", 100)
+    df = _many_to_a_cell(spark).na.fill(0.0)
+    model = md.train_gbt_classifier(df, ["a", "b"], "label", max_iter=5)
+    monkeypatch.setattr(md, "CELLS_FROM", 1 << 60)
+    cut = model.stages[0].transform(df).select("id", "label", *[F.col(c).alias(c, metadata={}) for c in model.stages[0].getOutputCols()])
+    want = md.train_gbt_classifier(cut, model.stages[0].getOutputCols(), "label", max_iter=5).transform(cut).select("id", F.col("prediction").alias("want"))
+    assert md.scored(model, df).join(want, "id").where("prediction != want").isEmpty()
