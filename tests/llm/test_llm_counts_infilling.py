@@ -84,6 +84,33 @@ def test_frequent_lengths_are_a_bounded_table(spark, path, plain):
     assert table.find(key, check).tolist() == [len(plain.encode(" often").ids)]
 
 
+def test_frequent_lengths_are_of_all_texts(spark, path, plain, monkeypatch):
+    monkeypatch.setattr(token_counts, "SLICE_BYTES", 4000)
+    head = " ".join(f"early{i}" for i in range(400_000))  # over the first megabyte of the only partition
+    docs = spark.createDataFrame([(0, head), (1, " late" * 30 + "<|endoftext|> late"), (2, None), (3, ""), (4, " later")], "doc_id long, text string").coalesce(1)
+    splitter = token_counts.PreTokens(path)
+
+    def found(table, word):
+        _, key, check = splitter.hashes(np.frombuffer(word, np.uint8), np.array([0]))
+        return table.find(key, check).tolist()
+
+    table = token_counts.frequent_lengths(docs, path, entries=2)  # behind " early"; numbers come once each
+    assert found(table, b" late") == [len(plain.encode(" late").ids)]
+
+
+def test_tallies_count_every_pre_token(path, plain, monkeypatch):
+    monkeypatch.setattr(token_counts, "SLICE_BYTES", 3000)
+    rng = random.Random(7)
+    texts = ["".join(rng.choice(PIECES + [" word"] * 9) for _ in range(n)) for n in (0, 5, 300, 9000, 40)]
+    splitter, held = token_counts.PreTokens(path), []
+    for some in (texts[:3], texts[3:4], texts[4:]):
+        held += list(splitter.tally(*text_bytes(pa.array(some))))
+    key, check, length, times = token_counts._merged(held)
+    assert len(held) > 5 and len(np.unique(np.stack([key, check], axis=1), axis=0)) == len(key)
+    added = sum(len(splitter.pattern.findall(t.encode())) for t in texts)
+    assert int((length * times).sum()) + added == sum(len(plain.encode(t, add_special_tokens=False).ids) for t in texts)
+
+
 def plain_infilling(doc_id, text):
     text = text or ""
     digest = hashlib.sha256(f"1:{'' if doc_id is None else doc_id}".encode()).hexdigest()
